@@ -81,14 +81,14 @@ def _clean_text(c: Column) -> Column:
 
 
 def to_float(c) -> Column:
-    return F.try_cast(_clean_text(_c(c)), "double")
+    return (_clean_text(_c(c))).try_cast("double")
 
 
 def to_int(c) -> Column:
     """Integer through float, truncated toward zero; NaN/inf/unparsable -> NULL."""
     d = to_float(c)
     ok = d.isNotNull() & ~F.isnan(d) & (F.abs(d) < F.lit(9.2e18))
-    return F.when(ok, F.try_cast(d, "long"))
+    return F.when(ok, (d).try_cast("long"))
 
 
 def to_str(c) -> Column:

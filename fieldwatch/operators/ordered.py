@@ -49,8 +49,12 @@ PID = "_pid"
 # layout
 # --------------------------------------------------------------------------------------
 
-def ordered_layout(df: DataFrame, key: str, order: list[str], num_partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort by (key, *order); tag rows with the partition id.
+POS = "_pos"
+
+
+def ordered_layout(df: DataFrame, key, order: list[str], num_partitions: int | None = None) -> DataFrame:
+    """Range-partition and sort by (key, *order); tag rows with the partition id
+    (``_pid``) and their position inside the partition (``_pos``).
 
     Range bounds come from a sample over the composite key, so a key with a
     large share of the rows is split across several partitions.
@@ -58,10 +62,13 @@ def ordered_layout(df: DataFrame, key: str, order: list[str], num_partitions: in
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or default_parallelism(spark)
-    cols = [key, *order]
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = [*keys, *order]
+    pid = F.spark_partition_id()
     laid = (df.repartitionByRange(n, *cols)
             .sortWithinPartitions(*cols)
-            .withColumn(PID, F.spark_partition_id()))
+            .withColumn(PID, pid)
+            .withColumn(POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)))
     return laid.checkpoint(eager=True)
 
 
@@ -85,7 +92,7 @@ def _segments(keys: np.ndarray) -> np.ndarray:
 def _sort_frame(pdf: pd.DataFrame, key: str, order: list[str]) -> pd.DataFrame:
     # rows arrive sorted; a stable re-sort keeps this exact even if a planner
     # change ever delivered them otherwise
-    return pdf.sort_values([key, *order], kind="stable", ignore_index=True)
+    return pdf.sort_values([key, *order], kind="stable", ignore_index=True, na_position="first")
 
 
 # --------------------------------------------------------------------------------------
@@ -320,7 +327,7 @@ def greedy_thin(laid: DataFrame, key: str, order: list[str], t: str, theta: str,
 
 def greedy_thin_reference(pdf: pd.DataFrame, key: str, order: list[str], t: str, theta: str,
                           e_init: int = NEG_INF) -> pd.Series:
-    pdf = pdf.sort_values([key, *order], kind="stable")
+    pdf = pdf.sort_values([key, *order], kind="stable", na_position="first")
     emit = pd.Series(False, index=pdf.index)
     last_key, e = object(), e_init
     for idx, k, tv, th in zip(pdf.index, pdf[key], pdf[t], pdf[theta]):
