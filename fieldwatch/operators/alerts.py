@@ -13,14 +13,19 @@ ordered thinning pass that splits busy devices over many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fieldwatch.config import STATE_CRITICAL, STATE_OFFLINE, Params
 from fieldwatch.functions.scalars import (details_from_array, first_truthy, point_or_flat, to_int, to_str)
 from fieldwatch.functions.timefmt import iso_of_ms, window_index
-from fieldwatch.operators.ordered import ALWAYS, NEG_INF, greedy_thin, keyed_lag, ordered_layout
+from fieldwatch.operators.ordered import (ALWAYS, NEG_INF, greedy_thin, groups_are_bounded, keyed_lag,
+                                         ordered_layout, per_key_partitions, segment_lag, thin_segments)
 from fieldwatch.schemas import CLEANED_ALERT
+from fieldwatch.session import checkpoint_dir
 
 ALERT_COLUMNS = ["device_id", "gateway_id", "gateway_ts", "gateway_ts_iso", "state", "details"]
 SEQ = "seq"
@@ -51,7 +56,6 @@ def offline_alerts(known: DataFrame, dev_gw: DataFrame, params: Params) -> DataF
     # silence gaps between consecutive sightings: next sighting via a self-join on
     # the per-device window list is replaced by lead over (device, w); that list is
     # bounded by the number of fleet windows, not by the device's reading count.
-    from pyspark.sql import Window
     gaps = (seen.withColumn("next_w", F.lead("w").over(Window.partitionBy("device_id").orderBy("w")))
             .select("device_id", (F.col("w") + k_off).alias("lo"),
                     F.coalesce(F.col("next_w") - 1, wmax).alias("hi")))
@@ -70,6 +74,9 @@ def offline_alerts(known: DataFrame, dev_gw: DataFrame, params: Params) -> DataF
 
 # --- W2 + W3: the gateway's alert machine -------------------------------------------------
 
+_FLEET_COLS = ["device_id", "gateway_id", "gateway_ts", "state", "details", SEQ]
+
+
 def fleet_alerts(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: str = "event_id",
                  num_partitions: int | None = None) -> DataFrame:
     """W2 U W3 (U3): alerts the gateway publishes.
@@ -82,26 +89,70 @@ def fleet_alerts(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: st
     * CRITICAL reading: alert if now - E >= cooldown;
     * OK reading right after a CRITICAL reading: alert if now - E >= recovery;
     * OFFLINE (W3 candidate): always alerts.
+
+    When every device's history fits the group bound, one ``applyInPandas``
+    per device folds it; otherwise the range-partitioned path splits busy
+    devices over many tasks. Both give the same rows.
     """
     known = readings.join(dev_gw, "device_id").select(
         "device_id", "gateway_id", "gateway_ts", "state", "details", F.col(seq).cast("long").alias(SEQ))
+    offline = offline_alerts(known, dev_gw, params).select(*_FLEET_COLS)
+    if groups_are_bounded(known, "device_id"):
+        out = _fleet_grouped(known, offline, params, num_partitions)
+    else:
+        out = _fleet_ranged(known, offline, params, num_partitions)
+    out = out.select(*ALERT_COLUMNS[:3], iso_of_ms(F.col("gateway_ts")).alias("gateway_ts_iso"),
+                     "state", "details", SEQ)
+    # reliable checkpoint: later stages (dedup, notifications) read the fold
+    # once, and a lost executor does not send them back through it
+    return _materialise(out)
+
+
+def _materialise(df: DataFrame) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _fleet_theta(state: pd.Series, prev_state: pd.Series, params: Params) -> np.ndarray:
+    """theta per reading: cooldown for CRITICAL, recovery for OK after CRITICAL,
+    -1 for readings that cannot alert."""
+    crit = (state == STATE_CRITICAL).to_numpy()
+    rec = (prev_state == STATE_CRITICAL).to_numpy() & ~crit
+    return np.where(crit, params.cooldown_ms, np.where(rec, params.recovery_ms, -1)).astype(np.int64)
+
+
+def _fleet_grouped(known: DataFrame, offline: DataFrame, params: Params, num_partitions=None) -> DataFrame:
+    rows = known.withColumn("_kind", F.lit(0)).unionByName(offline.withColumn("_kind", F.lit(1)))
+    schema = StructType(known.select(*_FLEET_COLS).schema.fields)
+
+    def fold(pdf: pd.DataFrame, seg: np.ndarray) -> pd.DataFrame:
+        is_r = (pdf["_kind"] == 0).to_numpy()
+        theta = np.full(len(pdf), ALWAYS, dtype=np.int64)
+        r = pdf.loc[is_r, "state"].reset_index(drop=True)
+        theta[is_r] = _fleet_theta(r, segment_lag(r, seg[is_r]), params)
+        cand = theta != -1
+        on = thin_segments(seg[cand], pdf["gateway_ts"].to_numpy(np.int64)[cand], theta[cand], 0)
+        return pdf.loc[cand].loc[on, _FLEET_COLS]
+
+    # readings before ticks at one stamp (there are none: ticks only fill silent windows)
+    return per_key_partitions(rows, "device_id", ["gateway_ts", "_kind", SEQ], fold, schema, num_partitions)
+
+
+def _fleet_ranged(known: DataFrame, offline: DataFrame, params: Params, num_partitions: int | None) -> DataFrame:
     order = ["gateway_ts", SEQ]
     laid = ordered_layout(known, "device_id", order, num_partitions)
     with_prev = keyed_lag(laid, "device_id", order, "state", "prev_state")
     theta = (F.when(F.col("state") == STATE_CRITICAL, F.lit(params.cooldown_ms))
              .when(F.col("prev_state") == STATE_CRITICAL, F.lit(params.recovery_ms)))
     candidates = (with_prev.withColumn("theta", theta.cast("long")).filter(F.col("theta").isNotNull())
-                  .select("device_id", "gateway_id", "gateway_ts", "state", "details", SEQ, "theta"))
-    offline = (offline_alerts(known, dev_gw, params)
-               .select("device_id", "gateway_id", "gateway_ts", "state", "details", SEQ)
-               .withColumn("theta", F.lit(ALWAYS).cast("long")))
+                  .select(*_FLEET_COLS, "theta"))
+    ticks = offline.withColumn("theta", F.lit(ALWAYS).cast("long"))
     # ticks sort after readings of the same stamp (there are none: a tick exists
     # only for windows in which the device is silent)
-    cand = candidates.unionByName(offline).withColumn(SEQ, F.coalesce(F.col(SEQ), F.lit(2 ** 62)))
+    cand = candidates.unionByName(ticks).withColumn(SEQ, F.coalesce(F.col(SEQ), F.lit(2 ** 62)))
     laid2 = ordered_layout(cand, "device_id", order, num_partitions)
     out = greedy_thin(laid2, "device_id", order, "gateway_ts", "theta", e_init=0)
-    return out.select(*ALERT_COLUMNS[:3], iso_of_ms(F.col("gateway_ts")).alias("gateway_ts_iso"),
-                      "state", "details",
+    return out.select("device_id", "gateway_id", "gateway_ts", "state", "details",
                       F.when(F.col(SEQ) < 2 ** 62, F.col(SEQ)).alias(SEQ))
 
 
@@ -124,13 +175,20 @@ def dedup_alerts(alerts: DataFrame, window: int, order: tuple = ("gateway_ts", S
     gap ``window``.
     """
     order = list(order)
+    if groups_are_bounded(alerts, "device_id"):
+        def fold(pdf: pd.DataFrame, seg: np.ndarray) -> pd.DataFrame:
+            prev = segment_lag(pdf["state"], seg)
+            theta = np.where(prev.isna() | (prev != pdf["state"]), ALWAYS, window).astype(np.int64)
+            return pdf[thin_segments(seg, pdf["gateway_ts"].to_numpy(np.int64), theta, NEG_INF)]
+
+        return _materialise(per_key_partitions(alerts, "device_id", order, fold, alerts.schema, num_partitions))
     laid = ordered_layout(alerts, "device_id", order, num_partitions)
     with_prev = keyed_lag(laid, "device_id", order, "state", "_prev_state")
     theta = F.when(F.col("_prev_state").isNull() | (F.col("_prev_state") != F.col("state")), F.lit(ALWAYS)) \
         .otherwise(F.lit(window)).cast("long")
     out = greedy_thin(with_prev.withColumn("_theta", theta), "device_id", order, "gateway_ts", "_theta",
                       e_init=NEG_INF)
-    return out.drop("_prev_state", "_theta", "_pid", "_pos")
+    return _materialise(out.drop("_prev_state", "_theta", "_pid", "_pos"))
 
 
 # --- W4: state transitions -----------------------------------------------------------------
@@ -139,9 +197,12 @@ def state_transitions(readings: DataFrame, seq: str = "event_id", num_partitions
     """Readings whose state differs from the device's previous reading
     (the first reading of a device counts as a transition from '')."""
     order = ["gateway_ts", seq]
-    laid = ordered_layout(readings.select("device_id", "gateway_ts", seq, "state"), "device_id", order,
-                          num_partitions)
-    lagged = keyed_lag(laid, "device_id", order, "state", "prev_state")
+    r = readings.select("device_id", "gateway_ts", seq, "state")
+    if groups_are_bounded(r, "device_id"):
+        lagged = r.withColumn("prev_state", F.lag("state").over(Window.partitionBy("device_id").orderBy(*order)))
+    else:
+        lagged = keyed_lag(ordered_layout(r, "device_id", order, num_partitions), "device_id", order, "state",
+                           "prev_state")
     return (lagged.withColumn("prev_state", F.coalesce(F.col("prev_state"), F.lit("")))
             .filter(F.col("prev_state") != F.col("state"))
             .select("device_id", "gateway_ts", seq, "prev_state", "state"))

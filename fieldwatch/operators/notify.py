@@ -27,15 +27,26 @@ def _py_list(c):
     return F.when(c.isNull(), F.lit("None")).otherwise(F.concat(F.lit("["), inner, F.lit("]")))
 
 
+def render(template: str, *values):
+    """Fill the ``%s`` slots of a template with columns using ``concat``
+    (code-generated, unlike ``format_string``'s java Formatter)."""
+    parts = template.split("%s")
+    if len(parts) != len(values) + 1:
+        raise ValueError("template slots and values differ")
+    cols = [F.lit(parts[0])]
+    for v, lit in zip(values, parts[1:]):
+        cols += [v, F.lit(lit)]
+    return F.concat(*cols)
+
+
 def notifications(alerts: DataFrame, routes: DataFrame) -> DataFrame:
     """J5 + P25: one row per alert and recipient of its farm (a duplicated
     route sends twice), with the rendered message."""
     j = alerts.join(routes.select("farm_id", "email"), "farm_id", "inner")
     lat = F.col("device_location.lat")
     lon = F.col("device_location.lon")
-    body = F.format_string(NOTIFICATION_TEMPLATE, F.col("email"), _py_text(F.col("device_id")),
-                           _py_text(F.col("state")), _py_text(lat), _py_text(lon),
-                           _py_text(F.col("gateway_ts_iso")), _py_list(F.col("details")))
+    body = render(NOTIFICATION_TEMPLATE, F.col("email"), _py_text(F.col("device_id")), _py_text(F.col("state")),
+                  _py_text(lat), _py_text(lon), _py_text(F.col("gateway_ts_iso")), _py_list(F.col("details")))
     return j.select("email", "farm_id", "device_id", "state", lat.alias("lat"), lon.alias("lon"), "gateway_ts_iso",
                     "details", *[c for c in alerts.columns if c == "seq"], body.alias("message"))
 

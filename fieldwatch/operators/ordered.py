@@ -51,6 +51,32 @@ PID = "_pid"
 
 POS = "_pos"
 
+# Groups up to this many rows may be handed whole to one task (the bounded
+# path); above it the range-partitioned path is used. Read from the session so
+# a cluster can tune it (and tests can force the range path with 0).
+GROUP_ROWS_CONF = "spark.fieldwatch.maxGroupRows"
+DEFAULT_GROUP_ROWS = 1_000_000
+
+
+def group_rows_limit(spark) -> int:
+    try:
+        return int(spark.conf.get(GROUP_ROWS_CONF, str(DEFAULT_GROUP_ROWS)))
+    except Exception:  # pragma: no cover
+        return DEFAULT_GROUP_ROWS
+
+
+def max_rows_per_key(df: DataFrame, keys) -> int:
+    """Size of the largest group: one aggregation, combined map-side."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(r or 0)
+
+
+def groups_are_bounded(df: DataFrame, keys) -> bool:
+    """True when every group fits the bound, so a per-group task is safe."""
+    limit = group_rows_limit(df.sparkSession)
+    return limit > 0 and max_rows_per_key(df, keys) <= limit
+
 
 def ordered_layout(df: DataFrame, key, order: list[str], num_partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by (key, *order); tag rows with the partition id
@@ -209,6 +235,55 @@ def _first_emitters(seg: np.ndarray, t: np.ndarray, theta: np.ndarray, e_seg: np
     return idx[first]
 
 
+def thin_segments(seg: np.ndarray, t: np.ndarray, theta: np.ndarray, e_init: int) -> np.ndarray:
+    """Emit mask of sorted rows holding whole keys (segments numbered 0..k,
+    possibly with gaps), every key starting from ``e_init``."""
+    n = len(t)
+    if n == 0:
+        return np.zeros(0, dtype=bool)
+    seg = np.asarray(seg, dtype=np.int64)
+    t = np.asarray(t, dtype=np.int64)
+    theta = np.asarray(theta, dtype=np.int64)
+    nxt = _next_pointers(seg, t, theta)
+    e_seg = np.full(int(seg.max()) + 1, e_init, dtype=np.int64)
+    on, _ = _chains(nxt, _first_emitters(seg, t, theta, e_seg))
+    return on
+
+
+def thin_mask(t: np.ndarray, theta: np.ndarray, e_init: int) -> np.ndarray:
+    """Emit mask of one key's sorted rows."""
+    return thin_segments(np.zeros(len(t), dtype=np.int64), t, theta, e_init)
+
+
+def segment_lag(values: pd.Series, seg: np.ndarray) -> pd.Series:
+    """Previous value within the same segment (NULL for a segment's first row)."""
+    prev = values.shift(1)
+    first = np.ones(len(seg), dtype=bool)
+    first[1:] = seg[1:] != seg[:-1]
+    return prev.where(~first, None)
+
+
+def per_key_partitions(df: DataFrame, key: str, order: list[str], fn, schema: StructType,
+                       num_partitions: int | None = None) -> DataFrame:
+    """Bounded path: hash-partition by key so each key is whole in one task,
+    sort, and call ``fn(sorted_partition_frame, segment_ids)`` once per
+    partition; all keys of a partition are processed in one vectorised pass.
+    Use only after :func:`groups_are_bounded`."""
+    n = num_partitions or default_parallelism(df.sparkSession)
+    laid = df.repartition(n, key).sortWithinPartitions(key, *order)
+
+    def run(it):
+        pdf = _partition_frame(it)
+        if pdf is None:
+            return
+        pdf = _sort_frame(pdf, key, order)
+        out = fn(pdf, _segments(pdf[key].to_numpy()))
+        if len(out):
+            yield out
+
+    return laid.mapInPandas(run, schema)
+
+
 _THIN_SUMMARY = StructType([
     StructField(PID, LongType()), StructField("first_key", StringType()), StructField("last_key", StringType()),
     StructField("single", BooleanType()), StructField("rb_keys", ArrayType(LongType())),
