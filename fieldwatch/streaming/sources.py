@@ -38,8 +38,11 @@ def topic_stream(spark: SparkSession, topic: str, *, kafka: str | None = None, f
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", max_per_trigger)
     df = r.load(folder)
-    # arrival order inside a micro-batch: position in the batch's file scan
-    return df.select("value", F.monotonically_increasing_id().alias("seq"))
+    # a file line has no offset: arrival = the file's modification time, ties
+    # inside a file broken by a content hash (deterministic across replays)
+    mtime = F.unix_millis(F.col("_metadata.file_modification_time"))
+    seq = mtime * F.lit(1_000_000) + F.pmod(F.xxhash64("value"), F.lit(1_000_000))
+    return df.select("value", seq.alias("seq"))
 
 
 def topic_batch(spark: SparkSession, topic: str, *, kafka: str | None = None, folder: str | None = None,
