@@ -33,36 +33,46 @@ SEQ = "seq"
 
 # --- W3: offline candidates ------------------------------------------------------------
 
-def offline_alerts(known: DataFrame, dev_gw: DataFrame, params: Params) -> DataFrame:
+def offline_alerts(known: DataFrame, dev_gw: DataFrame, params: Params, last_seen: DataFrame | None = None
+                   ) -> DataFrame:
     """One OFFLINE alert per (registered device, non-empty fleet window) in
     which the device sent nothing and its last reading is at least
-    ``offline_ms`` older than the window's end (never-seen devices: last = 0).
+    ``offline_ms`` older than the window's end (never-seen devices: last = 0,
+    or the carried ``last_seen(device_id, last_ts)`` of earlier micro-batches).
 
     The reference does not rate-limit OFFLINE alerts, so every candidate is an
     alert and no fold is needed here. Candidates are generated per silence gap
     of a device (between two windows it was seen in), so the work is
     proportional to the alerts produced, not to devices x windows.
     """
-    w_ms = params.window_ms
-    k_off = -(-params.offline_ms // w_ms)  # ceil: first window index that can fire after a sighting
+    w_ms, off = params.window_ms, params.offline_ms
     seen = known.select("device_id", window_index(F.col("gateway_ts") - 1, w_ms).alias("w")).distinct()
     fleet = seen.select("w").distinct()
-    wmin = fleet.select(F.min("w")).scalar()
-    wmax = fleet.select(F.max("w")).scalar()
-    # before any sighting the last-seen stamp is 0: window m fires once (m+1)*W >= offline
-    first_ok = F.greatest(wmin, F.lit(-(-params.offline_ms // w_ms) - 1))
-
-    nxt = seen.groupBy("device_id").agg(F.min("w").alias("first_w"))
-    # silence gaps between consecutive sightings: next sighting via a self-join on
-    # the per-device window list is replaced by lead over (device, w); that list is
+    bounds = fleet.select(F.struct(F.min("w").alias("lo"), F.max("w").alias("hi"))).scalar()
+    wmin, wmax = bounds["lo"], bounds["hi"]
+
+    def first_firing(last_ts):
+        # window m fires when (m + 1) * W - last_ts >= offline
+        return F.greatest(wmin, (F.ceil((last_ts + F.lit(off)) / F.lit(w_ms)) - 1).cast("long"))
+
+    # silence gaps between consecutive sightings. The per-device window list is
     # bounded by the number of fleet windows, not by the device's reading count.
-    gaps = (seen.withColumn("next_w", F.lead("w").over(Window.partitionBy("device_id").orderBy("w")))
-            .select("device_id", (F.col("w") + k_off).alias("lo"),
-                    F.coalesce(F.col("next_w") - 1, wmax).alias("hi")))
-    before = nxt.select("device_id", first_ok.alias("lo"), (F.col("first_w") - 1).alias("hi"))
-    never = (dev_gw.select("device_id").join(nxt, "device_id", "left_anti")
-             .select("device_id", first_ok.alias("lo"), wmax.alias("hi")))
-    spans = gaps.unionByName(before).unionByName(never).filter(F.col("lo") <= F.col("hi"))
+    per_dev = Window.partitionBy("device_id").orderBy("w")
+    s2 = seen.select("device_id", "w", F.lead("w").over(per_dev).alias("next_w"),
+                     F.row_number().over(per_dev).alias("k"))
+    gaps = s2.select("device_id", first_firing((F.col("w") + 1) * F.lit(w_ms)).alias("lo"),
+                     F.coalesce(F.col("next_w") - 1, wmax).alias("hi"))
+    registered = dev_gw.select("device_id")
+    if last_seen is not None:
+        registered = registered.join(last_seen.select("device_id", "last_ts"), "device_id", "left")
+    else:
+        registered = registered.withColumn("last_ts", F.lit(None).cast("long"))
+    seed = F.coalesce(F.col("last_ts"), F.lit(0))
+    firsts = s2.filter(F.col("k") == 1).select("device_id", F.col("w").alias("first_w"))
+    before = (registered.join(firsts, "device_id", "left")
+              .select("device_id", first_firing(seed).alias("lo"),
+                      F.coalesce(F.col("first_w") - 1, wmax).alias("hi")))
+    spans = gaps.unionByName(before).filter(F.col("lo") <= F.col("hi"))
     ticks = (spans.select("device_id", F.explode(F.sequence("lo", "hi")).alias("w"))
              .join(fleet, "w")
              .join(dev_gw, "device_id"))
@@ -121,23 +131,69 @@ def _fleet_theta(state: pd.Series, prev_state: pd.Series, params: Params) -> np.
     return np.where(crit, params.cooldown_ms, np.where(rec, params.recovery_ms, -1)).astype(np.int64)
 
 
-def _fleet_grouped(known: DataFrame, offline: DataFrame, params: Params, num_partitions=None) -> DataFrame:
+def _fleet_grouped(known: DataFrame, offline: DataFrame, params: Params, num_partitions=None,
+                   seeds: DataFrame | None = None) -> DataFrame:
+    """Bounded path. ``seeds(device_id, last_state, last_alert_ts)`` carries
+    each device's state from earlier micro-batches (none: '' and 0)."""
     rows = known.withColumn("_kind", F.lit(0)).unionByName(offline.withColumn("_kind", F.lit(1)))
+    if seeds is not None:
+        rows = rows.join(seeds.select("device_id", F.col("last_state").alias("_s0"),
+                                      F.col("last_alert_ts").alias("_e0")), "device_id", "left")
+    else:
+        rows = rows.withColumn("_s0", F.lit(None).cast("string")).withColumn("_e0", F.lit(None).cast("long"))
     schema = StructType(known.select(*_FLEET_COLS).schema.fields)
 
     def fold(pdf: pd.DataFrame, seg: np.ndarray) -> pd.DataFrame:
         is_r = (pdf["_kind"] == 0).to_numpy()
         theta = np.full(len(pdf), ALWAYS, dtype=np.int64)
         r = pdf.loc[is_r, "state"].reset_index(drop=True)
-        theta[is_r] = _fleet_theta(r, segment_lag(r, seg[is_r]), params)
+        r_seg = seg[is_r]
+        prev = segment_lag(r, r_seg)
+        if len(r):
+            first = np.ones(len(r_seg), dtype=bool)
+            first[1:] = r_seg[1:] != r_seg[:-1]
+            prev = prev.where(~first, pdf.loc[is_r, "_s0"].reset_index(drop=True))
+        theta[is_r] = _fleet_theta(r, prev, params)
         cand = theta != -1
-        on = thin_segments(seg[cand], pdf["gateway_ts"].to_numpy(np.int64)[cand], theta[cand], 0)
+        e_seg = np.zeros(int(seg.max()) + 1, dtype=np.int64)
+        e0 = pd.to_numeric(pdf["_e0"], errors="coerce")
+        has = e0.notna().to_numpy()
+        e_seg[seg[has]] = e0[has].astype(np.int64).to_numpy()
+        on = thin_segments(seg[cand], pdf["gateway_ts"].to_numpy(np.int64)[cand], theta[cand], 0, e_seg)
         return pdf.loc[cand].loc[on, _FLEET_COLS]
 
     # readings before ticks at one stamp (there are none: ticks only fill silent windows)
     return per_key_partitions(rows, "device_id", ["gateway_ts", "_kind", SEQ], fold, schema, num_partitions)
 
 
+def fleet_step(readings: DataFrame, dev_gw: DataFrame, params: Params, state: DataFrame | None,
+               seq: str = "event_id", num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """ST7: one micro-batch of the gateway's alert machine. ``state`` is the
+    per-device table ``(device_id, last_state, last_alert_ts, last_ts)`` after
+    the previous batch (None before the first). Returns the batch's alerts and
+    the next state table. A micro-batch's groups are bounded by its trigger
+    size, so the bounded fold is used."""
+    known = readings.join(dev_gw, "device_id").select(
+        "device_id", "gateway_id", "gateway_ts", "state", "details", F.col(seq).cast("long").alias(SEQ))
+    offline = offline_alerts(known, dev_gw, params, state).select(*_FLEET_COLS)
+    out = _fleet_grouped(known, offline, params, num_partitions, state)
+    alerts = out.select(*ALERT_COLUMNS[:3], iso_of_ms(F.col("gateway_ts")).alias("gateway_ts_iso"),
+                        "state", "details", SEQ)
+    last_read = known.groupBy("device_id").agg(
+        F.max(F.struct("gateway_ts", SEQ, "state")).alias("m"))
+    last_read = last_read.select("device_id", F.col("m.state").alias("n_state"), F.col("m.gateway_ts").alias("n_ts"))
+    last_alert = alerts.groupBy("device_id").agg(F.max("gateway_ts").alias("n_alert"))
+    new = last_read.join(last_alert, "device_id", "full_outer")
+    if state is None:
+        state = new.sparkSession.createDataFrame(
+            [], "device_id string, last_state string, last_alert_ts long, last_ts long")
+    nxt = (state.join(new, "device_id", "full_outer")
+           .select("device_id", F.coalesce("n_state", "last_state").alias("last_state"),
+                   F.coalesce("n_alert", "last_alert_ts").alias("last_alert_ts"),
+                   F.coalesce("n_ts", "last_ts").alias("last_ts")))
+    return alerts, nxt
+
+
 def _fleet_ranged(known: DataFrame, offline: DataFrame, params: Params, num_partitions: int | None) -> DataFrame:
     order = ["gateway_ts", SEQ]
     laid = ordered_layout(known, "device_id", order, num_partitions)

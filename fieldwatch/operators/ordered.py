@@ -235,9 +235,11 @@ def _first_emitters(seg: np.ndarray, t: np.ndarray, theta: np.ndarray, e_seg: np
     return idx[first]
 
 
-def thin_segments(seg: np.ndarray, t: np.ndarray, theta: np.ndarray, e_init: int) -> np.ndarray:
+def thin_segments(seg: np.ndarray, t: np.ndarray, theta: np.ndarray, e_init: int,
+                  e_seg: np.ndarray | None = None) -> np.ndarray:
     """Emit mask of sorted rows holding whole keys (segments numbered 0..k,
-    possibly with gaps), every key starting from ``e_init``."""
+    possibly with gaps). Every key starts from ``e_init``, or from
+    ``e_seg[segment]`` when given (carried state)."""
     n = len(t)
     if n == 0:
         return np.zeros(0, dtype=bool)
@@ -245,8 +247,9 @@ def thin_segments(seg: np.ndarray, t: np.ndarray, theta: np.ndarray, e_init: int
     t = np.asarray(t, dtype=np.int64)
     theta = np.asarray(theta, dtype=np.int64)
     nxt = _next_pointers(seg, t, theta)
-    e_seg = np.full(int(seg.max()) + 1, e_init, dtype=np.int64)
-    on, _ = _chains(nxt, _first_emitters(seg, t, theta, e_seg))
+    if e_seg is None:
+        e_seg = np.full(int(seg.max()) + 1, e_init, dtype=np.int64)
+    on, _ = _chains(nxt, _first_emitters(seg, t, theta, np.asarray(e_seg, dtype=np.int64)))
     return on
 
 

@@ -161,3 +161,45 @@ def start_gateway_telemetry(readings: DataFrame, dev_gw: DataFrame, topic_folder
 def await_all(spark: SparkSession, timeout: float | None = None) -> None:
     """ST12."""
     spark.streams.awaitAnyTermination(timeout)
+
+
+# --- gateway: alert machine with a versioned state table (ST7) --------------------------------------
+
+def _state_path(state_dir: str, version: int) -> str:
+    return f"{state_dir.rstrip('/')}/v={int(version)}"
+
+
+def start_gateway_alerts(readings: DataFrame, dev_gw: DataFrame, state_dir: str, checkpoint: str, *,
+                         params: Params = DEFAULT_PARAMS, topic_folder: str | None = None, kafka: str | None = None,
+                         seq: str = "seq", trigger: str | None = DEFAULT_TRIGGER):
+    """ST7: classified readings (device_id, gateway_ts, state, details, seq)
+    -> per micro-batch: W2 + W3 against the per-device state of the previous
+    batch -> alerts on the raw-alert topic, and the next state version.
+
+    Version ``n`` of the state table is written by batch ``n`` and read by
+    batch ``n + 1``; a replayed batch re-reads ``n - 1`` and overwrites ``n``,
+    so replays are idempotent. A micro-batch must hold whole gateway windows
+    (one drain of the gateway per window), as the reference's drain loop does.
+    """
+    from fieldwatch.config import RAW_ALERT_TOPIC
+    from fieldwatch.operators.alerts import fleet_step
+
+    spark = readings.sparkSession
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        prev = None
+        if batch_id > 0:
+            try:
+                prev = spark.read.parquet(_state_path(state_dir, batch_id - 1))
+            except Exception:  # noqa: BLE001 - no earlier state (first batch with data)
+                prev = None
+        batch = batch.persist()
+        try:
+            alerts, nxt = fleet_step(batch, dev_gw, params, prev, seq)
+            nxt.write.mode("overwrite").parquet(_state_path(state_dir, batch_id))
+            W.write_topic(alerts.drop("seq"), RAW_ALERT_TOPIC, kafka=kafka, folder=topic_folder, batch_id=batch_id)
+        finally:
+            batch.unpersist()
+
+    w = readings.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).queryName("gateway_alerts").start()

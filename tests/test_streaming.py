@@ -97,3 +97,37 @@ def test_notifier_stream(spark):
     from fieldwatch.operators import notify as N
     assert spark.read.parquet(f"{root}/out").count() == N.notifications(p.cleaned_alerts, p.routes).count()
     assert spark.read.parquet(f"{root}/unrouted").count() == N.unrouted_alerts(p.cleaned_alerts, p.routes).count()
+
+
+def test_gateway_alert_stream_equals_batch(spark):
+    """ST7: readings arriving in micro-batches of whole windows give the batch
+    fleet alerts; the state table carries devices across batches."""
+    from fieldwatch.config import RAW_ALERT_TOPIC
+    from fieldwatch.schemas import ALERT_MSG
+
+    p = Pipeline(spark, SF, FIXTURE_PARAMS)
+    cols = ["device_id", "gateway_ts", "state", "details", F.col("event_id").alias("seq")]
+    src = jsonio.rows_to_json(p.readings.select(*cols)) \
+        .withColumn("gts", F.get_json_object("value", "$.gateway_ts").cast("long"))
+    root = tempfile.mkdtemp(prefix="fw-gw-")
+    pdf = src.toPandas().sort_values("gts", kind="stable")
+    os.makedirs(f"{root}/in")
+    windows = sorted(pdf["gts"].unique())
+    groups = [windows[i:i + 7] for i in range(0, len(windows), 7)]  # 7 whole windows per micro-batch
+    for i, ws in enumerate(groups):
+        path = f"{root}/in/part-{i:03d}.json"
+        with open(path, "w") as f:
+            for v in pdf[pdf["gts"].isin(ws)]["value"]:
+                f.write(v + "\n")
+        os.utime(path, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    schema = "device_id string, gateway_ts long, state string, details array<string>, seq long"
+    stream = (spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{root}/in")
+              .select(F.from_json("value", schema).alias("m")).select("m.*"))
+    q = J.start_gateway_alerts(stream, p.dev_gw, f"{root}/state", f"{root}/ckpt", params=FIXTURE_PARAMS,
+                               topic_folder=f"{root}/topics", trigger="availableNow")
+    q.awaitTermination()
+    out = jsonio.parse_json(spark.read.text(f"{root}/topics/{topic_file(RAW_ALERT_TOPIC)}"), ALERT_MSG)
+    got = {(r.device_id, r.gateway_ts, r.state) for r in out.collect()}
+    exp = {(r.device_id, r.gateway_ts, r.state) for r in p.fleet_alerts.collect()}
+    assert len(groups) > 2
+    assert got == exp
