@@ -151,7 +151,8 @@ def q_raw_records(spark, sf_dir):
 
 @query("json_path_extract")
 def q_json_path(spark, sf_dir):
-    ev = _p(spark, sf_dir).spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    from fieldwatch.sources.fixtures import table
+    ev = table(spark, sf_dir, "events")
     return jsonio.json_path(ev.select("event_id", "props"), "props", {"k": "$.k", "missing": "$.missing"}) \
         .select("event_id", "k", "missing")
 

@@ -30,8 +30,18 @@ BAD_LATENCY_MOD = 101
 NOT_JSON_MOD, BAD_TS_MOD, NO_DETAILS_MOD = 97, 89, 83
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. The DataFrame (not its data) is reused per session and
+    path, so the footer / schema job of ``spark.read.parquet`` runs once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _id(prefix: str, c: str):
@@ -75,9 +85,10 @@ def devices(spark, sf_dir) -> DataFrame:
 
 
 def bridge(spark, sf_dir) -> DataFrame:
-    """farm_gateway_device rows. Customers ``% 10 = 9`` are left out (unknown
-    devices) and so are those beyond ``max(user_id) + 5`` ... kept up to +5
-    (never-seen devices)."""
+    """farm_gateway_device rows. Customers ``% 10 = 9`` are left out (they are
+    the unknown devices) and so are customers from ``max(user_id) + 6`` on;
+    customers between ``max(user_id) + 1`` and ``+ 5`` are registered but never
+    send a reading (the never-seen devices)."""
     ev = table(spark, sf_dir, "events")
     max_user = ev.select(F.max("user_id")).scalar()
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
