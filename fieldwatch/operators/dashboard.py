@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fieldwatch.config import OTHER_LABEL, STATE_CRITICAL, STATE_OFFLINE
 from fieldwatch.operators.quantiles import exact_median
+from fieldwatch.session import checkpoint_dir
 
 # FIXED VALUES of the saved dashboard
 TIME_SLICE_START_FRACTION = -0.0067955555555555556
@@ -25,6 +26,11 @@ MAP_LAYERS = (("device", "device_location", True), ("farm", "farm_location", Fal
               ("gateway", "gateway_location", True))
 
 
+def _materialise(df: DataFrame) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _median_metric(rows: DataFrame, groups: list[str], metric: str, num_partitions=None) -> DataFrame:
     return exact_median(rows, groups, metric, "value", num_partitions)
 
@@ -38,7 +44,13 @@ def _label(metric_by_key: DataFrame, parent: list[str], key: str, size: int, by:
     each parent, Other for the rest. The table ranked here holds one row per
     distinct key, never raw rows."""
     order = [F.col(key).asc()] if by == "alpha" else [F.col("value").desc(), F.col(key).asc()]
-    w = Window.partitionBy(*parent).orderBy(*order) if parent else Window.orderBy(*order)
+    if not parent:
+        # top-N: each task keeps its best N, the merge sees N per task; the N
+        # winners (a size fixed by the caller) are broadcast to label the rest
+        top = metric_by_key.orderBy(*order).limit(size).select(key, F.lit(True).alias("_top"))
+        return (metric_by_key.join(F.broadcast(top), key, "left")
+                .select(key, F.when(F.col("_top"), F.col(key)).otherwise(F.lit(OTHER_LABEL)).alias(label)))
+    w = Window.partitionBy(*parent).orderBy(*order)
     return metric_by_key.select(*parent, key, F.when(F.row_number().over(w) <= size, F.col(key))
                                 .otherwise(F.lit(OTHER_LABEL)).alias(label))
 
@@ -51,7 +63,8 @@ def nested_top(rows: DataFrame, outer: str, inner: str, metric: str | None, oute
     if metric is not None:
         base = base.filter(F.col(metric).isNotNull())
     cols = [outer, inner] + ([metric] if metric else [])
-    base = base.select(*cols)
+    # three aggregations read this narrow projection: materialise it once
+    base = _materialise(base.select(*cols))
     outer_lab = _label(calc(base, [outer], metric, num_partitions), [], outer, outer_size, "metric", "outer_label")
     lab1 = base.join(outer_lab, outer)
     inner_lab = _label(calc(lab1, ["outer_label", inner], metric, num_partitions), ["outer_label"], inner,
@@ -67,7 +80,7 @@ def top_terms(rows: DataFrame, key: str, metric: str | None, size: int, kind: st
     base = rows.filter(F.col(key).isNotNull())
     if metric is not None:
         base = base.filter(F.col(metric).isNotNull())
-    base = base.select(key, *([metric] if metric else []))
+    base = _materialise(base.select(key, *([metric] if metric else [])))
     lab = _label(calc(base, [key], metric, num_partitions), [], key, size, "metric", "label")
     return calc(base.join(lab, key), ["label"], metric, num_partitions)
 
