@@ -22,8 +22,9 @@ from pyspark.sql.types import StructType
 from fieldwatch.config import STATE_CRITICAL, STATE_OFFLINE, Params
 from fieldwatch.functions.scalars import (details_from_array, first_truthy, point_or_flat, to_int, to_str)
 from fieldwatch.functions.timefmt import iso_of_ms, window_index
-from fieldwatch.operators.ordered import (ALWAYS, NEG_INF, greedy_thin, groups_are_bounded, keyed_lag,
-                                         ordered_layout, per_key_partitions, segment_lag, thin_segments)
+from fieldwatch.operators.ordered import (ALWAYS, NEG_INF, fits_bound, greedy_thin, group_profile, keyed_lag,
+                                         ordered_layout, per_key_partitions, segment_lag, tasks_for,
+                                         thin_segments)
 from fieldwatch.schemas import CLEANED_ALERT
 from fieldwatch.session import checkpoint_dir
 
@@ -107,10 +108,12 @@ def fleet_alerts(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: st
     known = readings.join(dev_gw, "device_id").select(
         "device_id", "gateway_id", "gateway_ts", "state", "details", F.col(seq).cast("long").alias(SEQ))
     offline = offline_alerts(known, dev_gw, params).select(*_FLEET_COLS)
-    if groups_are_bounded(known, "device_id"):
-        out = _fleet_grouped(known, offline, params, num_partitions)
+    biggest, total = group_profile(known, "device_id")
+    n = tasks_for(known.sparkSession, total, num_partitions)
+    if fits_bound(known.sparkSession, biggest):
+        out = _fleet_grouped(known, offline, params, n)
     else:
-        out = _fleet_ranged(known, offline, params, num_partitions)
+        out = _fleet_ranged(known, offline, params, n)
     out = out.select(*ALERT_COLUMNS[:3], iso_of_ms(F.col("gateway_ts")).alias("gateway_ts_iso"),
                      "state", "details", SEQ)
     # reliable checkpoint: later stages (dedup, notifications) read the fold
@@ -231,7 +234,9 @@ def dedup_alerts(alerts: DataFrame, window: int, order: tuple = ("gateway_ts", S
     gap ``window``.
     """
     order = list(order)
-    if groups_are_bounded(alerts, "device_id"):
+    biggest, total = group_profile(alerts, "device_id")
+    num_partitions = tasks_for(alerts.sparkSession, total, num_partitions)
+    if fits_bound(alerts.sparkSession, biggest):
         def fold(pdf: pd.DataFrame, seg: np.ndarray) -> pd.DataFrame:
             prev = segment_lag(pdf["state"], seg)
             theta = np.where(prev.isna() | (prev != pdf["state"]), ALWAYS, window).astype(np.int64)
@@ -254,7 +259,9 @@ def state_transitions(readings: DataFrame, seq: str = "event_id", num_partitions
     (the first reading of a device counts as a transition from '')."""
     order = ["gateway_ts", seq]
     r = readings.select("device_id", "gateway_ts", seq, "state")
-    if groups_are_bounded(r, "device_id"):
+    biggest, total = group_profile(r, "device_id")
+    num_partitions = tasks_for(r.sparkSession, total, num_partitions)
+    if fits_bound(r.sparkSession, biggest):
         lagged = r.withColumn("prev_state", F.lag("state").over(Window.partitionBy("device_id").orderBy(*order)))
     else:
         lagged = keyed_lag(ordered_layout(r, "device_id", order, num_partitions), "device_id", order, "state",

@@ -65,17 +65,41 @@ def group_rows_limit(spark) -> int:
         return DEFAULT_GROUP_ROWS
 
 
-def max_rows_per_key(df: DataFrame, keys) -> int:
-    """Size of the largest group: one aggregation, combined map-side."""
+ROWS_PER_TASK_CONF = "spark.fieldwatch.rowsPerTask"
+DEFAULT_ROWS_PER_TASK = 2_000_000
+
+
+def group_profile(df: DataFrame, keys) -> tuple[int, int]:
+    """(rows of the largest group, total rows): one aggregation, combined map-side."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(r or 0)
+    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n"), F.sum("_n")).first()
+    return int(r[0] or 0), int(r[1] or 0)
+
+
+def max_rows_per_key(df: DataFrame, keys) -> int:
+    return group_profile(df, keys)[0]
+
+
+def fits_bound(spark, max_rows: int) -> bool:
+    limit = group_rows_limit(spark)
+    return limit > 0 and max_rows <= limit
 
 
 def groups_are_bounded(df: DataFrame, keys) -> bool:
     """True when every group fits the bound, so a per-group task is safe."""
-    limit = group_rows_limit(df.sparkSession)
-    return limit > 0 and max_rows_per_key(df, keys) <= limit
+    return fits_bound(df.sparkSession, max_rows_per_key(df, keys))
+
+
+def tasks_for(spark, total_rows: int, requested: int | None = None) -> int:
+    """Partition count for an ordered pass: at least the session's shuffle
+    parallelism, and enough that a task holds about ``rowsPerTask`` rows."""
+    if requested:
+        return int(requested)
+    try:
+        per = int(spark.conf.get(ROWS_PER_TASK_CONF, str(DEFAULT_ROWS_PER_TASK)))
+    except Exception:  # pragma: no cover
+        per = DEFAULT_ROWS_PER_TASK
+    return max(default_parallelism(spark), -(-int(total_rows) // max(per, 1)))
 
 
 def ordered_layout(df: DataFrame, key, order: list[str], num_partitions: int | None = None) -> DataFrame:
@@ -275,14 +299,33 @@ def per_key_partitions(df: DataFrame, key: str, order: list[str], fn, schema: St
     n = num_partitions or default_parallelism(df.sparkSession)
     laid = df.repartition(n, key).sortWithinPartitions(key, *order)
 
-    def run(it):
-        pdf = _partition_frame(it)
-        if pdf is None:
-            return
+    def process(pdf):
         pdf = _sort_frame(pdf, key, order)
-        out = fn(pdf, _segments(pdf[key].to_numpy()))
-        if len(out):
-            yield out
+        return fn(pdf, _segments(pdf[key].to_numpy()))
+
+    def run(it):
+        # Arrow batches arrive in key order: fold every complete key of the
+        # buffer and carry the last (possibly unfinished) key to the next
+        # batch, so memory holds one batch plus one key, not the partition.
+        carry = None
+        for batch in it:
+            if not len(batch):
+                continue
+            buf = batch if carry is None else pd.concat([carry, batch], ignore_index=True)
+            keys = buf[key].to_numpy()
+            last = keys[-1]
+            start = len(keys)
+            while start > 0 and keys[start - 1] == last:
+                start -= 1
+            if start > 0:
+                out = process(buf.iloc[:start].reset_index(drop=True))
+                if len(out):
+                    yield out
+            carry = buf.iloc[start:].reset_index(drop=True)
+        if carry is not None and len(carry):
+            out = process(carry)
+            if len(out):
+                yield out
 
     return laid.mapInPandas(run, schema)
 

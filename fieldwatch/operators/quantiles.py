@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldwatch.operators.ordered import PID, POS, groups_are_bounded, ordered_layout
+from fieldwatch.operators.ordered import PID, POS, fits_bound, group_profile, ordered_layout, tasks_for
 
 
 def _pct_name(p: float) -> str:
@@ -34,13 +34,14 @@ def exact_percentiles(df: DataFrame, groups: list[str], value: str, percentiles,
     """One row per group with a column per percentile (NULL values ignored)."""
     names = list(names) if names else [_pct_name(p) for p in percentiles]
     v = df.select(*groups, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    if groups_are_bounded(v, groups):
+    biggest, total = group_profile(v, groups)
+    if fits_bound(v.sparkSession, biggest):
         # every group fits the bound: Spark's exact percentile aggregate (its
         # value map per group is bounded by the same check)
         arr = F.percentile(F.col("_v"), F.array(*[F.lit(float(p)) for p in percentiles]))
         agg = v.groupBy(*groups).agg(arr.alias("_q"))
         return agg.select(*groups, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    laid = ordered_layout(v, groups, ["_v"], num_partitions)
+    laid = ordered_layout(v, groups, ["_v"], tasks_for(v.sparkSession, total, num_partitions))
     runs = laid.groupBy(PID, *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min(POS).alias("_first"))
     w = Window.partitionBy(*groups).orderBy(PID)
     runs = (runs.withColumn("_offset", F.sum("_cnt").over(w) - F.col("_cnt"))

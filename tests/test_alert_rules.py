@@ -130,3 +130,19 @@ def test_offline_suppresses_critical(spark):
     got = _fleet(spark, pdf, ["d", "e"], P)
     assert ("d", b + 40, "OFFLINE") in got and ("d", b + 50, "CRITICAL") not in got
     assert got == _simulate(pdf, ["d", "e"], P)
+
+
+def test_fleet_small_arrow_batches(spark):
+    """Keys cut across Arrow batches are carried to the next batch intact."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "5")
+    try:
+        rng = np.random.default_rng(3)
+        devices = [f"d{i}" for i in range(4)]
+        rows = [(str(rng.choice(devices)), 1000 + int(rng.integers(1, 40)) * 10,
+                 str(rng.choice(["OK", "CRITICAL"])), e) for e in range(300)]
+        pdf = pd.DataFrame(rows, columns=["device_id", "gateway_ts", "state", "event_id"])
+        assert _fleet(spark, pdf, devices, P, nparts=2) == _simulate(pdf, devices, P)
+    finally:
+        spark.conf.set(key, old)
