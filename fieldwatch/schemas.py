@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (ArrayType, DoubleType, FloatType, IntegerType, LongType, StringType,
-                               StructField, StructType, TimestampType)
+                               StructField, StructType, TimestampNTZType, TimestampType)
 
 from fieldwatch.config import METRICS
 
@@ -124,7 +124,7 @@ LATENCY_ROW = StructType([
 
 COUNTER_SAMPLE = StructType([
     StructField("index", StringType()),
-    StructField("sample_ts", TimestampType()),
+    StructField("sample_ts", TimestampNTZType()),
     StructField("total", LongType()),
     StructField("time_ms", LongType()),
 ])

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldwatch.config import ALERT_INDEX, FIXTURE_PARAMS, TELEMETRY_INDEX, Params
+from fieldwatch.config import ALERT_INDEX, DAY_MS, FIXTURE_PARAMS, TELEMETRY_INDEX, Params
 from fieldwatch.functions.scalars import clamp, state_col, violations_col
-from fieldwatch.functions.timefmt import epoch_ms, iso_of_ms, iso_of_ts, ts_of_ms, window_end_ms
+from fieldwatch.functions.timefmt import epoch_ms, iso_of_ms, iso_of_ts, ntz_of_ms, ts_of_ms, window_end_ms
 
 # FIXED VALUES of the fixture mapping (FIXTURES.md part 2)
 SITE_LAT0, SITE_LAT_STEP = 11.5, 0.6
@@ -164,13 +164,15 @@ def counter_samples(spark, sf_dir) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     idx = F.when(F.col("event_type") == "error", F.lit(ALERT_INDEX)).otherwise(F.lit(TELEMETRY_INDEX))
     daily = (ev.select(idx.alias("index"),
-                       F.date_trunc("day", F.col("ts").cast("timestamp_ntz")).alias("day"),
+                       ntz_of_ms(F.floor(epoch_ms(F.col("ts")) / F.lit(DAY_MS)).cast("long") * F.lit(DAY_MS))
+                       .alias("day"),
                        F.get_json_object("props", "$.k").cast("long").alias("k"))
              .groupBy("index", "day").agg(F.count("*").alias("n"), F.sum("k").alias("t")))
     from pyspark.sql import Window
     w = Window.partitionBy("index").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     # one row per (index, day): the running sums are over at most span/day rows per index
-    return daily.select("index", F.col("day").cast("timestamp").alias("sample_ts"),
+    # sample_ts stays a UTC wall-clock TIMESTAMP_NTZ: independent of the session time zone
+    return daily.select("index", F.col("day").alias("sample_ts"),
                         F.sum("n").over(w).cast("long").alias("total"),
                         F.sum("t").over(w).cast("long").alias("time_ms"))
 
