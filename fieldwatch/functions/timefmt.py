@@ -23,6 +23,11 @@ def epoch_ms(ts: Column) -> Column:
     return F.floor(F.timestamp_diff("MICROSECOND", _epoch(), ts.cast("timestamp_ntz")) / 1000).cast("long")
 
 
+def ms_of_seconds(seconds: Column) -> Column:
+    """Epoch seconds (fractional) -> epoch milliseconds, truncated toward zero."""
+    return (seconds.cast("double") * F.lit(1000.0)).cast("long")
+
+
 def ntz_of_ms(ms: Column) -> Column:
     """TIMESTAMP_NTZ (UTC wall clock) of epoch milliseconds."""
     return F.timestamp_add("MILLISECOND", ms, _epoch())

@@ -63,6 +63,16 @@ def device_index(bridge: DataFrame) -> DataFrame:
     return bridge.select("device_id").distinct()
 
 
+def index_by(bridge: DataFrame, kind: str) -> DataFrame:
+    """The bridge projected as the device list (``'device'``) or the
+    device -> gateway map (``'gateway'``); any other kind is an error."""
+    if kind == "device":
+        return device_index(bridge)
+    if kind == "gateway":
+        return device_gateway_map(bridge)
+    raise ValueError(f"Unknown index kind: {kind}")
+
+
 def farm_ids(farm: DataFrame) -> DataFrame:
     """S7."""
     return farm.select("id")

@@ -65,3 +65,17 @@ def test_details_normalisation(spark):
     assert out[0].a == [] and out[0].t == []
     assert out[1].a == ["a", "None"] and out[1].t == ["x", "1"]
     assert out[2].a == [] and out[2].t == ["abc"]
+
+
+def test_index_dispatch_and_seconds(spark):
+    from fieldwatch.functions.timefmt import iso_of_ms, ms_of_seconds
+    from fieldwatch.operators.dimension import index_by
+    b = spark.createDataFrame([("f1", "g1", "d1"), ("f2", "g2", "d1"), ("f1", "g1", "d2")],
+                              "farm_id string, gateway_id string, device_id string")
+    assert index_by(b, "device").count() == 2
+    assert {r.device_id: r.gateway_id for r in index_by(b, "gateway").collect()} == {"d1": "g2", "d2": "g1"}
+    with pytest.raises(ValueError):
+        index_by(b, "farm")
+    r = spark.createDataFrame([(1704067207.1799,)], "s double").select(
+        ms_of_seconds(F.col("s")).alias("ms"), iso_of_ms(ms_of_seconds(F.col("s"))).alias("iso")).first()
+    assert r.ms == 1704067207179 and r.iso == "2024-01-01T00:00:07.179000+00:00"
