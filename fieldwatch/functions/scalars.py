@@ -91,6 +91,35 @@ def to_int(c) -> Column:
     return F.when(ok, (d).try_cast("long"))
 
 
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+_FRACTIONAL = ("float", "double")
+
+
+def _dtype(df: DataFrame, name: str) -> str | None:
+    return dict(df.dtypes).get(name)
+
+
+def to_int_of(df: DataFrame, name: str) -> Column:
+    """``to_int`` that keeps integer columns exact (Python's ``int(v)`` for
+    ints) and truncates floating columns directly; text goes through
+    :func:`to_int`."""
+    t = _dtype(df, name)
+    c = F.col(name)
+    if t in _INTEGRAL:
+        return c.cast("long")
+    if t in _FRACTIONAL:
+        return F.when(~F.isnan(c) & (F.abs(c) < F.lit(9.2e18)), c.cast("long"))
+    return to_int(c)
+
+
+def to_float_of(df: DataFrame, name: str) -> Column:
+    t = _dtype(df, name)
+    c = F.col(name)
+    if t in _INTEGRAL or t in _FRACTIONAL:
+        return c.cast("double")
+    return to_float(c)
+
+
 def to_str(c) -> Column:
     return _c(c).cast("string")
 
@@ -120,12 +149,21 @@ def first_truthy(*cols) -> Column:
     return F.coalesce(*[F.nullif(_c(c).cast("string"), F.lit("")) for c in cols])
 
 
-def point_or_flat(struct_col: str, lat_col: str, lon_col: str, df_columns) -> Column:
-    """Take lat/lon from a struct column when present, else from flat columns."""
+def point_or_flat(df: DataFrame, struct_col: str, lat_col: str, lon_col: str) -> Column:
+    """Take lat/lon from a struct column when present, else from flat columns
+    (numbers kept as they are, text parsed tolerantly)."""
+    cols = df.columns
+
+    def num(c: Column, dtype: str | None) -> Column:
+        return c.cast("double") if dtype in _INTEGRAL + _FRACTIONAL else to_float(c)
+
     def part(name, flat):
-        flat_c = to_float(F.col(flat)) if flat in df_columns else F.lit(None).cast("double")
-        if struct_col in df_columns:
-            return F.when(F.col(struct_col).isNotNull(), to_float(F.col(struct_col)[name])).otherwise(flat_c)
+        flat_c = to_float_of(df, flat) if flat in cols else F.lit(None).cast("double")
+        if struct_col in cols:
+            field = df.schema[struct_col].dataType
+            sub = {f.name: f.dataType.simpleString() for f in getattr(field, "fields", [])}
+            return F.when(F.col(struct_col).isNotNull(), num(F.col(struct_col)[name], sub.get(name))) \
+                .otherwise(flat_c)
         return flat_c
     return F.struct(part("lat", lat_col).alias("lat"), part("lon", lon_col).alias("lon"))
 

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fieldwatch.config import STATE_CRITICAL, STATE_OFFLINE, Params
-from fieldwatch.functions.scalars import (details_from_array, first_truthy, point_or_flat, to_int, to_str)
+from fieldwatch.functions.scalars import (details_from_array, first_truthy, point_or_flat, to_int, to_int_of,
+                                          to_str)
 from fieldwatch.functions.timefmt import iso_of_ms, window_index
 from fieldwatch.operators.ordered import (ALWAYS, NEG_INF, fits_bound, greedy_thin, group_profile, keyed_lag,
                                          ordered_layout, per_key_partitions, segment_lag, tasks_for,
@@ -276,7 +277,7 @@ def state_transitions(readings: DataFrame, seq: str = "event_id", num_partitions
 def valid_alerts(df: DataFrame) -> DataFrame:
     """P10: drop alerts without device_id, state or an integer gateway_ts."""
     return df.filter(F.col("device_id").isNotNull() & F.col("state").isNotNull()
-                     & to_int(F.col("gateway_ts")).isNotNull())
+                     & to_int_of(df, "gateway_ts").isNotNull())
 
 
 def conform_cleaned(df: DataFrame) -> DataFrame:
@@ -288,19 +289,22 @@ def conform_cleaned(df: DataFrame) -> DataFrame:
     def opt(c):
         return F.col(c) if c in cols else F.lit(None)
 
+    def opt_int(c):
+        return to_int_of(df, c) if c in cols else F.lit(None).cast("long")
+
     out = df.select(
         to_str(opt("device_id")).alias("device_id"),
         to_str(opt("gateway_id")).alias("gateway_id"),
-        to_int(opt("gateway_ts")).alias("gateway_ts"),
+        opt_int("gateway_ts").alias("gateway_ts"),
         to_str(opt("gateway_ts_iso")).alias("gateway_ts_iso"),
         to_str(opt("state")).alias("state"),
         details_from_array(opt("details")).alias("details"),
-        to_int(opt("ts_before_es")).alias("ts_before_es"),
-        to_int(opt("ts_kafka_ingest")).alias("ts_kafka_ingest"),
+        opt_int("ts_before_es").alias("ts_before_es"),
+        opt_int("ts_kafka_ingest").alias("ts_kafka_ingest"),
         first_truthy(opt("farm_id"), opt("farmId")).alias("farm_id"),
-        point_or_flat("farm_location", "farm_lat", "farm_lon", cols).alias("farm_location"),
-        point_or_flat("gateway_location", "gateway_lat", "gateway_lon", cols).alias("gateway_location"),
-        point_or_flat("device_location", "device_lat", "device_lon", cols).alias("device_location"),
+        point_or_flat(df, "farm_location", "farm_lat", "farm_lon").alias("farm_location"),
+        point_or_flat(df, "gateway_location", "gateway_lat", "gateway_lon").alias("gateway_location"),
+        point_or_flat(df, "device_location", "device_lat", "device_lon").alias("device_location"),
         *[F.col(c) for c in cols if c == SEQ],
     )
     return out.select(*[f.name for f in CLEANED_ALERT.fields], *[c for c in out.columns if c == SEQ])

@@ -79,3 +79,12 @@ def test_index_dispatch_and_seconds(spark):
     r = spark.createDataFrame([(1704067207.1799,)], "s double").select(
         ms_of_seconds(F.col("s")).alias("ms"), iso_of_ms(ms_of_seconds(F.col("s"))).alias("iso")).first()
     assert r.ms == 1704067207179 and r.iso == "2024-01-01T00:00:07.179000+00:00"
+
+
+def test_integer_columns_stay_exact(spark):
+    from fieldwatch.functions.scalars import to_float_of, to_int_of
+    big = 2 ** 62 + 1
+    df = spark.createDataFrame([(big, 12.9, "7.5")], "a long, b double, c string")
+    r = df.select(to_int_of(df, "a").alias("a"), to_int_of(df, "b").alias("b"), to_int_of(df, "c").alias("c"),
+                  to_float_of(df, "c").alias("f")).first()
+    assert r.a == big and r.b == 12 and r.c == 7 and r.f == 7.5
