@@ -287,6 +287,23 @@ def oracle_sql(p: Params = FIXTURE_PARAMS) -> dict[str, str]:
     s["median_by_farm_gateway"] = q(
         "SELECT farm, gateway, round(median(light_level_avg), 6) AS median_light_level_avg FROM b2 GROUP BY farm, gateway",
         _nested_top_sql("etele", "light_level_avg", FIX_FARM_SIZE, FIX_GATEWAY_SIZE, "median"))
+    from fieldwatch.config import (DASHBOARD_FARM_SIZE, DASHBOARD_GATEWAY_SIZE_COUNT,
+                                   DASHBOARD_GATEWAY_SIZE_MEDIAN)
+
+    def median_panel(metric, fs, gs):
+        return q(f"SELECT farm, gateway, round(median({metric}), 6) AS median_{metric} FROM b2 GROUP BY farm, gateway",
+                 _nested_top_sql("etele", metric, fs, gs, "median"))
+
+    s["median_soil_by_farm_gateway"] = median_panel("soil_moisture_avg", FIX_FARM_SIZE, FIX_GATEWAY_SIZE)
+    s["median_humidity_by_farm_gateway"] = median_panel("humidity_avg", FIX_FARM_SIZE, FIX_GATEWAY_SIZE)
+    s["panel_light_median"] = median_panel("light_level_avg", DASHBOARD_FARM_SIZE, DASHBOARD_GATEWAY_SIZE_MEDIAN)
+    s["panel_soil_median"] = median_panel("soil_moisture_avg", DASHBOARD_FARM_SIZE, DASHBOARD_GATEWAY_SIZE_MEDIAN)
+    s["panel_humidity_median"] = median_panel("humidity_avg", DASHBOARD_FARM_SIZE, DASHBOARD_GATEWAY_SIZE_MEDIAN)
+    s["panel_record_share"] = q("""SELECT farm, gateway, count(*) AS records,
+        round(count(*) / sum(count(*)) OVER (), 6) AS share_total,
+        round(count(*) / sum(count(*)) OVER (PARTITION BY farm), 6) AS share_parent
+        FROM b2 GROUP BY farm, gateway""", _nested_top_sql("etele", None, DASHBOARD_FARM_SIZE,
+                                                          DASHBOARD_GATEWAY_SIZE_COUNT, "count"))
     s["top_farms_other"] = q(f"""SELECT farm, round(median(soil_moisture_avg), 6) AS median_soil_moisture_avg
         FROM (SELECT t.soil_moisture_avg, lab.farm FROM etele t JOIN lab USING (farm_id)
               WHERE t.soil_moisture_avg IS NOT NULL)

@@ -13,7 +13,8 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldwatch.config import (ALERT_INDEX, FIXTURE_PARAMS, STATE_OFFLINE, TELEMETRY_INDEX)
+from fieldwatch.config import (ALERT_INDEX, DASHBOARD_FARM_SIZE, DASHBOARD_GATEWAY_SIZE_COUNT,
+                               DASHBOARD_GATEWAY_SIZE_MEDIAN, FIXTURE_PARAMS, STATE_OFFLINE, TELEMETRY_INDEX)
 from fieldwatch.functions import jsonio
 from fieldwatch.functions.scalars import (clamp, conform, details_from_array, to_float, to_int)
 from fieldwatch.functions.timefmt import window_index
@@ -312,6 +313,29 @@ def q_median(spark, sf_dir):
     return m.select("farm", "gateway", r6("median_light_level_avg").alias("median_light_level_avg"))
 
 
+def _median_panel(metric: str, farm_size: int, gateway_size: int):
+    def fn(spark, sf_dir):
+        t = _p(spark, sf_dir).enriched_telemetry
+        m = DB.median_by_farm_gateway(t, metric, farm_size, gateway_size)
+        return m.select("farm", "gateway", r6(f"median_{metric}").alias(f"median_{metric}"))
+    return fn
+
+
+# the other two median panels, and the saved panels at their exact sizes
+QUERIES["median_soil_by_farm_gateway"] = _median_panel("soil_moisture_avg", FIX_FARM_SIZE, FIX_GATEWAY_SIZE)
+QUERIES["median_humidity_by_farm_gateway"] = _median_panel("humidity_avg", FIX_FARM_SIZE, FIX_GATEWAY_SIZE)
+QUERIES["panel_light_median"] = _median_panel("light_level_avg", DASHBOARD_FARM_SIZE, DASHBOARD_GATEWAY_SIZE_MEDIAN)
+QUERIES["panel_soil_median"] = _median_panel("soil_moisture_avg", DASHBOARD_FARM_SIZE, DASHBOARD_GATEWAY_SIZE_MEDIAN)
+QUERIES["panel_humidity_median"] = _median_panel("humidity_avg", DASHBOARD_FARM_SIZE, DASHBOARD_GATEWAY_SIZE_MEDIAN)
+
+
+@query("panel_record_share")
+def q_panel_share(spark, sf_dir):
+    s = DB.record_share(_p(spark, sf_dir).enriched_telemetry, DASHBOARD_FARM_SIZE, DASHBOARD_GATEWAY_SIZE_COUNT)
+    return s.select("farm", "gateway", "records", r6("share_total").alias("share_total"),
+                    r6("share_parent").alias("share_parent"))
+
+
 @query("top_farms_other")
 def q_top_farms(spark, sf_dir):
     t = _p(spark, sf_dir).enriched_telemetry
