@@ -171,7 +171,20 @@ samples AS (SELECT "index", day AS sample_ts,
 rates AS (SELECT "index", sample_ts, total - lag(total) OVER w AS docs, time_ms - lag(time_ms) OVER w AS time_ms
           FROM samples WINDOW w AS (PARTITION BY "index" ORDER BY sample_ts)),
 rates2 AS (SELECT *, CASE WHEN time_ms > 0 THEN docs / (time_ms / 1000.0{D}) ELSE 0.0 END AS docs_per_sec
-           FROM rates WHERE docs IS NOT NULL)
+           FROM rates WHERE docs IS NOT NULL),
+va AS (SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY gateway_ts, seq) AS rn FROM valid),
+vd(device_id, rn, ks, kt, keep) AS (
+    SELECT device_id, rn, state, gateway_ts, true FROM va WHERE rn = 1
+    UNION ALL
+    SELECT a.device_id, a.rn,
+           CASE WHEN {dd_same} THEN f.ks ELSE a.state END,
+           CASE WHEN {dd_same} THEN f.kt ELSE a.gateway_ts END,
+           NOT {dd_same}
+    FROM vd f JOIN va a ON a.device_id = f.device_id AND a.rn = f.rn + 1),
+rawclean AS (SELECT va.seq, va.device_id, va.gateway_id, va.gateway_ts, va.gateway_ts_iso, va.state,
+                    coalesce(va.details, []::VARCHAR[]) AS details, l.farm_id, l.farm_lat, l.farm_lon,
+                    l.gateway_lat, l.gateway_lon, l.device_lat, l.device_lon
+             FROM va JOIN vd USING (device_id, rn) LEFT JOIN locations l USING (device_id) WHERE vd.keep)
 """
 
 
@@ -328,6 +341,8 @@ lab AS (SELECT farm_id, CASE WHEN row_number() OVER (ORDER BY v DESC, farm_id) <
     s["offline_alerts"] = q(f"SELECT {alert_out} FROM fleet WHERE state = 'OFFLINE'")
     s["dedup_alerts"] = q(f"SELECT {alert_out} FROM deduped")
     s["cleaned_alerts"] = q(f"""SELECT {alert_out}, farm_id, {_pts()} FROM cleaned""")
+    s["cleaned_raw_alerts"] = q(f"""SELECT seq, device_id, gateway_id, gateway_ts, gateway_ts_iso, state,
+        array_to_string(details, '|') AS details, farm_id, {_pts()} FROM rawclean""")
     s["cleaned_alerts_scan"] = q(f"""SELECT device_id, gateway_ts, state, array_to_string(details, '|') AS details,
         farm_id, {_pts(("device",))} FROM cleaned""")
     s["state_transitions"] = q("""SELECT device_id, gateway_ts, event_id, prev_state, state FROM (

@@ -397,6 +397,18 @@ def q_cleaned(spark, sf_dir):
                     joined("details").alias("details"), "farm_id", *flat_points())
 
 
+@query("cleaned_raw_alerts")
+def q_cleaned_raw(spark, sf_dir):
+    """The cleaning job on raw alert lines, malformed ones included: parse ->
+    required fields -> dedup (W1) -> enrich -> coercions."""
+    p = _p(spark, sf_dir)
+    valid = A.valid_alerts(p.parsed_alerts)
+    kept = A.dedup_alerts(valid, p.params.dedup_window, ("gateway_ts", "seq"))
+    c = A.conform_cleaned(T.enrich(kept, p.locations))
+    return c.select("seq", "device_id", "gateway_id", "gateway_ts", "gateway_ts_iso", "state",
+                    joined("details").alias("details"), "farm_id", *flat_points())
+
+
 @query("cleaned_alerts_scan")
 def q_cleaned_scan(spark, sf_dir):
     """S3 + N3: cleaned alerts as key-less JSON values, read back and decoded."""
