@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -108,18 +109,25 @@ def fleet_alerts(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: st
     """
     known = readings.join(dev_gw, "device_id").select(
         "device_id", "gateway_id", "gateway_ts", "state", "details", F.col(seq).cast("long").alias(SEQ))
-    offline = offline_alerts(known, dev_gw, params).select(*_FLEET_COLS)
-    biggest, total = group_profile(known, "device_id")
-    n = tasks_for(known.sparkSession, total, num_partitions)
-    if fits_bound(known.sparkSession, biggest):
-        out = _fleet_grouped(known, offline, params, n)
-    else:
-        out = _fleet_ranged(known, offline, params, n)
-    out = out.select(*ALERT_COLUMNS[:3], iso_of_ms(F.col("gateway_ts")).alias("gateway_ts_iso"),
-                     "state", "details", SEQ)
-    # reliable checkpoint: later stages (dedup, notifications) read the fold
-    # once, and a lost executor does not send them back through it
-    return _materialise(out)
+    # read by the size check, the offline candidates and the fold: keep the
+    # narrow projection for the duration of this (eager) function only; lost
+    # blocks are recomputed from the lineage
+    known = known.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        offline = offline_alerts(known, dev_gw, params).select(*_FLEET_COLS)
+        biggest, total = group_profile(known, "device_id")
+        n = tasks_for(known.sparkSession, total, num_partitions)
+        if fits_bound(known.sparkSession, biggest):
+            out = _fleet_grouped(known, offline, params, n)
+        else:
+            out = _fleet_ranged(known, offline, params, n)
+        out = out.select(*ALERT_COLUMNS[:3], iso_of_ms(F.col("gateway_ts")).alias("gateway_ts_iso"),
+                         "state", "details", SEQ)
+        # reliable checkpoint: later stages (dedup, notifications) read the fold
+        # once, and a lost executor does not send them back through it
+        return _materialise(out)
+    finally:
+        known.unpersist()
 
 
 def _materialise(df: DataFrame) -> DataFrame:

@@ -297,7 +297,12 @@ def per_key_partitions(df: DataFrame, key: str, order: list[str], fn, schema: St
     partition; all keys of a partition are processed in one vectorised pass.
     Use only after :func:`groups_are_bounded`."""
     n = num_partitions or default_parallelism(df.sparkSession)
-    laid = df.repartition(n, key).sortWithinPartitions(key, *order)
+    # shuffle on a derived bucket column: the optimizer cannot treat an
+    # upstream partitioning (e.g. of a cached or coalesced input) as already
+    # satisfying it, so every key is guaranteed to be whole in one task
+    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(n))
+    laid = (df.withColumn("_bucket", bucket).repartition(n, "_bucket")
+            .sortWithinPartitions(key, *order).drop("_bucket"))
 
     def process(pdf):
         pdf = _sort_frame(pdf, key, order)
