@@ -67,3 +67,27 @@ def test_exact_percentiles(spark, force_range, request):
     for key, grp in pdf.groupby("g"):
         for p, name in [(0.5, "p50"), (0.9, "p90"), (0.95, "p95")]:
             assert got.loc[key, name] == pytest.approx(np.percentile(grp["v"], p * 100), abs=1e-9)
+
+
+def test_per_key_partitions_keeps_keys_whole_with_cached_inputs(spark):
+    """A cached, already hash-partitioned input (and a union with another)
+    must not let the optimizer skip the per-key shuffle."""
+    from pyspark import StorageLevel
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    a = spark.range(4000).select((F.col("id") % 37).cast("string").alias("k"), F.col("id").alias("t"))
+    a = a.repartition(5, "k").persist(StorageLevel.MEMORY_AND_DISK)
+    a.count()
+    b = spark.range(500).select((F.col("id") % 41).cast("string").alias("k"), (F.col("id") + 10_000).alias("t"))
+    rows = a.unionByName(b.repartition(5, "k"))
+
+    def fn(pdf, seg):
+        g = pdf.groupby("k", sort=False)["t"].count().reset_index()
+        return g.rename(columns={"t": "n"})
+
+    schema = StructType([StructField("k", StringType()), StructField("n", LongType())])
+    out = O.per_key_partitions(rows, "k", ["t"], fn, schema, 7).toPandas()
+    a.unpersist()
+    assert out["k"].is_unique  # every key seen by exactly one task
+    assert out["n"].sum() == 4500
