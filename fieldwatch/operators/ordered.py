@@ -313,9 +313,15 @@ def per_key_partitions(df: DataFrame, key: str, order: list[str], fn, schema: St
         # buffer and carry the last (possibly unfinished) key to the next
         # batch, so memory holds one batch plus one key, not the partition.
         carry = None
+        prev_last = None
         for batch in it:
             if not len(batch):
                 continue
+            bk = batch[key].to_numpy()
+            # the carry below is only exact for key-sorted input: refuse anything else
+            if (len(bk) > 1 and not (bk[1:] >= bk[:-1]).all()) or (prev_last is not None and bk[0] < prev_last):
+                raise RuntimeError("per-key fold input is not sorted by key")
+            prev_last = bk[-1]
             buf = batch if carry is None else pd.concat([carry, batch], ignore_index=True)
             keys = buf[key].to_numpy()
             last = keys[-1]
