@@ -85,6 +85,16 @@ def offline_alerts(known: DataFrame, dev_gw: DataFrame, params: Params, last_see
                         F.lit(None).cast("long").alias(SEQ))
 
 
+def unseen_devices(known: DataFrame, dev_gw: DataFrame, window_ms: int) -> DataFrame:
+    """(registered device, window index) for every non-empty fleet
+    window in which the device sent nothing: the device set minus the seen
+    set, per window, generated from silence gaps rather than a devices x
+    windows product."""
+    every = Params(window_ms=window_ms, offline_ms=window_ms)
+    ticks = offline_alerts(known, dev_gw, every)
+    return ticks.select("device_id", window_index(F.col("gateway_ts") - 1, window_ms).alias("w"))
+
+
 # --- W2 + W3: the gateway's alert machine -------------------------------------------------
 
 _FLEET_COLS = ["device_id", "gateway_id", "gateway_ts", "state", "details", SEQ]

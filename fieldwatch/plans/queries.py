@@ -274,9 +274,7 @@ def q_unseen(spark, sf_dir):
     """(registered device, non-empty window) pairs without a reading."""
     p = _p(spark, sf_dir)
     known = p.readings.join(p.dev_gw, "device_id")
-    zero_offline = p.params.with_(offline_ms=p.params.window_ms)
-    ticks = A.offline_alerts(known, p.dev_gw, zero_offline)
-    return ticks.select("device_id", window_index(F.col("gateway_ts") - 1, p.params.window_ms).alias("w"))
+    return A.unseen_devices(known, p.dev_gw, p.params.window_ms)
 
 
 # --- aggregates ------------------------------------------------------------------------------
