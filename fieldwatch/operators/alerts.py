@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fieldwatch.config import STATE_CRITICAL, STATE_OFFLINE, Params
-from fieldwatch.functions.scalars import (details_from_array, first_truthy, point_or_flat, to_int, to_int_of,
-                                          to_str)
+from fieldwatch.functions.scalars import details_from_array, first_truthy, point_or_flat, to_int_of, to_str
 from fieldwatch.functions.timefmt import iso_of_ms, window_index
 from fieldwatch.operators.ordered import (ALWAYS, NEG_INF, fits_bound, greedy_thin, group_profile, keyed_lag,
                                          ordered_layout, per_key_partitions, segment_lag, tasks_for,

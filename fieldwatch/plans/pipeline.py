@@ -10,7 +10,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fieldwatch.config import FIXTURE_PARAMS, Params
 from fieldwatch.functions import jsonio

@@ -17,7 +17,6 @@ from fieldwatch.config import (ALERT_INDEX, DASHBOARD_FARM_SIZE, DASHBOARD_GATEW
                                DASHBOARD_GATEWAY_SIZE_MEDIAN, FIXTURE_PARAMS, STATE_OFFLINE, TELEMETRY_INDEX)
 from fieldwatch.functions import jsonio
 from fieldwatch.functions.scalars import (clamp, conform, details_from_array, to_float, to_int)
-from fieldwatch.functions.timefmt import window_index
 from fieldwatch.operators import alerts as A
 from fieldwatch.operators import dashboard as DB
 from fieldwatch.operators import dimension as D

@@ -66,7 +66,7 @@ def main(argv=None) -> int:
         J.await_all(spark)
     elif args.job == "gateway":
         from fieldwatch.functions.scalars import clamp, state_col, violations_col
-        from fieldwatch.functions.timefmt import epoch_ms, window_end_ms
+        from fieldwatch.functions.timefmt import window_end_ms
         from fieldwatch.schemas import READING
         from fieldwatch.sources.tables import load_device_gateway
         p = DEFAULT_PARAMS

@@ -4,7 +4,6 @@ randomized comparison with a direct step-by-step simulation of the gateway."""
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from fieldwatch.config import Params
 from fieldwatch.operators import alerts as A

@@ -75,7 +75,6 @@ def test_gateway_window_stream_matches_batch(spark):
                                   trigger="availableNow")
     q.awaitTermination()
     from fieldwatch.functions import jsonio
-    from fieldwatch.schemas import TELEMETRY_MSG
     from fieldwatch.config import RAW_TELEMETRY_TOPIC
     from fieldwatch.streaming.sources import topic_file
     got = jsonio.parse_telemetry(spark.read.text(f"{root}/topics/{topic_file(RAW_TELEMETRY_TOPIC)}")) \
