@@ -203,41 +203,79 @@ def await_all(spark: SparkSession, timeout: float | None = None) -> None:
 
 # --- gateway: alert machine with a versioned state table (ST7) --------------------------------------
 
-def _state_path(state_dir: str, version: int) -> str:
-    return f"{state_dir.rstrip('/')}/v={int(version)}"
+def _state_path(state_dir: str, version: int, table: str = "state") -> str:
+    return f"{state_dir.rstrip('/')}/{table}/v={int(version)}"
 
 
 def start_gateway_alerts(readings: DataFrame, dev_gw: DataFrame, state_dir: str, checkpoint: str, *,
                          params: Params = DEFAULT_PARAMS, topic_folder: str | None = None, kafka: str | None = None,
-                         seq: str = "seq", trigger: str | None = DEFAULT_TRIGGER):
+                         seq: str = "seq", lateness_ms: int = 0, trigger: str | None = DEFAULT_TRIGGER):
     """ST7: classified readings (device_id, gateway_ts, state, details, seq)
-    -> per micro-batch: W2 + W3 against the per-device state of the previous
-    batch -> alerts on the raw-alert topic, and the next state version.
-
-    Version ``n`` of the state table is written by batch ``n`` and read by
-    batch ``n + 1``; a replayed batch re-reads ``n - 1`` and overwrites ``n``,
-    so replays are idempotent. A micro-batch must hold whole gateway windows
-    (one drain of the gateway per window), as the reference's drain loop does.
+    -> W2 + W3 over *closed* gateway windows, against the per-device state of
+    the previous batch -> alerts on the raw-alert topic.
+
+    A window is closed once a reading stamped more than ``lateness_ms`` after
+    its end has been seen (a watermark). Readings of open windows wait in a
+    pending table; readings for windows already folded are late and dropped
+    (their count is printed). Micro-batches may therefore cut windows anywhere.
+    Per batch ``n`` three small tables are written under ``state_dir``: the
+    device state, the pending readings and the watermark mark, each as version
+    ``n``. Batch ``n`` reads version ``n - 1``, so a replayed batch rewrites the
+    same version: replays are idempotent.
     """
     from fieldwatch.config import RAW_ALERT_TOPIC
     from fieldwatch.operators.alerts import fleet_step
 
     spark = readings.sparkSession
+    cols = ["device_id", "gateway_ts", "state", "details", seq]
+
+    def read_version(table: str, version: int):
+        if version < 0:
+            return None
+        try:
+            return spark.read.parquet(_state_path(state_dir, version, table))
+        except Exception:  # noqa: BLE001 - no such version (first batch with data)
+            return None
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        prev = None
-        if batch_id > 0:
-            try:
-                prev = spark.read.parquet(_state_path(state_dir, batch_id - 1))
-            except Exception:  # noqa: BLE001 - no earlier state (first batch with data)
-                prev = None
-        batch = batch.persist()
+        prev_state = read_version("state", batch_id - 1)
+        pending = read_version("pending", batch_id - 1)
+        mark = read_version("mark", batch_id - 1)
+        seen_max, done_upto = (None, None)
+        if mark is not None:
+            m = mark.first()  # one row: the watermark bookkeeping
+            seen_max, done_upto = m["seen_max"], m["done_upto"]
+        rows = batch.select(*cols)
+        if pending is not None:
+            rows = pending.select(*cols).unionByName(rows)
+        rows = rows.persist()
         try:
-            alerts, nxt = fleet_step(batch, dev_gw, params, prev, seq)
-            nxt.write.mode("overwrite").parquet(_state_path(state_dir, batch_id))
-            W.write_topic(alerts.drop("seq"), RAW_ALERT_TOPIC, kafka=kafka, folder=topic_folder, batch_id=batch_id)
+            new_max = rows.agg(F.max("gateway_ts")).first()[0]
+            new_max = max(x for x in (seen_max, new_max) if x is not None) if (seen_max or new_max) else None
+            if new_max is None:
+                return
+            closed_upto = new_max - lateness_ms - 1  # windows ending before this are closed
+            late = F.lit(False) if done_upto is None else F.col("gateway_ts") <= F.lit(done_upto)
+            n_late = rows.filter(late).count()
+            if n_late:
+                print(f"[gateway_alerts] batch {batch_id}: {n_late} late readings dropped")
+            ready = rows.filter(~late & (F.col("gateway_ts") <= F.lit(closed_upto)))
+            still_open = rows.filter(~late & (F.col("gateway_ts") > F.lit(closed_upto)))
+            nxt_done = done_upto
+            if not ready.isEmpty():
+                alerts, nxt = fleet_step(ready, dev_gw, params, prev_state, seq)
+                nxt.write.mode("overwrite").parquet(_state_path(state_dir, batch_id, "state"))
+                W.write_topic(alerts.drop("seq"), RAW_ALERT_TOPIC, kafka=kafka, folder=topic_folder,
+                              batch_id=batch_id)
+                nxt_done = ready.agg(F.max("gateway_ts")).first()[0]
+            elif prev_state is not None:
+                prev_state.write.mode("overwrite").parquet(_state_path(state_dir, batch_id, "state"))
+            still_open.write.mode("overwrite").parquet(_state_path(state_dir, batch_id, "pending"))
+            spark.createDataFrame([(int(new_max), None if nxt_done is None else int(nxt_done))],
+                                  "seen_max long, done_upto long") \
+                .write.mode("overwrite").parquet(_state_path(state_dir, batch_id, "mark"))
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
     w = readings.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).queryName("gateway_alerts").start()
