@@ -125,3 +125,41 @@ def test_gateway_alert_stream_equals_batch(spark):
     exp = {(r.device_id, r.gateway_ts, r.state) for r in p.fleet_alerts.filter(F.col("gateway_ts") < last).collect()}
     assert n > 0 and len(exp) > 100
     assert got == exp
+
+
+def test_gateway_alerts_drop_late_readings(spark):
+    """ST7: a reading for a window the watermark already closed is dropped;
+    alerts equal the batch answer without it."""
+    import json
+    from fieldwatch.config import Params, RAW_ALERT_TOPIC
+    from fieldwatch.operators import alerts as A
+    from fieldwatch.schemas import ALERT_MSG
+
+    P = Params(window_ms=10, cooldown_ms=20, recovery_ms=5, offline_ms=30)
+    b = 1000
+    parts = [[("a", b + 10, "CRITICAL", 1), ("b", b + 10, "OK", 2), ("a", b + 20, "OK", 3)],
+             [("a", b + 30, "CRITICAL", 4), ("b", b + 40, "CRITICAL", 5)],
+             [("a", b + 10, "CRITICAL", 6),   # late: window b+10 was folded two batches ago
+              ("b", b + 60, "OK", 7), ("a", b + 70, "OK", 8)]]
+    root = tempfile.mkdtemp(prefix="fw-gwlate-")
+    os.makedirs(f"{root}/in")
+    for i, rows in enumerate(parts):
+        path = f"{root}/in/part-{i}.json"
+        with open(path, "w") as f:
+            for d, t, s, q in rows:
+                f.write(json.dumps({"device_id": d, "gateway_ts": t, "state": s, "details": [], "seq": q}) + "\n")
+        os.utime(path, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    schema = "device_id string, gateway_ts long, state string, details array<string>, seq long"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{root}/in")
+    dev_gw = spark.createDataFrame([("a", "g"), ("b", "g"), ("c", "g")], "device_id string, gateway_id string")
+    q = J.start_gateway_alerts(stream, dev_gw, f"{root}/state", f"{root}/ckpt", params=P,
+                               topic_folder=f"{root}/topics", trigger="availableNow")
+    q.awaitTermination()
+    out = jsonio.parse_json(spark.read.text(f"{root}/topics/{topic_file(RAW_ALERT_TOPIC)}"), ALERT_MSG)
+    got = {(r.device_id, r.gateway_ts, r.state) for r in out.collect()}
+    on_time = [r for p in parts for r in p if r[3] != 6]
+    rdf = spark.createDataFrame([(d, t, s, [], q) for d, t, s, q in on_time],
+                                "device_id string, gateway_ts long, state string, details array<string>, event_id long")
+    exp = {(r.device_id, r.gateway_ts, r.state) for r in A.fleet_alerts(rdf, dev_gw, P).collect()
+           if r.gateway_ts < b + 70}  # the newest window is still open
+    assert got == exp and len(exp) > 3
