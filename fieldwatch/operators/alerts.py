@@ -30,6 +30,7 @@ from fieldwatch.schemas import CLEANED_ALERT
 from fieldwatch.session import checkpoint_dir
 
 ALERT_COLUMNS = ["device_id", "gateway_id", "gateway_ts", "gateway_ts_iso", "state", "details"]
+_BLOCK = 4096  # windows per exploded block of a silence gap
 SEQ = "seq"
 
 
@@ -75,9 +76,12 @@ def offline_alerts(known: DataFrame, dev_gw: DataFrame, params: Params, last_see
               .select("device_id", first_firing(seed).alias("lo"),
                       F.coalesce(F.col("first_w") - 1, wmax).alias("hi")))
     spans = gaps.unionByName(before).filter(F.col("lo") <= F.col("hi"))
-    ticks = (spans.select("device_id", F.explode(F.sequence("lo", "hi")).alias("w"))
-             .join(fleet, "w")
-             .join(dev_gw, "device_id"))
+    # a long silence spans many windows: explode it in blocks so that no row
+    # ever carries an array longer than _BLOCK windows
+    blocks = spans.select("device_id", "hi", F.explode(F.sequence("lo", "hi", F.lit(_BLOCK))).alias("b0"))
+    windows = blocks.select("device_id", F.explode(
+        F.sequence("b0", F.least(F.col("b0") + (_BLOCK - 1), F.col("hi")))).alias("w"))
+    ticks = windows.join(fleet, "w").join(dev_gw, "device_id")
     gts = ((F.col("w") + 1) * F.lit(w_ms)).cast("long")
     return ticks.select("device_id", "gateway_id", gts.alias("gateway_ts"), iso_of_ms(gts).alias("gateway_ts_iso"),
                         F.lit(STATE_OFFLINE).alias("state"), F.array().cast("array<string>").alias("details"),

@@ -145,3 +145,17 @@ def test_fleet_small_arrow_batches(spark):
         assert _fleet(spark, pdf, devices, P, nparts=2) == _simulate(pdf, devices, P)
     finally:
         spark.conf.set(key, old)
+
+
+def test_long_silence_crosses_explode_blocks(spark):
+    """A silence gap longer than one explode block yields every window once."""
+    n = 10_000
+    rows = [("b", w + 1, "OK", w) for w in range(n + 1)] + [("a", 1, "OK", -1), ("a", n + 1, "OK", -2)]
+    rdf = spark.createDataFrame([(d, t, s, [], q) for d, t, s, q in rows],
+                                "device_id string, gateway_ts long, state string, details array<string>, "
+                                "event_id long")
+    dev_gw = spark.createDataFrame([("a", "g"), ("b", "g")], "device_id string, gateway_id string")
+    known = rdf.join(dev_gw, "device_id")
+    got = A.unseen_devices(known, dev_gw, 1).filter("device_id = 'a'").select("w").collect()
+    ws = sorted(r.w for r in got)
+    assert ws == list(range(1, n))
