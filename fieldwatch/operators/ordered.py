@@ -23,6 +23,12 @@ cut into many consecutive partitions that run in parallel:
 4. resolve  - each partition is processed again with its entry state
               (broadcast by partition id: at most one row per partition).
 
+When one aggregation (:func:`group_profile`) shows that every key fits
+``spark.fieldwatch.maxGroupRows``, callers take the bounded path instead,
+:func:`per_key_partitions`. It makes one shuffle on a bucket derived from the
+key, sorts, and folds whole keys while streaming Arrow batches. Both paths give
+the same rows, and tests hold each to a sequential reference.
+
 Inside a partition the work is vectorised numpy (searchsorted and pointer
 doubling), never a Python loop per row.
 """
