@@ -294,6 +294,17 @@ def oracle_sql(p: Params = FIXTURE_PARAMS) -> dict[str, str]:
         round(quantile_cont(seconds, 0.95), 6) AS p95, round(min(seconds), 6) AS min, round(max(seconds), 6) AS max
         FROM (UNPIVOT legs ON lat_gw_kafka, lat_kafka_spark, lat_spark_es, lat_e2e INTO NAME leg VALUE seconds)
         GROUP BY "index", leg""")
+    s["latency_report"] = q("""SELECT "index", leg, count(*) AS count, round(avg(seconds), 6) AS avg,
+        round(quantile_cont(seconds, 0.5), 6) AS p50, round(quantile_cont(seconds, 0.9), 6) AS p90,
+        round(quantile_cont(seconds, 0.95), 6) AS p95, round(min(seconds), 6) AS min, round(max(seconds), 6) AS max
+        FROM (UNPIVOT (SELECT "index",
+                              (ts_kafka_ingest - gateway_ts) / 1000.0::DOUBLE AS lat_gw_kafka,
+                              (ts_before_es - ts_kafka_ingest) / 1000.0::DOUBLE AS lat_kafka_spark,
+                              (epoch_us(created_at) // 1000 - ts_before_es) / 1000.0::DOUBLE AS lat_spark_es,
+                              (epoch_us(created_at) // 1000 - gateway_ts) / 1000.0::DOUBLE AS lat_e2e
+                       FROM latrows WHERE created_at >= (SELECT max(created_at) FROM lat) - INTERVAL 6 HOURS)
+              ON lat_gw_kafka, lat_kafka_spark, lat_spark_es, lat_e2e INTO NAME leg VALUE seconds)
+        GROUP BY "index", leg""")
     s["counter_rate"] = q(f"SELECT \"index\", sample_ts, docs, time_ms, {_r6('docs_per_sec')} AS docs_per_sec FROM rates2")
     s["rate_summary"] = q("""SELECT "index", round(avg(docs_per_sec), 6) AS avg_rate,
         round(min(docs_per_sec), 6) AS min_rate, round(max(docs_per_sec), 6) AS max_rate FROM rates2 GROUP BY "index\"""")

@@ -291,6 +291,16 @@ def q_latency_stats(spark, sf_dir):
     return s.select("index", "leg", "count", *[r6(c).alias(c) for c in ("avg", "p50", "p90", "p95", "min", "max")])
 
 
+@query("latency_report")
+def q_latency_report(spark, sf_dir):
+    """The evaluation flow as run: documents of the last 6 h (S8) -> readable
+    stamps (P20) -> legs (P21) -> per-index statistics (A2)."""
+    src = _p(spark, sf_dir).latency_source
+    as_of = src.select(F.max("created_at")).scalar()
+    s = E.latency_stats(E.latency_legs(E.latency_rows(E.recent(src, as_of))))
+    return s.select("index", "leg", "count", *[r6(c).alias(c) for c in ("avg", "p50", "p90", "p95", "min", "max")])
+
+
 @query("counter_rate")
 def q_counter_rate(spark, sf_dir):
     r = E.counter_rate(_p(spark, sf_dir).counter_samples)
