@@ -6,9 +6,11 @@ Time base: a reading's ``gateway_ts`` is the end of its gateway window, so all
 readings of a window share one "now" as in the reference's drain loop. Within a
 device the order is (gateway_ts, arrival sequence).
 
-All three folds are expressed with :mod:`fieldwatch.operators.ordered`: a
-candidate table built with ordinary DataFrame operations, then one exact
-ordered thinning pass that splits busy devices over many tasks.
+Each fold is a candidate table built with ordinary DataFrame operations,
+followed by one exact ordered thinning pass from
+:mod:`fieldwatch.operators.ordered`. If a size check shows that every device
+fits the group bound, the pass is the bounded per-key pass. Otherwise it is the
+range-partitioned pass, which splits busy devices over many tasks.
 """
 
 from __future__ import annotations
