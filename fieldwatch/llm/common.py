@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldwatch.session import checkpoint_dir
 
@@ -47,6 +48,11 @@ def free_name(df: DataFrame, wish: str) -> str:
     return name
 
 
+def with_columns(df: DataFrame, names: list[str], kind: str) -> T.StructType:
+    """The schema of ``df`` with further columns of one type."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(f"`{n}` {kind}" for n in names)).fields])
+
+
 def text_of(col: str):
     """The text column, null counted as empty."""
     return F.coalesce(F.col(col), F.lit(""))
