@@ -5,9 +5,12 @@ rules reject short and repetitive texts outright. An isolation forest over
 ratios of the statistics judges the rest: random axis-parallel splits isolate
 odd documents after few steps, so a short mean path means an anomaly.
 
-* Fit: ``trees`` trees, each on ``leaf_sample`` rows of a bounded sample of
-  labelled good rows that pass the base rules (at most ``fit_rows``, those with
-  the smallest hash of their id). The bound is a parameter of the method.
+* Fit: a bounded sample of labelled rows that pass the base rules (at most
+  ``fit_rows``, those with the smallest hash of their id; the bound is a
+  parameter of the method). Each of ``trees`` trees splits the box that the
+  sample spans at random, down to ``DEPTH`` levels, and counts ``tree_rows`` of
+  the sample's good rows in the parts. Cuts fall anywhere in the box, not only
+  between good rows, so what lies beside them is cut off after few steps.
 * Threshold: calibrated on *all* labelled rows that pass the base rules. A
   histogram of their scores (``bins`` bins, aggregated by Spark) gives the cut
   that best separates good from bad while it rejects at most ``loss`` of the
@@ -42,15 +45,16 @@ WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 
-TREES, LEAF_SAMPLE, FIT_ROWS, BINS, LOSS, SEED = 200, 256, 20_000, 2_000, 0.005, 17
+TREES, TREE_ROWS, DEPTH, FIT_ROWS, BINS, LOSS, SEED = 200, 1024, 10, 20_000, 2_000, 0.005, 17
+BOX = 0.002  # share of the sample left outside the box on each side of an axis
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-MORE = ["n_lines", "n_upper", "n_digits", "n_punct", "n_bytes", "n_distinct_words"]
+MORE = ["n_upper", "n_punct", "n_distinct_words"]
 
-_KIND = np.zeros(256, np.uint8)  # bit 1 symbol, 2 upper case, 4 digit, 8 other ASCII punctuation
+_KIND = np.zeros(256, np.uint8)  # 1 symbol, 2 upper case, 3 other ASCII punctuation
 for _c in range(33, 127):
     _s = chr(_c)
-    _KIND[_c] = 1 if _s in SYMBOLS else 2 if _s.isupper() else 4 if _s.isdigit() else 0 if _s.isalpha() else 8
+    _KIND[_c] = 1 if _s in SYMBOLS else 2 if _s.isupper() else 0 if _s.isalnum() else 3
 
 
 def _per_doc(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -83,10 +87,10 @@ def repeated_words(names: np.ndarray, first: np.ndarray, width: int = WINDOW) ->
     return np.cumsum(edge[:-1]) > 0
 
 
-def _duplicate_lines(text: str) -> tuple[int, int]:
-    """(lines with a word, those of them equal to an earlier line)"""
+def _duplicate_lines(text: str) -> int:
+    """Lines with a word that are equal to an earlier line."""
     lines = [x for x in text.split("\n") if x.strip(" \t\x0b\x0c\r")]
-    return len(lines), len(lines) - len(set(lines))
+    return len(lines) - len(set(lines))
 
 
 def text_statistics(texts: pa.Array) -> dict[str, np.ndarray]:
@@ -100,18 +104,14 @@ def text_statistics(texts: pa.Array) -> dict[str, np.ndarray]:
         doc = np.repeat(np.arange(len(texts)), np.diff(w.first))
         _, at = np.unique(mix(names ^ mix(doc.astype(np.uint64) + np.uint64(7))), return_index=True)
         distinct = np.bincount(doc[at], minlength=len(texts)).astype(np.int64)
-    lines = [_duplicate_lines(t) for t in texts.to_pylist()]
     return {
         "n_words": np.diff(w.first),
         "word_chars": _per_doc(lead & w.inside, w.offsets),
-        "n_symbols": _per_doc((kind & 1) > 0, w.offsets),
-        "n_dup_lines": np.array([d for _, d in lines], np.int64),
+        "n_symbols": _per_doc(kind == 1, w.offsets),
+        "n_dup_lines": np.array([_duplicate_lines(t) for t in texts.to_pylist()], np.int64),
         "n_repeat_words": _per_doc(repeated_words(names, w.first), w.first),
-        "n_lines": np.array([n for n, _ in lines], np.int64),
-        "n_upper": _per_doc((kind & 2) > 0, w.offsets),
-        "n_digits": _per_doc((kind & 4) > 0, w.offsets),
-        "n_punct": _per_doc((kind & 8) > 0, w.offsets),
-        "n_bytes": np.diff(w.offsets),
+        "n_upper": _per_doc(kind == 2, w.offsets),
+        "n_punct": _per_doc(kind == 3, w.offsets),
         "n_distinct_words": distinct,
     }
 
@@ -128,15 +128,14 @@ def _with_statistics(text_at: int, names: list[str]):
 
 
 def features(stats: dict[str, np.ndarray]) -> np.ndarray:
-    """Ratios that do not depend on a document's length, one row per document."""
+    """What does not depend on a document's length, one row per document: symbols,
+    upper case, punctuation and characters to a word, share of repeated words,
+    and variety of words."""
     f = {k: np.asarray(v, np.float64) for k, v in stats.items()}
-    words, size = np.maximum(f["n_words"], 1), np.maximum(f["n_bytes"], 1)
-    return np.column_stack([
-        f["n_symbols"] / words, f["n_upper"] / words, f["n_digits"] / words, f["n_punct"] / words,
-        f["word_chars"] / words, f["n_dup_lines"] / np.maximum(f["n_lines"], 1), f["n_repeat_words"] / words,
-        np.log1p(f["n_distinct_words"]) / np.log1p(words), np.minimum(f["n_lines"] / words, 1.0),
-        f["word_chars"] / size,
-    ])
+    words = np.maximum(f["n_words"], 1)
+    return np.column_stack([f["n_symbols"] / words, f["n_upper"] / words, f["n_punct"] / words,
+                            f["word_chars"] / words, f["n_repeat_words"] / words,
+                            np.log1p(f["n_distinct_words"]) / np.log1p(words)])
 
 
 def path_norm(n) -> np.ndarray:
@@ -147,21 +146,21 @@ def path_norm(n) -> np.ndarray:
 
 
 class IsolationForest:
-    """Random axis-parallel splits; all trees as flat arrays of equal depth."""
+    """Random axis-parallel splits of a box; all trees as flat arrays of one depth."""
 
-    def __init__(self, rows: np.ndarray, trees: int, sample: int, seed: int):
+    def __init__(self, good: np.ndarray, low: np.ndarray, high: np.ndarray, trees: int = TREES,
+                 tree_rows: int = TREE_ROWS, depth: int = DEPTH, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.sample = min(sample, len(rows))
-        self.depth = max(1, int(np.ceil(np.log2(max(self.sample, 2)))))
-        nodes = 2 ** (self.depth + 1) - 1
+        self.rows, self.depth = min(tree_rows, len(good)), depth
+        nodes = 2 ** (depth + 1) - 1
         self.axis = np.zeros((trees, nodes), np.int64)
         self.cut = np.full((trees, nodes), np.inf)
         self.length = np.zeros((trees, nodes))
         for t in range(trees):
-            self._grow(rng, t, 0, 0, rows[rng.choice(len(rows), self.sample, replace=False)])
+            own = good[rng.choice(len(good), self.rows, replace=False)]
+            self._grow(rng, t, 0, 0, own, low, high)
 
-    def _grow(self, rng, t: int, node: int, depth: int, rows: np.ndarray) -> None:
-        low, high = (rows.min(0), rows.max(0)) if len(rows) else (np.zeros(1), np.zeros(1))
+    def _grow(self, rng, t: int, node: int, depth: int, rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
         wide = np.flatnonzero(high > low)
         if depth == self.depth or len(rows) <= 1 or not len(wide):
             self._leaf(t, node, depth, depth + float(path_norm(len(rows))))
@@ -169,9 +168,9 @@ class IsolationForest:
         axis = int(rng.choice(wide))
         cut = rng.uniform(low[axis], high[axis])
         self.axis[t, node], self.cut[t, node] = axis, cut
-        left = rows[:, axis] < cut
-        self._grow(rng, t, 2 * node + 1, depth + 1, rows[left])
-        self._grow(rng, t, 2 * node + 2, depth + 1, rows[~left])
+        left, edge = rows[:, axis] < cut, np.arange(len(low)) == axis
+        self._grow(rng, t, 2 * node + 1, depth + 1, rows[left], low, np.where(edge, cut, high))
+        self._grow(rng, t, 2 * node + 2, depth + 1, rows[~left], np.where(edge, cut, low), high)
 
     def _leaf(self, t: int, node: int, depth: int, length: float) -> None:
         """A leaf above full depth hands its path length down its left spine."""
@@ -189,7 +188,7 @@ class IsolationForest:
             for _ in range(self.depth):
                 node = 2 * node + 1 + (rows[at_row, self.axis[t, node]] >= self.cut[t, node])
             total += self.length[t, node]
-        expected = max(float(path_norm(self.sample)), 1e-9)
+        expected = max(float(path_norm(self.rows)), 1e-9)
         return 2.0 ** (-(total / len(self.axis)) / expected)
 
 
@@ -213,16 +212,18 @@ def _with_score(stats: DataFrame, forest, score: str) -> DataFrame:
     return stats.mapInArrow(_scored(forest, names, at), with_columns(stats, [score], "double"))
 
 
-def fit_forest(labelled: DataFrame, fit_rows: int = FIT_ROWS, trees: int = TREES,
-               leaf_sample: int = LEAF_SAMPLE, seed: int = SEED) -> IsolationForest | None:
-    """A forest on at most ``fit_rows`` good rows (columns ``id``, ``quality`` and
-    the statistics), those with the smallest hash of their id."""
-    rows = (labelled.filter(F.col("quality") == 1)
-            .orderBy(F.xxhash64(F.col("id"), F.lit(seed)), "id", *STATS).limit(fit_rows)
-            .select(*STATS, *MORE).toArrow())
-    if rows.num_rows < 2:
+def fit_forest(labelled: DataFrame, fit_rows: int = FIT_ROWS, trees: int = TREES, tree_rows: int = TREE_ROWS,
+               depth: int = DEPTH, seed: int = SEED) -> IsolationForest | None:
+    """A forest on at most ``fit_rows`` labelled rows (columns ``id``, ``quality``
+    and the statistics), those with the smallest hash of their id."""
+    rows = (labelled.orderBy(F.xxhash64(F.col("id"), F.lit(seed)), "id", *STATS, *MORE).limit(fit_rows)
+            .select("quality", *STATS, *MORE).toArrow())
+    values = features({n: rows.column(n).to_numpy() for n in STATS + MORE})
+    good = values[rows.column("quality").to_numpy() == 1]
+    if len(good) < 2:
         return None
-    return IsolationForest(features({n: rows.column(n).to_numpy() for n in STATS + MORE}), trees, leaf_sample, seed)
+    low, high = np.quantile(values, BOX, axis=0), np.quantile(values, 1 - BOX, axis=0)
+    return IsolationForest(good, low, high, trees, tree_rows, depth, seed)
 
 
 def calibrate(scored: DataFrame, bins: int = BINS, loss: float = LOSS) -> float:
@@ -264,13 +265,13 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .filter(F.col("quality") == F.col("other")).drop("other"))
     labelled = (stats.filter(~base_failed()).select(F.col(id_col).alias("id"), *STATS, *MORE).join(known, "id"))
     labelled = materialise(labelled, "quality-labelled")
-    fit = {k: v for k, v in params.items() if k in ("fit_rows", "trees", "leaf_sample", "seed")}
+    fit = {k: v for k, v in params.items() if k in ("fit_rows", "trees", "tree_rows", "depth", "seed")}
     cal = {k: v for k, v in params.items() if k in ("bins", "loss")}
     forest = fit_forest(labelled, **fit)
     if forest is None:
         scored, cut = stats.withColumn("score", F.lit(0.0)), 1.0
     else:
-        shipped = spark.sparkContext.broadcast(forest)  # trees x 2^9 nodes: fixed size
+        shipped = spark.sparkContext.broadcast(forest)  # trees x 2^(depth + 1) nodes: fixed size
         cut = calibrate(_with_score(labelled, shipped, "score"), **cal)
         scored = _with_score(stats, shipped, "score")
     return (scored.withColumn("base_failed", base_failed())
