@@ -1,5 +1,40 @@
-"""DuckDB SQL for the operators that SQL can express."""
+"""DuckDB SQL for the operators that SQL can express on whole tables."""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS t
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+f AS (SELECT t, min(doc_id) AS first FROM x GROUP BY t),
+g AS (SELECT DISTINCT x.doc_id, unnest(range(i, i + 13)) AS p FROM x JOIN f USING (t) WHERE first < x.doc_id),
+k AS (SELECT d.doc_id, p, w[p] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d) d
+      ANTI JOIN g USING (doc_id, p)),
+s AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept FROM k GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)""",
+    "op6_exact_dedup": r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS size,
+                  regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+g AS (SELECT norm, count(*) AS group_size, first(doc_id ORDER BY size DESC, doc_id) AS keep_id FROM d GROUP BY norm)
+SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept,
+       sha256(norm) AS text_sha256
+FROM d JOIN g USING (norm)""",
+    "op10_line_dedup": r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, i, array_to_string(list_slice(l, i, i + 2), chr(10)) AS t
+      FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM d)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS n
+      FROM x WHERE regexp_matches(t, '[^\x20\x09-\x0D]')),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 3)) AS p FROM r WHERE n > 1),
+k AS (SELECT a.doc_id, p, l[p] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS p FROM d) a
+      ANTI JOIN g USING (doc_id, p)),
+s AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY p) AS kept FROM k GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS runs FROM (SELECT doc_id, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS step
+      FROM g) WHERE step IS NULL OR step > 1 GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(runs, 0) AS BIGINT) AS n_runs, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id) LEFT JOIN m USING (doc_id)""",
+}

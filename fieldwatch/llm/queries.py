@@ -9,6 +9,7 @@ from fieldwatch.llm.bpe_codec import codec_digests
 from fieldwatch.llm.common import documents, table
 from fieldwatch.llm.exact_dedup import exact_groups
 from fieldwatch.llm.language_id import identify
+from fieldwatch.llm.line_dedup import line_report
 from fieldwatch.llm.packing import pack_documents
 from fieldwatch.llm.quality_rules import STATS, judge
 from fieldwatch.llm.simhash_dedup import simhash_components
@@ -63,6 +64,11 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(documents(spark, sf_dir))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of three or more lines of every text that have occurred before."""
+    return line_report(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_substring_dedup, op3_packing, op4_quality_rules, op5_simhash_dedup, op6_exact_dedup,
-    op7_language_id, op8_bpe_codec, op9_suffix_dedup)}
+    op7_language_id, op8_bpe_codec, op9_suffix_dedup, op10_line_dedup)}

@@ -113,7 +113,8 @@ def exact_rows(rows):
 
 
 def lines_removed(rows, width):
-    """rows (id, text) -> {row number: kept text}; see line_dedup.py"""
+    """rows (id, text) -> [(id, n_lines, n_removed, kept text)]; windows without a
+    word do not count"""
     first = {}
     order = sorted(range(len(rows)), key=lambda n: (rows[n][0] is None, rows[n][0] or 0, n))
     for n in order:
@@ -125,7 +126,8 @@ def lines_removed(rows, width):
         lines = (t or "").split("\n")
         gone = set()
         for k in range(len(lines) - width + 1):
-            if first[tuple(lines[k:k + width])] != (n, k):
+            own = tuple(lines[k:k + width])
+            if first[own] != (n, k) and words(" ".join(own)):
                 gone.update(range(k, k + width))
         out.append((i, len(lines), len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone)))
     return out
