@@ -48,7 +48,7 @@ def _bundle(text_at: int, size: int):
     def run(batches):
         task, count, held, have = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
-            for part in slices(batch, text_at, size // 4):
+            for part in slices(batch, text_at, max(size // 4, 1)):
                 n = pc.sum(pc.binary_length(part.column(text_at))).as_py() or 0
                 if held and have + n > size:
                     yield _block_row(task, count, held)
@@ -90,7 +90,7 @@ class BlockTable:
         out = self.table
         for k, a in enumerate(answers):
             # dealt like the buckets, so the blocks stay where they are
-            dealt = a.select(F.col("block"), F.col("answers").alias(f"a{k}")).repartition(self.buckets, "block")
+            dealt = a.select("block", F.col("answers").alias(f"a{k}")).repartition(self.buckets, "block")
             out = out.join(dealt, "block", "left")
         return out
 
@@ -197,7 +197,6 @@ def repeated(keys: np.ndarray, many: np.ndarray) -> np.ndarray:
     same[:-1] |= equal
     out = many.astype(bool)
     out[order] |= same
-    # a key that one block marked is answered so to the others too: they sent it as well
     return out
 
 
@@ -213,6 +212,14 @@ def repeated_checked(keys: np.ndarray, check: np.ndarray, many: np.ndarray) -> n
     return out
 
 
+def called(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Keys that any block wants."""
+    values, index = np.unique(keys, return_inverse=True)
+    out = np.zeros(len(values), bool)
+    out[index[wanted.astype(bool)]] = True
+    return out[index]
+
+
 def has_smaller(keys: np.ndarray, check: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Is there an equal key (and check) with a smaller value?"""
     if not len(keys):

@@ -42,7 +42,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldwatch.llm.blocks import KEY_SCHEMA, BlockTable, answer_bits, exchange, has_smaller, key_rows, repeated, rows_of
+from fieldwatch.llm.blocks import (BLOCK_BYTES, KEY_SCHEMA, BlockTable, answer_bits, exchange, has_smaller, key_rows,
+                                   repeated, rows_of)
 from fieldwatch.llm.textarrays import Fingerprints, mix, word_hashes, words_of
 
 WINDOW = 13
@@ -241,8 +242,8 @@ def _results(id_col: str, text_col: str, symbol_parts: int, parts: int, report:
     return run
 
 
-def _passes(docs: DataFrame, id_col: str, text_col: str, report: bool, schema) -> DataFrame:
-    blocks = BlockTable(docs, text_col)
+def _passes(docs: DataFrame, id_col: str, text_col: str, report: bool, schema, block_bytes: int) -> DataFrame:
+    blocks = BlockTable(docs, text_col, block_bytes)
     words = blocks.bytes // 5
     symbol_parts, parts = blocks.parts(words // 2), blocks.parts(words // 2)
     shared = exchange(blocks.table.select("block", "rows")
@@ -255,17 +256,20 @@ def _passes(docs: DataFrame, id_col: str, text_col: str, report: bool, schema) -
         _results(id_col, text_col, symbol_parts, parts, report), schema)
 
 
-def window_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def window_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_words``, ``n_removed`` and
     ``kept_sha256`` (of the kept words joined by one space)."""
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    out = _passes(source, "id", "text", True, "id long, n_words long, n_removed long, kept_sha256 string")
+    out = _passes(source, "id", "text", True, "id long, n_words long, n_removed long, kept_sha256 string",
+                  block_bytes)
     return out.withColumnRenamed("id", id_col)
 
 
-def remove_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` without the repeated words, all columns kept."""
     inner = {c: f"c{k}" for k, c in enumerate(docs.columns)}  # free of clashes with block columns
     copy = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
-    out = _passes(copy, inner[id_col], inner[text_col], False, copy.schema)
+    out = _passes(copy, inner[id_col], inner[text_col], False, copy.schema, block_bytes)
     return out.select(*[F.col(n).alias(c) for c, n in inner.items()])

@@ -9,14 +9,21 @@ only whether another suffix agrees with it so far, so suffixes are ordered by
 1. Cover sample. Positions p (in their document) with p modulo ``PERIOD`` in
    ``COVER`` form the sample: for any two positions i and j there is a shift
    d < PERIOD that takes both into it. Each sample position is ranked by its
-   next length - PERIOD + 1 bytes: one exchange tells which ranks are shared.
+   next length - PERIOD + 1 bytes; one exchange tells which ranks are shared.
 2. Candidates. Two equal strings agree at a common sample position, so a
    suffix none of whose next PERIOD positions is a sample with a shared rank is
    unique. Such suffixes, most of a clean corpus, go no further.
-3. Buckets. The remaining suffixes are dealt into buckets by their fingerprint;
-   a task sorts one bucket at a time, and neighbours that agree in the 64-bit
-   key and in a 32-bit check from a second function are repeats.
-4. The bytes that repeats cover are cut out.
+3. Long ties. Inside long repeats most suffixes need not be sorted one by one:
+   between neighbouring marks (positions picked by their next four bytes, so
+   equal texts have equal marks) one key stands for the whole stretch, and a
+   second exchange settles all suffixes of a stretch that occurs elsewhere.
+4. Suffixes that are still open, at the ends of repeats, call for their possible
+   partners through the ranks of the sample positions they hold; a third
+   exchange passes the calls on to all suffixes with the same ranks.
+5. Buckets. The suffixes called are dealt into buckets by their fingerprint; a
+   task sorts one bucket at a time, and neighbours that agree in the 64-bit key
+   and in a 32-bit check from a second function are repeats.
+6. The bytes that repeats cover are cut out.
 
 Texts are written once in blocks (``blocks.py``); only keys and bits move
 afterwards. A bucket holds a key once for each block, however often the block
@@ -30,13 +37,15 @@ may end inside a character; ``remove_repeats`` returns them as binary.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldwatch.llm.blocks import (KEY_SCHEMA, BlockTable, answer_bits, exchange, key_rows, repeated,
+from fieldwatch.llm.blocks import (BLOCK_BYTES, KEY_SCHEMA, BlockTable, answer_bits, called, exchange, key_rows, repeated,
                                    repeated_checked, rows_of)
 from fieldwatch.llm.textarrays import Fingerprints, bytes_of
 
@@ -56,95 +65,165 @@ def runs(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return first, last
 
 
+class _Sample(NamedTuple):
+    """Sample positions of a block and the ranks they have."""
+
+    at: np.ndarray
+    keys: np.ndarray  # sorted and unique
+    many: np.ndarray  # per key: several positions in this block
+    index: np.ndarray  # per position: its key
+
+
+class _Plan(NamedTuple):
+    """Key ranges of the exchanges."""
+
+    length: int
+    samples: int
+    stretches: int
+    calls: int
+    strings: int
+
+
 class _Block:
-    """A block's bytes and the starts of strings that lie in one document."""
+    """A block's bytes, and what the exchanges have told about them so far."""
 
-    def __init__(self, block: bytes, length: int):
+    def __init__(self, block: bytes, plan: _Plan):
         self.rows = rows_of(block)
         self.data, self.offsets = bytes_of(pc.fill_null(self.rows.column("text"), ""))
-        self.length = length
+        self.plan = plan
+        self.prints = Fingerprints(self.data, 1)
+        self.fits = self._inside(plan.length)
 
-    def inside(self, length: int) -> np.ndarray:
+    def _inside(self, length: int) -> np.ndarray:
         """Per byte: does a string of ``length`` that starts here end in its document?"""
+        begin = self.offsets[:-1]
+        return self._covered(begin, begin + np.maximum(np.diff(self.offsets) - length + 1, 0))
+
+    def _covered(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Per byte: does a range [begin, end) hold it?"""
         n = len(self.data)
-        edge = np.zeros(n + 1, np.int32)
-        sizes = np.diff(self.offsets)
-        begin, end = self.offsets[:-1], self.offsets[:-1] + np.maximum(sizes - length + 1, 0)
-        np.add.at(edge, begin, 1)
-        np.add.at(edge, end, -1)
+        edge = np.bincount(begin, minlength=n + 1) - np.bincount(end, minlength=n + 1)
         return np.cumsum(edge[:n]) > 0
 
-    def sample(self) -> np.ndarray:
+    def check(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return Fingerprints(self.data, 2).of(begin, end).astype(np.uint32)
+
+    def sample(self) -> _Sample:
         cover = np.zeros(PERIOD, bool)
         cover[list(COVER)] = True
+        width = self.plan.length - PERIOD + 1
         # position in the document, modulo the period
         at = np.arange(len(self.data)) - np.repeat(self.offsets[:-1], np.diff(self.offsets))
-        return np.flatnonzero(cover[at % PERIOD] & self.inside(self.length - PERIOD + 1))
-
-    def ranks(self, prints: Fingerprints, at: np.ndarray):
-        """(sorted unique keys, many flags, index of each position's key)"""
-        keys, index, counts = np.unique(prints.of(at, at + (self.length - PERIOD + 1)), return_inverse=True,
-                                        return_counts=True)
-        return keys, (counts > 1).astype(np.uint8), index
-
-    def candidates(self, prints: Fingerprints, parts: int, answers) -> np.ndarray:
-        """Starts of strings with a shared sample position in their first PERIOD."""
-        at = self.sample()
-        keys, _, index = self.ranks(prints, at)
-        shared = at[answer_bits(keys, parts, answers)[index]] if len(at) else at
-        n = len(self.data)
-        edge = np.zeros(n + 1, np.int32)
-        # a shared sample at p makes the starts in (p - PERIOD, p] candidates
-        np.add.at(edge, np.maximum(shared - PERIOD + 1, 0), 1)
-        np.add.at(edge, shared + 1, -1)
-        return np.flatnonzero((np.cumsum(edge[:n]) > 0) & self.inside(self.length))
-
-    def strings(self, prints: Fingerprints, at: np.ndarray):
+        at = np.flatnonzero(cover[at % PERIOD] & self._inside(width))
+        keys, index, counts = np.unique(self.prints.of(at, at + width), return_inverse=True, return_counts=True)
+        return _Sample(at, keys, counts > 1, index)
+
+    def shared_sample(self, answers) -> _Sample:
+        """The sample positions with shared ranks."""
+        s = self.sample()
+        shared = answer_bits(s.keys, self.plan.samples, answers)
+        own = shared[s.index] if len(s.index) else np.zeros(0, bool)
+        number = np.cumsum(shared) - 1
+        return _Sample(s.at[own], s.keys[shared], s.many[shared], number[s.index[own]])
+
+    def before(self, at: np.ndarray) -> np.ndarray:
+        """Per byte: may a string that starts here be told by one of the sample
+        positions ``at`` in its first PERIOD bytes?"""
+        return self._covered(np.maximum(at - PERIOD + 1, 0), at + 1) & self.fits
+
+    def stretches(self, candidate: np.ndarray):
+        """(first, last) neighbouring marks with candidates alone from one to the other."""
+        if len(self.data) < 4:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        x = self.data.astype(np.uint32)
+        four = (x[:-3] << 24 | x[1:-2] << 16 | x[2:-1] << 8 | x[3:]) * np.uint32(0x9E3779B1)
+        marked = candidate.copy()
+        marked[:-3] &= four >> np.uint32(27) == 0
+        marked[-3:] = False
+        marks = np.flatnonzero(marked)
+        others = np.cumsum(~candidate)
+        joined = others[marks[1:]] == others[marks[:-1]]
+        # candidates end before their document does, so a stretch lies in one document
+        return marks[:-1][joined], marks[1:][joined]
+
+    def stretch_keys(self, candidate: np.ndarray):
+        """(sorted unique keys, check, many flags, index, first, last) of the stretches"""
+        first, last = self.stretches(candidate)
+        end = last + self.plan.length
+        keys, some, index, counts = np.unique(self.prints.of(first, end), return_index=True, return_inverse=True,
+                                              return_counts=True)
+        return keys, self.check(first[some], end[some]), counts > 1, index, first, last
+
+    def settled(self, candidate: np.ndarray, answers) -> np.ndarray:
+        """Per byte: does a string start here that a shared stretch proves repeated?"""
+        keys, _, _, index, first, last = self.stretch_keys(candidate)
+        hit = answer_bits(keys, self.plan.stretches, answers)[index] if len(index) else np.zeros(0, bool)
+        return self._covered(first[hit], last[hit] + 1)
+
+    def calls(self, sample: _Sample, open_: np.ndarray) -> np.ndarray:
+        """Per key of the shared sample: does an open string hold one of its positions
+        in its first PERIOD bytes?"""
+        starts = np.concatenate([[0], np.cumsum(open_)])
+        near = starts[sample.at + 1] > starts[np.maximum(sample.at - PERIOD + 1, 0)]
+        out = np.zeros(len(sample.keys), bool)
+        out[sample.index[near]] = True
+        return out
+
+    def strings(self, at: np.ndarray):
         """(sorted unique keys, check, many flags, index) of the strings at ``at``"""
-        keys, first, index, counts = np.unique(prints.of(at, at + self.length), return_index=True,
-                                               return_inverse=True, return_counts=True)
-        some = at[first]
-        check = Fingerprints(self.data, 2).of(some, some + self.length).astype(np.uint32)
-        return keys, check, (counts > 1).astype(np.uint8), index
-
+        end = at + self.plan.length
+        keys, some, index, counts = np.unique(self.prints.of(at, end), return_index=True, return_inverse=True,
+                                              return_counts=True)
+        return keys, self.check(at[some], end[some]), counts > 1, index
 
-def _sample_keys(length: int, parts: int):
-    def run(batches):
-        for batch in batches:
-            for number, block in zip(*[c.to_pylist() for c in batch.columns]):
-                b = _Block(block, length)
-                keys, many, _ = b.ranks(Fingerprints(b.data, 1), b.sample())
-                yield key_rows(number, keys, parts, (many,))
+    def called_strings(self, sample: _Sample, answers) -> np.ndarray:
+        wanted = answer_bits(sample.keys, self.plan.calls, answers)
+        return np.flatnonzero(self.before(sample.at[wanted[sample.index]] if len(sample.at) else sample.at))
 
-    return run
 
+def _step(plan: _Plan, answers: int, work):
+    """Task function: ``work(number, block, answers so far)`` for every block."""
 
-def _string_keys(length: int, sample_parts: int, parts: int):
     def run(batches):
+        names = ["block", "rows", *[f"a{k}" for k in range(answers)]]
         for batch in batches:
             for k in range(batch.num_rows):
-                number, block, first = (batch.column(c)[k].as_py() for c in ("block", "rows", "a0"))
-                b = _Block(block, length)
-                prints = Fingerprints(b.data, 1)
-                keys, check, many, _ = b.strings(prints, b.candidates(prints, sample_parts, first))
-                yield key_rows(number, keys, parts, (check, many))
+                number, block, *told = (batch.column(n)[k].as_py() for n in names)
+                yield work(number, _Block(block, plan), told)
 
     return run
 
 
-def _cut(length: int, sample_parts: int, parts: int):
-    def run(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                block, first, second = (batch.column(c)[k].as_py() for c in ("rows", "a0", "a1"))
-                b = _Block(block, length)
-                prints = Fingerprints(b.data, 1)
-                at = b.candidates(prints, sample_parts, first)
-                keys, _, _, index = b.strings(prints, at)
-                hit = at[answer_bits(keys, parts, second)[index]] if len(at) else at
-                yield _kept(b, hit)
+def _send_samples(number, b: _Block, told):
+    s = b.sample()
+    return key_rows(number, s.keys, b.plan.samples, (s.many.astype(np.uint8),))
 
-    return run
+
+def _send_stretches(number, b: _Block, told):
+    keys, check, many, *_ = b.stretch_keys(b.before(b.shared_sample(told[0]).at))
+    return key_rows(number, keys, b.plan.stretches, (check, many.astype(np.uint8)))
+
+
+def _send_calls(number, b: _Block, told):
+    sample = b.shared_sample(told[0])
+    candidate = b.before(sample.at)
+    wanted = b.calls(sample, candidate & ~b.settled(candidate, told[1]))
+    return key_rows(number, sample.keys, b.plan.calls, (wanted.astype(np.uint8),))
+
+
+def _send_strings(number, b: _Block, told):
+    keys, check, many, _ = b.strings(b.called_strings(b.shared_sample(told[0]), told[2]))
+    return key_rows(number, keys, b.plan.strings, (check, many.astype(np.uint8)))
+
+
+def _cut(number, b: _Block, told):
+    sample = b.shared_sample(told[0])
+    repeats = b.settled(b.before(sample.at), told[1])
+    at = b.called_strings(sample, told[2])
+    keys, _, _, index = b.strings(at)
+    if len(at):
+        repeats[at[answer_bits(keys, b.plan.strings, told[3])[index]]] = True
+    return _kept(b, np.flatnonzero(repeats))
 
 
 def _kept(b: _Block, hit: np.ndarray) -> pa.RecordBatch:
@@ -160,7 +239,7 @@ def _kept(b: _Block, hit: np.ndarray) -> pa.RecordBatch:
             removed.append(0)
             spans.append(0)
             continue
-        first, last = runs(own[d], b.length)
+        first, last = runs(own[d], b.plan.length)
         pieces, at_byte = [], begin
         for x, y in zip(first.tolist(), last.tolist()):
             pieces.append(buffer[at_byte:x])
@@ -173,23 +252,30 @@ def _kept(b: _Block, hit: np.ndarray) -> pa.RecordBatch:
          pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_bytes``, ``n_removed``, ``n_spans``
     (maximal removed runs) and ``kept``, the remaining bytes."""
     if length < PERIOD:
         raise ValueError(f"length must be at least {PERIOD}")
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    blocks = BlockTable(source, "text")
-    sample_parts = blocks.parts(blocks.bytes * len(COVER) // PERIOD)
-    parts = blocks.parts(blocks.bytes // 4)
-    shared = exchange(blocks.table.select("block", "rows")
-                      .mapInArrow(_sample_keys(length, sample_parts), KEY_SCHEMA), sample_parts, repeated, (np.uint8,))
-    twice = exchange(blocks.with_answers(shared).mapInArrow(_string_keys(length, sample_parts, parts), KEY_SCHEMA),
-                     parts, repeated_checked, (np.uint32, np.uint8))
+    blocks = BlockTable(source, "text", block_bytes)
+    samples = blocks.parts(blocks.bytes * len(COVER) // PERIOD)
+    plan = _Plan(length, samples, blocks.parts(blocks.bytes // 32), blocks.parts(blocks.bytes // 16),
+                 blocks.parts(blocks.bytes // 8))
+
+    def told(work, parts, judge, kinds, *answers):
+        keys = blocks.with_answers(*answers).mapInArrow(_step(plan, len(answers), work), KEY_SCHEMA)
+        return exchange(keys, parts, judge, kinds)
+
+    flag, checked = (np.uint8,), (np.uint32, np.uint8)
+    shared = told(_send_samples, plan.samples, repeated, flag)
+    long_ties = told(_send_stretches, plan.stretches, repeated_checked, checked, shared)
+    calls = told(_send_calls, plan.calls, called, flag, shared, long_ties)
+    repeats = told(_send_strings, plan.strings, repeated_checked, checked, shared, long_ties, calls)
     id_type = source.schema["id"].dataType.simpleString()
-    out = blocks.with_answers(shared, twice).mapInArrow(
-        _cut(length, sample_parts, parts),
-        f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary")
+    out = blocks.with_answers(shared, long_ties, calls, repeats).mapInArrow(
+        _step(plan, 4, _cut), f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.withColumnRenamed("id", id_col)
 
 

@@ -37,7 +37,9 @@ def empty(spark):
 
 
 def test_windows(docs, empty):
-    assert bag(window_report(docs).collect()) == bag(brute.windows_removed(ROWS))
+    for block_bytes in (300, 2_000_000):
+        got = window_report(docs, block_bytes=block_bytes)
+        assert bag(got.collect()) == bag(brute.windows_removed(ROWS))
     assert window_report(empty).count() == 0
 
 
@@ -65,6 +67,23 @@ def test_suffixes(docs, empty):
     assert remove_repeats(empty).count() == 0
 
 
+def test_suffixes_inside_longer_repeats(spark):
+    """Short repeats that equal the inside of long ones, across and within blocks."""
+    import random
+
+    for seed in range(4):
+        rng = random.Random(seed)
+        say = lambda n: "".join(rng.choices("abcdé \n", k=n))
+        long, other = say(2500), say(700)
+        rows = [(0, say(300) + long), (1, long + say(200)), (2, say(150) + long[900:1105] + say(150)),
+                (3, say(10) + long[1000:1201] + say(3)), (4, long[1300:1499]), (5, other + "x" + other),
+                (6, say(90) + long[2000:] + other[:400]), (7, "ab" * 300), (8, "ab" * 110), (9, "b" + "ab" * 90),
+                (10, "z" * 1000), (11, "z" * 200), (12, "z" * 199), (13, say(5000)), (14, other[350:] + long[:260])]
+        for block_bytes in (100, 2_000_000):
+            got = repeat_digests(fixture.frame(spark, rows, extra=False), block_bytes=block_bytes)
+            assert bag(got.collect()) == bag(brute.bytes_removed(rows))
+
+
 def test_cover_is_a_difference_cover():
     assert {(a - b) % PERIOD for a in COVER for b in COVER} == set(range(PERIOD))
 
