@@ -8,26 +8,22 @@ device the order is (gateway_ts, arrival sequence).
 
 Each fold is a candidate table built with ordinary DataFrame operations,
 followed by one exact ordered thinning pass from
-:mod:`fieldwatch.operators.ordered`. If a size check shows that every device
-fits the group bound, the pass is the bounded per-key pass. Otherwise it is the
-range-partitioned pass, which splits busy devices over many tasks.
+:mod:`fieldwatch.operators.ordered`, which splits busy devices over many tasks
+at every size.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from fieldwatch.config import STATE_CRITICAL, STATE_OFFLINE, Params
 from fieldwatch.functions.scalars import details_from_array, first_truthy, point_or_flat, to_int_of, to_str
 from fieldwatch.functions.timefmt import iso_of_ms, window_index
-from fieldwatch.operators.ordered import (ALWAYS, NEG_INF, fits_bound, greedy_thin, group_profile, keyed_lag,
-                                         ordered_layout, per_key_partitions, segment_lag, tasks_for,
-                                         thin_segments)
+from fieldwatch.operators.dimension import gateway_lookup
+from fieldwatch.operators.ordered import (ALWAYS, NEG_INF, PID, POS, greedy_thin, keyed_lag, ordered_layout,
+                                         tasks_for)
 from fieldwatch.schemas import CLEANED_ALERT
 from fieldwatch.session import checkpoint_dir
 
@@ -118,79 +114,76 @@ def fleet_alerts(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: st
     * OK reading right after a CRITICAL reading: alert if now - E >= recovery;
     * OFFLINE (W3 candidate): always alerts.
 
-    When every device's history fits the group bound, one ``applyInPandas``
-    per device folds it; otherwise the range-partitioned path splits busy
-    devices over many tasks. Both give the same rows.
+    Both folds run on range-partitioned layouts, so a busy device is split over
+    many tasks.
     """
-    known = readings.join(dev_gw, "device_id").select(
-        "device_id", "gateway_id", "gateway_ts", "state", "details", F.col(seq).cast("long").alias(SEQ))
-    # read by the size check, the offline candidates and the fold: keep the
-    # narrow projection for the duration of this (eager) function only; lost
-    # blocks are recomputed from the lineage
+    known = _known(readings, dev_gw, seq)
+    # read by the offline candidates, the count and the fold: keep the narrow
+    # projection for the duration of this (eager) function only; lost blocks are
+    # recomputed from the lineage
     known = known.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        offline = offline_alerts(known, dev_gw, params).select(*_FLEET_COLS)
-        biggest, total = group_profile(known, "device_id")
-        n = tasks_for(known.sparkSession, total, num_partitions)
-        if fits_bound(known.sparkSession, biggest):
-            out = _fleet_grouped(known, offline, params, n)
-        else:
-            out = _fleet_ranged(known, offline, params, n)
-        out = out.select(*ALERT_COLUMNS[:3], iso_of_ms(F.col("gateway_ts")).alias("gateway_ts_iso"),
-                         "state", "details", SEQ)
         # reliable checkpoint: later stages (dedup, notifications) read the fold
         # once, and a lost executor does not send them back through it
-        return _materialise(out)
+        return _materialise(_stamped(_fleet(known, offline_alerts(known, dev_gw, params), params, num_partitions)))
     finally:
         known.unpersist()
 
 
+def _known(readings: DataFrame, dev_gw: DataFrame, seq: str) -> DataFrame:
+    return gateway_lookup(readings, dev_gw).select(
+        "device_id", "gateway_id", "gateway_ts", "state", "details", F.col(seq).cast("long").alias(SEQ))
+
+
+def _stamped(fold: DataFrame) -> DataFrame:
+    return fold.select(*ALERT_COLUMNS[:3], iso_of_ms(F.col("gateway_ts")).alias("gateway_ts_iso"),
+                       "state", "details", SEQ)
+
+
 def _materialise(df: DataFrame) -> DataFrame:
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def _fleet_theta(state: pd.Series, prev_state: pd.Series, params: Params) -> np.ndarray:
-    """theta per reading: cooldown for CRITICAL, recovery for OK after CRITICAL,
-    -1 for readings that cannot alert."""
-    crit = (state == STATE_CRITICAL).to_numpy()
-    rec = (prev_state == STATE_CRITICAL).to_numpy() & ~crit
-    return np.where(crit, params.cooldown_ms, np.where(rec, params.recovery_ms, -1)).astype(np.int64)
+def _seed_rows(state: DataFrame, stamp: str, like: DataFrame) -> DataFrame:
+    """One row per device in the columns of ``like`` that stands for what earlier
+    micro-batches left: ``last_state`` at ``stamp``, before all its readings."""
+    values = {"device_id": F.col("device_id"), "state": F.col("last_state"), "gateway_ts": F.col(stamp),
+              SEQ: F.lit(NEG_INF)}
+    return state.filter(F.col(stamp).isNotNull()).select(
+        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in like.schema.fields])
 
 
-def _fleet_grouped(known: DataFrame, offline: DataFrame, params: Params, num_partitions=None,
-                   seeds: DataFrame | None = None) -> DataFrame:
-    """Bounded path. ``seeds(device_id, last_state, last_alert_ts)`` carries
-    each device's state from earlier micro-batches (none: '' and 0)."""
-    rows = known.withColumn("_kind", F.lit(0)).unionByName(offline.withColumn("_kind", F.lit(1)))
-    if seeds is not None:
-        rows = rows.join(seeds.select("device_id", F.col("last_state").alias("_s0"),
-                                      F.col("last_alert_ts").alias("_e0")), "device_id", "left")
-    else:
-        rows = rows.withColumn("_s0", F.lit(None).cast("string")).withColumn("_e0", F.lit(None).cast("long"))
-    schema = StructType(known.select(*_FLEET_COLS).schema.fields)
-
-    def fold(pdf: pd.DataFrame, seg: np.ndarray) -> pd.DataFrame:
-        is_r = (pdf["_kind"] == 0).to_numpy()
-        theta = np.full(len(pdf), ALWAYS, dtype=np.int64)
-        r = pdf.loc[is_r, "state"].reset_index(drop=True)
-        r_seg = seg[is_r]
-        prev = segment_lag(r, r_seg)
-        if len(r):
-            first = np.ones(len(r_seg), dtype=bool)
-            first[1:] = r_seg[1:] != r_seg[:-1]
-            prev = prev.where(~first, pdf.loc[is_r, "_s0"].reset_index(drop=True))
-        theta[is_r] = _fleet_theta(r, prev, params)
-        cand = theta != -1
-        e_seg = np.zeros(int(seg.max()) + 1, dtype=np.int64)
-        e0 = pd.to_numeric(pdf["_e0"], errors="coerce")
-        has = e0.notna().to_numpy()
-        e_seg[seg[has]] = e0[has].astype(np.int64).to_numpy()
-        on = thin_segments(seg[cand], pdf["gateway_ts"].to_numpy(np.int64)[cand], theta[cand], 0, e_seg)
-        return pdf.loc[cand].loc[on, _FLEET_COLS]
-
-    # readings before ticks at one stamp (there are none: ticks only fill silent windows)
-    return per_key_partitions(rows, "device_id", ["gateway_ts", "_kind", SEQ], fold, schema, num_partitions)
+def _fleet(known: DataFrame, offline: DataFrame, params: Params, num_partitions: int | None = None,
+           state: DataFrame | None = None) -> DataFrame:
+    """The fold over readings and OFFLINE ticks. ``state(device_id, last_state,
+    last_alert_ts, last_ts)`` carries what earlier micro-batches left."""
+    spark, order = known.sparkSession, ["gateway_ts", SEQ]
+    rows = known if state is None else known.unionByName(_seed_rows(state, "last_ts", known))
+    n = tasks_for(spark, known.count(), num_partitions)
+    with_prev = keyed_lag(ordered_layout(rows, "device_id", order, n), "device_id", order, "state", "prev_state")
+    theta = (F.when(F.col("state") == STATE_CRITICAL, F.lit(params.cooldown_ms))
+             .when(F.col("prev_state") == STATE_CRITICAL, F.lit(params.recovery_ms)))
+    candidates = (with_prev.filter(F.col(SEQ) > NEG_INF).withColumn("theta", theta.cast("long"))
+                  .filter(F.col("theta").isNotNull()).select(*_FLEET_COLS, "theta"))
+    # ticks sort after readings of the same stamp (there are none: a tick exists
+    # only for windows in which the device is silent)
+    always = F.lit(ALWAYS).cast("long").alias("theta")
+    cand = (candidates.unionByName(offline.select(*_FLEET_COLS, always))
+            .withColumn(SEQ, F.coalesce(F.col(SEQ), F.lit(2 ** 62))))
+    if state is not None:
+        seeds = _seed_rows(state, "last_alert_ts", cand.drop("theta")).select(*_FLEET_COLS, always)
+        cand = cand.unionByName(seeds)
+    cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # ticks count too: a never-seen device has one for each window
+        laid = ordered_layout(cand, "device_id", order, tasks_for(spark, cand.count(), num_partitions))
+    finally:
+        cand.unpersist()
+    out = greedy_thin(laid, "device_id", order, "gateway_ts", "theta", e_init=0)
+    return out.filter(F.col(SEQ) > NEG_INF).select(
+        "device_id", "gateway_id", "gateway_ts", "state", "details",
+        F.when(F.col(SEQ) < 2 ** 62, F.col(SEQ)).alias(SEQ))
 
 
 def fleet_step(readings: DataFrame, dev_gw: DataFrame, params: Params, state: DataFrame | None,
@@ -198,14 +191,13 @@ def fleet_step(readings: DataFrame, dev_gw: DataFrame, params: Params, state: Da
     """ST7: one micro-batch of the gateway's alert machine. ``state`` is the
     per-device table ``(device_id, last_state, last_alert_ts, last_ts)`` after
     the previous batch (None before the first). Returns the batch's alerts and
-    the next state table. A micro-batch's groups are bounded by its trigger
-    size, so the bounded fold is used."""
-    known = readings.join(dev_gw, "device_id").select(
-        "device_id", "gateway_id", "gateway_ts", "state", "details", F.col(seq).cast("long").alias(SEQ))
-    offline = offline_alerts(known, dev_gw, params, state).select(*_FLEET_COLS)
-    out = _fleet_grouped(known, offline, params, num_partitions, state)
-    alerts = out.select(*ALERT_COLUMNS[:3], iso_of_ms(F.col("gateway_ts")).alias("gateway_ts_iso"),
-                        "state", "details", SEQ)
+    the next state table."""
+    known = _known(readings, dev_gw, seq).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        alerts = _materialise(_stamped(_fleet(known, offline_alerts(known, dev_gw, params, state), params,
+                                              num_partitions, state)))
+    finally:
+        known.unpersist()
     last_read = known.groupBy("device_id").agg(
         F.max(F.struct("gateway_ts", SEQ, "state")).alias("m"))
     last_read = last_read.select("device_id", F.col("m.state").alias("n_state"), F.col("m.gateway_ts").alias("n_ts"))
@@ -221,24 +213,6 @@ def fleet_step(readings: DataFrame, dev_gw: DataFrame, params: Params, state: Da
     return alerts, nxt
 
 
-def _fleet_ranged(known: DataFrame, offline: DataFrame, params: Params, num_partitions: int | None) -> DataFrame:
-    order = ["gateway_ts", SEQ]
-    laid = ordered_layout(known, "device_id", order, num_partitions)
-    with_prev = keyed_lag(laid, "device_id", order, "state", "prev_state")
-    theta = (F.when(F.col("state") == STATE_CRITICAL, F.lit(params.cooldown_ms))
-             .when(F.col("prev_state") == STATE_CRITICAL, F.lit(params.recovery_ms)))
-    candidates = (with_prev.withColumn("theta", theta.cast("long")).filter(F.col("theta").isNotNull())
-                  .select(*_FLEET_COLS, "theta"))
-    ticks = offline.withColumn("theta", F.lit(ALWAYS).cast("long"))
-    # ticks sort after readings of the same stamp (there are none: a tick exists
-    # only for windows in which the device is silent)
-    cand = candidates.unionByName(ticks).withColumn(SEQ, F.coalesce(F.col(SEQ), F.lit(2 ** 62)))
-    laid2 = ordered_layout(cand, "device_id", order, num_partitions)
-    out = greedy_thin(laid2, "device_id", order, "gateway_ts", "theta", e_init=0)
-    return out.select("device_id", "gateway_id", "gateway_ts", "state", "details",
-                      F.when(F.col(SEQ) < 2 ** 62, F.col(SEQ)).alias(SEQ))
-
-
 def device_alerts(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: str = "event_id",
                   num_partitions: int | None = None) -> DataFrame:
     """The state-machine alerts (CRITICAL / recovery OK) of the fleet output."""
@@ -258,22 +232,13 @@ def dedup_alerts(alerts: DataFrame, window: int, order: tuple = ("gateway_ts", S
     gap ``window``.
     """
     order = list(order)
-    biggest, total = group_profile(alerts, "device_id")
-    num_partitions = tasks_for(alerts.sparkSession, total, num_partitions)
-    if fits_bound(alerts.sparkSession, biggest):
-        def fold(pdf: pd.DataFrame, seg: np.ndarray) -> pd.DataFrame:
-            prev = segment_lag(pdf["state"], seg)
-            theta = np.where(prev.isna() | (prev != pdf["state"]), ALWAYS, window).astype(np.int64)
-            return pdf[thin_segments(seg, pdf["gateway_ts"].to_numpy(np.int64), theta, NEG_INF)]
-
-        return _materialise(per_key_partitions(alerts, "device_id", order, fold, alerts.schema, num_partitions))
-    laid = ordered_layout(alerts, "device_id", order, num_partitions)
+    laid = ordered_layout(alerts, "device_id", order, tasks_for(alerts.sparkSession, alerts.count(), num_partitions))
     with_prev = keyed_lag(laid, "device_id", order, "state", "_prev_state")
     theta = F.when(F.col("_prev_state").isNull() | (F.col("_prev_state") != F.col("state")), F.lit(ALWAYS)) \
         .otherwise(F.lit(window)).cast("long")
     out = greedy_thin(with_prev.withColumn("_theta", theta), "device_id", order, "gateway_ts", "_theta",
                       e_init=NEG_INF)
-    return _materialise(out.drop("_prev_state", "_theta", "_pid", "_pos"))
+    return _materialise(out.drop("_prev_state", "_theta", PID, POS))
 
 
 # --- W4: state transitions -----------------------------------------------------------------
@@ -283,13 +248,8 @@ def state_transitions(readings: DataFrame, seq: str = "event_id", num_partitions
     (the first reading of a device counts as a transition from '')."""
     order = ["gateway_ts", seq]
     r = readings.select("device_id", "gateway_ts", seq, "state")
-    biggest, total = group_profile(r, "device_id")
-    num_partitions = tasks_for(r.sparkSession, total, num_partitions)
-    if fits_bound(r.sparkSession, biggest):
-        lagged = r.withColumn("prev_state", F.lag("state").over(Window.partitionBy("device_id").orderBy(*order)))
-    else:
-        lagged = keyed_lag(ordered_layout(r, "device_id", order, num_partitions), "device_id", order, "state",
-                           "prev_state")
+    n = tasks_for(r.sparkSession, r.count(), num_partitions)
+    lagged = keyed_lag(ordered_layout(r, "device_id", order, n), "device_id", order, "state", "prev_state")
     return (lagged.withColumn("prev_state", F.coalesce(F.col("prev_state"), F.lit("")))
             .filter(F.col("prev_state") != F.col("state"))
             .select("device_id", "gateway_ts", seq, "prev_state", "state"))

@@ -3,7 +3,7 @@ record shares (A5), conditional counts (A6), time slice (P23), map layers (P24).
 
 Top-N semantics of a terms bucket with ``otherBucket``: rank the keys by the
 metric (ties: key ascending), keep the first N, pool the rest under one
-``Other`` label and recompute the metric on the pooled *raw rows* (a median of
+``Other`` label and recompute the metric on the pooled rows (a median of
 the pool, not a median of medians). NULL keys are excluded. The inner level is
 ranked inside each outer label, Other included.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldwatch.config import OTHER_LABEL, STATE_CRITICAL, STATE_OFFLINE
-from fieldwatch.operators.quantiles import exact_median
+from fieldwatch.operators.quantiles import value_counts, weighted_percentiles
 from fieldwatch.session import checkpoint_dir
 
 # FIXED VALUES of the saved dashboard
@@ -31,14 +31,6 @@ def _materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _median_metric(rows: DataFrame, groups: list[str], metric: str, num_partitions=None) -> DataFrame:
-    return exact_median(rows, groups, metric, "value", num_partitions)
-
-
-def _count_metric(rows: DataFrame, groups: list[str], metric=None, num_partitions=None) -> DataFrame:
-    return rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("value"))
-
-
 def _label(metric_by_key: DataFrame, parent: list[str], key: str, size: int, by: str, label: str) -> DataFrame:
     """Label per (parent..., key): the key itself for the first ``size`` keys of
     each parent, Other for the rest. The table ranked here holds one row per
@@ -55,34 +47,46 @@ def _label(metric_by_key: DataFrame, parent: list[str], key: str, size: int, by:
                                 .otherwise(F.lit(OTHER_LABEL)).alias(label))
 
 
+def _metric(kind: str, num_partitions=None):
+    """The metric of groups of the pre-aggregated table ``(keys, [_v], _n)``."""
+    if kind == "count":
+        return lambda rows, groups: rows.groupBy(*groups).agg(F.sum("_n").alias("value"))
+    return lambda rows, groups: weighted_percentiles(rows, groups, "_v", [0.5], ["value"],
+                                                     num_partitions=num_partitions)
+
+
+def _reduced(rows: DataFrame, keys: list[str], metric: str | None) -> DataFrame:
+    """Raw rows combined map-side to one row per keys (and value of ``metric``),
+    rows with a NULL key or value left out. Everything else reads this table."""
+    base = rows
+    for k in keys:
+        base = base.filter(F.col(k).isNotNull())
+    if metric is None:
+        return base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # three percentile layouts read it: written once
+    return _materialise(value_counts(base, keys, metric).withColumnRenamed(metric, "_v"))
+
+
 def nested_top(rows: DataFrame, outer: str, inner: str, metric: str | None, outer_size: int, inner_size: int,
                kind: str = "median", num_partitions=None) -> DataFrame:
     """K1 + K2: metric per (outer label, inner label) with Other buckets."""
-    calc = _median_metric if kind == "median" else _count_metric
-    base = rows.filter(F.col(outer).isNotNull() & F.col(inner).isNotNull())
-    if metric is not None:
-        base = base.filter(F.col(metric).isNotNull())
-    cols = [outer, inner] + ([metric] if metric else [])
-    # three aggregations read this narrow projection: materialise it once
-    base = _materialise(base.select(*cols))
-    outer_lab = _label(calc(base, [outer], metric, num_partitions), [], outer, outer_size, "metric", "outer_label")
+    calc = _metric(kind, num_partitions)
+    base = _reduced(rows, [outer, inner], metric)
+    outer_lab = _label(calc(base, [outer]), [], outer, outer_size, "metric", "outer_label")
     lab1 = base.join(outer_lab, outer)
-    inner_lab = _label(calc(lab1, ["outer_label", inner], metric, num_partitions), ["outer_label"], inner,
-                       inner_size, "metric", "inner_label")
+    inner_lab = _label(calc(lab1, ["outer_label", inner]), ["outer_label"], inner, inner_size, "metric",
+                       "inner_label")
     lab2 = lab1.join(inner_lab, ["outer_label", inner])
-    return calc(lab2, ["outer_label", "inner_label"], metric, num_partitions)
+    return calc(lab2, ["outer_label", "inner_label"])
 
 
 def top_terms(rows: DataFrame, key: str, metric: str | None, size: int, kind: str = "median",
               num_partitions=None) -> DataFrame:
     """K1: single-level top-N by metric with Other."""
-    calc = _median_metric if kind == "median" else _count_metric
-    base = rows.filter(F.col(key).isNotNull())
-    if metric is not None:
-        base = base.filter(F.col(metric).isNotNull())
-    base = _materialise(base.select(key, *([metric] if metric else [])))
-    lab = _label(calc(base, [key], metric, num_partitions), [], key, size, "metric", "label")
-    return calc(base.join(lab, key), ["label"], metric, num_partitions)
+    calc = _metric(kind, num_partitions)
+    base = _reduced(rows, [key], metric)
+    lab = _label(calc(base, [key]), [], key, size, "metric", "label")
+    return calc(base.join(lab, key), ["label"])
 
 
 def median_by_farm_gateway(telemetry: DataFrame, metric: str, farm_size: int, gateway_size: int,
@@ -96,10 +100,12 @@ def median_by_farm_gateway(telemetry: DataFrame, metric: str, farm_size: int, ga
 
 def record_share(telemetry: DataFrame, farm_size: int, gateway_size: int) -> DataFrame:
     """A5: record count by farm and gateway (+Other) with its share of the
-    total and of the farm bucket."""
+    total and of the farm bucket. One aggregation reads the raw rows; ranks,
+    labels and shares follow from its (farm, gateway, count) table."""
     out = nested_top(telemetry, "farm_id", "gateway_id", None, farm_size, gateway_size, "count")
     return out.select(
-        F.col("outer_label").alias("farm"), F.col("inner_label").alias("gateway"), F.col("value").alias("records"),
+        F.col("outer_label").alias("farm"), F.col("inner_label").alias("gateway"),
+        F.col("value").cast("long").alias("records"),
         (F.col("value") / F.sum("value").over(Window.partitionBy())).alias("share_total"),
         (F.col("value") / F.sum("value").over(Window.partitionBy("outer_label"))).alias("share_parent"))
 
@@ -125,22 +131,20 @@ def time_slice(df: DataFrame, lo, hi, f0: float = TIME_SLICE_START_FRACTION, f1:
     span = (hi_c - lo_c).cast("double")
     start = lo_c.cast("double") if anchored else lo_c.cast("double") + F.lit(f0) * span
     end = lo_c.cast("double") + F.lit(f1) * span
-    t = F.col(ts).cast("double")
-    return df.filter((t >= start) & (t < end))
+    # an integer t lies in [start, end) exactly if it lies in [ceil(start), ceil(end)):
+    # the column itself is compared, so constant bounds reach the scan
+    t = F.col(ts)
+    return df.filter((t >= F.ceil(start).cast("long")) & (t < F.ceil(end).cast("long")))
 
 
 def map_points(docs: DataFrame, bbox: dict = MAP_BUFFER, include_hidden: bool = True) -> DataFrame:
     """The map's point layers (device, farm, gateway) restricted to the
     visible bounds; one row per document and layer."""
-    parts = []
-    for layer, col, visible in MAP_LAYERS:
-        if not visible and not include_hidden:
-            continue
-        p = docs.select(F.lit(layer).alias("layer"), F.lit(visible).alias("visible"), "device_id",
-                        F.col(f"{col}.lat").alias("lat"), F.col(f"{col}.lon").alias("lon"))
-        parts.append(p)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    layers = [F.struct(F.lit(layer).alias("layer"), F.lit(visible).alias("visible"),
+                       F.col(f"{col}.lat").alias("lat"), F.col(f"{col}.lon").alias("lon"))
+              for layer, col, visible in MAP_LAYERS if visible or include_hidden]
+    # one scan: each document becomes its points
+    out = docs.select("device_id", F.explode(F.array(*layers)).alias("p")).select(
+        "p.layer", "p.visible", "device_id", "p.lat", "p.lon")
     return out.filter(F.col("lat").between(bbox["min_lat"], bbox["max_lat"])
                       & F.col("lon").between(bbox["min_lon"], bbox["max_lon"]))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldwatch.config import LATENCY_LOOKBACK_HOURS, LATENCY_PERCENTILES
-from fieldwatch.operators.quantiles import exact_percentiles
+from fieldwatch.operators.quantiles import value_counts, weighted_percentiles
+from fieldwatch.session import checkpoint_dir
 
 LEGS = {
     # leg name -> (later stamp, earlier stamp), all epoch ms
@@ -44,16 +45,22 @@ def latency_legs(rows: DataFrame) -> DataFrame:
 
 def latency_stats(legs: DataFrame, percentiles=LATENCY_PERCENTILES, num_partitions=None) -> DataFrame:
     """A2: per index and leg: count, mean, P50/P90/P95 (linear interpolation),
-    min, max. Legs are unpivoted with ``stack`` so one aggregation serves all."""
+    min, max. Legs are unpivoted with ``stack`` and combined map-side to
+    (index, leg, seconds, count); all seven statistics follow from that table."""
     names = list(LEGS)
     stack = "stack({n}, {args}) as (leg, seconds)".format(
         n=len(names), args=", ".join(f"'{n}', {n}" for n in names))
-    long = legs.selectExpr("index", stack)
-    basic = long.groupBy("index", "leg").agg(F.count("seconds").alias("count"), F.avg("seconds").alias("avg"),
-                                             F.min("seconds").alias("min"), F.max("seconds").alias("max"))
+    checkpoint_dir(legs.sparkSession)
+    counts = value_counts(legs.selectExpr("index", stack), ["index", "leg"], "seconds").checkpoint(eager=True)
+    basic = counts.groupBy("index", "leg").agg(
+        F.sum("_n").alias("count"), (F.sum(F.col("seconds") * F.col("_n")) / F.sum("_n")).alias("avg"),
+        F.min("seconds").alias("min"), F.max("seconds").alias("max"))
     pct_names = [f"p{int(round(p * 100))}" for p in percentiles]
-    pct = exact_percentiles(long, ["index", "leg"], "seconds", percentiles, pct_names, num_partitions)
-    return basic.join(pct, ["index", "leg"]).select("index", "leg", "count", "avg", *pct_names, "min", "max")
+    pct = weighted_percentiles(counts, ["index", "leg"], "seconds", percentiles, pct_names,
+                               num_partitions=num_partitions)
+    pct = pct.withColumnsRenamed({"index": "_i", "leg": "_l"})
+    same = F.col("index").eqNullSafe(F.col("_i")) & F.col("leg").eqNullSafe(F.col("_l"))
+    return basic.join(pct, same).select("index", "leg", "count", "avg", *pct_names, "min", "max")
 
 
 def counter_rate(samples: DataFrame) -> DataFrame:
@@ -76,10 +83,14 @@ def rate_summary(rates: DataFrame) -> DataFrame:
                                       F.max("docs_per_sec").alias("max_rate"))
 
 
+STAMPS = ["gateway_ts", "ts_kafka_ingest", "ts_before_es", "created_at"]
+
+
 def union_indices(parts: dict) -> DataFrame:
-    """Union of per-index rows with an ``index`` literal."""
+    """The four stamps of every index's documents with an ``index`` literal.
+    Indices have different document schemas; only the stamps are common."""
     out = None
     for name, df in parts.items():
-        d = df.withColumn("index", F.lit(name))
+        d = df.select(*STAMPS).withColumn("index", F.lit(name))
         out = d if out is None else out.unionByName(d)
     return out

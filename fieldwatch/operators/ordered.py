@@ -23,11 +23,8 @@ cut into many consecutive partitions that run in parallel:
 4. resolve  - each partition is processed again with its entry state
               (broadcast by partition id: at most one row per partition).
 
-When one aggregation (:func:`group_profile`) shows that every key fits
-``spark.fieldwatch.maxGroupRows``, callers take the bounded path instead,
-:func:`per_key_partitions`. It makes one shuffle on a bucket derived from the
-key, sorts, and folds whole keys while streaming Arrow batches. Both paths give
-the same rows, and tests hold each to a sequential reference.
+The same passes run at every size; the row count only sets how many partitions
+there are (:func:`tasks_for`), so that each fits a task's memory.
 
 Inside a partition the work is vectorised numpy (searchsorted and pointer
 doubling), never a Python loop per row.
@@ -57,45 +54,10 @@ PID = "_pid"
 
 POS = "_pos"
 
-# Groups up to this many rows may be handed whole to one task (the bounded
-# path); above it the range-partitioned path is used. Read from the session so
-# a cluster can tune it (and tests can force the range path with 0).
-GROUP_ROWS_CONF = "spark.fieldwatch.maxGroupRows"
-DEFAULT_GROUP_ROWS = 1_000_000
-
-
-def group_rows_limit(spark) -> int:
-    try:
-        return int(spark.conf.get(GROUP_ROWS_CONF, str(DEFAULT_GROUP_ROWS)))
-    except Exception:  # pragma: no cover
-        return DEFAULT_GROUP_ROWS
-
-
 ROWS_PER_TASK_CONF = "spark.fieldwatch.rowsPerTask"
 DEFAULT_ROWS_PER_TASK = 2_000_000
 
 
-def group_profile(df: DataFrame, keys) -> tuple[int, int]:
-    """(rows of the largest group, total rows): one aggregation, combined map-side."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n"), F.sum("_n")).first()
-    return int(r[0] or 0), int(r[1] or 0)
-
-
-def max_rows_per_key(df: DataFrame, keys) -> int:
-    return group_profile(df, keys)[0]
-
-
-def fits_bound(spark, max_rows: int) -> bool:
-    limit = group_rows_limit(spark)
-    return limit > 0 and max_rows <= limit
-
-
-def groups_are_bounded(df: DataFrame, keys) -> bool:
-    """True when every group fits the bound, so a per-group task is safe."""
-    return fits_bound(df.sparkSession, max_rows_per_key(df, keys))
-
-
 def tasks_for(spark, total_rows: int, requested: int | None = None) -> int:
     """Partition count for an ordered pass: at least the session's shuffle
     parallelism, and enough that a task holds about ``rowsPerTask`` rows."""
@@ -288,65 +250,6 @@ def thin_mask(t: np.ndarray, theta: np.ndarray, e_init: int) -> np.ndarray:
     return thin_segments(np.zeros(len(t), dtype=np.int64), t, theta, e_init)
 
 
-def segment_lag(values: pd.Series, seg: np.ndarray) -> pd.Series:
-    """Previous value within the same segment (NULL for a segment's first row)."""
-    prev = values.shift(1)
-    first = np.ones(len(seg), dtype=bool)
-    first[1:] = seg[1:] != seg[:-1]
-    return prev.where(~first, None)
-
-
-def per_key_partitions(df: DataFrame, key: str, order: list[str], fn, schema: StructType,
-                       num_partitions: int | None = None) -> DataFrame:
-    """Bounded path: hash-partition by key so each key is whole in one task,
-    sort, and call ``fn(sorted_partition_frame, segment_ids)`` once per
-    partition; all keys of a partition are processed in one vectorised pass.
-    Use only after :func:`groups_are_bounded`."""
-    n = num_partitions or default_parallelism(df.sparkSession)
-    # shuffle on a derived bucket column: the optimizer cannot treat an
-    # upstream partitioning (e.g. of a cached or coalesced input) as already
-    # satisfying it, so every key is guaranteed to be whole in one task
-    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(n))
-    laid = (df.withColumn("_bucket", bucket).repartition(n, "_bucket")
-            .sortWithinPartitions(key, *order).drop("_bucket"))
-
-    def process(pdf):
-        pdf = _sort_frame(pdf, key, order)
-        return fn(pdf, _segments(pdf[key].to_numpy()))
-
-    def run(it):
-        # Arrow batches arrive in key order: fold every complete key of the
-        # buffer and carry the last (possibly unfinished) key to the next
-        # batch, so memory holds one batch plus one key, not the partition.
-        carry = None
-        prev_last = None
-        for batch in it:
-            if not len(batch):
-                continue
-            bk = batch[key].to_numpy()
-            # the carry below is only exact for key-sorted input: refuse anything else
-            if (len(bk) > 1 and not (bk[1:] >= bk[:-1]).all()) or (prev_last is not None and bk[0] < prev_last):
-                raise RuntimeError("per-key fold input is not sorted by key")
-            prev_last = bk[-1]
-            buf = batch if carry is None else pd.concat([carry, batch], ignore_index=True)
-            keys = buf[key].to_numpy()
-            last = keys[-1]
-            start = len(keys)
-            while start > 0 and keys[start - 1] == last:
-                start -= 1
-            if start > 0:
-                out = process(buf.iloc[:start].reset_index(drop=True))
-                if len(out):
-                    yield out
-            carry = buf.iloc[start:].reset_index(drop=True)
-        if carry is not None and len(carry):
-            out = process(carry)
-            if len(out):
-                yield out
-
-    return laid.mapInPandas(run, schema)
-
-
 _THIN_SUMMARY = StructType([
     StructField(PID, LongType()), StructField("first_key", StringType()), StructField("last_key", StringType()),
     StructField("single", BooleanType()), StructField("rb_keys", ArrayType(LongType())),
@@ -457,21 +360,3 @@ def greedy_thin(laid: DataFrame, key: str, order: list[str], t: str, theta: str,
         yield res
 
     return laid.join(F.broadcast(entry), PID, "left").mapInPandas(resolve, out_schema)
-
-
-# --------------------------------------------------------------------------------------
-# reference implementations for tests (plain sequential folds over pandas)
-# --------------------------------------------------------------------------------------
-
-def greedy_thin_reference(pdf: pd.DataFrame, key: str, order: list[str], t: str, theta: str,
-                          e_init: int = NEG_INF) -> pd.Series:
-    pdf = pdf.sort_values([key, *order], kind="stable", na_position="first")
-    emit = pd.Series(False, index=pdf.index)
-    last_key, e = object(), e_init
-    for idx, k, tv, th in zip(pdf.index, pdf[key], pdf[t], pdf[theta]):
-        if k != last_key:
-            last_key, e = k, e_init
-        if th == ALWAYS or tv - e >= th:
-            emit[idx] = True
-            e = tv
-    return emit

@@ -2,15 +2,15 @@
 
 Spark's ``percentile``/``median`` aggregate keeps a value->count map per group;
 a group holding a third of all rows would put all its distinct values in one
-task's memory. Here values are range-partitioned on (group, value) instead, a
-hot group is spread over many partitions, and only the two rows around each
-requested rank are fetched:
+task's memory. Here, at every size:
 
-1. layout: sorted partitions, each row tagged with (partition, position);
-2. per (partition, group) counts -> global rank offset of each partition's run
-   (a table of size groups + partitions);
-3. requested ranks p*(n-1) -> floor/ceil rank -> (partition, position);
-4. equi-join on (partition, position), interpolate.
+1. rows are first combined map-side to (group, value, count), so repeated values
+   (clamped metrics, millisecond legs) cost one row however often they occur;
+2. that table is range-partitioned on (group, value): a hot group is spread over
+   many partitions, and rows are distinct, so no tie can pile up in one;
+3. counts per (partition, group) give each partition's rank offset, a running sum
+   inside the partition the global ranks of every value;
+4. one aggregation picks the values at the two ranks around each percentile.
 
 This is the definition used by numpy's default, Spark's ``percentile`` and
 DuckDB's ``quantile_cont``.
@@ -18,10 +18,13 @@ DuckDB's ``quantile_cont``.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldwatch.operators.ordered import PID, POS, fits_bound, group_profile, ordered_layout, tasks_for
+from fieldwatch.operators.ordered import PID, ordered_layout
 
 
 def _pct_name(p: float) -> str:
@@ -29,49 +32,53 @@ def _pct_name(p: float) -> str:
     return f"p{s}"
 
 
+def value_counts(df: DataFrame, groups: list[str], value: str, count: str = "_n") -> DataFrame:
+    """(groups, value, count) of the non-NULL values, combined map-side."""
+    v = df.select(*groups, F.col(value).cast("double").alias(value)).filter(F.col(value).isNotNull())
+    return v.groupBy(*groups, value).agg(F.count(F.lit(1)).alias(count))
+
+
+def weighted_percentiles(counts: DataFrame, groups: list[str], value: str, percentiles, names=None,
+                         count: str = "_n", num_partitions: int | None = None) -> DataFrame:
+    """One row per group (NULL groups included) with a column per percentile, for
+    rows ``(groups, value, count)``; a value may stand in several rows of a group."""
+    names = list(names) if names else [_pct_name(p) for p in percentiles]
+    merged = counts.groupBy(*groups, F.col(value).alias("_v")).agg(F.sum(count).alias("_n"))
+    laid = ordered_layout(merged, groups, ["_v"], num_partitions)
+    runs = laid.groupBy(PID, *groups).agg(F.sum("_n").alias("_cnt"))
+    whole = Window.partitionBy(*groups)
+    runs = runs.select(F.col(PID).alias("_rp"), *[F.col(g).alias(f"_r_{g}") for g in groups],
+                       (F.sum("_cnt").over(whole.orderBy(PID)) - F.col("_cnt")).alias("_offset"),
+                       F.sum("_cnt").over(whole).alias("_total"))
+    inside = Window.partitionBy(PID, *groups).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    same = [F.col(PID) == F.col("_rp"), *[F.col(g).eqNullSafe(F.col(f"_r_{g}")) for g in groups]]
+    ranked = (laid.withColumn("_end", F.sum("_n").over(inside))
+              .join(runs, functools.reduce(operator.and_, same))
+              .withColumn("_stop", F.col("_offset") + F.col("_end"))
+              .withColumn("_start", F.col("_stop") - F.col("_n")))
+    aggs = []
+    for k, p in enumerate(percentiles):
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        for side, rank in (("a", F.floor(at)), ("b", F.ceil(at))):
+            aggs.append(F.max(F.when((rank >= F.col("_start")) & (rank < F.col("_stop")), F.col("_v")))
+                        .alias(f"_{side}{k}"))
+    picked = ranked.groupBy(*groups).agg(F.max("_total").alias("_total"), *aggs)
+    frac = [F.lit(float(p)) * (F.col("_total") - 1) for p in percentiles]
+    return picked.select(*groups, *[
+        (F.col(f"_a{k}") + (f - F.floor(f)) * (F.col(f"_b{k}") - F.col(f"_a{k}"))).alias(n)
+        for k, (f, n) in enumerate(zip(frac, names))])
+
+
 def exact_percentiles(df: DataFrame, groups: list[str], value: str, percentiles, names=None,
                       num_partitions: int | None = None) -> DataFrame:
     """One row per group with a column per percentile (NULL values ignored)."""
-    names = list(names) if names else [_pct_name(p) for p in percentiles]
-    v = df.select(*groups, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    biggest, total = group_profile(v, groups)
-    if fits_bound(v.sparkSession, biggest):
-        # every group fits the bound: Spark's exact percentile aggregate (its
-        # value map per group is bounded by the same check)
-        arr = F.percentile(F.col("_v"), F.array(*[F.lit(float(p)) for p in percentiles]))
-        agg = v.groupBy(*groups).agg(arr.alias("_q"))
-        return agg.select(*groups, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    laid = ordered_layout(v, groups, ["_v"], tasks_for(v.sparkSession, total, num_partitions))
-    runs = laid.groupBy(PID, *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min(POS).alias("_first"))
-    w = Window.partitionBy(*groups).orderBy(PID)
-    runs = (runs.withColumn("_offset", F.sum("_cnt").over(w) - F.col("_cnt"))
-            .withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*groups))))
-    # requested ranks per group
-    req = F.explode(F.arrays_zip(F.array(*[F.lit(float(p)) for p in percentiles]).alias("p"),
-                                 F.array(*[F.lit(n) for n in names]).alias("name")))
-    sizes = runs.select(*groups, "_n").distinct()
-    ranks = (sizes.select(*groups, "_n", req.alias("r"))
-             .select(*groups, "_n", F.col("r.p").alias("p"), F.col("r.name").alias("name"))
-             .withColumn("_pos_r", F.col("p") * (F.col("_n") - 1))
-             .withColumn("_lo", F.floor("_pos_r").cast("long"))
-             .withColumn("_hi", F.ceil("_pos_r").cast("long"))
-             .withColumn("_frac", F.col("_pos_r") - F.col("_lo")))
-    wanted = (ranks.select(*groups, "name", "_frac", F.col("_lo").alias("_rank"), F.lit("lo").alias("_side"))
-              .unionByName(ranks.select(*groups, "name", "_frac", F.col("_hi").alias("_rank"),
-                                        F.lit("hi").alias("_side"))))
-    # rank -> (partition, position): the run of the group containing the rank
-    loc = (wanted.join(runs, groups)
-           .filter((F.col("_rank") >= F.col("_offset")) & (F.col("_rank") < F.col("_offset") + F.col("_cnt")))
-           .select(*groups, "name", "_frac", "_side", F.col(PID),
-                   (F.col("_first") + F.col("_rank") - F.col("_offset")).alias(POS)))
-    vals = laid.select(PID, POS, "_v").join(loc, [PID, POS])
-    lohi = (vals.groupBy(*groups, "name", "_frac")
-            .agg(F.max(F.when(F.col("_side") == "lo", F.col("_v"))).alias("_a"),
-                 F.max(F.when(F.col("_side") == "hi", F.col("_v"))).alias("_b")))
-    pct = lohi.select(*groups, "name", (F.col("_a") + F.col("_frac") * (F.col("_b") - F.col("_a"))).alias("_q"))
-    return pct.groupBy(*groups).pivot("name", names).agg(F.first("_q")).select(*groups, *names)
-
-
-def exact_median(df: DataFrame, groups: list[str], value: str, name: str = "median",
-                 num_partitions: int | None = None) -> DataFrame:
-    return exact_percentiles(df, groups, value, [0.5], [name], num_partitions)
+    return weighted_percentiles(value_counts(df, groups, value), groups, value, percentiles, names,
+                                num_partitions=num_partitions)
+
+
+def approx_median(df: DataFrame, groups: list[str], value: str, name: str = "median", accuracy: int = 10_000
+                  ) -> DataFrame:
+    """A4, approximate: a mergeable rank sketch per group (relative rank error
+    1 / ``accuracy``) instead of exact ranks: one aggregation, no layout."""
+    return df.groupBy(*groups).agg(
+        F.percentile_approx(F.col(value).cast("double"), 0.5, accuracy).alias(name))

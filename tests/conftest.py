@@ -5,6 +5,7 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 import fieldwatch  # noqa: E402,F401  (ships the package to Python workers)
 
@@ -19,17 +20,3 @@ def spark():
     checkpoint_dir(s)  # uses the session's setting; a private folder only if unset (local)
     yield s
     s.stop()
-
-
-@pytest.fixture
-def range_path(spark):
-    """Force the range-partitioned fold path (as if every key were hot)."""
-    from fieldwatch.operators.ordered import GROUP_ROWS_CONF
-
-    old = spark.conf.get(GROUP_ROWS_CONF, None)
-    spark.conf.set(GROUP_ROWS_CONF, "0")
-    yield
-    if old is None:
-        spark.conf.unset(GROUP_ROWS_CONF)
-    else:
-        spark.conf.set(GROUP_ROWS_CONF, old)

@@ -3,7 +3,6 @@ randomized comparison with a direct step-by-step simulation of the gateway."""
 
 import numpy as np
 import pandas as pd
-import pytest
 
 from fieldwatch.config import Params
 from fieldwatch.operators import alerts as A
@@ -18,10 +17,7 @@ def _alerts(spark, rows):
     return spark.createDataFrame([(d, "g", t, s, [], i) for i, (d, t, s) in enumerate(rows)], ALERT_SCHEMA)
 
 
-@pytest.mark.parametrize("path", ["bounded", "range"])
-def test_dedup_last_kept_sequence(spark, path, request):
-    if path == "range":
-        request.getfixturevalue("range_path")
+def test_dedup_last_kept_sequence(spark):
     seq = [(0, "C"), (10, "C"), (29, "C"), (30, "C"), (35, "O"), (40, "C"), (60, "C")]
     df = _alerts(spark, [("d1", t, s) for t, s in seq] + [("d2", 5, "C")])
     out = A.dedup_alerts(df, 30, num_partitions=3).filter("device_id = 'd1'")
@@ -103,10 +99,7 @@ def test_fleet_rules_by_hand(spark):
     assert not any(d == "b" and s == "OFFLINE" for d, _, s in got)
 
 
-@pytest.mark.parametrize("path", ["bounded", "range"])
-def test_fleet_random_matches_simulation(spark, path, request):
-    if path == "range":
-        request.getfixturevalue("range_path")
+def test_fleet_random_matches_simulation(spark):
     rng = np.random.default_rng(11)
     devices = [f"d{i}" for i in range(6)]
     rows = []

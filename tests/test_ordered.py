@@ -4,9 +4,11 @@ split over many partitions."""
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from fieldwatch.operators import ordered as O
-from fieldwatch.operators.quantiles import exact_percentiles
+from folds import greedy_thin_reference
+from fieldwatch.operators.quantiles import approx_median, exact_percentiles, value_counts
 
 
 def _rows(seed=1):
@@ -25,7 +27,7 @@ def test_greedy_thin_matches_sequential(spark, nparts):
     pdf = _rows()
     laid = O.ordered_layout(spark.createDataFrame(pdf), "k", ["t", "seq"], nparts)
     got = O.greedy_thin(laid, "k", ["t", "seq"], "t", "theta", e_init=0).select("k", "seq").toPandas()
-    ref = O.greedy_thin_reference(pdf, "k", ["t", "seq"], "t", "theta", e_init=0)
+    ref = greedy_thin_reference(pdf, "k", ["t", "seq"], "t", "theta", e_init=0)
     exp = pdf.loc[ref[ref].index, ["k", "seq"]]
     assert set(map(tuple, got.values.tolist())) == set(map(tuple, exp.values.tolist()))
 
@@ -50,44 +52,46 @@ def test_thin_segments_equals_reference():
     pdf = _rows(3).sort_values(["k", "t", "seq"], ignore_index=True)
     seg = O._segments(pdf["k"].to_numpy())
     got = O.thin_segments(seg, pdf["t"].to_numpy(), pdf["theta"].to_numpy(), 0)
-    ref = O.greedy_thin_reference(pdf, "k", ["t", "seq"], "t", "theta", e_init=0)
+    ref = greedy_thin_reference(pdf, "k", ["t", "seq"], "t", "theta", e_init=0)
     assert (got == ref.loc[pdf.index].to_numpy()).all()
 
 
-@pytest.mark.parametrize("force_range", [False, True])
-def test_exact_percentiles(spark, force_range, request):
-    if force_range:
-        request.getfixturevalue("range_path")
+def _percentiles(spark, pdf, groups, schema):
+    rows = [tuple(None if isinstance(x, float) and np.isnan(x) else x for x in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    return exact_percentiles(df, groups, "v", [0.5, 0.9, 0.95], ["p50", "p90", "p95"], 8).toPandas()
+
+
+def test_exact_percentiles(spark):
     rng = np.random.default_rng(5)
     g = rng.choice(["x", "y", "z"], size=3000, p=[0.8, 0.15, 0.05])
-    v = rng.normal(size=3000).round(3)
-    pdf = pd.DataFrame({"g": g, "v": v})
-    got = exact_percentiles(spark.createDataFrame(pdf), ["g"], "v", [0.5, 0.9, 0.95], ["p50", "p90", "p95"], 8)
-    got = got.toPandas().set_index("g").sort_index()
+    pdf = pd.DataFrame({"g": g, "v": rng.normal(size=3000).round(3)})
+    got = _percentiles(spark, pdf, ["g"], "g string, v double").set_index("g").sort_index()
     for key, grp in pdf.groupby("g"):
         for p, name in [(0.5, "p50"), (0.9, "p90"), (0.95, "p95")]:
             assert got.loc[key, name] == pytest.approx(np.percentile(grp["v"], p * 100), abs=1e-9)
 
 
-def test_per_key_partitions_keeps_keys_whole_with_cached_inputs(spark):
-    """A cached, already hash-partitioned input (and a union with another)
-    must not let the optimizer skip the per-key shuffle."""
-    from pyspark import StorageLevel
-    from pyspark.sql import functions as F
-    from pyspark.sql.types import LongType, StringType, StructField, StructType
-
-    a = spark.range(4000).select((F.col("id") % 37).cast("string").alias("k"), F.col("id").alias("t"))
-    a = a.repartition(5, "k").persist(StorageLevel.MEMORY_AND_DISK)
-    a.count()
-    b = spark.range(500).select((F.col("id") % 41).cast("string").alias("k"), (F.col("id") + 10_000).alias("t"))
-    rows = a.unionByName(b.repartition(5, "k"))
-
-    def fn(pdf, seg):
-        g = pdf.groupby("k", sort=False)["t"].count().reset_index()
-        return g.rename(columns={"t": "n"})
-
-    schema = StructType([StructField("k", StringType()), StructField("n", LongType())])
-    out = O.per_key_partitions(rows, "k", ["t"], fn, schema, 7).toPandas()
-    a.unpersist()
-    assert out["k"].is_unique  # every key seen by exactly one task
-    assert out["n"].sum() == 4500
+def test_percentiles_keep_the_null_group_and_ignore_null_values(spark):
+    rows = [("a", 1.0), ("a", 3.0), (None, 2.0), (None, 4.0), (None, None), ("b", None)]
+    got = _percentiles(spark, pd.DataFrame(rows, columns=["g", "v"], dtype=object), ["g"], "g string, v double")
+    assert {(r.g, r.p50) for r in got.itertuples()} == {("a", 2.0), (None, 3.0)}
+
+
+def test_tied_values_are_one_row_of_the_layout(spark):
+    """90 % equal values: combined before the layout, so no partition holds them."""
+    rng = np.random.default_rng(6)
+    v = np.where(rng.random(20_000) < 0.9, 50.0, rng.integers(0, 1000, 20_000))
+    pdf = pd.DataFrame({"g": "x", "v": v.astype(float)})
+    counts = value_counts(spark.createDataFrame(pdf), ["g"], "v")
+    assert counts.count() == len(np.unique(v))
+    laid = O.ordered_layout(counts, ["g"], ["v"], 16)
+    assert laid.groupBy("_pid").count().agg({"count": "max"}).first()[0] < 4 * len(np.unique(v)) / 16
+    got = _percentiles(spark, pdf, ["g"], "g string, v double").iloc[0]
+    assert got.p50 == 50.0 and got.p95 == pytest.approx(np.percentile(v, 95))
+
+
+def test_approx_median(spark):
+    df = spark.range(10_001).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
+    got = approx_median(df, ["g"], "v").collect()
+    assert len(got) == 3 and all(abs(r["median"] - 5000) <= 10 for r in got)

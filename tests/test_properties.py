@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 
 from fieldwatch.operators import ordered as O
 from fieldwatch.streaming.state import dedup_batch
+from folds import greedy_thin_reference
 
 alerts = st.lists(st.tuples(st.integers(0, 400), st.sampled_from(["OK", "CRITICAL", "OFFLINE"])),
                   min_size=0, max_size=60)
@@ -43,7 +44,7 @@ def test_thin_kernel_equals_sequential(rows, e_init):
     pdf["seq"] = range(len(pdf))
     seg = O._segments(pdf["k"].to_numpy())
     got = O.thin_segments(seg, pdf["t"].to_numpy(), pdf["theta"].to_numpy(), e_init)
-    ref = O.greedy_thin_reference(pdf, "k", ["t", "seq"], "t", "theta", e_init)
+    ref = greedy_thin_reference(pdf, "k", ["t", "seq"], "t", "theta", e_init)
     assert (got == ref.loc[pdf.index].to_numpy()).all()
 
 
