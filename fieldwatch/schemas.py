@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (ArrayType, DoubleType, FloatType, IntegerType, LongType, StringType,
-                               StructField, StructType, TimestampNTZType, TimestampType)
+                               StructField, StructType, TimestampType)
 
 from fieldwatch.config import METRICS
 
 GEO = StructType([StructField("lat", DoubleType()), StructField("lon", DoubleType())])
 
+# FIXED VALUES: field names, types and order of the messages, documents and
+# dimensions below are the contract with their producers and readers.
+
 READING = StructType([
     StructField("device_id", StringType()),
     StructField("device_ts", LongType()),
@@ -49,13 +52,6 @@ ALERT_MSG = StructType([
 
 LOCATION_COLUMNS = ("farm_location", "gateway_location", "device_location")
 
-ENRICHED_TELEMETRY = StructType(
-    TELEMETRY_MSG.fields
-    + [StructField("ts_kafka_ingest", LongType()),
-       StructField("farm_id", StringType())]
-    + [StructField(c, GEO) for c in LOCATION_COLUMNS]
-)
-
 CLEANED_ALERT = StructType([
     StructField("device_id", StringType()),
     StructField("gateway_id", StringType()),
@@ -98,6 +94,8 @@ ALERT_DOC = StructType([
     StructField("device_location", GEO),
     StructField("gateway_location", GEO),
     StructField("farm_location", GEO),
+    StructField("ts_kafka_ingest", LongType()),
+    StructField("ts_before_es", LongType()),
 ])
 
 PLACE = StructType([
@@ -113,18 +111,3 @@ BRIDGE = StructType([
 ])
 
 ROUTE = StructType([StructField("farm_id", StringType()), StructField("email", StringType())])
-
-LATENCY_ROW = StructType([
-    StructField("gateway_ts", LongType()),
-    StructField("ts_kafka_ingest", LongType()),
-    StructField("ts_before_es", LongType()),
-    StructField("created_at", TimestampType()),
-    StructField("index", StringType()),
-])
-
-COUNTER_SAMPLE = StructType([
-    StructField("index", StringType()),
-    StructField("sample_ts", TimestampNTZType()),
-    StructField("total", LongType()),
-    StructField("time_ms", LongType()),
-])

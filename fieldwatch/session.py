@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, app: str = "fieldwatch", shuffle_partitions: int | None = None,
@@ -61,14 +61,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    checkpoint_dir(spark)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared checkpoint folder and read it back. Lineage is
+    cut, and a join on the result sees a plain scan and exchange instead of an
+    aggregate, so adaptive execution can split a hot key of the other side."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def default_parallelism(spark: SparkSession) -> int:
@@ -76,11 +75,3 @@ def default_parallelism(spark: SparkSession) -> int:
         return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     except Exception:  # pragma: no cover
         return max(spark.sparkContext.defaultParallelism, 1)
-
-
-def local_path(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
-__all__ = ["build_session", "checkpoint_dir", "ensure_checkpoint_dir", "scratch_path",
-           "default_parallelism", "local_path"]

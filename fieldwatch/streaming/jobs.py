@@ -11,16 +11,22 @@ from __future__ import annotations
 import time
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from fieldwatch.config import CLEANED_ALERT_TOPIC, DEFAULT_PARAMS, Params
+from fieldwatch.config import CLEANED_ALERT_TOPIC, DEFAULT_PARAMS, RAW_ALERT_TOPIC, RAW_TELEMETRY_TOPIC, Params
 from fieldwatch.functions import jsonio
+from fieldwatch.functions.scalars import clamp
 from fieldwatch.operators import alerts as A
+from fieldwatch.operators import dimension as D
 from fieldwatch.operators import notify as N
 from fieldwatch.operators import telemetry as T
+from fieldwatch.operators.alerts import fleet_step
 from fieldwatch.schemas import ALERT_DOC, CLEANED_ALERT, TELEMETRY_DOC
+from fieldwatch.session import written
+from fieldwatch.sinks import storage
 from fieldwatch.sinks import writers as W
+from fieldwatch.streaming.sources import topic_file
 from fieldwatch.streaming.state import dedup_stream
 
 DEFAULT_TRIGGER = "10 seconds"
@@ -28,33 +34,31 @@ DEFAULT_TRIGGER = "10 seconds"
 
 class LocationCache:
     """The location dimension, re-read when older than ``ttl_s`` (and, for
-    the telemetry job, when it was empty). ``loader`` returns a DataFrame."""
+    the telemetry job, when it was empty). ``loader`` returns a DataFrame; it is
+    written to the shared folder once per load, so micro-batches neither repeat
+    its joins nor notice when its files are replaced."""
 
-    def __init__(self, loader: Callable[[], DataFrame], ttl_s: float = 300.0, reload_if_empty: bool = False):
-        self.loader, self.ttl_s, self.reload_if_empty = loader, ttl_s, reload_if_empty
-        self._df, self._loaded = None, 0.0
+    def __init__(self, loader: Callable[[], DataFrame], ttl_s: float = 300.0, reload_if_empty: bool = False,
+                 clock: Callable[[], float] = time.time):
+        self.loader, self.ttl_s, self.reload_if_empty, self.clock = loader, ttl_s, reload_if_empty, clock
+        self._df, self._loaded, self._empty = None, 0.0, True
 
     def get(self) -> DataFrame:
-        now = time.time()
-        stale = self._df is None or (now - self._loaded) > self.ttl_s
-        if not stale and self.reload_if_empty and self._df.isEmpty():
-            stale = True
-        if stale:
-            self._df, self._loaded = self.loader(), now
+        now = self.clock()
+        if self._df is None or (now - self._loaded) > self.ttl_s or (self.reload_if_empty and self._empty):
+            self._df, self._loaded = written(self.loader(), "locations"), now
+            self._empty = self._df.isEmpty()
         return self._df
 
 
-def _write_if_any(batch: DataFrame, name: str, write) -> int:
-    """Skip an empty micro-batch; otherwise run ``write(batch)`` with an
-    observed row count (computed by the write itself) and report it."""
-    from pyspark.sql import Observation
-
-    if batch.isEmpty():
-        return 0
+def _counted(batch: DataFrame, name: str, write) -> int:
+    """Run ``write(batch)`` once with an observed row count, which the write
+    itself computes, and report it. An empty batch writes no rows."""
     obs = Observation(name)
     write(batch.observe(obs, F.count(F.lit(1)).alias("rows")))
     n = int(obs.get.get("rows", 0))
-    print(f"[{name}] inserted batch: {n}")
+    if n:
+        print(f"[{name}] inserted batch: {n}")
     return n
 
 
@@ -91,8 +95,8 @@ def start_telemetry_enrichment(source: DataFrame, locations: LocationCache, out_
     parsed = ingest_stamp(jsonio.parse_telemetry(source))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _write_if_any(T.enrich(batch, locations.get()), "telemetry_enrichment",
-                      lambda df: W.write_documents(df, out_path, TELEMETRY_DOC, batch_id))
+        _counted(T.enrich(batch, locations.get()), "telemetry_enrichment",
+                 lambda df: W.write_documents(df, out_path, TELEMETRY_DOC, batch_id))
 
     w = parsed.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).queryName("telemetry_enrichment").start()
@@ -128,8 +132,8 @@ def start_alert_cleanup(source: DataFrame, locations: LocationCache, out_path: s
         batch = batch.persist()  # read by two writers
         try:
             cleaned = A.conform_cleaned(T.enrich(batch, locations.get()))
-            if _write_if_any(cleaned, "alert_cleanup",
-                             lambda df: W.write_documents(df, out_path, ALERT_DOC, batch_id)) == 0:
+            if _counted(cleaned, "alert_cleanup",
+                        lambda df: W.write_documents(df, out_path, ALERT_DOC, batch_id)) == 0:
                 return
             out = W.stamp_before_write(cleaned).drop("created_at")
             W.write_topic(out.select(*[f.name for f in CLEANED_ALERT.fields]), CLEANED_ALERT_TOPIC,
@@ -165,37 +169,54 @@ def start_notifier(cleaned_source: DataFrame, routes: DataFrame, out_path: str,
 
 # --- gateway: windowed telemetry aggregate ---------------------------------------------------------
 
-def start_gateway_telemetry(readings: DataFrame, dev_gw: DataFrame, topic_folder: str, checkpoint: str,
+def start_gateway_telemetry(readings: DataFrame, dev_gw: DataFrame, topic_folder: str | None, checkpoint: str,
                             params: Params = DEFAULT_PARAMS, watermark: str | None = None,
-                            event_time: str = "event_time", trigger: str | None = DEFAULT_TRIGGER):
+                            event_time: str = "event_time", trigger: str | None = DEFAULT_TRIGGER,
+                            kafka: str | None = None):
     """ST5 (A1 on a stream): clamped readings -> event-time tumbling windows
-    with a watermark -> telemetry messages as NDJSON on the telemetry topic
-    folder (N6). Rows later than the watermark are dropped and counted by the
-    engine (``numRowsDroppedByWatermark`` in the query progress)."""
-    from fieldwatch.config import RAW_TELEMETRY_TOPIC
-    from fieldwatch.functions.scalars import clamp
-    from fieldwatch.streaming.sources import topic_file
-
+    with a watermark -> telemetry messages on the telemetry topic: Kafka (N13) when
+    a broker is given, else its NDJSON folder (N6). Rows later than the watermark
+    are dropped and counted by the engine (``numRowsDroppedByWatermark`` in the
+    query progress)."""
+    if not kafka and not topic_folder:
+        raise ValueError("either kafka or topic_folder is required")
     wm = watermark or f"{params.window_ms} milliseconds"
     stats = T.device_window_stats_stream(clamp(readings, params.clamp_bounds), params.window_ms, wm, event_time,
                                          dev_gw)
     values = jsonio.rows_to_json(stats)
-    target = f"{topic_folder.rstrip('/')}/{topic_file(RAW_TELEMETRY_TOPIC)}"
-    w = (values.writeStream.outputMode("append").format("text").option("path", target)
-         .option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).queryName("gateway_telemetry").start()
+    if kafka:
+        w = (values.writeStream.outputMode("append").format("kafka").option("kafka.bootstrap.servers", kafka)
+             .option("topic", RAW_TELEMETRY_TOPIC))
+    else:
+        target = f"{topic_folder.rstrip('/')}/{topic_file(RAW_TELEMETRY_TOPIC)}"
+        w = values.writeStream.outputMode("append").format("text").option("path", target)
+    return _trigger(w.option("checkpointLocation", checkpoint), trigger).queryName("gateway_telemetry").start()
 
 
-def start_raw_telemetry_sink(records: DataFrame, folder: str, checkpoint: str, flush: str = "30 seconds"):
+def start_raw_telemetry_sink(records: DataFrame, folder: str, checkpoint: str, flush: str = "30 seconds",
+                             json_copy: str | None = None):
     """N5 + W7: raw gateway records to day-partitioned Parquet, flushed every
     ``flush`` (the reference writes a file when 30 s have passed and its
-    buffer is non-empty; an empty trigger writes nothing here either)."""
-    out = records.withColumn("day", F.to_date(F.timestamp_millis(F.col("gateway_ts"))))
-    w = (out.writeStream.outputMode("append").format("parquet").option("path", folder)
-         .option("checkpointLocation", checkpoint).partitionBy("day"))
+    buffer is non-empty; an empty trigger writes no rows here either). Each batch
+    is a folder of its own, which the archive job may take away."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        W.write_raw_telemetry(batch, folder, json_copy, batch_id)
+
+    w = records.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(w, flush).queryName("raw_telemetry").start()
 
 
+def start_rejects_sink(readings: DataFrame, dev_gw: DataFrame, folder: str, checkpoint: str,
+                       trigger: str | None = DEFAULT_TRIGGER):
+    """J4 rejects on a stream: readings of unregistered devices, which neither the
+    telemetry nor the alert query publishes, kept in a table of their own."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        W.write_notifications(D.unknown_devices(batch, dev_gw), folder, batch_id)
+
+    w = readings.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).queryName("gateway_rejects").start()
+
+
 def await_all(spark: SparkSession, timeout: float | None = None) -> None:
     """ST12."""
     spark.streams.awaitAnyTermination(timeout)
@@ -220,62 +241,61 @@ def start_gateway_alerts(readings: DataFrame, dev_gw: DataFrame, state_dir: str,
     (their count is printed). Micro-batches may therefore cut windows anywhere.
     Per batch ``n`` three small tables are written under ``state_dir``: the
     device state, the pending readings and the watermark mark, each as version
-    ``n``. Batch ``n`` reads version ``n - 1``, so a replayed batch rewrites the
-    same version: replays are idempotent.
+    ``n``, also for batches without rows. Batch ``n`` reads version ``n - 1``, so a
+    replayed batch rewrites the same version: replays are idempotent. A missing or
+    unreadable version stops the query; it never starts again from nothing. Older
+    versions are removed once the next one stands.
     """
-    from fieldwatch.config import RAW_ALERT_TOPIC
-    from fieldwatch.operators.alerts import fleet_step
-
     spark = readings.sparkSession
     cols = ["device_id", "gateway_ts", "state", "details", seq]
+    empty_state = spark.createDataFrame([], "device_id string, last_state string, last_alert_ts long, last_ts long")
 
     def read_version(table: str, version: int):
-        if version < 0:
-            return None
-        try:
-            return spark.read.parquet(_state_path(state_dir, version, table))
-        except Exception:  # noqa: BLE001 - no such version (first batch with data)
-            return None
+        return spark.read.parquet(_state_path(state_dir, version, table)) if version >= 0 else None
+
+    def write_version(df: DataFrame, table: str, version: int) -> None:
+        df.write.mode("overwrite").parquet(_state_path(state_dir, version, table))
+
+    def remove_before(version: int) -> None:
+        for table in ("state", "pending", "mark"):
+            for path, name, _ in storage.children(spark, f"{state_dir.rstrip('/')}/{table}"):
+                if name.startswith("v=") and int(name[2:]) < version:
+                    storage.delete(spark, path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         prev_state = read_version("state", batch_id - 1)
         pending = read_version("pending", batch_id - 1)
         mark = read_version("mark", batch_id - 1)
-        seen_max, done_upto = (None, None)
-        if mark is not None:
-            m = mark.first()  # one row: the watermark bookkeeping
-            seen_max, done_upto = m["seen_max"], m["done_upto"]
+        m = mark.first() if mark is not None else None  # one row: the watermark bookkeeping
+        seen_max, done_upto = (m["seen_max"], m["done_upto"]) if m else (None, None)
         rows = batch.select(*cols)
         if pending is not None:
             rows = pending.select(*cols).unionByName(rows)
         rows = rows.persist()
         try:
-            new_max = rows.agg(F.max("gateway_ts")).first()[0]
-            new_max = max(x for x in (seen_max, new_max) if x is not None) if (seen_max or new_max) else None
-            if new_max is None:
-                return
-            closed_upto = new_max - lateness_ms - 1  # windows ending before this are closed
+            stamps = [x for x in (seen_max, rows.agg(F.max("gateway_ts")).first()[0]) if x is not None]
+            new_max = max(stamps, default=None)
+            closed_upto = None if new_max is None else new_max - lateness_ms - 1  # windows that end before are closed
             late = F.lit(False) if done_upto is None else F.col("gateway_ts") <= F.lit(done_upto)
             n_late = rows.filter(late).count()
             if n_late:
                 print(f"[gateway_alerts] batch {batch_id}: {n_late} late readings dropped")
-            ready = rows.filter(~late & (F.col("gateway_ts") <= F.lit(closed_upto)))
-            still_open = rows.filter(~late & (F.col("gateway_ts") > F.lit(closed_upto)))
-            nxt_done = done_upto
-            if not ready.isEmpty():
+            ready = rows.filter(~late & (F.col("gateway_ts") <= F.lit(closed_upto).cast("long")))
+            still_open = rows.filter(~late & (F.col("gateway_ts") > F.lit(closed_upto).cast("long")))
+            done = ready.agg(F.max("gateway_ts")).first()[0]
+            if done is not None:
                 alerts, nxt = fleet_step(ready, dev_gw, params, prev_state, seq)
-                nxt.write.mode("overwrite").parquet(_state_path(state_dir, batch_id, "state"))
+                write_version(nxt, "state", batch_id)
                 W.write_topic(alerts.drop("seq"), RAW_ALERT_TOPIC, kafka=kafka, folder=topic_folder,
                               batch_id=batch_id)
-                nxt_done = ready.agg(F.max("gateway_ts")).first()[0]
-            elif prev_state is not None:
-                prev_state.write.mode("overwrite").parquet(_state_path(state_dir, batch_id, "state"))
-            still_open.write.mode("overwrite").parquet(_state_path(state_dir, batch_id, "pending"))
-            spark.createDataFrame([(int(new_max), None if nxt_done is None else int(nxt_done))],
-                                  "seen_max long, done_upto long") \
-                .write.mode("overwrite").parquet(_state_path(state_dir, batch_id, "mark"))
+            else:
+                write_version(empty_state if prev_state is None else prev_state, "state", batch_id)
+            write_version(still_open, "pending", batch_id)
+            write_version(spark.createDataFrame([(new_max, done_upto if done is None else done)],
+                                                "seen_max long, done_upto long"), "mark", batch_id)
         finally:
             rows.unpersist()
+        remove_before(batch_id - 1)  # the version before stays for a replay of this batch
 
     w = readings.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).queryName("gateway_alerts").start()

@@ -15,13 +15,72 @@ from pyspark.sql import functions as F
 from fieldwatch.config import (ALERT_INDEX, CLEANED_ALERT_TOPIC, DEFAULT_PARAMS, RAW_ALERT_TOPIC,
                                RAW_TELEMETRY_TOPIC, TELEMETRY_INDEX)
 from fieldwatch.session import build_session, checkpoint_dir
+from fieldwatch.streaming.sources import file_lines
+
+
+STREAMING = ("telemetry", "alerts", "notifier", "gateway")
 
 
 def _source(spark, args, topic, offsets):
     from fieldwatch.streaming.sources import topic_file, topic_stream
     if args.kafka:
-        return topic_stream(spark, topic, kafka=args.kafka, starting_offsets=offsets)
-    return topic_stream(spark, topic, folder=f"{args.topics.rstrip('/')}/{topic_file(topic)}")
+        return topic_stream(spark, topic, kafka=args.kafka, starting_offsets=offsets,
+                            max_per_trigger=args.max_per_trigger)
+    return topic_stream(spark, topic, folder=f"{args.topics.rstrip('/')}/{topic_file(topic)}",
+                        max_per_trigger=args.max_per_trigger)
+
+
+def _checkpoint(spark, args) -> str:
+    """Where streaming state lives. Streaming jobs need a folder that outlives the
+    process, so a scratch folder made up for a local session is refused."""
+    configured = args.checkpoint or spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and args.job in STREAMING:
+        raise SystemExit(f"{args.job}: give --checkpoint or set spark.checkpoint.dir")
+    return (configured or checkpoint_dir(spark)).rstrip("/") + f"/{args.job}"
+
+
+def _params(args):
+    """The gateway's settings from the command line."""
+    bounds = dict(DEFAULT_PARAMS.thresholds)
+    for text in args.threshold or ():
+        metric, low, high = text.split(",")
+        if metric not in bounds:
+            raise ValueError(f"unknown metric: {metric}")
+        bounds[metric] = (float(low), float(high))
+    return DEFAULT_PARAMS.with_(window_ms=args.window_ms, cooldown_ms=args.cooldown_ms,
+                                recovery_ms=args.recovery_ms, offline_ms=args.offline_ms, thresholds=bounds)
+
+
+def _gateway(spark, args, ckpt) -> list:
+    """Start the gateway's queries: telemetry, alerts, and, where folders are
+    given, raw records and rejects. Returns their handles."""
+    from fieldwatch.functions.jsonio import parse_json
+    from fieldwatch.functions.scalars import clamp, state_col, violations_col
+    from fieldwatch.functions.timefmt import window_end_ms
+    from fieldwatch.operators.telemetry import raw_records
+    from fieldwatch.schemas import READING
+    from fieldwatch.session import written
+    from fieldwatch.sources.tables import load_device_gateway
+    from fieldwatch.streaming import jobs as J
+
+    p = _params(args)
+    dev_gw = written(load_device_gateway(spark, args.dims), "device-gateways")
+    raw = parse_json(file_lines(spark, args.input, args.max_per_trigger), READING, keep=("seq",))
+    r = clamp(raw.withColumn("event_time", F.timestamp_millis("device_ts")), p.clamp_bounds)
+    queries = [J.start_gateway_telemetry(r, dev_gw, args.topics, f"{ckpt}/telemetry", p, trigger=args.trigger,
+                                         kafka=args.kafka)]
+    classified = (r.withColumn("gateway_ts", window_end_ms(F.col("device_ts"), p.window_ms))
+                  .withColumn("state", state_col(p.thresholds)).withColumn("details", violations_col(p.thresholds)))
+    queries.append(J.start_gateway_alerts(classified, dev_gw, f"{ckpt}/state", f"{ckpt}/alerts", params=p,
+                                          topic_folder=args.topics, kafka=args.kafka, trigger=args.trigger,
+                                          lateness_ms=args.lateness_ms))
+    if args.out:
+        records = raw_records(r.drop("event_time", "seq"), dev_gw, p.window_ms)
+        flush = args.trigger if args.trigger == "availableNow" else args.flush
+        queries.append(J.start_raw_telemetry_sink(records, args.out, f"{ckpt}/raw", flush))
+    if args.out2:
+        queries.append(J.start_rejects_sink(raw, dev_gw, args.out2, f"{ckpt}/rejects", args.trigger))
+    return queries
 
 
 def main(argv=None) -> int:
@@ -32,10 +91,19 @@ def main(argv=None) -> int:
     ap.add_argument("--topics", help="folder of topic NDJSON folders (when no Kafka)")
     ap.add_argument("--dims", help="folder with farm, gateway, device, farm_gateway_device Parquet")
     ap.add_argument("--routes", help="alert_routes Parquet")
-    ap.add_argument("--out", help="output table / folder")
-    ap.add_argument("--out2", help="second output (unrouted alerts, raw alert log)")
+    ap.add_argument("--out", help="output table / folder (gateway: raw records)")
+    ap.add_argument("--out2", help="second output (unrouted alerts, raw alert log, rejects, latency rows)")
     ap.add_argument("--input", help="input folder (readings, logs, raw Parquet, documents)")
-    ap.add_argument("--checkpoint")
+    ap.add_argument("--checkpoint", help="folder of streaming checkpoints and state (default: spark.checkpoint.dir)")
+    ap.add_argument("--max-per-trigger", type=int, default=1000,
+                    help="offsets (Kafka) or files per micro-batch, so that a backlog is worked off in parts")
+    ap.add_argument("--window-ms", type=int, default=DEFAULT_PARAMS.window_ms)
+    ap.add_argument("--cooldown-ms", type=int, default=DEFAULT_PARAMS.cooldown_ms)
+    ap.add_argument("--recovery-ms", type=int, default=DEFAULT_PARAMS.recovery_ms)
+    ap.add_argument("--offline-ms", type=int, default=DEFAULT_PARAMS.offline_ms)
+    ap.add_argument("--lateness-ms", type=int, default=0)
+    ap.add_argument("--threshold", action="append", metavar="METRIC,LOW,HIGH", help="critical bounds of a metric")
+    ap.add_argument("--flush", default="30 seconds", help="gateway: raw record flush interval")
     ap.add_argument("--trigger", default="10 seconds")
     ap.add_argument("--dedup-window", type=int, default=DEFAULT_PARAMS.dedup_window)
     ap.add_argument("--raw-log-window", type=int, default=300)
@@ -44,7 +112,7 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
 
     spark = build_session(app=f"fieldwatch-{args.job}")
-    ckpt = (args.checkpoint or checkpoint_dir(spark)).rstrip("/") + f"/{args.job}"
+    ckpt = _checkpoint(spark, args)
     from fieldwatch.streaming import jobs as J
 
     if args.job in ("telemetry", "alerts"):
@@ -65,21 +133,12 @@ def main(argv=None) -> int:
                          args.out, args.out2, ckpt, args.trigger)
         J.await_all(spark)
     elif args.job == "gateway":
-        from fieldwatch.functions.scalars import clamp, state_col, violations_col
-        from fieldwatch.functions.timefmt import window_end_ms
-        from fieldwatch.schemas import READING
-        from fieldwatch.sources.tables import load_device_gateway
-        p = DEFAULT_PARAMS
-        dev_gw = load_device_gateway(spark, args.dims)
-        raw = spark.readStream.schema(READING).json(args.input)
-        r = clamp(raw.withColumn("event_time", F.timestamp_millis("device_ts")), p.clamp_bounds)
-        J.start_gateway_telemetry(r, dev_gw, args.topics, f"{ckpt}/telemetry", p, trigger=args.trigger)
-        classified = (r.withColumn("gateway_ts", window_end_ms(F.col("device_ts"), p.window_ms))
-                      .withColumn("state", state_col(p.thresholds)).withColumn("details", violations_col(p.thresholds))
-                      .withColumn("seq", F.col("device_ts")))
-        J.start_gateway_alerts(classified, dev_gw, f"{ckpt}/state", f"{ckpt}/alerts", params=p,
-                               topic_folder=args.topics, kafka=args.kafka, trigger=args.trigger)
-        J.await_all(spark)
+        queries = _gateway(spark, args, ckpt)
+        if args.trigger == "availableNow":
+            for q in queries:
+                q.awaitTermination()
+        else:
+            J.await_all(spark)
     elif args.job == "archive-alerts":
         from fieldwatch.sinks.archive import archive_alert_logs
         stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M")
@@ -95,6 +154,8 @@ def main(argv=None) -> int:
                                 ALERT_INDEX: spark.read.parquet(f"{args.input}/{ALERT_INDEX}")})
         as_of = F.lit(args.as_of).cast("timestamp") if args.as_of else F.current_timestamp()
         legs = E.latency_legs(E.latency_rows(E.recent(docs, as_of)))
+        # one row per document, and the statistics over them
+        write_csv(legs, args.out2 or f"{args.out.rstrip('/')}_documents")
         write_csv(E.latency_stats(legs), args.out)
     elif args.job == "speed-report":
         from fieldwatch.operators import evaluation as E

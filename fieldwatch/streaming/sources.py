@@ -34,15 +34,23 @@ def topic_stream(spark: SparkSession, topic: str, *, kafka: str | None = None, f
                          (F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")).alias("seq"))
     if folder is None:
         raise ValueError("either kafka or folder is required")
-    r = spark.readStream.format("text")
+    return file_lines(spark, folder, max_per_trigger)
+
+
+LINES_PER_FILE = 1 << 22
+
+
+def file_lines(spark: SparkSession, folder: str, max_per_trigger: int | None = None) -> DataFrame:
+    """The lines of a folder's files as a stream of ``value`` with their arrival
+    ``seq``: files by modification time, lines by their place in the file. A file
+    is read as one row, so producers must roll files (a few MB) as topic folders do."""
+    r = spark.readStream.format("text").option("wholetext", True)
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", max_per_trigger)
-    df = r.load(folder)
-    # a file line has no offset: arrival = the file's modification time, ties
-    # inside a file broken by a content hash (deterministic across replays)
     mtime = F.unix_millis(F.col("_metadata.file_modification_time"))
-    seq = mtime * F.lit(1_000_000) + F.pmod(F.xxhash64("value"), F.lit(1_000_000))
-    return df.select("value", seq.alias("seq"))
+    lines = r.load(folder).select(mtime.alias("at"), F.posexplode(F.split("value", "\r?\n")).alias("pos", "value"))
+    return (lines.filter(F.length("value") > 0)
+            .select("value", (F.col("at") * LINES_PER_FILE + F.col("pos")).alias("seq")))
 
 
 def topic_batch(spark: SparkSession, topic: str, *, kafka: str | None = None, folder: str | None = None,

@@ -32,6 +32,79 @@ def test_documents_idempotent_per_batch(spark):
     assert dict(out.dtypes)["temperature_avg"] == "float" and dict(out.dtypes)["count"] == "int"
 
 
+def test_ensure_table_never_touches_what_it_cannot_read(spark):
+    """One unreadable file must not cost the table its rows."""
+    root = tempfile.mkdtemp(prefix="fw-n12-")
+    schema = spark.range(0).schema
+    spark.range(100).repartition(4).write.parquet(f"{root}/t")
+    before = sorted(os.listdir(f"{root}/t"))
+    broken = next(f for f in before if f.endswith(".parquet"))
+    with open(f"{root}/t/{broken}", "wb") as f:
+        f.write(b"not parquet")
+    W.ensure_table(spark, f"{root}/t", schema)
+    assert sorted(os.listdir(f"{root}/t")) == before
+    W.ensure_table(spark, f"{root}/new", schema)
+    assert spark.read.parquet(f"{root}/new").count() == 0
+
+
+def test_raw_log_replay_in_a_later_bucket_replaces_the_batch(spark):
+    """The bucket is the clock's, the batch owns its rows."""
+    root = tempfile.mkdtemp(prefix="fw-w6-")
+    df = spark.createDataFrame([("d1", 1)], "device_id string, n int")
+    for seconds in (300, 7):  # another bucket length: another bucket folder
+        W.write_raw_log(df, f"{root}/log", seconds, batch_id=4)
+    W.write_raw_log(df, f"{root}/log", 300, batch_id=5)
+    assert spark.read.text(f"{root}/log").count() == 2
+
+
+def test_raw_records_survive_archive_runs_between_batches(spark):
+    """N5 then N8, twice: the stream goes on after its files were archived."""
+    from fieldwatch.schemas import RAW_RECORD
+    from fieldwatch.streaming import jobs as J
+
+    root = tempfile.mkdtemp(prefix="fw-n5-")
+    os.makedirs(f"{root}/in")
+    total = 0
+    for k in range(3):
+        rows = [("d", 1000 * k + j, "t", 1.0, 2.0, 3.0, 4.0, "OK", "g", 1000 * k + j, "t") for j in range(5 + k)]
+        spark.createDataFrame(rows, RAW_RECORD).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        records = spark.readStream.schema(RAW_RECORD).parquet(f"{root}/in")
+        J.start_raw_telemetry_sink(records, f"{root}/raw", f"{root}/ckpt", "availableNow").awaitTermination()
+        total += AR.archive_raw_telemetry(spark, f"{root}/raw", f"{root}/archive", f"r{k}")
+        assert AR.archive_raw_telemetry(spark, f"{root}/raw", f"{root}/archive", f"r{k}b") == 0
+    assert total == 5 + 6 + 7 == spark.read.parquet(f"{root}/archive").count()
+
+
+def test_archive_takes_up_the_claim_of_a_failed_run(spark):
+    root = tempfile.mkdtemp(prefix="fw-claim-")
+    os.makedirs(f"{root}/logs/batch_id=1/bucket=0")
+    with open(f"{root}/logs/batch_id=1/bucket=0/part-0.txt", "w") as f:
+        f.write("a\nb\n")
+    assert AR.claim(spark, f"{root}/logs", "s0") is None  # no _SUCCESS: still being written
+    open(f"{root}/logs/batch_id=1/_SUCCESS", "w").close()
+    assert AR.claim(spark, f"{root}/logs", "s1")  # and the run fails here
+    with open(f"{root}/logs/raw_alert_9.log", "w") as f:
+        f.write("c\n")
+    assert AR.archive_alert_logs(spark, f"{root}/logs", f"{root}/archive", "s2") == 3
+
+
+def test_alert_archive_is_sorted_by_file(spark):
+    """K4: lines in the order of their files, and of their places in them."""
+    root = tempfile.mkdtemp(prefix="fw-k4-")
+    os.makedirs(f"{root}/logs")
+    want = []
+    for i in range(4):
+        lines = [f"file {i} line {j:03d}" for j in range(50)]
+        want += lines
+        with open(f"{root}/logs/raw_alert_{i}.log", "w") as f:
+            f.write("\n".join(lines) + "\n")
+    AR.archive_alert_logs(spark, f"{root}/logs", f"{root}/archive", "k4")
+    got = []
+    for part in sorted(glob.glob(f"{root}/archive/alerts_k4/part-*")):
+        got += [r.value for r in spark.read.text(part).collect()]
+    assert got == want
+
+
 def test_alert_log_archive_verifies_then_deletes(spark):
     root = tempfile.mkdtemp(prefix="fw-logs-")
     os.makedirs(f"{root}/logs")

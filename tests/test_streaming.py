@@ -163,3 +163,99 @@ def test_gateway_alerts_drop_late_readings(spark):
     exp = {(r.device_id, r.gateway_ts, r.state) for r in A.fleet_alerts(rdf, dev_gw, P).collect()
            if r.gateway_ts < b + 70}  # the newest window is still open
     assert got == exp and len(exp) > 3
+
+
+def test_gateway_alerts_stop_when_their_state_is_gone(spark):
+    """ST7: a lost or unreadable state version stops the query, it never resets it;
+    versions older than the last two are removed."""
+    import json
+    import shutil
+
+    import pytest
+
+    from fieldwatch.config import Params
+
+    root = tempfile.mkdtemp(prefix="fw-gwstate-")
+    os.makedirs(f"{root}/in")
+    schema = "device_id string, gateway_ts long, state string, details array<string>, seq long"
+    dev_gw = spark.createDataFrame([("a", "g")], "device_id string, gateway_id string")
+
+    def feed(k):
+        path = f"{root}/in/part-{k}.json"
+        with open(path, "w") as f:
+            f.write(json.dumps({"device_id": "a", "gateway_ts": 1000 + 10 * k, "state": "CRITICAL", "details": [],
+                                "seq": k}) + "\n")
+        os.utime(path, (1_700_000_000 + k * 10, 1_700_000_000 + k * 10))
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{root}/in")
+        q = J.start_gateway_alerts(stream, dev_gw, f"{root}/state", f"{root}/ckpt",
+                                   params=Params(window_ms=10, cooldown_ms=20, recovery_ms=5, offline_ms=30),
+                                   topic_folder=f"{root}/topics", trigger="availableNow")
+        q.awaitTermination()
+
+    for k in range(4):
+        feed(k)
+    run()
+    assert sorted(os.listdir(f"{root}/state/mark")) == ["v=2", "v=3"]
+    shutil.move(f"{root}/state/state/v=3", f"{root}/lost")
+    feed(4)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        run()
+    assert not os.path.exists(f"{root}/state/mark/v=4")
+    shutil.move(f"{root}/lost", f"{root}/state/state/v=3")
+    run()
+    assert os.path.exists(f"{root}/state/mark/v=4")
+
+
+def test_location_cache_expires_and_reloads_when_empty(spark):
+    """One load within the lifetime, a new one after it, and at once while empty."""
+    now, loads = [0.0], []
+
+    def loader():
+        loads.append(now[0])
+        return spark.range(0 if len(loads) == 1 else 3)
+
+    cache = J.LocationCache(loader, ttl_s=100, reload_if_empty=True, clock=lambda: now[0])
+    assert cache.get().count() == 0
+    now[0] = 1.0
+    assert cache.get().count() == 3  # was empty
+    now[0] = 90.0
+    assert cache.get() is cache.get() and len(loads) == 2
+    now[0] = 102.0
+    cache.get()
+    assert loads == [0.0, 1.0, 102.0]
+    strict = J.LocationCache(lambda: spark.range(0), ttl_s=100, clock=lambda: now[0])
+    assert strict.get() is strict.get()  # an empty dimension is kept where that is asked for
+
+
+def test_progress_samples_feed_the_rate(spark):
+    """S11 on a live query: cumulative counters, usable by counter_rate."""
+    from fieldwatch.operators import evaluation as E
+
+    root = tempfile.mkdtemp(prefix="fw-progress-")
+    for k in range(3):
+        spark.range(10 * (k + 1)).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    q = (spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{root}/in").writeStream
+         .queryName("live").foreachBatch(lambda b, n: None).option("checkpointLocation", f"{root}/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    samples = J.progress_samples(q)
+    totals = [s["total"] for s in samples]
+    assert totals == sorted(totals) and totals[-1] == 60 and all(s["index"] == "live" for s in samples)
+    df = spark.createDataFrame([(s["index"], s["sample_ts"], s["total"], s["time_ms"]) for s in samples],
+                               "index string, sample_ts string, total long, time_ms long")
+    assert E.counter_rate(df).count() == len(samples) - 1
+
+
+def test_file_topics_keep_the_order_of_lines(spark):
+    root = tempfile.mkdtemp(prefix="fw-order-")
+    for k, name in enumerate(["b", "a"]):
+        with open(f"{root}/{name}.json", "w") as f:
+            f.write("".join(f"{name}{j}\n" for j in range(500)))
+        os.utime(f"{root}/{name}.json", (1_700_000_000 + k, 1_700_000_000 + k))
+    q = (topic_stream(spark, "t", folder=root).writeStream.format("memory").queryName("lines")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = [r.value for r in spark.table("lines").orderBy("seq").collect()]
+    assert got == [f"b{j}" for j in range(500)] + [f"a{j}" for j in range(500)]
