@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldwatch.config import NOTIFICATION_TEMPLATE
-from fieldwatch.session import default_parallelism
 
 
 def routes_by_farm(routes: DataFrame) -> DataFrame:
@@ -43,11 +42,6 @@ def render(template: str, *values):
 def notifications(alerts: DataFrame, routes: DataFrame) -> DataFrame:
     """J5 + P25: one row per alert and recipient of its farm (a duplicated
     route sends twice), with the rendered message."""
-    # The join multiplies rows by the recipients of a farm. AQE sizes the alert
-    # side's partitions from its pre-join bytes and would coalesce a small alert
-    # table into one task that renders every message; a fixed-count
-    # repartition (which AQE leaves alone) spreads the fan-out instead.
-    alerts = alerts.repartition(default_parallelism(alerts.sparkSession))
     j = alerts.join(routes.select("farm_id", "email"), "farm_id", "inner")
     lat = F.col("device_location.lat")
     lon = F.col("device_location.lon")

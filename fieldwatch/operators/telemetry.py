@@ -35,12 +35,14 @@ def device_window_stats(readings: DataFrame, window_ms: int, dev_gw: DataFrame |
     ``groupBy`` aggregates partially before the shuffle, so a busy device
     contributes one partial row per map task and window, not all its readings.
     The gateway id is joined after the aggregation, on the far smaller result.
+    With ``dev_gw`` only registered devices are published, as the gateway's strict
+    lookup (J4) demands; readings of others are ``dimension.unknown_devices``.
     """
     gts = window_end_ms(F.col("device_ts"), window_ms)
     agg = readings.groupBy("device_id", gts.alias("gateway_ts")).agg(*_stat_aggs())
     agg = agg.withColumn("gateway_ts_iso", iso_of_ms(F.col("gateway_ts")))
     if dev_gw is not None:
-        agg = agg.join(dev_gw, "device_id", "left")
+        agg = agg.join(dev_gw, "device_id")
     else:
         agg = agg.withColumn("gateway_id", F.lit(None).cast("string"))
     stat_cols = [c for c in agg.columns if c not in ("device_id", "gateway_id", "gateway_ts", "gateway_ts_iso",
@@ -60,7 +62,7 @@ def device_window_stats_stream(readings: DataFrame, window_ms: int, watermark: s
     agg = agg.select("device_id", gts.alias("gateway_ts"), iso_of_ms(gts).alias("gateway_ts_iso"),
                      *[c for c in agg.columns if c not in ("w", "device_id")])
     if dev_gw is not None:
-        agg = agg.join(dev_gw, "device_id", "left")
+        agg = agg.join(dev_gw, "device_id")
     else:
         agg = agg.withColumn("gateway_id", F.lit(None).cast("string"))
     return agg

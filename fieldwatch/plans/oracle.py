@@ -44,21 +44,28 @@ def _ctes(p: Params) -> str:
     e1 = emit("o", "f.")
     dd_same = f"(f.ks = a.state AND abs(a.gateway_ts - f.kt) < {DW})"
     return f"""
-farm AS (SELECT 'farm-' || r_regionkey AS id, 11.5{D} + 0.6{D} * r_regionkey AS latitude,
-                107.8{D} + 0.2{D} * r_regionkey AS longitude FROM region),
-gw AS (SELECT n_nationkey, 'gateway-' || n_nationkey AS id,
-              11.5{D} + 0.6{D} * n_regionkey + 0.001{D} * n_nationkey AS latitude,
-              107.8{D} + 0.2{D} * n_regionkey + 0.001{D} * n_nationkey AS longitude FROM nation),
+listing AS (SELECT c_custkey, c_acctbal, c_nationkey, c_custkey // 250 AS block, n_nationkey, n_regionkey
+            FROM customer JOIN nation ON n_nationkey = c_nationkey
+            UNION ALL
+            SELECT c_custkey, c_acctbal, c_nationkey, c_custkey // 250, n_nationkey, n_regionkey
+            FROM customer JOIN nation ON n_nationkey = (c_nationkey + 1) % 25 WHERE c_mktsegment = 'MACHINERY'),
+farm AS (SELECT DISTINCT 'farm-' || n_regionkey || '-' || block AS id,
+                11.5{D} + 0.6{D} * n_regionkey + 0.01{D} * block AS latitude,
+                107.8{D} + 0.2{D} * n_regionkey + 0.01{D} * block AS longitude FROM listing),
+gw AS (SELECT DISTINCT n_nationkey, block, 'gateway-' || n_nationkey || '-' || block AS id,
+              11.5{D} + 0.6{D} * n_regionkey + 0.01{D} * block + 0.001{D} * n_nationkey AS latitude,
+              107.8{D} + 0.2{D} * n_regionkey + 0.01{D} * block + 0.001{D} * n_nationkey AS longitude FROM listing),
 device AS (SELECT 'device-' || c.c_custkey AS id, g.latitude + 0.00001{D} * (c.c_custkey % 50) AS latitude,
                   g.longitude + 0.00001{D} * (c.c_custkey % 50) AS longitude
-           FROM customer c JOIN gw g ON c.c_nationkey = g.n_nationkey),
-bridge AS (SELECT 'farm-' || n.n_regionkey AS farm_id, 'gateway-' || n.n_nationkey AS gateway_id,
-                  'device-' || c.c_custkey AS device_id
-           FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-           WHERE c.c_custkey % 10 <> 9 AND c.c_custkey < (SELECT max(user_id) FROM events) + 6),
-routes AS (SELECT 'farm-' || (s_suppkey % 4) AS farm_id, s_name || '@example.com' AS email FROM supplier
+           FROM customer c JOIN gw g ON c.c_nationkey = g.n_nationkey AND c.c_custkey // 250 = g.block),
+bridge AS (SELECT 'farm-' || n_regionkey || '-' || block AS farm_id,
+                  'gateway-' || n_nationkey || '-' || block AS gateway_id, 'device-' || c_custkey AS device_id
+           FROM listing WHERE c_acctbal >= 0),
+routes AS (SELECT 'farm-' || (s_suppkey % 4) || '-' || (s_suppkey // 10) AS farm_id,
+                  s_name || '@example.com' AS email FROM supplier
            UNION ALL
-           SELECT 'farm-' || (s_suppkey % 4), s_name || '@example.com' FROM supplier WHERE s_suppkey % 10 = 0),
+           SELECT 'farm-' || (s_suppkey % 4) || '-' || (s_suppkey // 10), s_name || '@example.com'
+           FROM supplier WHERE s_acctbal < 0),
 loc_all AS (SELECT b.device_id, b.farm_id, b.gateway_id, f.latitude AS farm_lat, f.longitude AS farm_lon,
                    g.latitude AS gateway_lat, g.longitude AS gateway_lon, d.latitude AS device_lat,
                    d.longitude AS device_lon
@@ -126,7 +133,7 @@ tele AS (SELECT r.device_id, m.gateway_id, r.gateway_ts, any_value(r.gateway_ts_
                 count(*) AS count,
                 {", ".join(f"avg({x}) AS {x}_avg, min({x}) AS {x}_min, max({x}) AS {x}_max, stddev_pop({x}) AS {x}_std"
                            for x in ("temperature", "humidity", "soil_moisture", "light_level"))}
-         FROM gr r LEFT JOIN dev_gw m USING (device_id)
+         FROM gr r JOIN dev_gw m USING (device_id)
          GROUP BY r.device_id, m.gateway_id, r.gateway_ts),
 etele AS (SELECT t.*, l.farm_id, l.farm_lat, l.farm_lon, l.gateway_lat, l.gateway_lon, l.device_lat, l.device_lon
           FROM tele t LEFT JOIN locations l USING (device_id)),
@@ -246,6 +253,8 @@ def oracle_sql(p: Params = FIXTURE_PARAMS) -> dict[str, str]:
         (r.device_ts // {W} + 1) * {W} AS gateway_ts, {_iso(f"(r.device_ts // {W} + 1) * {W}")} AS gateway_ts_iso,
         {_r6(f"greatest(-10.0{D}, least(e.value / 5.0{D}, 60.0{D}))")} AS temperature,
         {_r6(f"greatest(0.0{D}, least(50.0{D} + e.value * 250.0{D}, 120000.0{D}))")} AS light_level,
+        {_r6(f"greatest(0.0{D}, least(CAST(json_extract_string(e.props, '$.k') AS DOUBLE), 100.0{D}))")} AS humidity,
+        {_r6(f"greatest(0.0{D}, least(1.0{D} + CAST((event_id * 37) % 84 AS DOUBLE), 100.0{D}))")} AS soil_moisture,
         r.device_status
         FROM (SELECT event_id, 'device-' || user_id AS device_id, epoch_us(ts) // 1000 AS device_ts,
                      strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS device_ts_iso, 'OK' AS device_status
@@ -272,6 +281,14 @@ def oracle_sql(p: Params = FIXTURE_PARAMS) -> dict[str, str]:
         round(CAST(CAST(light_level_max AS FLOAT) AS DOUBLE), 6) AS light_level_max FROM etele""")
     s["conform_alerts"] = q(f"""SELECT device_id, gateway_id, farm_id, gateway_ts, gateway_ts_iso, state,
         array_to_string(details, '|') AS details, {_pts()} FROM cleaned""")
+    s["alert_documents"] = q(f"""SELECT device_id, farm_id, gateway_ts, state, array_to_string(details, '|') AS details,
+        gateway_ts + 250 AS ts_kafka_ingest, gateway_ts + 400 AS ts_before_es,
+        make_timestamp((gateway_ts + 900) * 1000) AS created_at, {_pts(("device",))} FROM cleaned""")
+    s["union_indices"] = q("""SELECT gateway_ts, gateway_ts + 250 AS ts_kafka_ingest, gateway_ts + 400 AS ts_before_es,
+        make_timestamp((gateway_ts + 900) * 1000) AS created_at, 'farm_cleaned_alerts' AS "index" FROM cleaned
+        UNION ALL
+        SELECT gateway_ts, gateway_ts + 120, gateway_ts + 300, make_timestamp((gateway_ts + 700) * 1000),
+               'farm_enriched_telemetry' FROM etele""")
     s["parse_telemetry"] = q(f"""SELECT device_id, gateway_id, gateway_ts, gateway_ts_iso, count, {stats}
         FROM tele""")
     s["latency_rows"] = q("SELECT gateway_ts, ts_kafka_ingest, ts_before_es, created_at, \"index\" FROM latrows")

@@ -1,8 +1,8 @@
-"""The pipeline as one lazily built plan over the driver's tables.
+"""The data flow over the driver's tables, table by table.
 
-``Pipeline(spark, sf_dir)`` exposes every intermediate table of the reference's
-data flow as a DataFrame; properties are built on first use and shared, so a
-query that needs several of them plans each only once.
+``Pipeline(spark, sf_dir)`` exposes every intermediate table as a DataFrame;
+properties are built on first use and shared. Most are lazy plans; the ordered
+folds and the written dimensions run jobs when they are built.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from fieldwatch.operators import alerts as A
 from fieldwatch.operators import dimension as D
 from fieldwatch.operators import evaluation as E
 from fieldwatch.operators import telemetry as T
+from fieldwatch.session import written
 from fieldwatch.sources import fixtures as FX
 
 
@@ -57,6 +58,15 @@ class Pipeline:
     def dev_gw(self) -> DataFrame:
         return D.device_gateway_map(self.bridge)
 
+    # what readings and alerts are joined with: written once, see ``written``
+    @cached_property
+    def location_table(self) -> DataFrame:
+        return written(self.locations, "locations")
+
+    @cached_property
+    def gateway_table(self) -> DataFrame:
+        return written(self.dev_gw, "device-gateways")
+
     # --- telemetry path -----------------------------------------------------------------
     @cached_property
     def raw_readings(self) -> DataFrame:
@@ -70,20 +80,20 @@ class Pipeline:
     @cached_property
     def telemetry(self) -> DataFrame:
         """A1: aggregated telemetry messages."""
-        return T.device_window_stats(self.readings, self.params.window_ms, self.dev_gw)
+        return T.device_window_stats(self.readings, self.params.window_ms, self.gateway_table)
 
     @cached_property
     def enriched_telemetry(self) -> DataFrame:
-        return T.enrich(self.telemetry, self.locations)
+        return T.enrich(self.telemetry, self.location_table)
 
     # --- alert path ------------------------------------------------------------------------
     @cached_property
     def fleet_alerts(self) -> DataFrame:
-        return A.fleet_alerts(self.readings, self.dev_gw, self.params, "event_id", self.num_partitions)
+        return A.fleet_alerts(self.readings, self.gateway_table, self.params, "event_id", self.num_partitions)
 
     @cached_property
     def raw_alert_lines(self) -> DataFrame:
-        return FX.raw_alert_lines(self.spark, self.sf_dir, self.params, self.dev_gw)
+        return FX.raw_alert_lines(self.spark, self.sf_dir, self.params, self.gateway_table)
 
     @cached_property
     def parsed_alerts(self) -> DataFrame:
@@ -98,7 +108,7 @@ class Pipeline:
     @cached_property
     def cleaned_alerts(self) -> DataFrame:
         """The cleaning job's output: dedup -> enrich -> coercions (stamps omitted)."""
-        return A.conform_cleaned(T.enrich(self.deduped_alerts, self.locations))
+        return A.conform_cleaned(T.enrich(self.deduped_alerts, self.location_table))
 
     # --- evaluation ------------------------------------------------------------------------
     @cached_property

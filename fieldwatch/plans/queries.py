@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldwatch.config import (ALERT_INDEX, DASHBOARD_FARM_SIZE, DASHBOARD_GATEWAY_SIZE_COUNT,
-                               DASHBOARD_GATEWAY_SIZE_MEDIAN, FIXTURE_PARAMS, STATE_OFFLINE, TELEMETRY_INDEX)
+                               DASHBOARD_GATEWAY_SIZE_MEDIAN, FIXTURE_PARAMS, METRICS, STATE_OFFLINE, TELEMETRY_INDEX)
 from fieldwatch.functions import jsonio
 from fieldwatch.functions.scalars import (clamp, conform, details_from_array, to_float, to_int)
 from fieldwatch.operators import alerts as A
@@ -24,12 +24,12 @@ from fieldwatch.operators import evaluation as E
 from fieldwatch.operators import notify as N
 from fieldwatch.operators import telemetry as T
 from fieldwatch.plans.pipeline import Pipeline
-from fieldwatch.schemas import LOCATION_COLUMNS, STAT_COLUMNS, TELEMETRY_DOC, TELEMETRY_MSG
+from fieldwatch.schemas import ALERT_DOC, LOCATION_COLUMNS, STAT_COLUMNS, TELEMETRY_DOC, TELEMETRY_MSG
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# dashboard sizes on the fixture: 5 farms x 5 gateways never fill the saved
-# panels' 5 and 9, so the registered queries use 3 and 2 to make Other fire
+# dashboard sizes on the fixture: the smallest tables have 5 farms x 5 gateways,
+# which never fill the saved panels' 5 and 9; 3 and 2 make Other fire
 FIX_FARM_SIZE, FIX_GATEWAY_SIZE = 3, 2
 FIX_ALPHA_SIZE = 6
 # a map view over the fixture's first two farms
@@ -143,10 +143,9 @@ def q_time(spark, sf_dir):
 @query("raw_records")
 def q_raw_records(spark, sf_dir):
     p = _p(spark, sf_dir)
-    r = T.raw_records(clamp(p.raw_readings, p.params.clamp_bounds), p.dev_gw, p.params.window_ms)
+    r = T.raw_records(clamp(p.raw_readings, p.params.clamp_bounds), p.gateway_table, p.params.window_ms)
     return r.select("event_id", "device_id", "gateway_id", "device_ts", "device_ts_iso", "gateway_ts",
-                    "gateway_ts_iso", r6("temperature").alias("temperature"), r6("light_level").alias("light_level"),
-                    "device_status")
+                    "gateway_ts_iso", *[r6(m).alias(m) for m in METRICS], "device_status")
 
 
 @query("json_path_extract")
@@ -188,7 +187,7 @@ def q_casts(spark, sf_dir):
 @query("field_fallback")
 def q_fallback(spark, sf_dir):
     p = _p(spark, sf_dir)
-    loc = p.locations.select("device_id", F.col("farm_id").alias("farmId"),
+    loc = p.location_table.select("device_id", F.col("farm_id").alias("farmId"),
                              F.col("farm_location.lat").alias("farm_lat"), F.col("farm_location.lon").alias("farm_lon"),
                              F.col("device_location.lat").alias("device_lat"),
                              F.col("device_location.lon").alias("device_lon"))
@@ -211,11 +210,39 @@ def q_conform_t(spark, sf_dir):
 
 @query("conform_alerts")
 def q_conform_a(spark, sf_dir):
-    c = _p(spark, sf_dir).cleaned_alerts
+    """The alert contract applied (its stamps are tested by alert_documents)."""
+    c = conform(_p(spark, sf_dir).cleaned_alerts, ALERT_DOC)
     return c.select("device_id", "gateway_id", "farm_id", "gateway_ts", "gateway_ts_iso", "state",
                     joined("details").alias("details"), *flat_points())
 
 
+def _stored(df, contract, ingest, before, created):
+    """Documents as a store holds them: the contract with its stamps, here at
+    fixed distances from the gateway's."""
+    at = lambda ms: F.col("gateway_ts") + ms
+    stamped = df.withColumns({"ts_kafka_ingest": at(ingest), "ts_before_es": at(before),
+                              "created_at": F.timestamp_millis(at(created))})
+    return conform(stamped, contract)
+
+
+@query("alert_documents")
+def q_alert_documents(spark, sf_dir):
+    """Cleaned alerts in the alert index's contract, all stamps kept."""
+    d = _stored(_p(spark, sf_dir).cleaned_alerts, ALERT_DOC, 250, 400, 900)
+    return d.select("device_id", "farm_id", "gateway_ts", "state", joined("details").alias("details"),
+                    "ts_kafka_ingest", "ts_before_es", F.col("created_at").cast("timestamp_ntz").alias("created_at"),
+                    *flat_points(("device_location",)))
+
+
+@query("union_indices")
+def q_union_indices(spark, sf_dir):
+    """The stamps of both indices' documents, which have different schemas."""
+    p = _p(spark, sf_dir)
+    docs = E.union_indices({ALERT_INDEX: _stored(p.cleaned_alerts, ALERT_DOC, 250, 400, 900),
+                            TELEMETRY_INDEX: _stored(p.enriched_telemetry, TELEMETRY_DOC, 120, 300, 700)})
+    return docs.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
 @query("parse_telemetry")
 def q_parse_telemetry(spark, sf_dir):
     """P2 + P4: telemetry messages rendered to JSON and parsed back."""
@@ -246,13 +273,13 @@ def q_locations(spark, sf_dir):
 @query("gateway_lookup")
 def q_gateway_lookup(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return D.gateway_lookup(p.raw_readings, p.dev_gw).select("event_id", "device_id", "gateway_id")
+    return D.gateway_lookup(p.raw_readings, p.gateway_table).select("event_id", "device_id", "gateway_id")
 
 
 @query("unknown_devices")
 def q_unknown(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return D.unknown_devices(p.raw_readings, p.dev_gw).select("event_id", "device_id")
+    return D.unknown_devices(p.raw_readings, p.gateway_table).select("event_id", "device_id")
 
 
 @query("enrich_telemetry")
@@ -264,7 +291,7 @@ def q_enrich_t(spark, sf_dir):
 @query("enrich_alerts")
 def q_enrich_a(spark, sf_dir):
     p = _p(spark, sf_dir)
-    e = T.enrich(A.valid_alerts(p.parsed_alerts), p.locations)
+    e = T.enrich(A.valid_alerts(p.parsed_alerts), p.location_table)
     return e.select("seq", "device_id", "state", "farm_id", *flat_points())
 
 
@@ -272,8 +299,8 @@ def q_enrich_a(spark, sf_dir):
 def q_unseen(spark, sf_dir):
     """(registered device, non-empty window) pairs without a reading."""
     p = _p(spark, sf_dir)
-    known = p.readings.join(p.dev_gw, "device_id")
-    return A.unseen_devices(known, p.dev_gw, p.params.window_ms)
+    known = p.readings.select("device_id", "gateway_ts").distinct().join(p.gateway_table, "device_id")
+    return A.unseen_devices(known, p.gateway_table, p.params.window_ms)
 
 
 # --- aggregates ------------------------------------------------------------------------------
@@ -388,8 +415,8 @@ def q_device_alerts(spark, sf_dir):
 @query("offline_alerts")
 def q_offline(spark, sf_dir):
     p = _p(spark, sf_dir)
-    known = p.readings.join(p.dev_gw, "device_id")
-    return _alert_out(A.offline_alerts(known, p.dev_gw, p.params))
+    known = p.readings.select("device_id", "gateway_ts").distinct().join(p.gateway_table, "device_id")
+    return _alert_out(A.offline_alerts(known, p.gateway_table, p.params))
 
 
 @query("dedup_alerts")
@@ -411,7 +438,7 @@ def q_cleaned_raw(spark, sf_dir):
     p = _p(spark, sf_dir)
     valid = A.valid_alerts(p.parsed_alerts)
     kept = A.dedup_alerts(valid, p.params.dedup_window, ("gateway_ts", "seq"))
-    c = A.conform_cleaned(T.enrich(kept, p.locations))
+    c = A.conform_cleaned(T.enrich(kept, p.location_table))
     return c.select("seq", "device_id", "gateway_id", "gateway_ts", "gateway_ts_iso", "state",
                     joined("details").alias("details"), "farm_id", *flat_points())
 
@@ -462,7 +489,3 @@ def q_time_slice(spark, sf_dir):
 def q_map(spark, sf_dir):
     return DB.map_points(_p(spark, sf_dir).enriched_telemetry, FIX_BBOX) \
         .select("layer", "visible", "device_id", r6("lat").alias("lat"), r6("lon").alias("lon"))
-
-
-def index_names():
-    return TELEMETRY_INDEX, ALERT_INDEX

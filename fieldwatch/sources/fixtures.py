@@ -1,7 +1,8 @@
 """Model tables derived from the driver's parquet tables (mapping in FIXTURES.md).
 
-``events`` is the reading stream; ``customer -> nation -> region`` is the
-device -> gateway -> site hierarchy; ``supplier`` gives the alert routes.
+``events`` is the reading stream; ``customer -> nation -> region`` and blocks of
+customer keys are the device -> gateway -> site hierarchy; ``supplier`` gives the
+alert routes.
 Everything is a lazy DataFrame over the parquet scans, so filters and column
 pruning reach the readers.
 """
@@ -18,13 +19,15 @@ from fieldwatch.functions.timefmt import epoch_ms, iso_of_ms, iso_of_ts, ntz_of_
 # FIXED VALUES of the fixture mapping (FIXTURES.md part 2)
 SITE_LAT0, SITE_LAT_STEP = 11.5, 0.6
 SITE_LON0, SITE_LON_STEP = 107.8, 0.2
+BLOCK_OFFSET_STEP = 0.01
 GATEWAY_OFFSET_STEP = 0.001
 DEVICE_OFFSET_STEP = 0.00001
 DEVICE_OFFSET_MOD = 50
-UNKNOWN_DEVICE_MOD, UNKNOWN_DEVICE_REM = 10, 9
-NEVER_SEEN_MARGIN = 6
-ROUTE_FARM_MOD = 4
-DUPLICATE_ROUTE_MOD = 10
+CUSTOMERS_PER_BLOCK = 250
+NATIONS = 25
+LISTED_TWICE_SEGMENT = "MACHINERY"
+ROUTE_REGIONS = 4
+SUPPLIERS_PER_BLOCK = 10
 EMAIL_DOMAIN = "@example.com"
 BAD_LATENCY_MOD = 101
 NOT_JSON_MOD, BAD_TS_MOD, NO_DETAILS_MOD = 97, 89, 83
@@ -50,65 +53,79 @@ def _id(prefix: str, c: str):
 
 # --- dimensions (S4) ---------------------------------------------------------
 
+def _lat_lon(region, block, *offsets):
+    """Coordinates of a farm, with the offsets of what lies on it."""
+    lat = F.lit(SITE_LAT0) + F.lit(SITE_LAT_STEP) * region.cast("double")
+    lon = F.lit(SITE_LON0) + F.lit(SITE_LON_STEP) * region.cast("double")
+    for off in (F.lit(BLOCK_OFFSET_STEP) * block.cast("double"), *offsets):
+        lat, lon = lat + off, lon + off
+    return lat.alias("latitude"), lon.alias("longitude")
+
+
+def _listings(spark, sf_dir) -> DataFrame:
+    """Every customer with the (region, nation, block) it is listed under; those
+    of one market segment are listed a second time, under the next nation. A block
+    is a run of customer keys, so farms and gateways grow with the customers."""
+    c = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey",
+        F.floor(F.col("c_custkey") / CUSTOMERS_PER_BLOCK).cast("long").alias("block"))
+    moved = F.when(F.col("c_mktsegment") == LISTED_TWICE_SEGMENT, (F.col("c_nationkey") + 1) % NATIONS)
+    # null where there is no second listing: dropped by the join
+    both = c.withColumn("nation", F.explode(F.array("c_nationkey", moved)))
+    # nation has 25 rows: a fixed-size dimension, broadcast is safe
+    n = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
+    return both.join(n, F.col("nation") == F.col("n_nationkey"))
+
+
+def _farm_id():
+    return F.concat(F.lit("farm-"), F.col("n_regionkey").cast("string"), F.lit("-"), F.col("block").cast("string"))
+
+
+def _gateway_id():
+    return F.concat(F.lit("gateway-"), F.col("n_nationkey").cast("string"), F.lit("-"),
+                    F.col("block").cast("string"))
+
+
 def farms(spark, sf_dir) -> DataFrame:
-    r = table(spark, sf_dir, "region")
-    k = F.col("r_regionkey").cast("double")
-    return r.select(_id("farm-", "r_regionkey").alias("id"),
-                    (F.lit(SITE_LAT0) + F.lit(SITE_LAT_STEP) * k).alias("latitude"),
-                    (F.lit(SITE_LON0) + F.lit(SITE_LON_STEP) * k).alias("longitude"))
+    r = _listings(spark, sf_dir).select("n_regionkey", "block").distinct()
+    return r.select(_farm_id().alias("id"), *_lat_lon(F.col("n_regionkey"), F.col("block")))
 
 
-def _nation_coords(spark, sf_dir) -> DataFrame:
-    n = table(spark, sf_dir, "nation")
-    k = F.col("n_regionkey").cast("double")
-    off = F.lit(GATEWAY_OFFSET_STEP) * F.col("n_nationkey").cast("double")
-    return n.select("n_nationkey", "n_regionkey",
-                    (F.lit(SITE_LAT0) + F.lit(SITE_LAT_STEP) * k + off).alias("g_lat"),
-                    (F.lit(SITE_LON0) + F.lit(SITE_LON_STEP) * k + off).alias("g_lon"))
+def _gateway_offset():
+    return F.lit(GATEWAY_OFFSET_STEP) * F.col("n_nationkey").cast("double")
 
 
 def gateways(spark, sf_dir) -> DataFrame:
-    return _nation_coords(spark, sf_dir).select(_id("gateway-", "n_nationkey").alias("id"),
-                                                F.col("g_lat").alias("latitude"),
-                                                F.col("g_lon").alias("longitude"))
+    g = _listings(spark, sf_dir).select("n_regionkey", "n_nationkey", "block").distinct()
+    return g.select(_gateway_id().alias("id"), *_lat_lon(F.col("n_regionkey"), F.col("block"), _gateway_offset()))
 
 
 def devices(spark, sf_dir) -> DataFrame:
-    # nation has 25 rows: a fixed-size dimension, broadcast is safe
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    g = F.broadcast(_nation_coords(spark, sf_dir))
-    off = F.lit(DEVICE_OFFSET_STEP) * (F.col("c_custkey") % DEVICE_OFFSET_MOD).cast("double")
-    return (c.join(g, c.c_nationkey == g.n_nationkey)
-            .select(_id("device-", "c_custkey").alias("id"),
-                    (F.col("g_lat") + off).alias("latitude"),
-                    (F.col("g_lon") + off).alias("longitude")))
+    """Every customer's device, placed at the gateway of its first listing."""
+    c = _listings(spark, sf_dir).filter(F.col("nation") == F.col("c_nationkey"))
+    own = F.lit(DEVICE_OFFSET_STEP) * (F.col("c_custkey") % DEVICE_OFFSET_MOD).cast("double")
+    return c.select(_id("device-", "c_custkey").alias("id"),
+                    *_lat_lon(F.col("n_regionkey"), F.col("block"), _gateway_offset(), own))
 
 
 def bridge(spark, sf_dir) -> DataFrame:
-    """farm_gateway_device rows. Customers ``% 10 = 9`` are left out (they are
-    the unknown devices) and so are customers from ``max(user_id) + 6`` on;
-    customers between ``max(user_id) + 1`` and ``+ 5`` are registered but never
-    send a reading (the never-seen devices)."""
-    ev = table(spark, sf_dir, "events")
-    max_user = ev.select(F.max("user_id")).scalar()
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    n = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
-    return (c.filter((F.col("c_custkey") % UNKNOWN_DEVICE_MOD != UNKNOWN_DEVICE_REM)
-                     & (F.col("c_custkey") < max_user + NEVER_SEEN_MARGIN))
-            .join(n, c.c_nationkey == n.n_nationkey)
-            .select(_id("farm-", "n_regionkey").alias("farm_id"),
-                    _id("gateway-", "n_nationkey").alias("gateway_id"),
-                    _id("device-", "c_custkey").alias("device_id")))
+    """farm_gateway_device rows: the listings of all customers whose account is
+    not overdrawn. Overdrawn customers that send readings are the unknown devices;
+    customers without events are the never-seen ones."""
+    return _listings(spark, sf_dir).filter(F.col("c_acctbal") >= 0).select(
+        _farm_id().alias("farm_id"), _gateway_id().alias("gateway_id"),
+        _id("device-", "c_custkey").alias("device_id"))
 
 
 def routes(spark, sf_dir) -> DataFrame:
-    """alert_routes(farm_id, email); suppliers ``% 10 = 0`` appear twice."""
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    base = s.select(F.concat(F.lit("farm-"), (F.col("s_suppkey") % ROUTE_FARM_MOD).cast("string")).alias("farm_id"),
-                    F.concat(F.col("s_name"), F.lit(EMAIL_DOMAIN)).alias("email"),
-                    "s_suppkey")
-    dup = base.filter(F.col("s_suppkey") % DUPLICATE_ROUTE_MOD == 0)
-    return base.unionByName(dup).drop("s_suppkey")
+    """alert_routes(farm_id, email): two or three suppliers to a farm; overdrawn
+    ones are listed twice, and farms of the last region have none."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    farm = F.concat(F.lit("farm-"), (F.col("s_suppkey") % ROUTE_REGIONS).cast("string"), F.lit("-"),
+                    F.floor(F.col("s_suppkey") / SUPPLIERS_PER_BLOCK).cast("string"))
+    times = F.when(F.col("s_acctbal") < 0, 2).otherwise(1)
+    return s.select(farm.alias("farm_id"), F.concat(F.col("s_name"), F.lit(EMAIL_DOMAIN)).alias("email"),
+                    F.explode(F.array_repeat(F.lit(1), times)).alias("_n")).drop("_n")
 
 
 # --- readings ------------------------------------------------------------------
