@@ -70,7 +70,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # both sides are plain exchanges, so a digest with a third of the rows is split
     found = rows.select("id", "size", "sha").join(groups, "sha")
     best = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("size") == F.col("keep_size"))
-    same = Window.partitionBy("sha", "id").orderBy(F.desc("size"))
+    # one key of both, so that the join above it is free to split a digest
+    same = Window.partitionBy(F.concat_ws("/", "sha", F.col("id").cast("string"))).orderBy(F.desc("size"))
     return found.select(F.col("id").alias(id_col), "keep_id", "group_size",
                         (best & (F.row_number().over(same) == 1)).alias("kept"), F.col("sha").alias("text_sha256"))
 
