@@ -30,7 +30,8 @@ BUCKET_BYTES = 32_000_000
 PART_KEYS = 4_000_000
 
 
-def _to_bytes(batches: list[pa.RecordBatch]) -> bytes:
+def to_bytes(batches: list[pa.RecordBatch]) -> bytes:
+    """Batches of one schema as compressed bytes; ``rows_of`` reads them."""
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batches[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         for b in batches:
@@ -39,7 +40,7 @@ def _to_bytes(batches: list[pa.RecordBatch]) -> bytes:
 
 
 def rows_of(block: bytes) -> pa.RecordBatch:
-    """The documents of a block."""
+    """What ``to_bytes`` wrote, as one batch."""
     table = pa.ipc.open_stream(block).read_all().combine_chunks()
     return table.to_batches()[0]
 
@@ -63,7 +64,7 @@ def _bundle(text_at: int, size: int):
 
 def _block_row(task: int, count: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([(task << 32) + count], pa.int64()),
-                                       pa.array([_to_bytes(held)], pa.binary())],
+                                       pa.array([to_bytes(held)], pa.binary())],
                                       ["block", "rows"])
 
 
@@ -79,6 +80,8 @@ class BlockTable:
         (bundles.write.format("parquet").bucketBy(self.buckets, "block")
          .option("path", scratch(spark, name)).saveAsTable(name))
         self.table = spark.table(name)
+        # the plan holds the files and their buckets; the name was only needed to get there
+        spark.sql(f"DROP TABLE {name}")
 
     def parts(self, keys: int) -> int:
         """Key ranges for about so many keys."""
@@ -95,6 +98,19 @@ class BlockTable:
         return out
 
 
+def distinct(values: np.ndarray):
+    """(sorted distinct values, a position of each, each value's number among them,
+    how often each occurs)"""
+    order = np.argsort(values)
+    ranked = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    at = np.flatnonzero(new)
+    number = np.empty(len(values), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ranked[at], order[at], number, np.diff(at, append=len(values))
+
+
 # ---- keys --------------------------------------------------------------------------
 
 KEY_SCHEMA = "part int, block long, n int, keys binary, extra binary"

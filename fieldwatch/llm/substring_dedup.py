@@ -16,7 +16,7 @@ removed; windows are judged on the input.
    A window that holds the context of a symbol without a second document is
    unique and goes no further. Windows that hold no whole context pass on.
 4. Verification. The remaining windows are compared by a 64-bit fingerprint and
-   a 32-bit check from a second function over their words, with the smallest id
+   a 32-bit check (of their first half), with the smallest id
    of each block; a second exchange tells which have a smaller id elsewhere.
 
 Texts are written once in blocks (``blocks.py``); only symbols, windows and
@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldwatch.llm.blocks import (BLOCK_BYTES, KEY_SCHEMA, BlockTable, answer_bits, exchange, has_smaller, key_rows,
+from fieldwatch.llm.blocks import (BLOCK_BYTES, KEY_SCHEMA, BlockTable, answer_bits, distinct, exchange, has_smaller, key_rows,
                                    repeated, rows_of)
 from fieldwatch.llm.textarrays import Fingerprints, mix, word_hashes, words_of
 
@@ -159,9 +159,10 @@ class _Block:
 
     def windows(self, at: np.ndarray):
         """(sorted unique keys, check, smallest id, index) of the windows at ``at``"""
-        keys, first, index = np.unique(Fingerprints(self.names, 3).of(at, at + WINDOW), return_index=True,
-                                       return_inverse=True)
-        check = Fingerprints(self.names, 4).of(at[first], at[first] + WINDOW).astype(np.uint32)
+        prints = Fingerprints(self.names, 3)
+        keys, first, index, _ = distinct(prints.of(at, at + WINDOW))
+        # windows that differ and yet agree in the whole fingerprint differ in their halves'
+        check = prints.of(at[first], at[first] + WINDOW // 2).astype(np.uint32)
         smallest = np.full(len(keys), NO_ID, np.int64)
         np.minimum.at(smallest, index, self.id_at(at))
         return keys, check, smallest, index

@@ -22,7 +22,7 @@ only whether another suffix agrees with it so far, so suffixes are ordered by
    exchange passes the calls on to all suffixes with the same ranks.
 5. Buckets. The suffixes called are dealt into buckets by their fingerprint; a
    task sorts one bucket at a time, and neighbours that agree in the 64-bit key
-   and in a 32-bit check from a second function are repeats.
+   and in a 32-bit check (of their first half) are repeats.
 6. The bytes that repeats cover are cut out.
 
 Texts are written once in blocks (``blocks.py``); only keys and bits move
@@ -45,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldwatch.llm.blocks import (BLOCK_BYTES, KEY_SCHEMA, BlockTable, answer_bits, called, exchange, key_rows, repeated,
+from fieldwatch.llm.blocks import (BLOCK_BYTES, KEY_SCHEMA, BlockTable, answer_bits, called, distinct, exchange, key_rows, repeated,
                                    repeated_checked, rows_of)
 from fieldwatch.llm.textarrays import Fingerprints, bytes_of
 
@@ -92,30 +92,37 @@ class _Block:
         self.data, self.offsets = bytes_of(pc.fill_null(self.rows.column("text"), ""))
         self.plan = plan
         self.prints = Fingerprints(self.data, 1)
-        self.fits = self._inside(plan.length)
-
-    def _inside(self, length: int) -> np.ndarray:
-        """Per byte: does a string of ``length`` that starts here end in its document?"""
-        begin = self.offsets[:-1]
-        return self._covered(begin, begin + np.maximum(np.diff(self.offsets) - length + 1, 0))
-
-    def _covered(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Per byte: does a range [begin, end) hold it?"""
-        n = len(self.data)
-        edge = np.bincount(begin, minlength=n + 1) - np.bincount(end, minlength=n + 1)
-        return np.cumsum(edge[:n]) > 0
+        # per byte: does a string of the full length that starts here end in its document?
+        ends = np.repeat(self.offsets[1:], np.diff(self.offsets))
+        self.fits = ends - np.arange(len(self.data)) >= plan.length
+
+    def _filled(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Per byte: does a range [begin, end) hold it? Both sorted; few ranges remain
+        once those that touch are joined."""
+        out = np.zeros(len(self.data), bool)
+        if len(begin):
+            new = np.ones(len(begin), bool)
+            new[1:] = begin[1:] > end[:-1]
+            last = np.append(np.flatnonzero(new)[1:] - 1, len(begin) - 1)
+            for x, y in zip(begin[new].tolist(), end[last].tolist()):
+                out[x:y] = True
+        return out
 
-    def check(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return Fingerprints(self.data, 2).of(begin, end).astype(np.uint32)
+    def check(self, begin: np.ndarray) -> np.ndarray:
+        """32 bits of the fingerprint of the first half of the strings at ``begin``:
+        strings that differ and yet agree in the whole fingerprint differ in their
+        halves'."""
+        return self.prints.of(begin, begin + self.plan.length // 2).astype(np.uint32)
 
     def sample(self) -> _Sample:
-        cover = np.zeros(PERIOD, bool)
-        cover[list(COVER)] = True
         width = self.plan.length - PERIOD + 1
-        # position in the document, modulo the period
-        at = np.arange(len(self.data)) - np.repeat(self.offsets[:-1], np.diff(self.offsets))
-        at = np.flatnonzero(cover[at % PERIOD] & self._inside(width))
-        keys, index, counts = np.unique(self.prints.of(at, at + width), return_inverse=True, return_counts=True)
+        sizes = np.maximum(np.diff(self.offsets) - width + 1, 0)  # starts with ``width`` bytes to go
+        periods = -(-sizes // PERIOD)
+        first = np.repeat(self.offsets[:-1], periods)
+        nth = np.arange(len(first)) - np.repeat(np.cumsum(periods) - periods, periods)
+        at = ((first + nth * PERIOD)[:, None] + np.array(COVER)[None, :]).ravel()
+        at = at[at < np.repeat(first + np.repeat(sizes, periods), len(COVER))]
+        keys, _, index, counts = distinct(self.prints.of(at, at + width))
         return _Sample(at, keys, counts > 1, index)
 
     def shared_sample(self, answers) -> _Sample:
@@ -127,38 +134,34 @@ class _Block:
         return _Sample(s.at[own], s.keys[shared], s.many[shared], number[s.index[own]])
 
     def before(self, at: np.ndarray) -> np.ndarray:
-        """Per byte: may a string that starts here be told by one of the sample
+        """Per byte: may a string that starts here be told by one of the sorted sample
         positions ``at`` in its first PERIOD bytes?"""
-        return self._covered(np.maximum(at - PERIOD + 1, 0), at + 1) & self.fits
+        return self._filled(np.maximum(at - PERIOD + 1, 0), at + 1) & self.fits
 
     def stretches(self, candidate: np.ndarray):
         """(first, last) neighbouring marks with candidates alone from one to the other."""
-        if len(self.data) < 4:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        x = self.data.astype(np.uint32)
-        four = (x[:-3] << 24 | x[1:-2] << 16 | x[2:-1] << 8 | x[3:]) * np.uint32(0x9E3779B1)
-        marked = candidate.copy()
-        marked[:-3] &= four >> np.uint32(27) == 0
-        marked[-3:] = False
-        marks = np.flatnonzero(marked)
-        others = np.cumsum(~candidate)
-        joined = others[marks[1:]] == others[marks[:-1]]
+        at = np.flatnonzero(candidate)  # a candidate has ``length`` bytes to go
+        four = self.data[at].astype(np.uint32)
+        for k in (1, 2, 3):
+            four = four << np.uint32(8) | self.data[at + k]
+        marks = np.flatnonzero(four * np.uint32(0x9E3779B1) >> np.uint32(27) == 0)
+        place = at[marks]
         # candidates end before their document does, so a stretch lies in one document
-        return marks[:-1][joined], marks[1:][joined]
+        joined = np.diff(place) == np.diff(marks)
+        return place[:-1][joined], place[1:][joined]
 
     def stretch_keys(self, candidate: np.ndarray):
         """(sorted unique keys, check, many flags, index, first, last) of the stretches"""
         first, last = self.stretches(candidate)
         end = last + self.plan.length
-        keys, some, index, counts = np.unique(self.prints.of(first, end), return_index=True, return_inverse=True,
-                                              return_counts=True)
-        return keys, self.check(first[some], end[some]), counts > 1, index, first, last
+        keys, some, index, counts = distinct(self.prints.of(first, end))
+        return keys, self.check(first[some]), counts > 1, index, first, last
 
     def settled(self, candidate: np.ndarray, answers) -> np.ndarray:
         """Per byte: does a string start here that a shared stretch proves repeated?"""
         keys, _, _, index, first, last = self.stretch_keys(candidate)
         hit = answer_bits(keys, self.plan.stretches, answers)[index] if len(index) else np.zeros(0, bool)
-        return self._covered(first[hit], last[hit] + 1)
+        return self._filled(first[hit], last[hit] + 1)
 
     def calls(self, sample: _Sample, open_: np.ndarray) -> np.ndarray:
         """Per key of the shared sample: does an open string hold one of its positions
@@ -172,9 +175,8 @@ class _Block:
     def strings(self, at: np.ndarray):
         """(sorted unique keys, check, many flags, index) of the strings at ``at``"""
         end = at + self.plan.length
-        keys, some, index, counts = np.unique(self.prints.of(at, end), return_index=True, return_inverse=True,
-                                              return_counts=True)
-        return keys, self.check(at[some], end[some]), counts > 1, index
+        keys, some, index, counts = distinct(self.prints.of(at, end))
+        return keys, self.check(at[some]), counts > 1, index
 
     def called_strings(self, sample: _Sample, answers) -> np.ndarray:
         wanted = answer_bits(sample.keys, self.plan.calls, answers)

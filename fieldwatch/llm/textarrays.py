@@ -16,6 +16,7 @@ import pyarrow as pa
 from fieldwatch.llm.common import worker_store
 
 SLICE = 2_000_000
+KEPT_POWERS = 1 << 22
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -44,7 +45,9 @@ def powers(base: int, n: int) -> np.ndarray:
         while filled < size:  # doubling: each half is the other times base ** filled
             out[filled:2 * filled] = out[:filled] * np.uint64(pow(base, filled, 1 << 64))
             filled *= 2
-        have = store[base] = out
+        have = out
+        if size <= KEPT_POWERS:  # those of a very long text go with it
+            store[base] = out
     return have[:n]
 
 
