@@ -80,11 +80,10 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     salts: int = SALTS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     groups = materialise(_groups(_digests(docs, id_col, text_col), salts), "exact-groups")
-    sha, kid, size = (free_name(docs, f"_{n}") for n in ("sha", "kid", "size"))
-    keep = groups.select(F.col("sha").alias(sha), F.col("keep_id").alias(kid), F.col("keep_size").alias(size))
+    sha, key, kid, size = (free_name(docs, f"_{n}") for n in ("sha", "key", "kid", "size"))
+    keep = groups.select(F.col("sha").alias(key), F.col("keep_id").alias(kid), F.col("keep_size").alias(size))
     tagged = docs.withColumn(sha, F.sha2(normalised(text_of(text_col)), 256))
-    hits = tagged.join(keep.withColumnRenamed(sha, f"{sha}_k"),
-                       (F.col(sha) == F.col(f"{sha}_k")) & F.col(id_col).eqNullSafe(F.col(kid))
+    hits = tagged.join(keep, (F.col(sha) == F.col(key)) & F.col(id_col).eqNullSafe(F.col(kid))
                        & (F.char_length(text_of(text_col)) == F.col(size)), "left_semi")
     # rows that repeat an id and a text: one stays (same keys, so no further exchange)
     return hits.dropDuplicates([sha, id_col]).select(*docs.columns)
