@@ -56,7 +56,6 @@ CLEANED_ALERT_TOPIC = "farm_cleaned_alerts"
 DASHBOARD_FARM_SIZE = 5
 DASHBOARD_GATEWAY_SIZE_MEDIAN = 9
 DASHBOARD_GATEWAY_SIZE_COUNT = 29
-DASHBOARD_GATEWAY_SIZE_ALPHA = 6
 OTHER_LABEL = "__other__"
 
 # latency report: look-back and percentiles

@@ -41,3 +41,36 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns == ["farm", "gateway", "median_light_level_avg"]
+
+
+def test_hot_devices_can_be_split(spark):
+    """The dimension side of a join with readings is a scan under the exchange, not an
+    aggregate over it, so adaptive execution may split a hot device."""
+    from fieldwatch.operators import dimension as D
+    from fieldwatch.plans.pipeline import Pipeline
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        p = Pipeline(spark, SF)
+        for df in (D.gateway_lookup(p.raw_readings, p.gateway_table), p.enriched_telemetry):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            join = plan[plan.rindex("SortMergeJoin"):].splitlines()
+            right = [x for x in join if "Scan parquet" in x or "Aggregate" in x or "Exchange" in x]
+            assert "Exchange" in right[-2] and "Scan parquet" in right[-1]
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_record_share_and_map_points_read_their_table_once(spark, tmp_path):
+    from fieldwatch.operators import dashboard as DB
+    from fieldwatch.plans.pipeline import Pipeline
+
+    Pipeline(spark, SF).enriched_telemetry.write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+    assert scans(DB.map_points(t)) == 1
+    sliced = DB.time_slice(t, 1704067200000, 1706659200000)
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(gateway_ts" in plan and "LessThan(gateway_ts" in plan  # pushed to the scan

@@ -12,7 +12,7 @@ from fieldwatch.functions import jsonio
 from fieldwatch.plans.pipeline import Pipeline
 from fieldwatch.schemas import TELEMETRY_MSG
 from fieldwatch.streaming import jobs as J
-from fieldwatch.streaming.sources import topic_file, topic_stream
+from fieldwatch.streaming.sources import topic_batch, topic_file, topic_stream
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,7 +54,8 @@ def test_alert_cleanup_stream_equals_batch(spark):
     assert docs.count() == len(exp)
     assert got == exp
     assert spark.read.text(f"{root}/rawlog").count() == n  # every parsed row, once
-    topic = spark.read.text(f"{root}/topics/{topic_file(CLEANED_ALERT_TOPIC)}")
+    # S3: the cleaned topic read as a bounded table
+    topic = topic_batch(spark, CLEANED_ALERT_TOPIC, folder=f"{root}/topics/{topic_file(CLEANED_ALERT_TOPIC)}")
     assert topic.count() == len(exp)
     assert docs.filter(F.col("created_at").isNull()).count() == 0
     assert docs.filter(F.col("farm_id").isNull()).count() == 0  # fleet alerts come from registered devices
@@ -237,7 +238,7 @@ def test_progress_samples_feed_the_rate(spark):
     for k in range(3):
         spark.range(10 * (k + 1)).coalesce(1).write.mode("append").parquet(f"{root}/in")
     q = (spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{root}/in").writeStream
-         .queryName("live").foreachBatch(lambda b, n: None).option("checkpointLocation", f"{root}/ckpt")
+         .queryName("live").foreachBatch(lambda b, n: b.count()).option("checkpointLocation", f"{root}/ckpt")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     samples = J.progress_samples(q)
