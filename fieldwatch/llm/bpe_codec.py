@@ -2,12 +2,12 @@
 
 1. Split. Documents travel in blocks (``blocks.py``); each block splits its texts
    into words as the tokenizer file says (normaliser, pre-tokenizer, special
-   strings) and sends every distinct word once, with its position in the block's
-   word list.
+   strings) and sends every distinct word once, sorted, in one packed row for
+   each range of words.
 2. Encode. The words of all blocks are dealt by word, so each distinct word
    meets in one place and the library encodes it once for the whole corpus.
-3. Join back by position. A block gets its word list's ids back, and its texts,
-   which are rows of positions in that list, become rows of ids.
+3. Join back by position. A block gets the ids of its words back in the order
+   of its word list, and its texts, rows of words, become rows of ids.
 4. Decode. Ids are joined to their pieces (the vocabulary, a table of fixed size
    that every task holds) and the pieces are put together as the file's decoder
    says.
@@ -32,12 +32,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldwatch.llm.blocks import BlockTable, rows_of
+from fieldwatch.llm.blocks import BlockTable, rows_of, to_bytes
 from fieldwatch.llm.common import worker_store
+from fieldwatch.llm.textarrays import Fingerprints, bytes_of
 from fieldwatch.llm.tokenizer import load_tokenizer, special_strings, tokenizer_text
 
 BLOCK_BYTES = 8_000_000
@@ -107,56 +107,71 @@ def pieces_of(spec: str) -> tuple[list[bytes], bool]:
     return pieces, kind.get("decoder") is None
 
 
-def _word_lists(texts, split) -> tuple[dict, list]:
-    """(word -> position in order of first use, positions of each text)"""
-    known: dict[str, int] = {}
-    rows = []
-    for text in texts:
-        own = split(text or "")
-        for w in own:
-            if w not in known:
-                known[w] = len(known)
-        rows.append(list(map(known.__getitem__, own)))
-    return known, rows
+def _parts_of(words: pa.Array, parts: int) -> np.ndarray:
+    """Which of ``parts`` ranges each word is dealt to, by its fingerprint."""
+    data, offsets = bytes_of(words)
+    prints = Fingerprints(data, 1).of(offsets[:-1], offsets[1:])
+    return ((prints >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
 
 
-def _distinct_words(spec: str):
+def _by_range(known, parts: int):
+    """Distinct words as (range, words in order) for each range that has some. Both
+    sides of the exchange derive the same order, so positions need not travel."""
+    words = pa.array(sorted(known), pa.string())
+    part = _parts_of(words, parts)
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    for p, (x, y) in enumerate(zip(edges[:-1], edges[1:])):
+        if y > x:
+            yield p, words.take(pa.array(order[x:y]))
+
+
+def _distinct_words(spec: str, parts: int):
+    """Task function: the distinct words of every block, one row for each range."""
+
     def run(batches):
         splitter = WordSplitter(spec)
         for batch in batches:
             for number, block in zip(*[c.to_pylist() for c in batch.columns]):
-                known: dict[str, None] = {}
+                known: set[str] = set()
                 for text in rows_of(block).column("text").to_pylist():
-                    known.update(dict.fromkeys(splitter.words(text or "")))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number] * len(known), pa.int64()), pa.array(range(len(known)), pa.int32()),
-                     pa.array(known, pa.string())], ["block", "position", "word"])
+                    known.update(splitter.words(text or ""))
+                rows = [(p, number, to_bytes([pa.RecordBatch.from_arrays([words], ["word"])]))
+                        for p, words in _by_range(known, parts)]
+                columns = list(zip(*rows)) if rows else [()] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
+                                                  pa.array(columns[2], pa.binary())], ["part", "block", "words"])
 
     return run
 
 
 def _encoded(spec: str):
-    """Task function over rows sorted by word: each word is encoded once."""
+    """Task function over all rows of a range: each distinct word is encoded once,
+    and every block is answered with its words' ids in the order it sent them."""
 
     def run(batches):
+        rows = [r for batch in batches for r in zip(*[c.to_pylist() for c in batch.columns])]
         encoder = WordEncoder(spec)
-        last_word, last_ids = None, b""
-        for batch in batches:
-            words = batch.column(2).dictionary_encode()
-            own = words.dictionary.to_pylist()
-            ids = [last_ids] if own and own[0] == last_word else []
-            ids += encoder.encode(own[len(ids):])
-            if own:
-                last = words.indices[-1].as_py()
-                last_word, last_ids = own[last], ids[last]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(ids, pa.binary()).take(words.indices)],
-                ["block", "position", "ids"])
+        for part in sorted({r[0] for r in rows}):
+            own = [(r[1], rows_of(r[2])) for r in rows if r[0] == part]
+            table = pa.chunked_array([b.column("word") for _, b in own]).combine_chunks().dictionary_encode()
+            ids: list[bytes] = []
+            for at in range(0, len(table.dictionary), 20_000):
+                ids += encoder.encode(table.dictionary.slice(at, 20_000).to_pylist())
+            encoded = pa.array(ids, pa.binary())
+            at = 0
+            for number, batch in own:
+                answer = encoded.take(table.indices.slice(at, batch.num_rows))
+                at += batch.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int64()), pa.array([part], pa.int32()),
+                     pa.array([to_bytes([pa.RecordBatch.from_arrays([answer], ["ids"])])], pa.binary())],
+                    ["block", "part", "ids"])
 
     return run
 
 
-def _coded(spec: str, texts_out: bool):
+def _coded(spec: str, parts: int, texts_out: bool):
     def run(batches):
         store = worker_store("pieces")
         if store.get("spec") != spec:
@@ -174,12 +189,11 @@ def _coded(spec: str, texts_out: bool):
         for batch in batches:
             for k in range(batch.num_rows):
                 rows = rows_of(batch.column("rows")[k].as_py())
-                words = batch.column("words")[k].values
-                ids_of: list[bytes] = []
-                if words is not None:
-                    order = np.argsort(words.field(0).to_numpy())
-                    ids_of = words.field(1).take(pa.array(order)).to_pylist()
-                _, lists = _word_lists(rows.column("text").to_pylist(), splitter.words)
+                lists = [splitter.words(t or "") for t in rows.column("text").to_pylist()]
+                answers = {a["part"]: rows_of(a["ids"]) for a in batch.column("answers")[k].as_py() or ()}
+                ids_of: dict[str, bytes] = {}
+                for part, words in _by_range(set().union(*lists), parts):
+                    ids_of.update(zip(words.to_pylist(), answers[part].column("ids").to_pylist()))
                 n, ids_out, texts = [], [], []
                 for own in lists:
                     ids = b"".join(map(ids_of.__getitem__, own))
@@ -202,16 +216,17 @@ def _run(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, texts
     spec = tokenizer_text(tokenizer_path)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     blocks = BlockTable(source, "text", BLOCK_BYTES)
+    # blocks repeat words: there are never more rows than words, of 12 bytes or so
+    parts = blocks.parts(blocks.bytes // 12)
     words = blocks.table.select("block", "rows").mapInArrow(
-        _distinct_words(spec), "block long, position int, word string")
-    encoded = (words.repartition("word").sortWithinPartitions("word")
-               .mapInArrow(_encoded(spec), "block long, position int, ids binary"))
-    lists = (encoded.repartition(blocks.buckets, "block").groupBy("block")
-             .agg(F.collect_list(F.struct("position", "ids")).alias("words")))
+        _distinct_words(spec, parts), "part int, block long, words binary")
+    answers = (words.repartitionById(parts, F.col("part")).mapInArrow(_encoded(spec), "block long, part int, ids binary")
+               .repartition(blocks.buckets, "block").groupBy("block")
+               .agg(F.collect_list(F.struct("part", "ids")).alias("answers")))
     id_type = source.schema["id"].dataType.simpleString()
     kinds = "ids array<long>, decoded string" if texts_out else "ids string, decoded string"
-    return blocks.table.join(lists, "block", "left").select("rows", "words").mapInArrow(
-        _coded(spec, texts_out), f"id {id_type}, n_tokens long, {kinds}").withColumnRenamed("id", id_col)
+    return blocks.table.join(answers, "block", "left").select("rows", "answers").mapInArrow(
+        _coded(spec, parts, texts_out), f"id {id_type}, n_tokens long, {kinds}").withColumnRenamed("id", id_col)
 
 
 def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
