@@ -279,7 +279,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             .drop(*MORE))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              **params) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns. They travel
     with their statistics, so rows that share an id are judged apart."""
     inner = {c: f"c{k}" for k, c in enumerate(docs.columns)}  # no clash with the statistics' names

@@ -42,8 +42,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldwatch.llm.blocks import (BLOCK_BYTES, KEY_SCHEMA, BlockTable, answer_bits, distinct, exchange, has_smaller, key_rows,
-                                   repeated, rows_of)
+from fieldwatch.llm.blocks import (BLOCK_BYTES, KEY_SCHEMA, BlockTable, answer_bits, distinct, exchange,
+                                   has_smaller, key_rows, repeated, rows_of)
 from fieldwatch.llm.textarrays import Fingerprints, mix, word_hashes, words_of
 
 WINDOW = 13

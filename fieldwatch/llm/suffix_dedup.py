@@ -45,8 +45,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldwatch.llm.blocks import (BLOCK_BYTES, KEY_SCHEMA, BlockTable, answer_bits, called, distinct, exchange, key_rows, repeated,
-                                   repeated_checked, rows_of)
+from fieldwatch.llm.blocks import (BLOCK_BYTES, KEY_SCHEMA, BlockTable, answer_bits, called, distinct, exchange,
+                                   key_rows, repeated, repeated_checked, rows_of)
 from fieldwatch.llm.textarrays import Fingerprints, bytes_of
 
 LENGTH = 200

@@ -28,7 +28,7 @@ def documents(seed=1, n=60):
         None, "", " \n\t ", "x", "a a a a a a a a a a a a a a a a a a a a", "a b " * 30, "a b " * 20 + "end",
         "Same text here", "Sametext here", " same text here", "one\ntwo\nthree\none\ntwo\nthree\n", "\n\n\n\n",
         "one\ntwo\nthree\nfour", rows[0][1], rows[0][1] + " ", "z" * 500, "y" + "z" * 450, "x\x0by\x0cz\rw v\x85u",
-        " ".join(passage), "<|endoftext|> é " * 8, " ".join(say(4000)), "|".join(say(20)), "A B C D E F G H I J K L M N"])]
+        " ".join(passage), "<|endoftext|> é " * 8, " ".join(say(30000)), "|".join(say(20)), "A B C D E F G H I J K L M N"])]
     rows += [(5, rows[3][1]), (5, rows[3][1]), rows[4], (None, rows[2][1]), (None, "no id at all"), (None, None)]
     return rows
 
@@ -41,5 +41,5 @@ def frame(spark, rows, extra=True):
     if not extra:
         return spark.createDataFrame(rows, SCHEMA).repartition(3)
     full = [(i, t, "en", f"s{n % 3}", n, None, float(n)) for n, (i, t) in enumerate(rows)]
-    return spark.createDataFrame(full, SCHEMA + ", lang string, id string, block int, sha string, n_words double"
-                                 ).repartition(3)
+    schema = SCHEMA + ", lang string, id string, block int, sha string, n_words double"
+    return spark.createDataFrame(full, schema).repartition(3)

@@ -8,7 +8,7 @@ import fixture
 
 
 def write(spark, tmp_path, rows, labels):
-    fixture.frame(spark, rows, extra=False).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    fixture.frame(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(
         f"{tmp_path}/labels.parquet")
 
