@@ -4,9 +4,16 @@ dedup, packing, each stage one of the training-data operators.
 Every stage is a function ``(spark, docs, sf_dir) -> DataFrame``. Its result is
 written as Parquet and read back as the next stage's ``docs``, so a lost executor
 costs a stage at most its own work. All stages but the last return the columns of
-``documents``; the last returns the pieces of the packed sequences. Tables may
-hold nulls, empty or very long texts, ties, repeated rows and further columns:
-each operator's module states what it does with them.
+their input, further columns included, whatever their names; the last returns the
+pieces of the packed sequences.
+
+Cases, stage by stage: a null or empty text has no words, so quality rules drop it;
+should one reach a later stage it counts as empty, equal to other empty texts (exact
+dedup), of fingerprint zero (SimHash dedup), unchanged (substring dedup), a document
+of its closing token alone (packing). A null id loses every tie and counts as larger
+than all others. Of rows that repeat an id and a text, exact dedup keeps one; rows
+that repeat an id with other texts are documents of their own. A very long text is
+treated whole. An empty table gives an empty table.
 """
 
 from __future__ import annotations
