@@ -30,12 +30,19 @@ from fieldwatch.session import checkpoint_dir
 ALERT_COLUMNS = ["device_id", "gateway_id", "gateway_ts", "gateway_ts_iso", "state", "details"]
 _BLOCK = 4096  # windows per exploded block of a silence gap
 SEQ = "seq"
+GAP = "_gap"
 
 
 # --- W3: offline candidates ------------------------------------------------------------
 
 def offline_alerts(known: DataFrame, dev_gw: DataFrame, params: Params, last_seen: DataFrame | None = None
                    ) -> DataFrame:
+    """W3 in the alert columns, see :func:`_offline_ticks`."""
+    return _offline_ticks(known, dev_gw, params, last_seen).drop(GAP)
+
+
+def _offline_ticks(known: DataFrame, dev_gw: DataFrame, params: Params, last_seen: DataFrame | None = None
+                   ) -> DataFrame:
     """One OFFLINE alert per (registered device, non-empty fleet window) in
     which the device sent nothing and its last reading is at least
     ``offline_ms`` older than the window's end (never-seen devices: last = 0,
@@ -45,6 +52,8 @@ def offline_alerts(known: DataFrame, dev_gw: DataFrame, params: Params, last_see
     alert and no fold is needed here. Candidates are generated per silence gap
     of a device (between two windows it was seen in), so the work is
     proportional to the alerts produced, not to devices x windows.
+
+    Column ``_gap`` holds the window that ends the silence (null if none does).
     """
     w_ms, off = params.window_ms, params.offline_ms
     seen = known.select("device_id", window_index(F.col("gateway_ts") - 1, w_ms).alias("w")).distinct()
@@ -62,7 +71,7 @@ def offline_alerts(known: DataFrame, dev_gw: DataFrame, params: Params, last_see
     s2 = seen.select("device_id", "w", F.lead("w").over(per_dev).alias("next_w"),
                      F.row_number().over(per_dev).alias("k"))
     gaps = s2.select("device_id", first_firing((F.col("w") + 1) * F.lit(w_ms)).alias("lo"),
-                     F.coalesce(F.col("next_w") - 1, wmax).alias("hi"))
+                     F.coalesce(F.col("next_w") - 1, wmax).alias("hi"), F.col("next_w").alias(GAP))
     registered = dev_gw.select("device_id")
     if last_seen is not None:
         registered = registered.join(last_seen.select("device_id", "last_ts"), "device_id", "left")
@@ -72,18 +81,18 @@ def offline_alerts(known: DataFrame, dev_gw: DataFrame, params: Params, last_see
     firsts = s2.filter(F.col("k") == 1).select("device_id", F.col("w").alias("first_w"))
     before = (registered.join(firsts, "device_id", "left")
               .select("device_id", first_firing(seed).alias("lo"),
-                      F.coalesce(F.col("first_w") - 1, wmax).alias("hi")))
+                      F.coalesce(F.col("first_w") - 1, wmax).alias("hi"), F.col("first_w").alias(GAP)))
     spans = gaps.unionByName(before).filter(F.col("lo") <= F.col("hi"))
     # a long silence spans many windows: explode it in blocks so that no row
     # ever carries an array longer than _BLOCK windows
-    blocks = spans.select("device_id", "hi", F.explode(F.sequence("lo", "hi", F.lit(_BLOCK))).alias("b0"))
-    windows = blocks.select("device_id", F.explode(
+    blocks = spans.select("device_id", "hi", GAP, F.explode(F.sequence("lo", "hi", F.lit(_BLOCK))).alias("b0"))
+    windows = blocks.select("device_id", GAP, F.explode(
         F.sequence("b0", F.least(F.col("b0") + (_BLOCK - 1), F.col("hi")))).alias("w"))
     ticks = windows.join(fleet, "w").join(dev_gw, "device_id")
     gts = ((F.col("w") + 1) * F.lit(w_ms)).cast("long")
     return ticks.select("device_id", "gateway_id", gts.alias("gateway_ts"), iso_of_ms(gts).alias("gateway_ts_iso"),
                         F.lit(STATE_OFFLINE).alias("state"), F.array().cast("array<string>").alias("details"),
-                        F.lit(None).cast("long").alias(SEQ))
+                        F.lit(None).cast("long").alias(SEQ), GAP)
 
 
 def unseen_devices(known: DataFrame, dev_gw: DataFrame, window_ms: int) -> DataFrame:
@@ -125,7 +134,7 @@ def fleet_alerts(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: st
     try:
         # reliable checkpoint: later stages (dedup, notifications) read the fold
         # once, and a lost executor does not send them back through it
-        return _materialise(_stamped(_fleet(known, offline_alerts(known, dev_gw, params), params, num_partitions)))
+        return _materialise(_stamped(_fleet(known, dev_gw, params, num_partitions)))
     finally:
         known.unpersist()
 
@@ -154,36 +163,36 @@ def _seed_rows(state: DataFrame, stamp: str, like: DataFrame) -> DataFrame:
         *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in like.schema.fields])
 
 
-def _fleet(known: DataFrame, offline: DataFrame, params: Params, num_partitions: int | None = None,
+def _fleet(known: DataFrame, dev_gw: DataFrame, params: Params, num_partitions: int | None = None,
            state: DataFrame | None = None) -> DataFrame:
     """The fold over readings and OFFLINE ticks. ``state(device_id, last_state,
-    last_alert_ts, last_ts)`` carries what earlier micro-batches left."""
+    last_alert_ts, last_ts)`` carries what earlier micro-batches left.
+
+    Every tick is an alert, so ticks go straight to the output. To the readings that
+    follow a silence only its last tick matters (it is the device's last alert), so
+    the fold itself holds one tick for each silence that ends, never more rows than
+    readings."""
     spark, order = known.sparkSession, ["gateway_ts", SEQ]
+    offline = _offline_ticks(known, dev_gw, params, state)
     rows = known if state is None else known.unionByName(_seed_rows(state, "last_ts", known))
     n = tasks_for(spark, known.count(), num_partitions)
     with_prev = keyed_lag(ordered_layout(rows, "device_id", order, n), "device_id", order, "state", "prev_state")
     theta = (F.when(F.col("state") == STATE_CRITICAL, F.lit(params.cooldown_ms))
              .when(F.col("prev_state") == STATE_CRITICAL, F.lit(params.recovery_ms)))
-    candidates = (with_prev.filter(F.col(SEQ) > NEG_INF).withColumn("theta", theta.cast("long"))
-                  .filter(F.col("theta").isNotNull()).select(*_FLEET_COLS, "theta"))
-    # ticks sort after readings of the same stamp (there are none: a tick exists
-    # only for windows in which the device is silent)
+    cand = (with_prev.filter(F.col(SEQ) > NEG_INF).withColumn("theta", theta.cast("long"))
+            .filter(F.col("theta").isNotNull()).select(*_FLEET_COLS, "theta"))
     always = F.lit(ALWAYS).cast("long").alias("theta")
-    cand = (candidates.unionByName(offline.select(*_FLEET_COLS, always))
-            .withColumn(SEQ, F.coalesce(F.col(SEQ), F.lit(2 ** 62))))
+    last_ticks = (offline.filter(F.col(GAP).isNotNull()).groupBy("device_id", GAP)
+                  .agg(F.max("gateway_ts").alias("gateway_ts")).withColumn(SEQ, F.lit(2 ** 62)))
+    cand = cand.unionByName(last_ticks.select(
+        *[(F.col(c) if c in last_ticks.columns else F.lit(None)).cast(cand.schema[c].dataType).alias(c)
+          for c in _FLEET_COLS], always))
     if state is not None:
-        seeds = _seed_rows(state, "last_alert_ts", cand.drop("theta")).select(*_FLEET_COLS, always)
-        cand = cand.unionByName(seeds)
-    cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # ticks count too: a never-seen device has one for each window
-        laid = ordered_layout(cand, "device_id", order, tasks_for(spark, cand.count(), num_partitions))
-    finally:
-        cand.unpersist()
+        cand = cand.unionByName(_seed_rows(state, "last_alert_ts", cand.drop("theta")).select(*_FLEET_COLS, always))
+    laid = ordered_layout(cand, "device_id", order, n)
     out = greedy_thin(laid, "device_id", order, "gateway_ts", "theta", e_init=0)
-    return out.filter(F.col(SEQ) > NEG_INF).select(
-        "device_id", "gateway_id", "gateway_ts", "state", "details",
-        F.when(F.col(SEQ) < 2 ** 62, F.col(SEQ)).alias(SEQ))
+    return (out.filter((F.col(SEQ) > NEG_INF) & (F.col(SEQ) < 2 ** 62)).select(*_FLEET_COLS)
+            .unionByName(offline.select(*_FLEET_COLS)))
 
 
 def fleet_step(readings: DataFrame, dev_gw: DataFrame, params: Params, state: DataFrame | None,
@@ -194,8 +203,7 @@ def fleet_step(readings: DataFrame, dev_gw: DataFrame, params: Params, state: Da
     the next state table."""
     known = _known(readings, dev_gw, seq).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        alerts = _materialise(_stamped(_fleet(known, offline_alerts(known, dev_gw, params, state), params,
-                                              num_partitions, state)))
+        alerts = _materialise(_stamped(_fleet(known, dev_gw, params, num_partitions, state)))
     finally:
         known.unpersist()
     last_read = known.groupBy("device_id").agg(
