@@ -179,17 +179,22 @@ class IsolationForest:
             node, depth = 2 * node + 1, depth + 1
             self.length[t, node] = length
 
-    def score(self, rows: np.ndarray) -> np.ndarray:
-        """Anomaly score in (0, 1): 2 ** (-mean path / expected path)."""
-        total = np.zeros(len(rows))
-        at_row = np.arange(len(rows))
-        for t in range(len(self.axis)):
-            node = np.zeros(len(rows), np.int64)
-            for _ in range(self.depth):
-                node = 2 * node + 1 + (rows[at_row, self.axis[t, node]] >= self.cut[t, node])
-            total += self.length[t, node]
-        expected = max(float(path_norm(self.rows)), 1e-9)
-        return 2.0 ** (-(total / len(self.axis)) / expected)
+    def arrays(self) -> dict:
+        """The forest as plain arrays, which workers read without this class."""
+        return {"axis": self.axis, "cut": self.cut, "length": self.length, "depth": self.depth, "rows": self.rows}
+
+
+def anomaly(forest: dict, rows: np.ndarray) -> np.ndarray:
+    """Anomaly score in (0, 1): 2 ** (-mean path / expected path)."""
+    total = np.zeros(len(rows))
+    at_row = np.arange(len(rows))
+    for axis, cut, length in zip(forest["axis"], forest["cut"], forest["length"]):
+        node = np.zeros(len(rows), np.int64)
+        for _ in range(forest["depth"]):
+            node = 2 * node + 1 + (rows[at_row, axis[node]] >= cut[node])
+        total += length[node]
+    expected = max(float(path_norm(forest["rows"])), 1e-9)
+    return 2.0 ** (-(total / len(forest["axis"])) / expected)
 
 
 def base_failed():
@@ -198,10 +203,10 @@ def base_failed():
 
 def _scored(forest, names: list[str], at: list[int]):
     def run(batches):
-        model = forest.value
+        trees = forest.value
         for batch in batches:
             stats = {n: batch.column(i).to_numpy() for n, i in zip(STATS + MORE, at)}
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(features(stats)))], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(anomaly(trees, features(stats)))], names)
 
     return run
 
@@ -271,7 +276,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if forest is None:
         scored, cut = stats.withColumn("score", F.lit(0.0)), 1.0
     else:
-        shipped = spark.sparkContext.broadcast(forest)  # trees x 2^(depth + 1) nodes: fixed size
+        shipped = spark.sparkContext.broadcast(forest.arrays())  # trees x 2^(depth + 1) nodes: fixed size
         cut = calibrate(_with_score(labelled, shipped, "score"), **cal)
         scored = _with_score(stats, shipped, "score")
     return (scored.withColumn("base_failed", base_failed())
