@@ -107,10 +107,11 @@ def _segments(keys: np.ndarray) -> np.ndarray:
     return np.cumsum(change).astype(np.int64)
 
 
-def _sort_frame(pdf: pd.DataFrame, key: str, order: list[str]) -> pd.DataFrame:
-    # rows arrive sorted; a stable re-sort keeps this exact even if a planner
-    # change ever delivered them otherwise
-    return pdf.sort_values([key, *order], kind="stable", ignore_index=True, na_position="first")
+def _in_order(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The partition's rows in layout order. They arrive in it; the position column
+    tells at the cost of one comparison, and restores it should a plan ever differ."""
+    pos = pdf[POS].to_numpy()
+    return pdf if (pos[1:] > pos[:-1]).all() else pdf.sort_values(POS, ignore_index=True)
 
 
 # --------------------------------------------------------------------------------------
@@ -133,11 +134,11 @@ def keyed_lag(laid: DataFrame, key: str, order: list[str], value: str, out: str)
         pdf = _partition_frame(it)
         if pdf is None:
             return
-        pdf = _sort_frame(pdf, key, order)
+        pdf = _in_order(pdf)
         yield pd.DataFrame({PID: [int(pdf[PID].iloc[0])], "first_key": [pdf[key].iloc[0]],
                             "last_key": [pdf[key].iloc[-1]], "last_val": [pdf[value].iloc[-1]]})
 
-    summary = laid.select(*dict.fromkeys([PID, key, value, *order])).mapInPandas(summarise, _LAG_SUMMARY)
+    summary = laid.select(*dict.fromkeys([PID, POS, key, value])).mapInPandas(summarise, _LAG_SUMMARY)
     # carry into partition p = last value of the previous non-empty partition,
     # if that partition ends with p's first key. One row per partition: the
     # window below runs over a table whose size is the partition count.
@@ -155,7 +156,7 @@ def keyed_lag(laid: DataFrame, key: str, order: list[str], value: str, out: str)
         pdf = _partition_frame(it)
         if pdf is None:
             return
-        pdf = _sort_frame(pdf, key, order)
+        pdf = _in_order(pdf)
         prev = pdf[value].shift(1)
         first_of_key = pdf[key].ne(pdf[key].shift(1))
         prev = prev.where(~first_of_key, None)
@@ -282,7 +283,7 @@ def greedy_thin(laid: DataFrame, key: str, order: list[str], t: str, theta: str,
         pdf = _partition_frame(it)
         if pdf is None:
             return
-        pdf = _sort_frame(pdf, key, order)
+        pdf = _in_order(pdf)
         seg, tt, th = arrays(pdf)
         nseg = int(seg[-1]) + 1
         nxt = _next_pointers(seg, tt, th)
@@ -307,7 +308,7 @@ def greedy_thin(laid: DataFrame, key: str, order: list[str], t: str, theta: str,
                             "rb_keys": [rb_keys[keep].tolist()], "rb_exits": [rb_exits[keep].tolist()],
                             "last_exit": [last_exit]})
 
-    summary = laid.select(*dict.fromkeys([PID, key, t, theta, *order])).mapInPandas(summarise, _THIN_SUMMARY)
+    summary = laid.select(*dict.fromkeys([PID, POS, key, t, theta])).mapInPandas(summarise, _THIN_SUMMARY)
 
     # Per key, walk its partitions in order. Entries: a "tail" where the key
     # starts inside a partition, then "heads" of the following partitions.
@@ -343,7 +344,7 @@ def greedy_thin(laid: DataFrame, key: str, order: list[str], t: str, theta: str,
         pdf = _partition_frame(it)
         if pdf is None:
             return
-        pdf = _sort_frame(pdf, key, order)
+        pdf = _in_order(pdf)
         seg, tt, th = arrays(pdf)
         nseg = int(seg[-1]) + 1
         e_seg = np.full(nseg, e_init, dtype=np.int64)
