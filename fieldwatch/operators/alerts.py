@@ -31,6 +31,7 @@ ALERT_COLUMNS = ["device_id", "gateway_id", "gateway_ts", "gateway_ts_iso", "sta
 _BLOCK = 4096  # windows per exploded block of a silence gap
 SEQ = "seq"
 GAP = "_gap"
+TICK_SEQ = 2 ** 63 - 1  # ticks order after every reading
 
 
 # --- W3: offline candidates ------------------------------------------------------------
@@ -183,7 +184,7 @@ def _fleet(known: DataFrame, dev_gw: DataFrame, params: Params, num_partitions:
             .filter(F.col("theta").isNotNull()).select(*_FLEET_COLS, "theta"))
     always = F.lit(ALWAYS).cast("long").alias("theta")
     last_ticks = (offline.filter(F.col(GAP).isNotNull()).groupBy("device_id", GAP)
-                  .agg(F.max("gateway_ts").alias("gateway_ts")).withColumn(SEQ, F.lit(2 ** 62)))
+                  .agg(F.max("gateway_ts").alias("gateway_ts")).withColumn(SEQ, F.lit(TICK_SEQ)))
     cand = cand.unionByName(last_ticks.select(
         *[(F.col(c) if c in last_ticks.columns else F.lit(None)).cast(cand.schema[c].dataType).alias(c)
           for c in _FLEET_COLS], always))
@@ -191,7 +192,7 @@ def _fleet(known: DataFrame, dev_gw: DataFrame, params: Params, num_partitions:
         cand = cand.unionByName(_seed_rows(state, "last_alert_ts", cand.drop("theta")).select(*_FLEET_COLS, always))
     laid = ordered_layout(cand, "device_id", order, n)
     out = greedy_thin(laid, "device_id", order, "gateway_ts", "theta", e_init=0)
-    return (out.filter((F.col(SEQ) > NEG_INF) & (F.col(SEQ) < 2 ** 62)).select(*_FLEET_COLS)
+    return (out.filter((F.col(SEQ) > NEG_INF) & (F.col(SEQ) < TICK_SEQ)).select(*_FLEET_COLS)
             .unionByName(offline.select(*_FLEET_COLS)))
 
 

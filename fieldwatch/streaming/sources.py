@@ -37,7 +37,7 @@ def topic_stream(spark: SparkSession, topic: str, *, kafka: str | None = None, f
     return file_lines(spark, folder, max_per_trigger)
 
 
-LINES_PER_FILE = 1 << 22
+LINES_PER_FILE = 1 << 20
 
 
 def file_lines(spark: SparkSession, folder: str, max_per_trigger: int | None = None) -> DataFrame:
