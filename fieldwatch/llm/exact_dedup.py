@@ -80,10 +80,13 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     salts: int = SALTS) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     groups = materialise(_groups(_digests(docs, id_col, text_col), salts), "exact-groups")
-    sha, key, kid, size = (free_name(docs, f"_{n}") for n in ("sha", "key", "kid", "size"))
-    keep = groups.select(F.col("sha").alias(key), F.col("keep_id").alias(kid), F.col("keep_size").alias(size))
-    tagged = docs.withColumn(sha, F.sha2(normalised(text_of(text_col)), 256))
-    hits = tagged.join(keep, (F.col(sha) == F.col(key)) & F.col(id_col).eqNullSafe(F.col(kid))
-                       & (F.char_length(text_of(text_col)) == F.col(size)), "left_semi")
-    # rows that repeat an id and a text: one stays (same keys, so no further exchange)
-    return hits.dropDuplicates([sha, id_col]).select(*docs.columns)
+    sha, kid, size = keys = [free_name(docs, f"_{n}") for n in ("sha", "kid", "size")]
+    # a null id as a value of its own: plain equalities, one partitioning for both steps
+    name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("none"))
+    keep = groups.select(F.col("sha").alias(sha), name("keep_id").alias(kid), F.col("keep_size").alias(size))
+    tagged = docs.withColumns({sha: F.sha2(normalised(text_of(text_col)), 256), kid: name(id_col),
+                               size: F.char_length(text_of(text_col))})
+    hits = tagged.join(keep, keys, "left_semi")
+    # rows that repeat an id and a text: one stays (partitioned like the join, so no
+    # further exchange of the texts)
+    return hits.dropDuplicates(keys).select(*docs.columns)
