@@ -18,8 +18,8 @@ odd documents after few steps, so a short mean path means an anomaly.
 * Verdict: every document is scored; ``kept`` is false if a base rule failed or
   its score lies above the cut.
 
-The statistics are written once to the shared folder; fitting, calibration and
-scoring read that narrow table, not the texts.
+The statistics are written once to the shared folder; fitting and calibration
+read that narrow table, not the texts.
 
 Cases: a null text has no words (all statistics 0, base_failed true); empty
 texts likewise; rows with a null id are scored but never used as labelled rows;
@@ -46,6 +46,7 @@ MIN_WORDS = 10
 REPEAT_PERCENT = 20
 
 TREES, TREE_ROWS, DEPTH, FIT_ROWS, BINS, LOSS, SEED = 200, 1024, 10, 20_000, 2_000, 0.005, 17
+ID, TEXT = "id", "text"
 BOX = 0.002  # share of the sample left outside the box on each side of an axis
 
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -251,45 +252,60 @@ def calibrate(scored: DataFrame, bins: int = BINS, loss: float = LOSS) -> float:
     return float((best[len(best) // 2] + 1) / bins) if gain.max() > 0 else 1.0
 
 
-def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          carry: list[str] | None = None, **params) -> DataFrame:
-    """One row per row of ``docs``: the columns of ``carry`` (default: the id), the
-    statistics, ``base_failed``, ``score`` and ``kept``. ``labels``: the id and
-    ``quality`` (1 good, 0 bad). Carried columns must not be named like these."""
-    spark = docs.sparkSession
-    carry = [id_col] if carry is None else carry
-    names = [*carry, *([] if text_col in carry else [text_col])]
-    source = docs.select(*names)
-    full = [*names, *STATS, *MORE]
-    measured = source.mapInArrow(_with_statistics(names.index(text_col), full),
-                                 with_columns(source, STATS + MORE, "long"))
-    stats = materialise(measured.select(*carry, *STATS, *MORE), "quality-statistics")
-    known = (labels.select(F.col(id_col).alias("id"), F.col("quality").cast("int").alias("quality"))
+def _measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, statistics), written: all later steps but the last read this table."""
+    source = docs.select(F.col(id_col).alias(ID), F.col(text_col).alias(TEXT))
+    rows = source.mapInArrow(_with_statistics(1, [ID, TEXT, *STATS, *MORE]),
+                             with_columns(source, STATS + MORE, "long"))
+    return materialise(rows.drop(TEXT), "quality-statistics")
+
+
+def _model(stats: DataFrame, labels: DataFrame, id_col: str, params: dict):
+    """(broadcast forest or None, cut) from the labelled rows of the statistics."""
+    known = (labels.select(F.col(id_col).alias(ID), F.col("quality").cast("int").alias("quality"))
              .filter(F.col("quality").isin(0, 1))
-             .groupBy("id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
+             .groupBy(ID).agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
              .filter(F.col("quality") == F.col("other")).drop("other"))
-    labelled = (stats.filter(~base_failed()).select(F.col(id_col).alias("id"), *STATS, *MORE).join(known, "id"))
-    labelled = materialise(labelled, "quality-labelled")
-    fit = {k: v for k, v in params.items() if k in ("fit_rows", "trees", "tree_rows", "depth", "seed")}
-    cal = {k: v for k, v in params.items() if k in ("bins", "loss")}
-    forest = fit_forest(labelled, **fit)
+    labelled = materialise(stats.filter(~base_failed()).join(known, ID), "quality-labelled")
+    forest = fit_forest(labelled, **{k: v for k, v in params.items() if k not in ("bins", "loss")})
     if forest is None:
-        scored, cut = stats.withColumn("score", F.lit(0.0)), 1.0
-    else:
-        shipped = spark.sparkContext.broadcast(forest.arrays())  # trees x 2^(depth + 1) nodes: fixed size
-        cut = calibrate(_with_score(labelled, shipped, "score"), **cal)
-        scored = _with_score(stats, shipped, "score")
-    return (scored.withColumn("base_failed", base_failed())
-            .withColumn("kept", ~F.col("base_failed") & (F.col("score") < cut))
-            .drop(*MORE))
+        return None, 1.0
+    # trees x 2^(depth + 1) nodes: fixed size
+    shipped = stats.sparkSession.sparkContext.broadcast(forest.arrays())
+    to_cut = {k: v for k, v in params.items() if k in ("bins", "loss")}
+    return shipped, calibrate(_with_score(labelled, shipped, "score"), **to_cut)
+
+
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """One row per row of ``docs``: the id, the statistics, ``base_failed``, ``score``
+    and ``kept``. ``labels``: the id and ``quality`` (1 good, 0 bad)."""
+    stats = _measured(docs, id_col, text_col)
+    forest, cut = _model(stats, labels, id_col, params)
+    scored = stats.withColumn("score", F.lit(0.0)) if forest is None else _with_score(stats, forest, "score")
+    return scored.select(F.col(ID).alias(id_col), *STATS, base_failed().alias("base_failed"), "score",
+                         (~base_failed() & (F.col("score") < cut)).alias("kept"))
+
+
+def _kept_rows(forest, cut: float, text_at: int):
+    """Task function: the rows that pass the base rules and the forest."""
+
+    def run(batches):
+        trees = forest.value if forest is not None else None
+        for batch in batches:
+            for part in slices(batch, text_at):
+                stats = text_statistics(pc.fill_null(part.column(text_at), ""))
+                keep = ~((stats["n_words"] < MIN_WORDS)
+                         | (100 * stats["n_repeat_words"] > REPEAT_PERCENT * stats["n_words"]))
+                if trees is not None:
+                    keep &= anomaly(trees, features(stats)) < cut
+                yield part.filter(pa.array(keep))
+
+    return run
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               **params) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns. They travel
-    with their statistics, so rows that share an id are judged apart."""
-    inner = {c: f"c{k}" for k, c in enumerate(docs.columns)}  # no clash with the statistics' names
-    copy = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
-    verdict = judge(copy, labels.withColumnRenamed(id_col, inner[id_col]), inner[id_col], inner[text_col],
-                    carry=list(inner.values()), **params)
-    return verdict.filter("kept").select(*[F.col(n).alias(c) for c, n in inner.items()])
+    """The rows of ``docs`` that the rules keep, with all their columns. Each row is
+    judged by its own text in one pass, so rows that share an id are judged apart."""
+    forest, cut = _model(_measured(docs, id_col, text_col), labels, id_col, params)
+    return docs.mapInArrow(_kept_rows(forest, cut, docs.columns.index(text_col)), docs.schema)

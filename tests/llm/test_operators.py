@@ -159,6 +159,8 @@ def test_quality_statistics(spark, docs, empty):
     assert judge(docs, labels.limit(0)).filter("kept = base_failed").count() == 0  # no labels: base rules alone
     kept = keep_good(docs, labels, fit_rows=30, trees=20)
     assert kept.schema == docs.schema and 0 < kept.count() < docs.count()
+    # the filter and the report judge alike
+    assert bag(kept.select("doc_id").collect()) == bag(got.filter("kept").select("doc_id").collect())
 
 
 def test_packing(docs, empty):
