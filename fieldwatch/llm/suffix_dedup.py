@@ -264,7 +264,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blocks = BlockTable(source, "text", block_bytes)
     samples = blocks.parts(blocks.bytes * len(COVER) // PERIOD)
     plan = _Plan(length, samples, blocks.parts(blocks.bytes // 32), blocks.parts(blocks.bytes // 16),
-                 blocks.parts(blocks.bytes // 8))
+                 blocks.parts(blocks.bytes // 3))
 
     def told(work, parts, judge, kinds, *answers):
         keys = blocks.with_answers(*answers).mapInArrow(_step(plan, len(answers), work), KEY_SCHEMA)
