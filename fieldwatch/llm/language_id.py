@@ -10,7 +10,10 @@ training texts of that language were from theirs.
 Training uses only the text and the non-null language of rows whose
 crc32(id as text) is not divisible by 5. Document frequencies are counted over
 all of them. The centroids are fitted on a bounded sample: at most ``fit_rows``
-rows a language, those with the smallest hash of their id.
+rows a language, those with the smallest hash of their id. The threshold of
+``rejected`` covers all training rows: Spark adds up a histogram of their cosines
+to the nearest centroid of their own language, and the lower edge of the bin with
+the ``REJECT_SHARE`` quantile is the language's floor.
 
 The model is languages x centroids vectors of ``DIMS`` floats; more than
 ``MAX_LANGUAGES`` languages raise an error, so the broadcast has a known bound.
@@ -36,6 +39,7 @@ from fieldwatch.llm.textarrays import bytes_of, slices
 DIMS = 4096
 FIT_ROWS, CENTROIDS, ROUNDS, SEED = 1000, 4, 12, 11
 REJECT_SHARE = 0.002
+BINS = 4000  # of the cosines from 0 to 1
 MAX_LANGUAGES = 1000
 _ROWS = 256  # texts in one dense block
 
@@ -121,13 +125,48 @@ def _centroids(centroids: int, rounds: int, seed: int):
         group = group.sort_values("v")  # the order of arrival must not matter
         rows = np.stack([np.frombuffer(v, "<f4") for v in group["v"]])
         centres = spherical_kmeans(rows, centroids, rounds, seed)
-        floor = float(np.quantile((rows @ centres.T).max(1), REJECT_SHARE))
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "v": [c.astype("<f4").tobytes() for c in centres],
-                             "floor": floor})
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "v": [c.astype("<f4").tobytes() for c in centres]})
 
     return run
 
 
+def _own_cosines(model):
+    """Task function: a task's counts of rows (lang, text) by language and cosine bin."""
+
+    def run(batches):
+        m = model.value
+        kinds = sorted(set(m["langs"]))
+        code = {k: n for n, k in enumerate(kinds)}
+        of = np.array([code[k] for k in m["langs"]])
+        counts = np.zeros((len(kinds), BINS), np.int64)
+        for batch in batches:
+            for part in _blocks(batch, 1):
+                own = np.array([code[k] for k in part.column(0).to_pylist()])
+                similar = (vectors(part.column(1), m["idf"]) @ m["centres"].T).astype(np.float64)
+                cosine = np.where(own[:, None] == of, similar, 0).max(1)
+                np.add.at(counts, (own, np.clip((cosine * BINS).astype(np.int64), 0, BINS - 1)), 1)
+        lang, at = counts.nonzero()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([kinds[k] for k in lang], pa.string()), pa.array(at.astype(np.int32)), pa.array(counts[lang, at])],
+            ["lang", "bin", "n"])
+
+    return run
+
+
+def _floors(train: DataFrame, model: dict) -> dict[str, float]:
+    """Per language the cosine below which at most ``REJECT_SHARE`` of all its training rows lie."""
+    shipped = train.sparkSession.sparkContext.broadcast(model)
+    bins = (train.select("lang", "text").mapInArrow(_own_cosines(shipped), "lang string, bin int, n long")
+            .groupBy("lang", "bin").agg(F.sum("n").alias("n")))
+    # at most BINS rows a language
+    own = Window.partitionBy("lang")
+    ranked = (bins.withColumn("upto", F.sum("n").over(own.orderBy("bin")))
+              .withColumn("all", F.sum("n").over(own)))
+    found = (ranked.filter(F.col("upto") > REJECT_SHARE * (F.col("all") - 1))
+             .groupBy("lang").agg(F.min("bin").alias("bin")).collect())
+    return {r["lang"]: r["bin"] / BINS for r in found}
+
+
 def fit(train: DataFrame, fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS, rounds: int = ROUNDS,
         seed: int = SEED) -> dict | None:
     """The model for rows (id, lang, text) without nulls in lang and text."""
@@ -160,11 +199,12 @@ def fit(train: DataFrame, fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS,
     sample = ranked.filter(F.col("rank") <= fit_rows).select("lang", "text")
     shipped = spark.sparkContext.broadcast(idf)
     rows = (sample.mapInArrow(_sample_vectors(shipped), "lang string, v binary").groupBy("lang")
-            .applyInPandas(_centroids(centroids, rounds, seed), "lang string, v binary, floor double")
+            .applyInPandas(_centroids(centroids, rounds, seed), "lang string, v binary")
             .orderBy("lang", "v").collect())
-    return {"idf": idf, "langs": [r["lang"] for r in rows],
-            "centres": np.stack([np.frombuffer(r["v"], "<f4") for r in rows]),
-            "floors": np.array([r["floor"] for r in rows])}
+    model = {"idf": idf, "langs": [r["lang"] for r in rows],
+             "centres": np.stack([np.frombuffer(r["v"], "<f4") for r in rows])}
+    floors = _floors(train, model)
+    return {**model, "floors": np.array([floors[k] for k in model["langs"]])}
 
 
 def _predicted(model):

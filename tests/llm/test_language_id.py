@@ -53,3 +53,13 @@ def test_without_training_rows(spark):
     got = identify(frame(spark, [(1, "some text", None, "s"), (2, None, None, "s")])).collect()
     assert {r.lang_pred for r in got} == {"und"}
     assert identify(frame(spark, [])).count() == 0
+
+
+def test_threshold_covers_all_training_rows(spark):
+    """A small fit sample must not set the threshold: of all training rows of a language
+    hardly any are rejected."""
+    data = [r for r in rows() if r[0] is not None and r[2]]
+    got = {r.doc_id: r for r in identify(frame(spark, data), fit_rows=10).collect()}
+    for lang in SYLLABLES:
+        own = [got[i] for i, _, kind, _ in data if kind == lang and not held_out(i)]
+        assert len(own) > 50 and sum(r.rejected for r in own if r.lang_pred == lang) <= 0.002 * len(own)
