@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldwatch.llm.bpe_codec import codec_digests
+from fieldwatch.llm.chat_format import format_examples, read_back
+from fieldwatch.llm.collocations import collocations
 from fieldwatch.llm.common import documents, table
 from fieldwatch.llm.exact_dedup import exact_groups
 from fieldwatch.llm.language_id import identify
@@ -13,6 +15,7 @@ from fieldwatch.llm.line_dedup import line_report
 from fieldwatch.llm.packing import pack_documents
 from fieldwatch.llm.quality_rules import STATS, judge
 from fieldwatch.llm.simhash_dedup import simhash_components
+from fieldwatch.llm.spelling_variants import variants, word_counts
 from fieldwatch.llm.substring_dedup import window_report
 from fieldwatch.llm.suffix_dedup import repeat_digests
 from fieldwatch.llm.token_counts import token_counts
@@ -70,6 +73,29 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(documents(spark, sf_dir), words=None)
 
 
+#: a conversation whose texts are made of the template's own control strings
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the training examples of every conversation hold, read back from them."""
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)],
+                                conversations.schema)
+    return read_back(format_examples(conversations.unionByName(own)))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every frequent word."""
+    return variants(word_counts(documents(spark, sf_dir)))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language."""
+    return collocations(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_substring_dedup, op3_packing, op4_quality_rules, op5_simhash_dedup, op6_exact_dedup,
-    op7_language_id, op8_bpe_codec, op9_suffix_dedup, op10_line_dedup)}
+    op7_language_id, op8_bpe_codec, op9_suffix_dedup, op10_line_dedup, op11_chat_format, op12_spelling_variants,
+    op13_collocations)}

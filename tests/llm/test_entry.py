@@ -16,11 +16,12 @@ from pyspark.sql import SparkSession
 spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", "4").getOrCreate())
 names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-assert len(names) == 11, names
+assert len(names) == 14, names
 documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
 for name in names:
     rows = entry.queries()[name](spark, "/root/testdata/sf0.001").count()
-    assert rows == documents or name in ("op3_packing", "pipeline"), (name, rows)
+    assert rows == documents or name in ("op3_packing", "op11_chat_format", "op12_spelling_variants",
+                                      "op13_collocations", "pipeline") and rows, (name, rows)
 print("all ran")
 """
 
