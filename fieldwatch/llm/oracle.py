@@ -24,11 +24,11 @@ SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_
 FROM d JOIN g USING (norm)""",
     "op10_line_dedup": r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
-x AS (SELECT doc_id, i, array_to_string(list_slice(l, i, i + 2), chr(10)) AS t
-      FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS i FROM d)),
-r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS n
-      FROM x WHERE regexp_matches(t, '[^\x20\x09-\x0D]')),
-g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 3)) AS p FROM r WHERE n > 1),
+x AS (SELECT doc_id, i, k, array_to_string(list_slice(l, i, i + k - 1), chr(10)) AS t
+      FROM (SELECT doc_id, l, k, unnest(range(1, len(l) - k + 2)) AS i FROM d, (SELECT unnest([1, 2, 3]) AS k))),
+r AS (SELECT doc_id, i, k, row_number() OVER (PARTITION BY k, t ORDER BY doc_id, i) AS n
+      FROM x WHERE len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) >= CASE WHEN k = 3 THEN 1 ELSE 8 END),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS p FROM r WHERE n > 1),
 k AS (SELECT a.doc_id, p, l[p] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS p FROM d) a
       ANTI JOIN g USING (doc_id, p)),
 s AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY p) AS kept FROM k GROUP BY doc_id),

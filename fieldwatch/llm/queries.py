@@ -68,9 +68,8 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of three or more lines of every text that have occurred before. The
-    oracle's SQL knows no shorter runs, so those are left alone here."""
-    return line_report(documents(spark, sf_dir), words=None)
+    """Runs of lines of every text that have occurred before."""
+    return line_report(documents(spark, sf_dir))
 
 
 #: a conversation whose texts are made of the template's own control strings
