@@ -50,7 +50,7 @@ LEAST, LONGEST, TOP, ABSORB = 100, 5, 2000, 100
 #: bits of a phrase's name that the summaries keep
 BITS = 40
 #: names a task counts before it sends a summary, and bytes of text it takes at a time
-SUMMARY, SLICE = 8_000_000, 4_000_000
+SUMMARY, SLICE = 4_000_000, 2_000_000
 #: bytes of text whose phrases one hash partition takes; its counters are about a hundredth of them
 PART_BYTES = 300_000_000
 #: bits of the survivors' bitmap (16 MB), and survivors that one serves
@@ -271,7 +271,7 @@ def _counts(shared, low: int, high: int, bits: int, longest: int, totals: bool):
     def run(batches):
         bitmap = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            for piece in slices(batch, 1, 4 * SLICE):
+            for piece in slices(batch, 1, 2 * SLICE):
                 p = phrases_of(piece)
                 if totals:
                     n = np.bincount(p.lang, minlength=len(p.langs))
