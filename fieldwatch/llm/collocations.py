@@ -50,9 +50,9 @@ LEAST, LONGEST, TOP, ABSORB = 100, 5, 2000, 100
 #: bits of a phrase's name that the summaries keep
 BITS = 40
 #: names a task counts before it sends a summary, and bytes of text it takes at a time
-SUMMARY, SLICE = 4_000_000, 2_000_000
+SUMMARY, SLICE = 3_000_000, 1_000_000
 #: bytes of text whose phrases one hash partition takes; its counters are about a hundredth of them
-PART_BYTES = 300_000_000
+PART_BYTES = 100_000_000
 #: bits of the survivors' bitmap (16 MB), and survivors that one serves
 BITMAP, SERVED = 1 << 27, 1 << 23
 COUNT_BITS = np.uint64(64 - BITS)
