@@ -24,11 +24,11 @@ from fieldwatch.functions.timefmt import iso_of_ms, window_index
 from fieldwatch.operators.dimension import gateway_lookup
 from fieldwatch.operators.ordered import (ALWAYS, NEG_INF, PID, POS, greedy_thin, keyed_lag, ordered_layout,
                                          tasks_for)
+from fieldwatch.operators.ranks import count_below, rank_rows
 from fieldwatch.schemas import CLEANED_ALERT
 from fieldwatch.session import checkpoint_dir
 
 ALERT_COLUMNS = ["device_id", "gateway_id", "gateway_ts", "gateway_ts_iso", "state", "details"]
-_BLOCK = 4096  # windows per exploded block of a silence gap
 SEQ = "seq"
 GAP = "_gap"
 TICK_SEQ = 2 ** 63 - 1  # ticks order after every reading
@@ -50,46 +50,50 @@ def _offline_ticks(known: DataFrame, dev_gw: DataFrame, params: Params, last_see
     or the carried ``last_seen(device_id, last_ts)`` of earlier micro-batches).
 
     The reference does not rate-limit OFFLINE alerts, so every candidate is an
-    alert and no fold is needed here. Candidates are generated per silence gap
-    of a device (between two windows it was seen in), so the work is
-    proportional to the alerts produced, not to devices x windows.
-
-    Column ``_gap`` holds the window that ends the silence (null if none does).
+    alert and no fold is needed here. The windows in which the fleet spoke are
+    numbered densely, and a silence of a device (between two windows it was seen in)
+    is a range of those numbers, cut where it first fires. Ranges are spread out
+    into numbers, each of which is an alert: time in which nobody spoke has no number
+    and costs nothing, however long it is.
+
+    Column ``_gap`` holds the number of the window that ends the silence (null if
+    none does).
     """
     w_ms, off = params.window_ms, params.offline_ms
-    seen = known.select("device_id", window_index(F.col("gateway_ts") - 1, w_ms).alias("w")).distinct()
-    fleet = seen.select("w").distinct()
-    bounds = fleet.select(F.struct(F.min("w").alias("lo"), F.max("w").alias("hi"))).scalar()
-    wmin, wmax = bounds["lo"], bounds["hi"]
+    window = window_index(F.col("gateway_ts") - 1, w_ms)
 
     def first_firing(last_ts):
         # window m fires when (m + 1) * W - last_ts >= offline
-        return F.greatest(wmin, (F.ceil((last_ts + F.lit(off)) / F.lit(w_ms)) - 1).cast("long"))
-
-    # silence gaps between consecutive sightings. The per-device window list is
-    # bounded by the number of fleet windows, not by the device's reading count.
-    per_dev = Window.partitionBy("device_id").orderBy("w")
-    s2 = seen.select("device_id", "w", F.lead("w").over(per_dev).alias("next_w"),
-                     F.row_number().over(per_dev).alias("k"))
-    gaps = s2.select("device_id", first_firing((F.col("w") + 1) * F.lit(w_ms)).alias("lo"),
-                     F.coalesce(F.col("next_w") - 1, wmax).alias("hi"), F.col("next_w").alias(GAP))
+        return (F.ceil((last_ts + F.lit(off)) / F.lit(w_ms)) - 1).cast("long")
+
+    # a silence after window w begins behind it, whatever the limit
+    fleet = known.select(window.alias("w")).distinct()
+    after = F.greatest(first_firing((F.col("w") + 1) * F.lit(w_ms)), F.col("w") + 1)
     registered = dev_gw.select("device_id")
     if last_seen is not None:
         registered = registered.join(last_seen.select("device_id", "last_ts"), "device_id", "left")
     else:
         registered = registered.withColumn("last_ts", F.lit(None).cast("long"))
-    seed = F.coalesce(F.col("last_ts"), F.lit(0))
-    firsts = s2.filter(F.col("k") == 1).select("device_id", F.col("w").alias("first_w"))
-    before = (registered.join(firsts, "device_id", "left")
-              .select("device_id", first_firing(seed).alias("lo"),
-                      F.coalesce(F.col("first_w") - 1, wmax).alias("hi"), F.col("first_w").alias(GAP)))
-    spans = gaps.unionByName(before).filter(F.col("lo") <= F.col("hi"))
-    # a long silence spans many windows: explode it in blocks so that no row
-    # ever carries an array longer than _BLOCK windows
-    blocks = spans.select("device_id", "hi", GAP, F.explode(F.sequence("lo", "hi", F.lit(_BLOCK))).alias("b0"))
-    windows = blocks.select("device_id", GAP, F.explode(
-        F.sequence("b0", F.least(F.col("b0") + (_BLOCK - 1), F.col("hi")))).alias("w"))
-    ticks = windows.join(fleet, "w").join(dev_gw, "device_id")
+    registered = registered.select("device_id", first_firing(F.coalesce(F.col("last_ts"), F.lit(0))).alias("value"))
+    ranks = count_below(fleet, fleet.select(after.alias("value")).unionByName(registered.select("value")))
+    spoken = ranks.where("counted").select(F.col("value").alias("w"), F.col("below").alias("rank"))
+    last = spoken.select(F.max("rank")).scalar()
+    begins = ranks.select("value", F.col("below").alias("low"))
+
+    # the per-device window list is bounded by the number of fleet windows, not by
+    # the device's reading count
+    per_dev = Window.partitionBy("device_id").orderBy("rank")
+    seen = (known.select("device_id", window.alias("w")).distinct().join(spoken, "w")
+            .select("device_id", "rank", after.alias("value"), F.lead("rank").over(per_dev).alias(GAP)))
+    gaps = (seen.where(F.col(GAP).isNull() | (F.col(GAP) > F.col("rank") + 1)).join(begins, "value")
+            .select("device_id", "low", GAP))
+    firsts = seen.groupBy("device_id").agg(F.min("rank").alias(GAP))
+    before = registered.join(begins, "value").join(firsts, "device_id", "left").select("device_id", "low", GAP)
+    spans = (gaps.unionByName(before).withColumn("high", F.coalesce(F.col(GAP) - 1, last))
+             .where(F.col("low") <= F.col("high")))
+    starts, members = rank_rows(F.col("low"), F.col("high"))
+    numbers = spans.withColumn("block", starts).select("device_id", GAP, members.alias("rank"))
+    ticks = numbers.join(spoken, "rank").join(dev_gw, "device_id")
     gts = ((F.col("w") + 1) * F.lit(w_ms)).cast("long")
     return ticks.select("device_id", "gateway_id", gts.alias("gateway_ts"), iso_of_ms(gts).alias("gateway_ts_iso"),
                         F.lit(STATE_OFFLINE).alias("state"), F.array().cast("array<string>").alias("details"),
@@ -205,10 +209,10 @@ def fleet_step(readings: DataFrame, dev_gw: DataFrame, params: Params, state: Da
     known = _known(readings, dev_gw, seq).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         alerts = _materialise(_stamped(_fleet(known, dev_gw, params, num_partitions, state)))
+        last_read = _materialise(known.groupBy("device_id").agg(
+            F.max(F.struct("gateway_ts", SEQ, "state")).alias("m")))
     finally:
         known.unpersist()
-    last_read = known.groupBy("device_id").agg(
-        F.max(F.struct("gateway_ts", SEQ, "state")).alias("m"))
     last_read = last_read.select("device_id", F.col("m.state").alias("n_state"), F.col("m.gateway_ts").alias("n_ts"))
     last_alert = alerts.groupBy("device_id").agg(F.max("gateway_ts").alias("n_alert"))
     new = last_read.join(last_alert, "device_id", "full_outer")

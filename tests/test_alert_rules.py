@@ -152,3 +152,69 @@ def test_long_silence_crosses_explode_blocks(spark):
     got = A.unseen_devices(known, dev_gw, 1).filter("device_id = 'a'").select("w").collect()
     ws = sorted(r.w for r in got)
     assert ws == list(range(1, n))
+
+
+def test_sparse_fleets_match_simulation(spark):
+    """Few, far apart fleet windows; silences longer and shorter than the limit; limits
+    below and above a window."""
+    rng = np.random.default_rng(17)
+    devices = [f"d{i}" for i in range(8)]
+    for offline in (5, 30, 2_000):
+        p = P.with_(offline_ms=offline)
+        stamps = 1000 + 10 * np.sort(rng.choice(50_000, 40, replace=False))
+        rows = [(devices[int(rng.integers(0, 6))], int(rng.choice(stamps)), str(rng.choice(["OK", "CRITICAL"])), e)
+                for e in range(120)]
+        pdf = pd.DataFrame(rows, columns=["device_id", "gateway_ts", "state", "event_id"])
+        assert _fleet(spark, pdf, devices, p, nparts=3) == _simulate(pdf, devices, p)
+
+
+def test_time_in_which_nobody_speaks_costs_nothing(spark):
+    """A fleet silent for 600 days of 10 s windows: as many candidates as alerts. The
+    ranges are spread out over numbered windows, of which there are three."""
+    day = 86_400_000
+    p = Params(window_ms=10_000, cooldown_ms=20, recovery_ms=5, offline_ms=30_000)
+    stamps = [day, day + 10_000, 601 * day]
+    rows = [(f"d{k}", stamps[0], "OK", [], k) for k in range(400)] + [("d0", t, "OK", [], 400 + n) for n, t in enumerate(stamps[1:])]
+    rdf = spark.createDataFrame(rows, READ_SCHEMA)
+    dev_gw = spark.createDataFrame([(f"d{k}", "g") for k in range(400)], "device_id string, gateway_id string")
+    known = A.gateway_lookup(rdf, dev_gw).cache()
+    ticks = A.offline_alerts(known, dev_gw, p)
+    assert sorted((r.gateway_ts, r["count"]) for r in ticks.groupBy("gateway_ts").count().collect()) == [(stamps[2], 399)]
+    unseen = A.unseen_devices(known, dev_gw, 10_000)
+    assert unseen.count() == 2 * 399
+    made = [int(x) for x in _output_rows(unseen, "Generate")]
+    assert made and max(made) <= 2 * 399
+
+
+def _output_rows(df, node):
+    """Rows that the plan's nodes of a kind put out when the plan is run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    found, todo = [], [plan]
+    while todo:
+        p = todo.pop()
+        if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(p.executedPlan())
+            continue
+        if "QueryStage" in p.getClass().getSimpleName():
+            todo.append(p.plan())
+            continue
+        if p.nodeName() == node:
+            found.append(p.metrics().apply("numOutputRows").value())
+        children = p.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+def test_count_below(spark):
+    from fieldwatch.operators.ranks import count_below
+
+    rng = np.random.default_rng(5)
+    counted = sorted({int(x) for x in rng.integers(-500, 500, 200)})
+    asked = [int(x) for x in rng.integers(-600, 600, 300)]
+    frame = lambda v: spark.createDataFrame([(x,) for x in v], "v long")
+    got = {r.value: (r.counted, r.below)
+           for r in count_below(frame([*counted, *counted, None]), frame([*asked, None]), 7).collect()}
+    assert got == {x: (x in counted, sum(c < x for c in counted)) for x in {*counted, *asked}}
+    assert count_below(frame([]), frame([3])).collect()[0].below == 0
+    assert count_below(frame([])).count() == 0
