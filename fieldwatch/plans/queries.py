@@ -386,7 +386,8 @@ def q_share(spark, sf_dir):
 
 @query("critical_by_gateway")
 def q_critical(spark, sf_dir):
-    return DB.critical_by_gateway(_p(spark, sf_dir).cleaned_alerts, FIX_ALPHA_SIZE)
+    # gateway and state are those of the deduplicated alerts: cleaning adds locations only
+    return DB.critical_by_gateway(_p(spark, sf_dir).deduped_alerts, FIX_ALPHA_SIZE)
 
 
 @query("routes_by_farm")
@@ -479,10 +480,9 @@ def q_unrouted(spark, sf_dir):
 
 @query("time_slice")
 def q_time_slice(spark, sf_dir):
-    t = _p(spark, sf_dir).enriched_telemetry
-    lo = t.select(F.min("gateway_ts")).scalar()
-    hi = t.select(F.max("gateway_ts")).scalar()
-    return DB.time_slice(t, lo, hi).select("device_id", "gateway_ts", "count")
+    t = _p(spark, sf_dir).telemetry
+    span = t.select(F.struct(F.min("gateway_ts").alias("lo"), F.max("gateway_ts").alias("hi"))).scalar()
+    return DB.time_slice(t, span["lo"], span["hi"]).select("device_id", "gateway_ts", "count")
 
 
 @query("map_points")
