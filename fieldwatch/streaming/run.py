@@ -24,10 +24,15 @@ STREAMING = ("telemetry", "alerts", "notifier", "gateway")
 def _source(spark, args, topic, offsets):
     from fieldwatch.streaming.sources import topic_file, topic_stream
     if args.kafka:
-        return topic_stream(spark, topic, kafka=args.kafka, starting_offsets=offsets,
+        return topic_stream(spark, topic, kafka=args.kafka, starting_offsets=args.starting_offsets or offsets,
                             max_per_trigger=args.max_per_trigger)
     return topic_stream(spark, topic, folder=f"{args.topics.rstrip('/')}/{topic_file(topic)}",
-                        max_per_trigger=args.max_per_trigger)
+                        starting_offsets=args.starting_offsets or offsets, max_bytes=_max_bytes(args))
+
+
+def _max_bytes(args) -> int | None:
+    """How much of a folder a micro-batch takes; one that takes all there is has no limit."""
+    return None if args.trigger == "availableNow" else args.max_bytes
 
 
 def _checkpoint(spark, args) -> str:
@@ -96,7 +101,9 @@ def main(argv=None) -> int:
     ap.add_argument("--input", help="input folder (readings, logs, raw Parquet, documents)")
     ap.add_argument("--checkpoint", help="folder of streaming checkpoints and state (default: spark.checkpoint.dir)")
     ap.add_argument("--max-per-trigger", type=int, default=1000,
-                    help="offsets (Kafka) or files per micro-batch, so that a backlog is worked off in parts")
+                    help="offsets (Kafka) or files of readings per micro-batch, so that a backlog is worked off in parts")
+    ap.add_argument("--max-bytes", type=int, default=1 << 30, help="the same for topic folders, in bytes")
+    ap.add_argument("--starting-offsets", help="earliest, latest or JSON (default: as the job needs; a restart goes on)")
     ap.add_argument("--window-ms", type=int, default=DEFAULT_PARAMS.window_ms)
     ap.add_argument("--cooldown-ms", type=int, default=DEFAULT_PARAMS.cooldown_ms)
     ap.add_argument("--recovery-ms", type=int, default=DEFAULT_PARAMS.recovery_ms)

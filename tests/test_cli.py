@@ -65,7 +65,8 @@ def test_jobs_then_latency_report(spark):
 
         waiting, J.await_all = J.await_all, lambda s: [q.awaitTermination() for q in s.streams.active]
         try:
-            assert run.main([job, "--out", f"{root}/docs/{index}", "--out2", f"{root}/log", *common]) == 0
+            assert run.main([job, "--out", f"{root}/docs/{index}", "--out2", f"{root}/log", "--starting-offsets", "earliest",
+                             *common]) == 0  # the jobs' own default is what comes after their start
         finally:
             J.await_all = waiting
     docs = {i: spark.read.parquet(f"{root}/docs/{i}") for i in (TELEMETRY_INDEX, ALERT_INDEX)}

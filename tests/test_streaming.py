@@ -41,13 +41,19 @@ def test_alert_cleanup_stream_equals_batch(spark):
     n = _write_chunks(src, f"{root}/in", "gts", 4)
     assert n > 0
     loc = J.LocationCache(lambda: p.locations)
-    stream = topic_stream(spark, "alerts", folder=f"{root}/in", max_per_trigger=1)
+    size = sum(os.path.getsize(f"{root}/in/{x}") for x in os.listdir(f"{root}/in"))
+    stream = topic_stream(spark, "alerts", folder=f"{root}/in", starting_offsets="earliest", max_bytes=size // 5)
+    batches = []
     for _ in range(2):  # second run restarts from the checkpoint and must add nothing
         raw_q, q = J.start_alert_cleanup(stream, loc, f"{root}/docs", f"{root}/rawlog", f"{root}/ckpt",
                                          topic_folder=f"{root}/topics", dedup_window=FIXTURE_PARAMS.dedup_window,
-                                         trigger="availableNow")
-        q.awaitTermination()
-        raw_q.awaitTermination()
+                                         trigger="0 seconds")
+        for each in (q, raw_q):
+            each.processAllAvailable()
+        batches.append(sum(p.numInputRows > 0 for p in q.recentProgress))
+        for each in (q, raw_q):
+            each.stop()
+    assert batches[0] >= 5 and batches[1] == 0  # batches end inside files
     docs = spark.read.parquet(f"{root}/docs")
     got = {(r.device_id, r.gateway_ts, r.state) for r in docs.collect()}
     exp = {(r.device_id, r.gateway_ts, r.state) for r in p.deduped_alerts.collect()}
@@ -71,7 +77,7 @@ def test_telemetry_enrichment_stream_equals_batch(spark):
     n = _write_chunks(src, f"{root}/in", "gts", 3)
     os.replace(f"{root}/bad.json", f"{root}/in/bad.json")
     os.utime(f"{root}/in/bad.json", (1_700_000_000 - 10, 1_700_000_000 - 10))
-    stream = topic_stream(spark, "telemetry", folder=f"{root}/in", max_per_trigger=2)
+    stream = topic_stream(spark, "telemetry", folder=f"{root}/in", starting_offsets="earliest")
     q = J.start_telemetry_enrichment(stream, J.LocationCache(lambda: p.locations), f"{root}/docs", f"{root}/ckpt",
                                      trigger="availableNow")
     q.awaitTermination()
@@ -93,7 +99,7 @@ def test_notifier_stream(spark):
     src = jsonio.rows_to_json(p.cleaned_alerts.select(*[f.name for f in CLEANED_ALERT.fields]))
     root = tempfile.mkdtemp(prefix="fw-notify-")
     _write_chunks(src, f"{root}/in", "value", 2)
-    stream = topic_stream(spark, CLEANED_ALERT_TOPIC, folder=f"{root}/in", max_per_trigger=1)
+    stream = topic_stream(spark, CLEANED_ALERT_TOPIC, folder=f"{root}/in", starting_offsets="earliest")
     q = J.start_notifier(stream, p.routes, f"{root}/out", f"{root}/unrouted", f"{root}/ckpt", trigger="availableNow")
     q.awaitTermination()
     from fieldwatch.operators import notify as N
@@ -255,7 +261,7 @@ def test_file_topics_keep_the_order_of_lines(spark):
         with open(f"{root}/{name}.json", "w") as f:
             f.write("".join(f"{name}{j}\n" for j in range(500)))
         os.utime(f"{root}/{name}.json", (1_700_000_000 + k, 1_700_000_000 + k))
-    q = (topic_stream(spark, "t", folder=root).writeStream.format("memory").queryName("lines")
+    q = (topic_stream(spark, "t", folder=root, starting_offsets="earliest").writeStream.format("memory").queryName("lines")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     got = [r.value for r in spark.table("lines").orderBy("seq").collect()]
