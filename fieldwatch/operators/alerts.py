@@ -112,6 +112,7 @@ def unseen_devices(known: DataFrame, dev_gw: DataFrame, window_ms: int) -> DataF
 
 # --- W2 + W3: the gateway's alert machine -------------------------------------------------
 
+FLEET_STATE = "device_id string, last_state string, last_alert_ts long, last_ts long"
 _FLEET_COLS = ["device_id", "gateway_id", "gateway_ts", "state", "details", SEQ]
 
 
@@ -205,7 +206,7 @@ def fleet_step(readings: DataFrame, dev_gw: DataFrame, params: Params, state: Da
     """ST7: one micro-batch of the gateway's alert machine. ``state`` is the
     per-device table ``(device_id, last_state, last_alert_ts, last_ts)`` after
     the previous batch (None before the first). Returns the batch's alerts and
-    the next state table."""
+    the new rows of that table for the devices that spoke or alerted."""
     known = _known(readings, dev_gw, seq).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         alerts = _materialise(_stamped(_fleet(known, dev_gw, params, num_partitions, state)))
@@ -217,13 +218,12 @@ def fleet_step(readings: DataFrame, dev_gw: DataFrame, params: Params, state: Da
     last_alert = alerts.groupBy("device_id").agg(F.max("gateway_ts").alias("n_alert"))
     new = last_read.join(last_alert, "device_id", "full_outer")
     if state is None:
-        state = new.sparkSession.createDataFrame(
-            [], "device_id string, last_state string, last_alert_ts long, last_ts long")
-    nxt = (state.join(new, "device_id", "full_outer")
-           .select("device_id", F.coalesce("n_state", "last_state").alias("last_state"),
-                   F.coalesce("n_alert", "last_alert_ts").alias("last_alert_ts"),
-                   F.coalesce("n_ts", "last_ts").alias("last_ts")))
-    return alerts, nxt
+        state = new.sparkSession.createDataFrame([], FLEET_STATE)
+    changed = (new.join(state, "device_id", "left")
+               .select("device_id", F.coalesce("n_state", "last_state").alias("last_state"),
+                       F.coalesce("n_alert", "last_alert_ts").alias("last_alert_ts"),
+                       F.coalesce("n_ts", "last_ts").alias("last_ts")))
+    return alerts, changed
 
 
 def device_alerts(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: str = "event_id",

@@ -21,15 +21,17 @@ from fieldwatch.operators import alerts as A
 from fieldwatch.operators import dimension as D
 from fieldwatch.operators import notify as N
 from fieldwatch.operators import telemetry as T
-from fieldwatch.operators.alerts import fleet_step
+from fieldwatch.operators.alerts import FLEET_STATE, fleet_step
 from fieldwatch.schemas import ALERT_DOC, CLEANED_ALERT, TELEMETRY_DOC
-from fieldwatch.session import written
+from fieldwatch.session import checkpoint_dir, written
 from fieldwatch.sinks import storage
 from fieldwatch.sinks import writers as W
 from fieldwatch.streaming.sources import topic_file
-from fieldwatch.streaming.state import dedup_stream
+from fieldwatch.streaming.state import STATE_SCHEMA, dedup_step, expired
+from fieldwatch.streaming.versions import KeyedVersions
 
 DEFAULT_TRIGGER = "10 seconds"
+STATE_LATENESS = 3_600_000  # how much older than the newest alert one may be, in gateway time (ms)
 
 
 class LocationCache:
@@ -107,13 +109,20 @@ def start_telemetry_enrichment(source: DataFrame, locations: LocationCache, out_
 def start_alert_cleanup(source: DataFrame, locations: LocationCache, out_path: str, raw_log_dir: str,
                         checkpoint: str, *, topic_folder: str | None = None, kafka: str | None = None,
                         dedup_window: int = DEFAULT_PARAMS.dedup_window, raw_log_seconds: int = 300,
-                        trigger: str | None = DEFAULT_TRIGGER, seq: str = "seq"):
+                        trigger: str | None = DEFAULT_TRIGGER, seq: str = "seq", state_dir: str | None = None,
+                        state_lateness: int = STATE_LATENESS, merge_every: int = 10):
     """Alert topic -> parse (P3) -> stamp (P7) -> raw log of every row (N4) ->
     required fields (P10) -> dedup with keyed state (W1/ST6) -> enrich (J3) ->
     coercions (P11-P13) -> document table (N2) and cleaned topic (N3).
 
     Two queries share the parsed stream: the raw log must see every row, the
     dedup query only valid ones. Returns both query handles.
+
+    The last kept alert of each device is a table of versions under ``state_dir``
+    (default: beside the checkpoint), one version a batch. One that lies the window and
+    ``state_lateness`` (in units of gateway time) behind the newest alert ends, so the
+    table has the devices that alerted lately; an alert that is later still counts as a
+    device's first.
     """
     parsed = ingest_stamp(jsonio.parse_alerts(source, keep=(seq,)))
     if seq != "seq":
@@ -126,9 +135,31 @@ def start_alert_cleanup(source: DataFrame, locations: LocationCache, out_path: s
              .option("checkpointLocation", f"{checkpoint.rstrip('/')}/raw_log"))
     raw_q = _trigger(raw_w, trigger).queryName("alert_raw_log").start()
 
-    deduped = dedup_stream(A.valid_alerts(parsed), dedup_window)
+    valid = A.valid_alerts(parsed)
+    spark = valid.sparkSession
+    folder = (state_dir or f"{checkpoint.rstrip('/')}/dedup_state").rstrip("/")
+    kept_alerts = KeyedVersions(spark, f"{folder}/kept", "device_id", STATE_SCHEMA, merge_every)
+    newest = KeyedVersions(spark, f"{folder}/newest", "id", "id int, seen_max long", merge_every)
 
     def clean_sink(batch: DataFrame, batch_id: int) -> None:
+        checkpoint_dir(spark)
+        row = newest.read(batch_id - 1).first()  # one row
+        before = row["seen_max"] if row else None
+        state = kept_alerts.read(batch_id - 1).where(~expired(before, dedup_window, state_lateness))
+        batch = batch.persist()  # counted, laid out and searched for its newest alert
+        try:
+            kept, changes = dedup_step(batch, dedup_window, state)
+            stamps = [x for x in (before, batch.agg(F.max("gateway_ts")).first()[0]) if x is not None]
+        finally:
+            batch.unpersist()
+        seen_max = max(stamps, default=None)
+        kept_alerts.write(batch_id, changes, ~expired(seen_max, dedup_window, state_lateness))
+        newest.write(batch_id, spark.createDataFrame([(0, seen_max)], "id int, seen_max long"))
+        publish(kept, batch_id)
+        for table in (kept_alerts, newest):
+            table.remove_before(batch_id - 1)  # a replay of this batch reads the version before
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read by two writers
         try:
             cleaned = A.conform_cleaned(T.enrich(batch, locations.get()))
@@ -141,7 +172,7 @@ def start_alert_cleanup(source: DataFrame, locations: LocationCache, out_path: s
         finally:
             batch.unpersist()
 
-    clean_w = (deduped.writeStream.outputMode("append").foreachBatch(clean_sink)
+    clean_w = (valid.writeStream.outputMode("append").foreachBatch(clean_sink)
                .option("checkpointLocation", f"{checkpoint.rstrip('/')}/clean"))
     return raw_q, _trigger(clean_w, trigger).queryName("alert_cleanup").start()
 
@@ -230,25 +261,30 @@ def _state_path(state_dir: str, version: int, table: str = "state") -> str:
 
 def start_gateway_alerts(readings: DataFrame, dev_gw: DataFrame, state_dir: str, checkpoint: str, *,
                          params: Params = DEFAULT_PARAMS, topic_folder: str | None = None, kafka: str | None = None,
-                         seq: str = "seq", lateness_ms: int = 0, trigger: str | None = DEFAULT_TRIGGER):
+                         seq: str = "seq", lateness_ms: int = 0, trigger: str | None = DEFAULT_TRIGGER,
+                         late_path: str | None = None, merge_every: int = 10):
     """ST7: classified readings (device_id, gateway_ts, state, details, seq)
     -> W2 + W3 over *closed* gateway windows, against the per-device state of
     the previous batch -> alerts on the raw-alert topic.
 
     A window is closed once a reading stamped more than ``lateness_ms`` after
     its end has been seen (a watermark). Readings of open windows wait in a
-    pending table; readings for windows already folded are late and dropped
-    (their count is printed). Micro-batches may therefore cut windows anywhere.
+    pending table; readings for windows already folded are late: they leave the
+    machine, into the table ``late_path`` if one is given (ST9: whole rows with
+    ``closed_upto``, the end of the last window folded before them; a batch owns its
+    rows there, so a replay replaces them), and their number is observed while they are
+    written. Micro-batches may therefore cut windows anywhere.
     Per batch ``n`` three small tables are written under ``state_dir``: the
-    device state, the pending readings and the watermark mark, each as version
-    ``n``, also for batches without rows. Batch ``n`` reads version ``n - 1``, so a
-    replayed batch rewrites the same version: replays are idempotent. A missing or
+    device state (of the devices that spoke or alerted in it, see
+    :class:`KeyedVersions`), the pending readings and the watermark mark, each as
+    version ``n``, also for batches without rows. Batch ``n`` reads version ``n - 1``, so
+    a replayed batch rewrites the same version: replays are idempotent. A missing or
     unreadable version stops the query; it never starts again from nothing. Older
     versions are removed once the next one stands.
     """
     spark = readings.sparkSession
     cols = ["device_id", "gateway_ts", "state", "details", seq]
-    empty_state = spark.createDataFrame([], "device_id string, last_state string, last_alert_ts long, last_ts long")
+    states = KeyedVersions(spark, f"{state_dir.rstrip('/')}/state", "device_id", FLEET_STATE, merge_every)
 
     def read_version(table: str, version: int):
         return spark.read.parquet(_state_path(state_dir, version, table)) if version >= 0 else None
@@ -257,13 +293,14 @@ def start_gateway_alerts(readings: DataFrame, dev_gw: DataFrame, state_dir: str,
         df.write.mode("overwrite").parquet(_state_path(state_dir, version, table))
 
     def remove_before(version: int) -> None:
-        for table in ("state", "pending", "mark"):
+        states.remove_before(version)
+        for table in ("pending", "mark"):
             for path, name, _ in storage.children(spark, f"{state_dir.rstrip('/')}/{table}"):
                 if name.startswith("v=") and int(name[2:]) < version:
                     storage.delete(spark, path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        prev_state = read_version("state", batch_id - 1)
+        prev_state = states.read(batch_id - 1) if batch_id else None
         pending = read_version("pending", batch_id - 1)
         mark = read_version("mark", batch_id - 1)
         m = mark.first() if mark is not None else None  # one row: the watermark bookkeeping
@@ -277,19 +314,18 @@ def start_gateway_alerts(readings: DataFrame, dev_gw: DataFrame, state_dir: str,
             new_max = max(stamps, default=None)
             closed_upto = None if new_max is None else new_max - lateness_ms - 1  # windows that end before are closed
             late = F.lit(False) if done_upto is None else F.col("gateway_ts") <= F.lit(done_upto)
-            n_late = rows.filter(late).count()
-            if n_late:
-                print(f"[gateway_alerts] batch {batch_id}: {n_late} late readings dropped")
+            if done_upto is not None:
+                _write_late(rows.filter(late).withColumn("closed_upto", F.lit(done_upto)), late_path, batch_id)
             ready = rows.filter(~late & (F.col("gateway_ts") <= F.lit(closed_upto).cast("long")))
             still_open = rows.filter(~late & (F.col("gateway_ts") > F.lit(closed_upto).cast("long")))
             done = ready.agg(F.max("gateway_ts")).first()[0]
             if done is not None:
-                alerts, nxt = fleet_step(ready, dev_gw, params, prev_state, seq)
-                write_version(nxt, "state", batch_id)
+                alerts, changed = fleet_step(ready, dev_gw, params, prev_state, seq)
+                states.write(batch_id, changed)
                 W.write_topic(alerts.drop("seq"), RAW_ALERT_TOPIC, kafka=kafka, folder=topic_folder,
                               batch_id=batch_id)
             else:
-                write_version(empty_state if prev_state is None else prev_state, "state", batch_id)
+                states.write(batch_id, spark.createDataFrame([], FLEET_STATE))
             write_version(still_open, "pending", batch_id)
             write_version(spark.createDataFrame([(new_max, done_upto if done is None else done)],
                                                 "seen_max long, done_upto long"), "mark", batch_id)
@@ -299,3 +335,17 @@ def start_gateway_alerts(readings: DataFrame, dev_gw: DataFrame, state_dir: str,
 
     w = readings.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).queryName("gateway_alerts").start()
+
+
+def _write_late(late: DataFrame, path: str | None, batch_id: int) -> int:
+    """ST9: late rows into their table (or only counted), and how many there were."""
+    obs = Observation("late")
+    late = late.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if path:
+        W.write_notifications(late, path, batch_id)
+    else:
+        late.write.format("noop").mode("overwrite").save()
+    n = int(obs.get.get("rows", 0))
+    if n:
+        print(f"[gateway_alerts] batch {batch_id}: {n} late readings" + (f" in {path}" if path else " dropped"))
+    return n

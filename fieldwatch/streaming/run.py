@@ -78,7 +78,7 @@ def _gateway(spark, args, ckpt) -> list:
                   .withColumn("state", state_col(p.thresholds)).withColumn("details", violations_col(p.thresholds)))
     queries.append(J.start_gateway_alerts(classified, dev_gw, f"{ckpt}/state", f"{ckpt}/alerts", params=p,
                                           topic_folder=args.topics, kafka=args.kafka, trigger=args.trigger,
-                                          lateness_ms=args.lateness_ms))
+                                          lateness_ms=args.lateness_ms, late_path=args.late))
     if args.out:
         records = raw_records(r.drop("event_time", "seq"), dev_gw, p.window_ms)
         flush = args.trigger if args.trigger == "availableNow" else args.flush
@@ -109,6 +109,7 @@ def main(argv=None) -> int:
     ap.add_argument("--recovery-ms", type=int, default=DEFAULT_PARAMS.recovery_ms)
     ap.add_argument("--offline-ms", type=int, default=DEFAULT_PARAMS.offline_ms)
     ap.add_argument("--lateness-ms", type=int, default=0)
+    ap.add_argument("--late", help="gateway: table of late readings")
     ap.add_argument("--threshold", action="append", metavar="METRIC,LOW,HIGH", help="critical bounds of a metric")
     ap.add_argument("--flush", default="30 seconds", help="gateway: raw record flush interval")
     ap.add_argument("--trigger", default="10 seconds")

@@ -160,8 +160,13 @@ def test_gateway_alerts_drop_late_readings(spark):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{root}/in")
     dev_gw = spark.createDataFrame([("a", "g"), ("b", "g"), ("c", "g")], "device_id string, gateway_id string")
     q = J.start_gateway_alerts(stream, dev_gw, f"{root}/state", f"{root}/ckpt", params=P,
-                               topic_folder=f"{root}/topics", trigger="availableNow")
+                               topic_folder=f"{root}/topics", trigger="availableNow", late_path=f"{root}/late",
+                               merge_every=2)
     q.awaitTermination()
+    # ST9: the late reading is a row of its own, once, whole
+    late = spark.read.parquet(f"{root}/late").collect()
+    assert [(r.device_id, r.gateway_ts, r.state, r.seq, r.batch_id) for r in late] == [("a", b + 10, "CRITICAL", 6, 2)]
+    assert late[0].closed_upto >= b + 10
     out = jsonio.parse_json(spark.read.text(f"{root}/topics/{topic_file(RAW_ALERT_TOPIC)}"), ALERT_MSG)
     got = {(r.device_id, r.gateway_ts, r.state) for r in out.collect()}
     on_time = [r for p in parts for r in p if r[3] != 6]
@@ -205,12 +210,12 @@ def test_gateway_alerts_stop_when_their_state_is_gone(spark):
         feed(k)
     run()
     assert sorted(os.listdir(f"{root}/state/mark")) == ["v=2", "v=3"]
-    shutil.move(f"{root}/state/state/v=3", f"{root}/lost")
+    shutil.move(f"{root}/state/state/delta/v=3", f"{root}/lost")
     feed(4)
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         run()
     assert not os.path.exists(f"{root}/state/mark/v=4")
-    shutil.move(f"{root}/lost", f"{root}/state/state/v=3")
+    shutil.move(f"{root}/lost", f"{root}/state/state/delta/v=3")
     run()
     assert os.path.exists(f"{root}/state/mark/v=4")
 
