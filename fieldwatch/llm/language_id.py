@@ -171,8 +171,11 @@ def fit(train: DataFrame, fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS,
         seed: int = SEED) -> dict | None:
     """The model for rows (id, lang, text) without nulls in lang and text."""
     spark = train.sparkSession
-    counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .limit(MAX_LANGUAGES + 1).collect()}
+    # rows of one id differ by their text; equal rows fall together, which the lowest makes good
+    train = train.withColumn("hash", F.xxhash64(F.col("id").cast("string"), "text", F.lit(seed)))
+    bucket = F.pmod("hash", F.lit(1 << 30))
+    counts = {r["lang"]: (r["n"], r["low"]) for r in train.groupBy("lang")
+              .agg(F.count(F.lit(1)).alias("n"), F.min(bucket).alias("low")).limit(MAX_LANGUAGES + 1).collect()}
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not counts:
@@ -187,15 +190,13 @@ def fit(train: DataFrame, fit_rows: int = FIT_ROWS, centroids: int = CENTROIDS,
         else:
             seen[r["bucket"]] = r["n"]
     idf = (np.log((1 + n_rows) / (1 + seen)) + 1).astype(np.float32)
-    # a first cut by hash leaves about twice the wanted rows of any language
-    share = spark.createDataFrame([(k, min(1.0, (2 * fit_rows + 100) / n)) for k, n in counts.items()],
-                                  "lang string, share double")
-    order = F.xxhash64(F.col("id").cast("string"), F.lit(seed))
+    # a first cut by hash leaves about twice the wanted rows of any language, and the lowest always
+    share = spark.createDataFrame([(k, min(1.0, (2 * fit_rows + 100) / n), low) for k, (n, low) in counts.items()],
+                                  "lang string, share double, low long")
     near = (train.join(F.broadcast(share), "lang")
-            .withColumn("hash", order)
-            .filter(F.pmod("hash", F.lit(1 << 30)) < F.col("share") * (1 << 30)))
+            .filter((bucket < F.col("share") * (1 << 30)) | (bucket == F.col("low"))))
     ranked = near.withColumn("rank", F.row_number().over(
-        Window.partitionBy("lang").orderBy(F.pmod("hash", F.lit(1 << 30)), "hash", "text")))
+        Window.partitionBy("lang").orderBy(bucket, "hash", "text")))
     sample = ranked.filter(F.col("rank") <= fit_rows).select("lang", "text")
     shipped = spark.sparkContext.broadcast(idf)
     rows = (sample.mapInArrow(_sample_vectors(shipped), "lang string, v binary").groupBy("lang")

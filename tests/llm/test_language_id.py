@@ -63,3 +63,15 @@ def test_threshold_covers_all_training_rows(spark):
     for lang in SYLLABLES:
         own = [got[i] for i, _, kind, _ in data if kind == lang and not held_out(i)]
         assert len(own) > 50 and sum(r.rejected for r in own if r.lang_pred == lang) <= 0.002 * len(own)
+
+
+def test_one_id_for_many_rows(spark):
+    """A language all of whose rows share an id, or are one row many times, has a model."""
+    rng = random.Random(9)
+    own = [i for i in range(1, 60) if not held_out(i)]
+    many = [(own[0], say(rng, "aa", 12), "aa", "s") for _ in range(3000)]
+    same = [(own[1], "schein übersch einein", "bb", "s")] * 3000
+    few = [(i, say(rng, "cc", 12), "cc", "s") for i in own]
+    for data, langs in ((many, {"aa"}), (same, {"bb"}), (many + few, {"aa", "cc"}), (same + few + many, set(SYLLABLES))):
+        got = identify(frame(spark, data), fit_rows=20).collect()
+        assert len(got) == len(data) and {r.lang_pred for r in got} == langs
