@@ -10,10 +10,13 @@ ranked inside each outer label, Other included.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldwatch.config import OTHER_LABEL, STATE_CRITICAL, STATE_OFFLINE
+from fieldwatch.functions.cells import cell_of, cover, in_cover
 from fieldwatch.operators.quantiles import value_counts, weighted_percentiles
 from fieldwatch.session import checkpoint_dir
 
@@ -70,8 +73,14 @@ def _reduced(rows: DataFrame, keys: list[str], metric: str | None) -> DataFrame:
 def nested_top(rows: DataFrame, outer: str, inner: str, metric: str | None, outer_size: int, inner_size: int,
                kind: str = "median", num_partitions=None) -> DataFrame:
     """K1 + K2: metric per (outer label, inner label) with Other buckets."""
+    return nested_top_of(_reduced(rows, [outer, inner], metric), outer, inner, outer_size, inner_size, kind,
+                         num_partitions)
+
+
+def nested_top_of(base: DataFrame, outer: str, inner: str, outer_size: int, inner_size: int, kind: str = "median",
+                  num_partitions=None) -> DataFrame:
+    """The same from rows that are already counted: (outer, inner, [_v,] _n)."""
     calc = _metric(kind, num_partitions)
-    base = _reduced(rows, [outer, inner], metric)
     outer_lab = _label(calc(base, [outer]), [], outer, outer_size, "metric", "outer_label")
     lab1 = base.join(outer_lab, outer)
     inner_lab = _label(calc(lab1, ["outer_label", inner]), ["outer_label"], inner, inner_size, "metric",
@@ -102,8 +111,12 @@ def record_share(telemetry: DataFrame, farm_size: int, gateway_size: int) -> Dat
     """A5: record count by farm and gateway (+Other) with its share of the
     total and of the farm bucket. One aggregation reads the raw rows; ranks,
     labels and shares follow from its (farm, gateway, count) table."""
-    out = nested_top(telemetry, "farm_id", "gateway_id", None, farm_size, gateway_size, "count")
-    return out.select(
+    return shares(nested_top(telemetry, "farm_id", "gateway_id", None, farm_size, gateway_size, "count"))
+
+
+def shares(counts: DataFrame) -> DataFrame:
+    """Counts by outer and inner label with their shares of the total and of the outer one."""
+    return counts.select(
         F.col("outer_label").alias("farm"), F.col("inner_label").alias("gateway"),
         F.col("value").cast("long").alias("records"),
         (F.col("value") / F.sum("value").over(Window.partitionBy())).alias("share_total"),
@@ -117,6 +130,11 @@ def critical_by_gateway(alerts: DataFrame, size: int) -> DataFrame:
     hit = F.col("state").isin(STATE_OFFLINE, STATE_CRITICAL)
     per_gw = (alerts.filter(F.col("gateway_id").isNotNull())
               .groupBy("gateway_id").agg(F.count(F.lit(1)).alias("value"), F.count_if(hit).alias("hits")))
+    return alphabetical_hits(per_gw, size)
+
+
+def alphabetical_hits(per_gw: DataFrame, size: int) -> DataFrame:
+    """K3: ``hits`` of the first ``size`` gateways by name, the rest pooled as Other."""
     lab = _label(per_gw, [], "gateway_id", size, "alpha", "gateway")
     return (per_gw.join(lab, "gateway_id").groupBy("gateway")
             .agg(F.sum("hits").cast("long").alias("critical_or_offline")))
@@ -137,14 +155,41 @@ def time_slice(df: DataFrame, lo, hi, f0: float = TIME_SLICE_START_FRACTION, f1:
     return df.filter((t >= F.ceil(start).cast("long")) & (t < F.ceil(end).cast("long")))
 
 
+def with_cells(docs: DataFrame) -> DataFrame:
+    """Documents with the cell of each of the map's points (``<point>_cell``)."""
+    return docs.withColumns({f"{col}_cell": cell_of(F.col(f"{col}.lat"), F.col(f"{col}.lon"))
+                             for _, col, _ in MAP_LAYERS})
+
+
+def write_map_table(docs: DataFrame, path: str, mode: str = "append") -> None:
+    """Documents stored for the map: with cells, in order of the devices' cells, so that
+    files and row groups hold neighbourhoods and bounds skip the others. Range
+    partitions hold about equal numbers of rows, a crowded place as many as it needs."""
+    cell = f"{MAP_LAYERS[0][1]}_cell"
+    celled = with_cells(docs)
+    (celled.repartitionByRange(F.col(cell).asc_nulls_last(), F.col("device_id"), F.col("gateway_ts"))
+     .sortWithinPartitions(cell).write.mode(mode).parquet(path))
+
+
 def map_points(docs: DataFrame, bbox: dict = MAP_BUFFER, include_hidden: bool = True) -> DataFrame:
     """The map's point layers (device, farm, gateway) restricted to the
-    visible bounds; one row per document and layer."""
+    visible bounds; one row per document and layer. Documents without a point in the
+    bounds are left out before they become points; of a table with cells
+    (:func:`write_map_table`) the bounds reach the scan as ranges of cells."""
+    shown = [(layer, col, visible) for layer, col, visible in MAP_LAYERS if visible or include_hidden]
+
+    def within(lat: Column, lon: Column) -> Column:
+        return lat.between(bbox["min_lat"], bbox["max_lat"]) & lon.between(bbox["min_lon"], bbox["max_lon"])
+
+    either = lambda parts: reduce(lambda a, b: a | b, parts)
+    if all(f"{col}_cell" in docs.columns for _, col, _ in shown):
+        ranges = cover(bbox)
+        docs = docs.filter(either([in_cover(F.col(f"{col}_cell"), ranges) for _, col, _ in shown]))
+    docs = docs.filter(either([within(F.col(f"{col}.lat"), F.col(f"{col}.lon")) for _, col, _ in shown]))
     layers = [F.struct(F.lit(layer).alias("layer"), F.lit(visible).alias("visible"),
                        F.col(f"{col}.lat").alias("lat"), F.col(f"{col}.lon").alias("lon"))
-              for layer, col, visible in MAP_LAYERS if visible or include_hidden]
+              for layer, col, visible in shown]
     # one scan: each document becomes its points
     out = docs.select("device_id", F.explode(F.array(*layers)).alias("p")).select(
         "p.layer", "p.visible", "device_id", "p.lat", "p.lon")
-    return out.filter(F.col("lat").between(bbox["min_lat"], bbox["max_lat"])
-                      & F.col("lon").between(bbox["min_lon"], bbox["max_lon"]))
+    return out.filter(within(F.col("lat"), F.col("lon")))

@@ -65,9 +65,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back. Lineage is
     cut, and a join on the result sees a plain scan and exchange instead of an
     aggregate, so adaptive execution can split a hot key of the other side."""
+    return written_copy(df, name)[0]
+
+
+def written_copy(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As :func:`written`, with the folder, for an owner who removes it in the end."""
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def default_parallelism(spark: SparkSession) -> int:

@@ -69,7 +69,9 @@ def archive_alert_logs(spark: SparkSession, log_folder: str, archive_folder: str
 def archive_raw_telemetry(spark: SparkSession, raw_folder: str, archive_folder: str, stamp: str,
                           schema: StructType = RAW_RECORD, delete_inputs: bool = True) -> int:
     """Raw records compacted into a day-partitioned Parquet archive under
-    ``archive_folder/run=<stamp>``; inputs deleted after a verified count."""
+    ``archive_folder/run=<stamp>``; inputs deleted after a verified count. Rows are
+    rebalanced by day: small days share a task and have a file each, a large day has
+    files of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` of shuffled data."""
     claims = claim(spark, raw_folder, stamp)
     if claims is None:
         return 0
@@ -77,7 +79,7 @@ def archive_raw_telemetry(spark: SparkSession, raw_folder: str, archive_folder:
     n_in = raw.count()
     target = f"{archive_folder.rstrip('/')}/run={stamp}"
     out = raw.withColumn("day", F.to_date(F.timestamp_millis(F.col("gateway_ts"))))
-    out.write.mode("overwrite").partitionBy("day").parquet(target)
+    out.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(target)
     n_out = spark.read.parquet(target).count()
     if n_out != n_in:
         raise RuntimeError(f"telemetry archive short: {n_out} < {n_in}; inputs kept in {claims}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
 
@@ -29,6 +31,19 @@ def children(spark: SparkSession, path: str):
             yield s.getPath().toString(), name, bool(s.isDirectory())
 
 
+def fingerprint(spark: SparkSession, *folders: str) -> str:
+    """A digest of the names, lengths and modification times of all files below the
+    folders: equal as long as nobody has written there."""
+    found = []
+    for folder in folders:
+        p, fs = _fs(spark, folder)
+        it = fs.listFiles(p, True) if fs.exists(p) else None
+        while it is not None and it.hasNext():
+            s = it.next()
+            found.append(f"{s.getPath()}|{s.getLen()}|{s.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
+
+
 def move(spark: SparkSession, source: str, target_folder: str) -> None:
     p, fs = _fs(spark, source)
     folder, _ = _fs(spark, target_folder)

@@ -8,22 +8,24 @@ Sinks run in ``foreachBatch`` with distributed writers that are idempotent per
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from typing import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldwatch.config import CLEANED_ALERT_TOPIC, DEFAULT_PARAMS, RAW_ALERT_TOPIC, RAW_TELEMETRY_TOPIC, Params
 from fieldwatch.functions import jsonio
-from fieldwatch.functions.scalars import clamp
+from fieldwatch.functions.scalars import clamp, conform
 from fieldwatch.operators import alerts as A
 from fieldwatch.operators import dimension as D
 from fieldwatch.operators import notify as N
+from fieldwatch.operators import partials as P
 from fieldwatch.operators import telemetry as T
 from fieldwatch.operators.alerts import FLEET_STATE, fleet_step
 from fieldwatch.schemas import ALERT_DOC, CLEANED_ALERT, TELEMETRY_DOC
-from fieldwatch.session import checkpoint_dir, written
+from fieldwatch.session import checkpoint_dir, written_copy
 from fieldwatch.sinks import storage
 from fieldwatch.sinks import writers as W
 from fieldwatch.streaming.sources import topic_file
@@ -35,21 +37,32 @@ STATE_LATENESS = 3_600_000  # how much older than the newest alert one may be, i
 
 
 class LocationCache:
-    """The location dimension, re-read when older than ``ttl_s`` (and, for
+    """The location dimension, looked at again when older than ``ttl_s`` (and, for
     the telemetry job, when it was empty). ``loader`` returns a DataFrame; it is
     written to the shared folder once per load, so micro-batches neither repeat
-    its joins nor notice when its files are replaced."""
+    its joins nor notice when its files are replaced.
+
+    With ``fingerprint`` (what the sources look like now, e.g. ``storage.fingerprint`` of
+    their folders) sources that have not changed are not loaded again. Of the written
+    copies the last ``keep`` stay, the one a running micro-batch may hold among them."""
 
     def __init__(self, loader: Callable[[], DataFrame], ttl_s: float = 300.0, reload_if_empty: bool = False,
-                 clock: Callable[[], float] = time.time):
+                 clock: Callable[[], float] = time.time, fingerprint: Callable[[], str] | None = None, keep: int = 2):
         self.loader, self.ttl_s, self.reload_if_empty, self.clock = loader, ttl_s, reload_if_empty, clock
-        self._df, self._loaded, self._empty = None, 0.0, True
+        self.fingerprint, self.keep, self.copies = fingerprint, keep, []
+        self._df, self._loaded, self._empty, self._print = None, 0.0, True, None
 
     def get(self) -> DataFrame:
         now = self.clock()
         if self._df is None or (now - self._loaded) > self.ttl_s or (self.reload_if_empty and self._empty):
-            self._df, self._loaded = written(self.loader(), "locations"), now
-            self._empty = self._df.isEmpty()
+            found = self.fingerprint() if self.fingerprint else None  # before the load: a change meanwhile shows next time
+            if self._df is None or found is None or found != self._print:
+                self._df, path = written_copy(self.loader(), "locations")
+                self._empty, self._print = self._df.isEmpty(), found
+                self.copies.append(path)
+                while len(self.copies) > self.keep:
+                    storage.delete(self._df.sparkSession, self.copies.pop(0))
+            self._loaded = now
         return self._df
 
 
@@ -76,6 +89,28 @@ def progress_samples(query) -> list[dict]:
     return out
 
 
+def _sampled(folder: str | None, name: str, batch_id: int, spark: SparkSession, write) -> int:
+    """Run ``write()`` (which returns a row count) and keep what it did as the batch's
+    own sample, so that counters neither end with the query nor count a replay twice."""
+    began = time.perf_counter()
+    n = write()
+    if folder:
+        stamp = dt.datetime.now(dt.timezone.utc).isoformat(timespec="milliseconds")
+        ms = round((time.perf_counter() - began) * 1000)
+        W.write_notifications(spark.createDataFrame([(stamp, n, ms)], "sample_ts string, rows long, ms long"),
+                              f"{folder.rstrip('/')}/index={name}", batch_id)
+    return n
+
+
+def counter_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Cumulative counters (index, sample_ts, total, time_ms) of all batches of the jobs
+    that keep samples in ``folder``, restarts included; one row a batch, in the shape
+    ``evaluation.counter_rate`` takes."""
+    so_far = Window.partitionBy("index").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    return spark.read.parquet(folder).select(
+        "index", "sample_ts", F.sum("rows").over(so_far).alias("total"), F.sum("ms").over(so_far).alias("time_ms"))
+
+
 def _trigger(writer, trigger):
     if trigger == "availableNow":
         return writer.trigger(availableNow=True)
@@ -90,15 +125,20 @@ def ingest_stamp(df: DataFrame) -> DataFrame:
 # --- telemetry enrichment -------------------------------------------------------------------
 
 def start_telemetry_enrichment(source: DataFrame, locations: LocationCache, out_path: str, checkpoint: str,
-                               trigger: str | None = DEFAULT_TRIGGER):
+                               trigger: str | None = DEFAULT_TRIGGER, counters: str | None = None,
+                               partials: str | None = None):
     """Telemetry topic -> parse (P2) -> stamp (P7) -> enrich (J3, J8) ->
     document table (N1, P8, P9, P19). All-NULL rows of unparsable messages are
-    kept, as in the reference."""
+    kept, as in the reference. ``counters`` and ``partials``: folders of the batches'
+    counter samples (S11) and of the panels' partial aggregates."""
     parsed = ingest_stamp(jsonio.parse_telemetry(source))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _counted(T.enrich(batch, locations.get()), "telemetry_enrichment",
-                 lambda df: W.write_documents(df, out_path, TELEMETRY_DOC, batch_id))
+        name, docs = "telemetry_enrichment", T.enrich(batch, locations.get())
+        _sampled(counters, name, batch_id, batch.sparkSession, lambda: _counted(
+            docs, name, lambda df: W.write_documents(df, out_path, TELEMETRY_DOC, batch_id)))
+        if partials:
+            P.write_partials(P.telemetry_partials(conform(docs, TELEMETRY_DOC)), partials, batch_id)
 
     w = parsed.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).queryName("telemetry_enrichment").start()
@@ -110,7 +150,8 @@ def start_alert_cleanup(source: DataFrame, locations: LocationCache, out_path: s
                         checkpoint: str, *, topic_folder: str | None = None, kafka: str | None = None,
                         dedup_window: int = DEFAULT_PARAMS.dedup_window, raw_log_seconds: int = 300,
                         trigger: str | None = DEFAULT_TRIGGER, seq: str = "seq", state_dir: str | None = None,
-                        state_lateness: int = STATE_LATENESS, merge_every: int = 10):
+                        state_lateness: int = STATE_LATENESS, merge_every: int = 10, counters: str | None = None,
+                        partials: str | None = None):
     """Alert topic -> parse (P3) -> stamp (P7) -> raw log of every row (N4) ->
     required fields (P10) -> dedup with keyed state (W1/ST6) -> enrich (J3) ->
     coercions (P11-P13) -> document table (N2) and cleaned topic (N3).
@@ -163,9 +204,11 @@ def start_alert_cleanup(source: DataFrame, locations: LocationCache, out_path: s
         batch = batch.persist()  # read by two writers
         try:
             cleaned = A.conform_cleaned(T.enrich(batch, locations.get()))
-            if _counted(cleaned, "alert_cleanup",
-                        lambda df: W.write_documents(df, out_path, ALERT_DOC, batch_id)) == 0:
+            if _sampled(counters, "alert_cleanup", batch_id, spark, lambda: _counted(
+                    cleaned, "alert_cleanup", lambda df: W.write_documents(df, out_path, ALERT_DOC, batch_id))) == 0:
                 return
+            if partials:
+                P.write_partials(P.alert_partials(cleaned), partials, batch_id)
             out = W.stamp_before_write(cleaned).drop("created_at")
             W.write_topic(out.select(*[f.name for f in CLEANED_ALERT.fields]), CLEANED_ALERT_TOPIC,
                           kafka=kafka, folder=topic_folder, batch_id=batch_id)

@@ -109,6 +109,9 @@ def main(argv=None) -> int:
     ap.add_argument("--recovery-ms", type=int, default=DEFAULT_PARAMS.recovery_ms)
     ap.add_argument("--offline-ms", type=int, default=DEFAULT_PARAMS.offline_ms)
     ap.add_argument("--lateness-ms", type=int, default=0)
+    ap.add_argument("--counters", help="telemetry, alerts: folder of the jobs' counter samples (speed-report --live)")
+    ap.add_argument("--partials", help="telemetry, alerts: folder of the panels' partial aggregates")
+    ap.add_argument("--live", action="store_true", help="speed report: the input holds the jobs' own samples")
     ap.add_argument("--late", help="gateway: table of late readings")
     ap.add_argument("--threshold", action="append", metavar="METRIC,LOW,HIGH", help="critical bounds of a metric")
     ap.add_argument("--flush", default="30 seconds", help="gateway: raw record flush interval")
@@ -125,15 +128,17 @@ def main(argv=None) -> int:
 
     if args.job in ("telemetry", "alerts"):
         from fieldwatch.sources.tables import load_locations
+        from fieldwatch.sinks.storage import fingerprint
         loc = J.LocationCache(lambda: load_locations(spark, args.dims), args.location_ttl,
-                              reload_if_empty=args.job == "telemetry")
+                              reload_if_empty=args.job == "telemetry", fingerprint=lambda: fingerprint(spark, args.dims))
         if args.job == "telemetry":
             J.start_telemetry_enrichment(_source(spark, args, RAW_TELEMETRY_TOPIC, "latest"), loc, args.out, ckpt,
-                                         args.trigger)
+                                         args.trigger, args.counters, args.partials)
         else:
             J.start_alert_cleanup(_source(spark, args, RAW_ALERT_TOPIC, "latest"), loc, args.out, args.out2, ckpt,
                                   topic_folder=args.topics, kafka=args.kafka, dedup_window=args.dedup_window,
-                                  raw_log_seconds=args.raw_log_window, trigger=args.trigger)
+                                  raw_log_seconds=args.raw_log_window, trigger=args.trigger, counters=args.counters,
+                                  partials=args.partials)
         J.await_all(spark)
     elif args.job == "notifier":
         from fieldwatch.sources.tables import read_routes
@@ -168,7 +173,7 @@ def main(argv=None) -> int:
     elif args.job == "speed-report":
         from fieldwatch.operators import evaluation as E
         from fieldwatch.sinks.writers import write_csv
-        rates = E.counter_rate(spark.read.parquet(args.input))
+        rates = E.counter_rate(J.counter_table(spark, args.input) if args.live else spark.read.parquet(args.input))
         write_csv(rates, args.out)
         write_csv(E.rate_summary(rates), args.out2)
     return 0

@@ -75,6 +75,29 @@ def test_raw_records_survive_archive_runs_between_batches(spark):
     assert total == 5 + 6 + 7 == spark.read.parquet(f"{root}/archive").count()
 
 
+def test_archive_files_follow_the_bytes_not_the_tasks(spark):
+    """40 input files of 3 days become one file a day; with a small target size a
+    large day is cut into several."""
+    from fieldwatch.schemas import RAW_RECORD
+
+    root, day = tempfile.mkdtemp(prefix="fw-n8-"), 86_400_000
+    rows = [(f"d{j}", 1000 * j, "t", 1.0, j * 1.37, 3.0, 4.0, "OK", "g", (0 if j % 10 else 1 + j % 20 // 10) * day + j, "t")
+            for j in range(20_000)]
+    files = lambda r: {d: sum(x.endswith(".parquet") for x in os.listdir(f"{root}/archive/run={r}/{d}"))
+                       for d in os.listdir(f"{root}/archive/run={r}") if d.startswith("day=")}
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for run, size in (("r1", "64m"), ("r2", "100k")):
+        df = spark.createDataFrame(rows, RAW_RECORD).repartition(40)
+        W.write_raw_telemetry(df, f"{root}/raw-{run}", batch_id=0)
+        spark.conf.set(key, size)
+        try:
+            assert AR.archive_raw_telemetry(spark, f"{root}/raw-{run}", f"{root}/archive", run) == len(rows)
+        finally:
+            spark.conf.unset(key)
+    assert files("r1") == {"day=1970-01-01": 1, "day=1970-01-02": 1, "day=1970-01-03": 1}
+    assert 2 <= files("r2")["day=1970-01-01"] <= 30 and files("r2")["day=1970-01-02"] <= 3
+
+
 def test_archive_takes_up_the_claim_of_a_failed_run(spark):
     root = tempfile.mkdtemp(prefix="fw-claim-")
     os.makedirs(f"{root}/logs/batch_id=1/bucket=0")

@@ -2,6 +2,7 @@
 micro-batches give the batch answer, and a restart from the checkpoint adds
 nothing."""
 
+import json
 import os
 import tempfile
 
@@ -271,3 +272,63 @@ def test_file_topics_keep_the_order_of_lines(spark):
     q.awaitTermination()
     got = [r.value for r in spark.table("lines").orderBy("seq").collect()]
     assert got == [f"b{j}" for j in range(500)] + [f"a{j}" for j in range(500)]
+
+
+def test_a_dimension_that_has_not_changed_is_not_loaded_again(spark, tmp_path):
+    """Unchanged sources keep their copy; of 20 changed ones the last two copies stay."""
+    from fieldwatch.sinks.storage import fingerprint
+
+    now, loads = [0.0], []
+    source = f"{tmp_path}/dim"
+    spark.range(1).coalesce(1).write.parquet(source)
+
+    def loader():
+        loads.append(now[0])
+        return spark.read.parquet(source)
+
+    cache = J.LocationCache(loader, ttl_s=10, clock=lambda: now[0], fingerprint=lambda: fingerprint(spark, source))
+    first = cache.get()
+    for _ in range(3):
+        now[0] += 11
+        assert cache.get() is first
+    assert len(loads) == 1
+    for k in range(20):
+        spark.range(1).coalesce(1).write.mode("append").parquet(source)
+        now[0] += 11
+        assert cache.get().count() == k + 2
+    assert len(loads) == 21 and len(cache.copies) == 2 and all(os.path.isdir(p.removeprefix("file:")) for p in cache.copies)
+    parent = os.path.dirname(cache.copies[0].removeprefix("file:"))
+    assert sum(x.startswith("locations-") for x in os.listdir(parent)) <= 2 + 20  # other tests' copies lie there too
+
+
+def test_counters_outlast_the_query(spark, tmp_path):
+    """More batches than the progress list holds, and a restart: cumulative counters that
+    never fall, and the rates of exactly these batches."""
+    from fieldwatch.operators import evaluation as E
+
+    folder, samples = f"{tmp_path}/t", f"{tmp_path}/samples"
+    os.makedirs(folder)
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "3")
+    locations = spark.createDataFrame([], Pipeline(spark, SF).locations.schema)
+    try:
+        for part in range(2):
+            with open(f"{folder}/f{part}", "w") as f:
+                f.write("".join(json.dumps({"device_id": f"d{k}", "gateway_ts": k}) + "\n" for k in range(40)))
+            os.utime(f"{folder}/f{part}", (1_700_000_000, 1_700_000_000))
+            stream = topic_stream(spark, "t", folder=folder, starting_offsets="earliest", max_bytes=220)
+            q = J.start_telemetry_enrichment(stream, J.LocationCache(lambda: locations), f"{tmp_path}/docs",
+                                             f"{tmp_path}/ckpt", trigger="0 seconds", counters=samples)
+            q.processAllAvailable()
+            q.stop()
+    finally:
+        spark.conf.unset(key)
+    counters = J.counter_table(spark, samples)
+    rows = counters.orderBy("sample_ts").collect()
+    totals = [r.total for r in rows]
+    assert len(rows) >= 10 and totals == sorted(totals) and totals[-1] == 80 == spark.read.parquet(f"{tmp_path}/docs").count()
+    assert [r.time_ms for r in rows] == sorted(r.time_ms for r in rows)
+    rates = E.counter_rate(counters)
+    assert rates.agg(F.sum("docs")).first()[0] == totals[-1] - totals[0]
+    summary = E.rate_summary(rates).collect()
+    assert len(summary) == 1 and summary[0].min_rate > 0
