@@ -91,7 +91,7 @@ def _gateway(spark, args, ckpt) -> list:
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="fieldwatch")
     ap.add_argument("job", choices=["telemetry", "alerts", "notifier", "gateway", "archive-alerts",
-                                    "archive-telemetry", "latency-report", "speed-report"])
+                                    "archive-telemetry", "compact-documents", "latency-report", "speed-report"])
     ap.add_argument("--kafka")
     ap.add_argument("--topics", help="folder of topic NDJSON folders (when no Kafka)")
     ap.add_argument("--dims", help="folder with farm, gateway, device, farm_gateway_device Parquet")
@@ -160,12 +160,18 @@ def main(argv=None) -> int:
         from fieldwatch.sinks.archive import archive_raw_telemetry
         stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
         print(archive_raw_telemetry(spark, args.input, args.out, stamp))
+    elif args.job == "compact-documents":
+        from fieldwatch.sinks.compact import compact
+        print(compact(spark, args.input, dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d_%H%M%S")))
     elif args.job == "latency-report":
         from fieldwatch.operators import evaluation as E
         from fieldwatch.sinks.writers import write_csv
-        docs = E.union_indices({TELEMETRY_INDEX: spark.read.parquet(f"{args.input}/{TELEMETRY_INDEX}"),
-                                ALERT_INDEX: spark.read.parquet(f"{args.input}/{ALERT_INDEX}")})
+        from fieldwatch.sinks.compact import recent_documents
         as_of = F.lit(args.as_of).cast("timestamp") if args.as_of else F.current_timestamp()
+        now = spark.range(1).select(F.unix_millis(as_of)).first()[0]
+        # of merged days only the last hours' folders are read
+        docs = E.union_indices({i: recent_documents(spark, f"{args.input}/{i}", now)
+                                for i in (TELEMETRY_INDEX, ALERT_INDEX)})
         legs = E.latency_legs(E.latency_rows(E.recent(docs, as_of)))
         # one row per document, and the statistics over them
         write_csv(legs, args.out2 or f"{args.out.rstrip('/')}_documents")
