@@ -26,7 +26,7 @@ from fieldwatch.operators.ordered import (ALWAYS, NEG_INF, PID, POS, greedy_thin
                                          tasks_for)
 from fieldwatch.operators.ranks import count_below, rank_rows
 from fieldwatch.schemas import CLEANED_ALERT
-from fieldwatch.session import checkpoint_dir
+from fieldwatch.session import checkpoint_dir, written
 
 ALERT_COLUMNS = ["device_id", "gateway_id", "gateway_ts", "gateway_ts_iso", "state", "details"]
 SEQ = "seq"
@@ -75,7 +75,9 @@ def _offline_ticks(known: DataFrame, dev_gw: DataFrame, params: Params, last_see
     else:
         registered = registered.withColumn("last_ts", F.lit(None).cast("long"))
     registered = registered.select("device_id", first_firing(F.coalesce(F.col("last_ts"), F.lit(0))).alias("value"))
-    ranks = count_below(fleet, fleet.select(after.alias("value")).unionByName(registered.select("value")))
+    # written: five joins read it, as a scan whose size is known
+    ranks = written(count_below(fleet, fleet.select(after.alias("value")).unionByName(registered.select("value"))),
+                    "window-ranks")
     spoken = ranks.where("counted").select(F.col("value").alias("w"), F.col("below").alias("rank"))
     last = spoken.select(F.max("rank")).scalar()
     begins = ranks.select("value", F.col("below").alias("low"))
