@@ -13,7 +13,8 @@
    says.
 
 A frequent word is one row for each block, never one for each occurrence, so no
-word fills a task.
+word fills a task. Where a block would have too many ranges to send to, a group of
+blocks merges its words first (two levels, as ``blocks.py`` has them for keys).
 
 Words are split by a regular expression where the installed Unicode tables agree
 with the library's (see ``PLAIN``); the library's own normaliser and
@@ -35,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldwatch.llm.blocks import BlockTable, rows_of, to_bytes
-from fieldwatch.llm.common import worker_store
+from fieldwatch.llm.blocks import FAN, PART_KEYS, BlockTable, Ranges, rows_of, to_bytes
+from fieldwatch.llm.common import materialise, worker_store
 from fieldwatch.llm.textarrays import Fingerprints, bytes_of
 from fieldwatch.llm.tokenizer import load_tokenizer, special_strings, tokenizer_text
 
@@ -108,25 +109,45 @@ def pieces_of(spec: str) -> tuple[list[bytes], bool]:
 
 
 def _parts_of(words: pa.Array, parts: int) -> np.ndarray:
-    """Which of ``parts`` ranges each word is dealt to, by its fingerprint."""
+    """Which of ``parts`` ranges each word falls into, by its fingerprint."""
     data, offsets = bytes_of(words)
     prints = Fingerprints(data, 1).of(offsets[:-1], offsets[1:])
     return ((prints >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
 
 
-def _by_range(known, parts: int):
+def _ranged(words: pa.Array, part: np.ndarray):
+    """(range, positions of its words) for each range that has some."""
+    order = np.argsort(part, kind="stable")
+    ranked = part[order]
+    edges = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1], [True]])) if len(words) else [0]
+    for x, y in zip(edges[:-1], edges[1:]):
+        yield int(ranked[x]), order[x:y]
+
+
+def _by_range(known, to: Ranges):
     """Distinct words as (range, words in order) for each range that has some. Both
     sides of the exchange derive the same order, so positions need not travel."""
     words = pa.array(sorted(known), pa.string())
-    part = _parts_of(words, parts)
-    order = np.argsort(part, kind="stable")
-    edges = np.searchsorted(part[order], np.arange(parts + 1))
-    for p, (x, y) in enumerate(zip(edges[:-1], edges[1:])):
-        if y > x:
-            yield p, words.take(pa.array(order[x:y]))
+    for p, at in _ranged(words, _parts_of(words, to.first * to.second) // to.second):
+        yield p, words.take(pa.array(at))
+
+
+def _packed(column: pa.Array, name: str) -> bytes:
+    return to_bytes([pa.RecordBatch.from_arrays([column], [name])])
+
+
+def _word_rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * 3
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
+                                       pa.array(columns[2], pa.binary())], ["part", "block", "words"])
 
 
-def _distinct_words(spec: str, parts: int):
+def _id_row(block: int, part: int, ids: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([part], pa.int32()),
+                                       pa.array([_packed(ids, "ids")], pa.binary())], ["block", "part", "ids"])
+
+
+def _distinct_words(spec: str, to: Ranges):
     """Task function: the distinct words of every block, one row for each range."""
 
     def run(batches):
@@ -136,11 +157,7 @@ def _distinct_words(spec: str, parts: int):
                 known: set[str] = set()
                 for text in rows_of(block).column("text").to_pylist():
                     known.update(splitter.words(text or ""))
-                rows = [(p, number, to_bytes([pa.RecordBatch.from_arrays([words], ["word"])]))
-                        for p, words in _by_range(known, parts)]
-                columns = list(zip(*rows)) if rows else [()] * 3
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()),
-                                                  pa.array(columns[2], pa.binary())], ["part", "block", "words"])
+                yield _word_rows([(p, number, _packed(words, "word")) for p, words in _by_range(known, to)])
 
     return run
 
@@ -163,15 +180,74 @@ def _encoded(spec: str):
             for number, batch in own:
                 answer = encoded.take(table.indices.slice(at, batch.num_rows))
                 at += batch.num_rows
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number], pa.int64()), pa.array([part], pa.int32()),
-                     pa.array([to_bytes([pa.RecordBatch.from_arrays([answer], ["ids"])])], pa.binary())],
-                    ["block", "part", "ids"])
+                yield _id_row(number, part, answer)
+
+    return run
+
+
+class _Cell:
+    """The words of a group of blocks for one range of the first level, each once."""
+
+    def __init__(self, row: dict, to: Ranges):
+        self.number, self.part, self.blocks = row["cell"], row["part"], [r["block"] for r in row["rows"]]
+        own = [rows_of(r["words"]).column("word") for r in row["rows"]]
+        self.sizes = [len(w) for w in own]
+        table = pa.chunked_array(own).combine_chunks().dictionary_encode()
+        self.words, self.index = table.dictionary, table.indices
+        self.ranges = list(_ranged(self.words, _parts_of(self.words, to.first * to.second)))
+
+
+def _cell_rows(batches):
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield {name: batch.column(name)[k].as_py() for name in batch.schema.names}
+
+
+def _sent_on(to: Ranges):
+    def run(batches):
+        for row in _cell_rows(batches):
+            c = _Cell(row, to)
+            yield _word_rows([(p, c.number, _packed(c.words.take(pa.array(at)), "word")) for p, at in c.ranges])
+
+    return run
+
+
+def _passed_back(to: Ranges):
+    def run(batches):
+        for row in _cell_rows(batches):
+            c = _Cell(row, to)
+            told = {a["part"]: rows_of(a["ids"]).column("ids") for a in row["answers"]}
+            place = np.empty(len(c.words), np.int64)
+            place[np.concatenate([at for _, at in c.ranges])] = np.arange(len(c.words))
+            ids = pa.chunked_array([told[p] for p, _ in c.ranges]).combine_chunks().take(pa.array(place)).take(c.index)
+            at = 0
+            for block, size in zip(c.blocks, c.sizes):
+                yield _id_row(block, c.part, ids.slice(at, size))
+                at += size
 
     return run
 
 
-def _coded(spec: str, parts: int, texts_out: bool):
+_IDS = "block long, part int, ids binary"
+
+
+def _asked(words: DataFrame, parts: int, spec: str) -> DataFrame:
+    return words.repartitionById(parts, F.col("part")).mapInArrow(_encoded(spec), _IDS)
+
+
+def _ids_of_words(words: DataFrame, to: Ranges, spec: str) -> DataFrame:
+    """(block, part, ids) for the rows of ``_distinct_words``."""
+    if to.second == 1:
+        return _asked(words, to.first, spec)
+    cell = F.col("part").cast("long") * to.groups + F.pmod(F.xxhash64("block"), F.lit(to.groups))
+    cells = materialise(words.groupBy(cell.alias("cell"), "part").agg(
+        F.collect_list(F.struct("block", "words")).alias("rows")), "word-cells")
+    answers = (_asked(cells.mapInArrow(_sent_on(to), "part int, block long, words binary"), to.first * to.second, spec)
+               .groupBy(F.col("block").alias("cell")).agg(F.collect_list(F.struct("part", "ids")).alias("answers")))
+    return cells.join(answers, "cell").select(*cells.columns, "answers").mapInArrow(_passed_back(to), _IDS)
+
+
+def _coded(spec: str, to: Ranges, texts_out: bool):
     def run(batches):
         store = worker_store("pieces")
         if store.get("spec") != spec:
@@ -192,7 +268,7 @@ def _coded(spec: str, parts: int, texts_out: bool):
                 lists = [splitter.words(t or "") for t in rows.column("text").to_pylist()]
                 answers = {a["part"]: rows_of(a["ids"]) for a in batch.column("answers")[k].as_py() or ()}
                 ids_of: dict[str, bytes] = {}
-                for part, words in _by_range(set().union(*lists), parts):
+                for part, words in _by_range(set().union(*lists), to):
                     ids_of.update(zip(words.to_pylist(), answers[part].column("ids").to_pylist()))
                 n, ids_out, texts = [], [], []
                 for own in lists:
@@ -212,31 +288,34 @@ def _coded(spec: str, parts: int, texts_out: bool):
     return run
 
 
-def _run(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, texts_out: bool) -> DataFrame:
+def _run(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, texts_out: bool, block_bytes: int,
+         part_words: int, fan: int) -> DataFrame:
     spec = tokenizer_text(tokenizer_path)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    blocks = BlockTable(source, "text", BLOCK_BYTES)
+    blocks = BlockTable(source, "text", block_bytes, part_words, fan)
     # blocks repeat words: there are never more rows than words, of 12 bytes or so
-    parts = blocks.parts(blocks.bytes // 12)
+    to = blocks.ranges(blocks.bytes // 12)
     words = blocks.table.select("block", "rows").mapInArrow(
-        _distinct_words(spec, parts), "part int, block long, words binary")
-    answers = (words.repartitionById(parts, F.col("part")).mapInArrow(_encoded(spec), "block long, part int, ids binary")
-               .repartition(blocks.buckets, "block").groupBy("block")
+        _distinct_words(spec, to), "part int, block long, words binary")
+    answers = (_ids_of_words(words, to, spec).repartition(blocks.buckets, "block").groupBy("block")
                .agg(F.collect_list(F.struct("part", "ids")).alias("answers")))
     id_type = source.schema["id"].dataType.simpleString()
     kinds = "ids array<long>, decoded string" if texts_out else "ids string, decoded string"
     return blocks.table.join(answers, "block", "left").select("rows", "answers").mapInArrow(
-        _coded(spec, parts, texts_out), f"id {id_type}, n_tokens long, {kinds}").withColumnRenamed("id", id_col)
+        _coded(spec, to, texts_out), f"id {id_type}, n_tokens long, {kinds}").withColumnRenamed("id", id_col)
 
 
-def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+                  block_bytes: int = BLOCK_BYTES, part_words: int = PART_KEYS, fan: int = FAN) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_tokens``, ``ids`` and the text
-    ``decoded`` from them."""
-    return _run(docs, tokenizer_path, id_col, text_col, True)
+    ``decoded`` from them. ``part_words`` words make a range; a block sends to at most
+    ``fan``, or in two levels."""
+    return _run(docs, tokenizer_path, id_col, text_col, True, block_bytes, part_words, fan)
 
 
-def codec_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def codec_digests(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+                  block_bytes: int = BLOCK_BYTES, part_words: int = PART_KEYS, fan: int = FAN) -> DataFrame:
     """As ``encode_decode``, with SHA-256 digests ``ids_sha256`` (ids as 32-bit
     little-endian integers) and ``decoded_sha256`` in place of the values."""
-    return (_run(docs, tokenizer_path, id_col, text_col, False)
+    return (_run(docs, tokenizer_path, id_col, text_col, False, block_bytes, part_words, fan)
             .withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"}))

@@ -23,6 +23,9 @@ Texts are written once in blocks (``blocks.py``); only symbols, windows and
 answer bits move. A block sends a symbol or window once, so a passage in a third
 of all documents does not fill a task.
 
+Ids are integers, or of any other type that can be ordered; those are replaced by their
+rank among all ids (strings by their bytes), which costs a shuffle of the texts.
+
 Cases: a null text has no words; a null id counts as larger than all others (it
 takes nothing from another document, and loses to every other id); rows that
 repeat an id are documents of their own that do not take words from each other;
@@ -41,13 +44,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fieldwatch.llm.blocks import (BLOCK_BYTES, KEY_SCHEMA, BlockTable, answer_bits, distinct, exchange,
-                                   has_smaller, key_rows, repeated, rows_of)
+from fieldwatch.llm.blocks import (BLOCK_BYTES, FAN, KEY_SCHEMA, PART_KEYS, BlockTable, Ranges, answer_bits, distinct,
+                                   exchange, has_smaller, key_rows, repeated, rows_of)
+from fieldwatch.llm.common import materialise
 from fieldwatch.llm.textarrays import Fingerprints, mix, word_hashes, words_of
+from fieldwatch.operators.ranks import count_below
 
 WINDOW = 13
 ROUNDS = 2
+_PLACE = "place"  # of an id in the order of ids
 NO_ID = np.iinfo(np.int64).max  # of rows without an id
 _RUN, _PAIR = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 
@@ -118,13 +125,13 @@ def recompress(names: np.ndarray, first: np.ndarray, rounds: int = ROUNDS) -> Sy
 class _Block:
     """A block's words with their names, the ids of their documents, and windows."""
 
-    def __init__(self, block: bytes, id_col: str, text_col: str):
+    def __init__(self, block: bytes, text_col: str):
         self.rows = rows_of(block)
         self.texts = pc.fill_null(self.rows.column(text_col), "")
         self.words = words_of(self.texts)
         self.first = self.words.first
         self.names = word_hashes(self.words)
-        self.ids = pc.fill_null(self.rows.column(id_col).cast(pa.int64()), NO_ID).to_numpy()
+        self.ids = pc.fill_null(self.rows.column(_PLACE), NO_ID).to_numpy()
 
     def symbols(self):
         """(symbols, sorted unique names, flags: in several documents, index)"""
@@ -140,7 +147,7 @@ class _Block:
         index[order] = np.cumsum(np.concatenate([[False], names[1:] != names[:-1]]))
         return s, names[new], several.astype(np.uint8), index
 
-    def window_starts(self, parts: int, answers) -> np.ndarray:
+    def window_starts(self, parts: Ranges, answers) -> np.ndarray:
         """Starts of windows without a symbol that stands in one document alone."""
         n = len(self.names)
         doc = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
@@ -176,28 +183,28 @@ def _each(batch: pa.RecordBatch, *names: str):
         yield tuple(batch.column(n)[k].as_py() for n in names)
 
 
-def _symbol_keys(id_col: str, text_col: str, parts: int):
+def _symbol_keys(text_col: str, parts: Ranges):
     def run(batches):
         for batch in batches:
             for number, block in _each(batch, "block", "rows"):
-                _, keys, several, _ = _Block(block, id_col, text_col).symbols()
+                _, keys, several, _ = _Block(block, text_col).symbols()
                 yield key_rows(number, keys, parts, (several,))
 
     return run
 
 
-def _window_keys(id_col: str, text_col: str, symbol_parts: int, parts: int):
+def _window_keys(text_col: str, symbol_parts: Ranges, parts: Ranges):
     def run(batches):
         for batch in batches:
             for number, block, first in _each(batch, "block", "rows", "a0"):
-                b = _Block(block, id_col, text_col)
+                b = _Block(block, text_col)
                 keys, check, smallest, _ = b.windows(b.window_starts(symbol_parts, first))
                 yield key_rows(number, keys, parts, (check, smallest))
 
     return run
 
 
-def _removed_words(b: _Block, symbol_parts: int, parts: int, first, second) -> np.ndarray:
+def _removed_words(b: _Block, symbol_parts: Ranges, parts: Ranges, first, second) -> np.ndarray:
     """Per word of the block: is it removed?"""
     at = b.window_starts(symbol_parts, first)
     edge = np.zeros(len(b.names) + 1, np.int32)
@@ -210,11 +217,11 @@ def _removed_words(b: _Block, symbol_parts: int, parts: int, first, second) -> n
     return np.cumsum(edge[:-1]) > 0
 
 
-def _results(id_col: str, text_col: str, symbol_parts: int, parts: int, report: bool):
+def _results(id_col: str, text_col: str, symbol_parts: Ranges, parts: Ranges, report: bool):
     def run(batches):
         for batch in batches:
             for block, first, second in _each(batch, "rows", "a0", "a1"):
-                b = _Block(block, id_col, text_col)
+                b = _Block(block, text_col)
                 removed = _removed_words(b, symbol_parts, parts, first, second)
                 counts = np.concatenate([[0], np.cumsum(removed)])
                 lost = counts[b.first[1:]] - counts[b.first[:-1]]
@@ -238,39 +245,51 @@ def _results(id_col: str, text_col: str, symbol_parts: int, parts: int, report:
                     changed = [None if column[d].as_py() is None else k if isinstance(k, str) else k.decode()
                                for d, k in enumerate(kept)]
                     at = b.rows.schema.get_field_index(text_col)
-                    yield b.rows.set_column(at, b.rows.schema.field(at), pa.array(changed, column.type))
+                    out = b.rows.set_column(at, b.rows.schema.field(at), pa.array(changed, column.type))
+                    yield out.drop_columns([_PLACE])
 
     return run
 
 
-def _passes(docs: DataFrame, id_col: str, text_col: str, report: bool, schema, block_bytes: int) -> DataFrame:
-    blocks = BlockTable(docs, text_col, block_bytes)
+def _placed(docs: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` with the place of each id in the order of ids; a null id has none."""
+    if isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        return docs.withColumn(_PLACE, F.col(id_col).cast("long"))
+    ranks = materialise(count_below(docs.select(id_col)).select("value", F.col("below").alias(_PLACE)), "id-places")
+    return docs.join(ranks, docs[id_col] == ranks["value"], "left").drop("value")
+
+
+def _passes(docs: DataFrame, id_col: str, text_col: str, report: bool, schema, block_bytes: int, part_keys: int,
+            fan: int) -> DataFrame:
+    blocks = BlockTable(_placed(docs, id_col), text_col, block_bytes, part_keys, fan)
     words = blocks.bytes // 5
-    symbol_parts, parts = blocks.parts(words // 2), blocks.parts(words // 2)
+    symbol_parts, parts = blocks.ranges(words // 2), blocks.ranges(words // 2)
     shared = exchange(blocks.table.select("block", "rows")
-                      .mapInArrow(_symbol_keys(id_col, text_col, symbol_parts), KEY_SCHEMA),
+                      .mapInArrow(_symbol_keys(text_col, symbol_parts), KEY_SCHEMA),
                       symbol_parts, repeated, (np.uint8,))
     smaller = exchange(blocks.with_answers(shared)
-                       .mapInArrow(_window_keys(id_col, text_col, symbol_parts, parts), KEY_SCHEMA),
+                       .mapInArrow(_window_keys(text_col, symbol_parts, parts), KEY_SCHEMA),
                        parts, has_smaller, (np.uint32, np.int64))
     return blocks.with_answers(shared, smaller).mapInArrow(
         _results(id_col, text_col, symbol_parts, parts, report), schema)
 
 
-def window_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def window_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES,
+                  part_keys: int = PART_KEYS, fan: int = FAN) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_words``, ``n_removed`` and
-    ``kept_sha256`` (of the kept words joined by one space)."""
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    out = _passes(source, "id", "text", True, "id long, n_words long, n_removed long, kept_sha256 string",
-                  block_bytes)
+    ``kept_sha256`` (of the kept words joined by one space). ``part_keys`` keys make a
+    range; a block sends to at most ``fan``, or in two levels."""
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = source.schema["id"].dataType.simpleString()
+    out = _passes(source, "id", "text", True, f"id {kind}, n_words long, n_removed long, kept_sha256 string",
+                  block_bytes, part_keys, fan)
     return out.withColumnRenamed("id", id_col)
 
 
-def remove_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def remove_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES,
+                   part_keys: int = PART_KEYS, fan: int = FAN) -> DataFrame:
     """The rows of ``docs`` without the repeated words, all columns kept."""
     inner = {c: f"c{k}" for k, c in enumerate(docs.columns)}  # free of clashes with block columns
     copy = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
-    out = _passes(copy, inner[id_col], inner[text_col], False, copy.schema, block_bytes)
+    out = _passes(copy, inner[id_col], inner[text_col], False, copy.schema, block_bytes, part_keys, fan)
     return out.select(*[F.col(n).alias(c) for c, n in inner.items()])

@@ -45,8 +45,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldwatch.llm.blocks import (BLOCK_BYTES, KEY_SCHEMA, BlockTable, answer_bits, called, distinct, exchange,
-                                   key_rows, repeated, repeated_checked, rows_of)
+from fieldwatch.llm.blocks import (BLOCK_BYTES, FAN, KEY_SCHEMA, PART_KEYS, BlockTable, Ranges, answer_bits, called,
+                                   distinct, exchange, key_rows, repeated, repeated_checked, rows_of)
 from fieldwatch.llm.textarrays import Fingerprints, bytes_of
 
 LENGTH = 200
@@ -78,10 +78,10 @@ class _Plan(NamedTuple):
     """Key ranges of the exchanges."""
 
     length: int
-    samples: int
-    stretches: int
-    calls: int
-    strings: int
+    samples: Ranges
+    stretches: Ranges
+    calls: Ranges
+    strings: Ranges
 
 
 class _Block:
@@ -255,20 +255,20 @@ def _kept(b: _Block, hit: np.ndarray) -> pa.RecordBatch:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                   block_bytes: int = BLOCK_BYTES, part_keys: int = PART_KEYS, fan: int = FAN) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_bytes``, ``n_removed``, ``n_spans``
-    (maximal removed runs) and ``kept``, the remaining bytes."""
+    (maximal removed runs) and ``kept``, the remaining bytes. ``part_keys`` keys make a
+    range; a block sends to at most ``fan``, or in two levels."""
     if length < PERIOD:
         raise ValueError(f"length must be at least {PERIOD}")
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    blocks = BlockTable(source, "text", block_bytes)
-    samples = blocks.parts(blocks.bytes * len(COVER) // PERIOD)
-    plan = _Plan(length, samples, blocks.parts(blocks.bytes // 32), blocks.parts(blocks.bytes // 16),
-                 blocks.parts(blocks.bytes // 3))
+    blocks = BlockTable(source, "text", block_bytes, part_keys, fan)
+    plan = _Plan(length, blocks.ranges(blocks.bytes * len(COVER) // PERIOD), blocks.ranges(blocks.bytes // 32),
+                 blocks.ranges(blocks.bytes // 16), blocks.ranges(blocks.bytes // 3))
 
-    def told(work, parts, judge, kinds, *answers):
+    def told(work, to, judge, kinds, *answers):
         keys = blocks.with_answers(*answers).mapInArrow(_step(plan, len(answers), work), KEY_SCHEMA)
-        return exchange(keys, parts, judge, kinds)
+        return exchange(keys, to, judge, kinds)
 
     flag, checked = (np.uint8,), (np.uint32, np.uint8)
     shared = told(_send_samples, plan.samples, repeated, flag)
