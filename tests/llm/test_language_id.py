@@ -1,5 +1,7 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 from fieldwatch.llm.language_id import identify
 
@@ -75,3 +77,47 @@ def test_one_id_for_many_rows(spark):
     for data, langs in ((many, {"aa"}), (same, {"bb"}), (many + few, {"aa", "cc"}), (same + few + many, set(SYLLABLES))):
         got = identify(frame(spark, data), fit_rows=20).collect()
         assert len(got) == len(data) and {r.lang_pred for r in got} == langs
+
+
+def trigrams(text):
+    """bucket -> count of hashed byte trigrams, one by one"""
+    folded = [b if b > 127 or chr(b).isalpha() else 32 for b in text.lower().encode()]
+    single = [b for k, b in enumerate(folded) if b != 32 or k == 0 or folded[k - 1] != 32]
+    return Counter(((a << 16 | b << 8 | c) * 0x9E3779B1 % 2**32) >> 20 for a, b, c in zip(single, single[1:], single[2:]))
+
+
+def scaled(v):
+    size = math.sqrt(sum(x * x for x in v.values()))
+    return {k: x / size for k, x in v.items()} if size else {}
+
+
+def test_against_brute_force(spark):
+    """TF-IDF vectors, one centroid a language, cosines and thresholds, term by term."""
+    data = [r for r in rows() if r[0] is not None]
+    train = [(t, lang) for i, t, lang, _ in data if lang and t and not held_out(i)]
+    seen = Counter(b for t, _ in train for b in trigrams(t))
+    idf = lambda b: math.log((1 + len(train)) / (1 + seen[b])) + 1
+    vector = lambda t: scaled({b: math.sqrt(n) * idf(b) for b, n in trigrams(t).items()})
+    centre = {}
+    for lang in SYLLABLES:
+        total = Counter()
+        for t, own in train:
+            if own == lang:
+                total.update(vector(t))
+        centre[lang] = scaled(total)
+    cosine = lambda t, lang: sum(x * centre[lang].get(b, 0) for b, x in vector(t).items())
+    own = {lang: sorted(cosine(t, lang) for t, k in train if k == lang) for lang in SYLLABLES}
+    floor = {k: math.floor(v[math.floor(0.002 * (len(v) - 1))] * 4000) / 4000 for k, v in own.items()}
+    got = identify(frame(spark, data), fit_rows=1000, centroids=1).collect()
+    texts = {i: t for i, t, _, _ in data}
+    assert len(got) == len(data)
+    for r in got:
+        text = texts[r.doc_id]
+        if not text or not any(c.isalpha() for c in text):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, False)
+            continue
+        best = {k: cosine(text, k) for k in SYLLABLES}
+        assert abs(best[r.lang_pred] - max(best.values())) < 1e-5
+        assert abs(r.score - min(max(best[r.lang_pred], 0), 1)) < 1e-4
+        if abs(r.score - floor[r.lang_pred]) > 1e-3:
+            assert r.rejected == (r.score < floor[r.lang_pred])
