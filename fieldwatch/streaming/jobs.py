@@ -15,9 +15,11 @@ from typing import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldwatch.config import CLEANED_ALERT_TOPIC, DEFAULT_PARAMS, RAW_ALERT_TOPIC, RAW_TELEMETRY_TOPIC, Params
+from fieldwatch.config import (CLEANED_ALERT_TOPIC, DEFAULT_PARAMS, METRICS, RAW_ALERT_TOPIC, RAW_TELEMETRY_TOPIC,
+                               Params)
 from fieldwatch.functions import jsonio
 from fieldwatch.functions.scalars import clamp, conform
+from fieldwatch.functions.timefmt import epoch_ms, window_end_ms
 from fieldwatch.operators import alerts as A
 from fieldwatch.operators import dimension as D
 from fieldwatch.operators import notify as N
@@ -251,7 +253,7 @@ def start_gateway_telemetry(readings: DataFrame, dev_gw: DataFrame, topic_folder
     with a watermark -> telemetry messages on the telemetry topic: Kafka (N13) when
     a broker is given, else its NDJSON folder (N6). Rows later than the watermark
     are dropped and counted by the engine (``numRowsDroppedByWatermark`` in the
-    query progress)."""
+    query progress); :func:`start_gateway_windows` keeps them."""
     if not kafka and not topic_folder:
         raise ValueError("either kafka or topic_folder is required")
     wm = watermark or f"{params.window_ms} milliseconds"
@@ -267,6 +269,69 @@ def start_gateway_telemetry(readings: DataFrame, dev_gw: DataFrame, topic_folder
     return _trigger(w.option("checkpointLocation", checkpoint), trigger).queryName("gateway_telemetry").start()
 
 
+#: an open window's partial aggregates, as telemetry.window_partials has them
+WINDOW_STATE = "device_id string, gateway_ts long, count long, " + ", ".join(
+    f"{m}_n long, {m}_sum double, {m}_m2 double, {m}_min double, {m}_max double" for m in METRICS)
+
+
+def start_gateway_windows(readings: DataFrame, dev_gw: DataFrame, state_dir: str, checkpoint: str, late_path: str, *,
+                          params: Params = DEFAULT_PARAMS, topic_folder: str | None = None, kafka: str | None = None,
+                          lateness_ms: int | None = None, event_time: str = "event_time",
+                          trigger: str | None = DEFAULT_TRIGGER, merge_every: int = 10):
+    """ST5 with every late reading kept (ST9): the windows of
+    :func:`start_gateway_telemetry`, for those who need the rows that the engine's
+    watermark drops. A window is published once a reading ``lateness_ms`` (default: a
+    window) or more newer than its end has been seen; a reading of a window published by
+    then, or without an event time, goes whole to the table ``late_path`` with
+    ``closed_upto``, the end of the last window closed before. So every reading of a
+    registered device is counted in one published or open window, or is a row there.
+
+    Open windows are partial aggregates (one row a device and window) in a table of
+    versions under ``state_dir``: a batch merges its own into those it touches and writes
+    these alone. Batch n reads version n - 1 and owns its late rows and messages in
+    folders, so replays are idempotent (to Kafka: at least once).
+    """
+    if not kafka and not topic_folder:
+        raise ValueError("either kafka or topic_folder is required")
+    spark, root = readings.sparkSession, state_dir.rstrip("/")
+    lateness = params.window_ms if lateness_ms is None else lateness_ms
+    windows = KeyedVersions(spark, f"{root}/open", ["device_id", "gateway_ts"], WINDOW_STATE, merge_every)
+    marks = KeyedVersions(spark, f"{root}/mark", "id", "id int, seen_max long, closed_upto long", merge_every)
+    event_ms = epoch_ms(F.col(event_time))
+    end = window_end_ms(event_ms, params.window_ms)
+    clamped = clamp(readings, params.clamp_bounds)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        m = marks.read(batch_id - 1).first()  # one row
+        seen_before, closed_before = (m["seen_max"], m["closed_upto"]) if m else (None, None)
+        is_open = lambda upto: F.lit(True) if upto is None else F.col("gateway_ts") > F.lit(upto)
+        batch = batch.persist()  # its newest reading, its late rows, its windows
+        merged = None
+        try:
+            stamps = [x for x in (seen_before, batch.agg(F.max(event_ms)).first()[0]) if x is not None]
+            seen_max = max(stamps, default=None)
+            closed_upto = None if seen_max is None else seen_max - lateness
+            late = end.isNull() if closed_before is None else end.isNull() | (end <= F.lit(closed_before))
+            _write_late(batch.where(late).withColumn("closed_upto", F.lit(closed_before).cast("long")), late_path,
+                        batch_id, "gateway_windows")
+            own = T.window_partials(batch.where(~late), params.window_ms, event_ms)
+            merged = T.merge_partials(windows.read(batch_id - 1).where(is_open(closed_before)), own, "touched").persist()
+            windows.write(batch_id, merged.where(F.col("touched") & is_open(closed_upto)), is_open(closed_upto))
+            closing = merged.where(F.lit(False) if closed_upto is None else ~is_open(closed_upto)).drop("touched")
+            W.write_topic(T.stats_of_partials(closing, dev_gw), RAW_TELEMETRY_TOPIC, kafka=kafka, folder=topic_folder,
+                          batch_id=batch_id)
+            marks.write(batch_id, spark.createDataFrame([(0, seen_max, closed_upto)], marks.schema))
+        finally:
+            if merged is not None:
+                merged.unpersist()
+            batch.unpersist()
+        for table in (windows, marks):
+            table.remove_before(batch_id - 1)  # a replay of this batch reads the version before
+
+    w = clamped.writeStream.outputMode("append").foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).queryName("gateway_windows").start()
+
+
 def start_raw_telemetry_sink(records: DataFrame, folder: str, checkpoint: str, flush: str = "30 seconds",
                              json_copy: str | None = None):
     """N5 + W7: raw gateway records to day-partitioned Parquet, flushed every
@@ -358,7 +423,8 @@ def start_gateway_alerts(readings: DataFrame, dev_gw: DataFrame, state_dir: str,
             closed_upto = None if new_max is None else new_max - lateness_ms - 1  # windows that end before are closed
             late = F.lit(False) if done_upto is None else F.col("gateway_ts") <= F.lit(done_upto)
             if done_upto is not None:
-                _write_late(rows.filter(late).withColumn("closed_upto", F.lit(done_upto)), late_path, batch_id)
+                _write_late(rows.filter(late).withColumn("closed_upto", F.lit(done_upto)), late_path, batch_id,
+                            "gateway_alerts")
             ready = rows.filter(~late & (F.col("gateway_ts") <= F.lit(closed_upto).cast("long")))
             still_open = rows.filter(~late & (F.col("gateway_ts") > F.lit(closed_upto).cast("long")))
             done = ready.agg(F.max("gateway_ts")).first()[0]
@@ -380,7 +446,7 @@ def start_gateway_alerts(readings: DataFrame, dev_gw: DataFrame, state_dir: str,
     return _trigger(w, trigger).queryName("gateway_alerts").start()
 
 
-def _write_late(late: DataFrame, path: str | None, batch_id: int) -> int:
+def _write_late(late: DataFrame, path: str | None, batch_id: int, job: str) -> int:
     """ST9: late rows into their table (or only counted), and how many there were."""
     obs = Observation("late")
     late = late.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -390,5 +456,5 @@ def _write_late(late: DataFrame, path: str | None, batch_id: int) -> int:
         late.write.format("noop").mode("overwrite").save()
     n = int(obs.get.get("rows", 0))
     if n:
-        print(f"[gateway_alerts] batch {batch_id}: {n} late readings" + (f" in {path}" if path else " dropped"))
+        print(f"[{job}] batch {batch_id}: {n} late readings" + (f" in {path}" if path else " dropped"))
     return n

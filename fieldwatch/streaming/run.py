@@ -72,8 +72,12 @@ def _gateway(spark, args, ckpt) -> list:
     dev_gw = written(load_device_gateway(spark, args.dims), "device-gateways")
     raw = parse_json(file_lines(spark, args.input, args.max_per_trigger), READING, keep=("seq",))
     r = clamp(raw.withColumn("event_time", F.timestamp_millis("device_ts")), p.clamp_bounds)
-    queries = [J.start_gateway_telemetry(r, dev_gw, args.topics, f"{ckpt}/telemetry", p, trigger=args.trigger,
-                                         kafka=args.kafka)]
+    if args.late_telemetry:
+        queries = [J.start_gateway_windows(r, dev_gw, f"{ckpt}/windows_state", f"{ckpt}/windows", args.late_telemetry,
+                                           params=p, topic_folder=args.topics, kafka=args.kafka, trigger=args.trigger)]
+    else:
+        queries = [J.start_gateway_telemetry(r, dev_gw, args.topics, f"{ckpt}/telemetry", p, trigger=args.trigger,
+                                             kafka=args.kafka)]
     classified = (r.withColumn("gateway_ts", window_end_ms(F.col("device_ts"), p.window_ms))
                   .withColumn("state", state_col(p.thresholds)).withColumn("details", violations_col(p.thresholds)))
     queries.append(J.start_gateway_alerts(classified, dev_gw, f"{ckpt}/state", f"{ckpt}/alerts", params=p,
@@ -112,7 +116,9 @@ def main(argv=None) -> int:
     ap.add_argument("--counters", help="telemetry, alerts: folder of the jobs' counter samples (speed-report --live)")
     ap.add_argument("--partials", help="telemetry, alerts: folder of the panels' partial aggregates")
     ap.add_argument("--live", action="store_true", help="speed report: the input holds the jobs' own samples")
-    ap.add_argument("--late", help="gateway: table of late readings")
+    ap.add_argument("--late", help="gateway: table of the alert machine's late readings")
+    ap.add_argument("--late-telemetry", help="gateway: table of the telemetry windows' late readings (without it the "
+                    "engine drops and counts them); choose before the first start")
     ap.add_argument("--threshold", action="append", metavar="METRIC,LOW,HIGH", help="critical bounds of a metric")
     ap.add_argument("--flush", default="30 seconds", help="gateway: raw record flush interval")
     ap.add_argument("--trigger", default="10 seconds")

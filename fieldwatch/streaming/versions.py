@@ -22,7 +22,8 @@ _V = "_version"
 
 
 class KeyedVersions:
-    def __init__(self, spark: SparkSession, folder: str, key: str, schema: str, every: int = 10):
+    def __init__(self, spark: SparkSession, folder: str, key: str | list[str], schema: str,
+                 every: int = 10):
         self.spark, self.folder, self.key, self.every = spark, folder.rstrip("/"), key, every
         self.schema = StructType.fromDDL(schema)
 

@@ -81,6 +81,27 @@ def test_jobs_then_latency_report(spark):
     assert {r["index"] for r in stats.collect()} == {TELEMETRY_INDEX, ALERT_INDEX}
 
 
+def test_gateway_keeps_late_telemetry(spark):
+    """With --late-telemetry every reading is published, open, or a row of that table."""
+    root = tempfile.mkdtemp(prefix="fw-cli-")
+    _dims(spark, root)
+    _readings(root)
+    late = {"device_id": "a", "device_ts": 1_700_000_000_000, "temperature": 20.0}  # behind 50 s of windows
+    with open(f"{root}/in/r9.json", "w") as f:
+        f.write(json.dumps(late) + "\n")
+    os.utime(f"{root}/in/r9.json", (1_700_000_100, 1_700_000_100))
+    assert run.main(["gateway", "--input", f"{root}/in", "--topics", f"{root}/topics", "--dims", f"{root}/dims",
+                     "--trigger", "availableNow", "--checkpoint", f"{root}/ckpt", "--max-per-trigger", "2",
+                     "--window-ms", "10000", "--late-telemetry", f"{root}/late"]) == 0
+    rows = spark.read.parquet(f"{root}/late").collect()
+    assert [(r.device_id, r.device_ts) for r in rows if r.device_ts is not None] == [("a", 1_700_000_000_000)]
+    assert len(rows) == 2  # and the line that is no JSON, which no window takes
+    messages = [json.loads(r.value) for r in spark.read.text(f"{root}/topics/{topic_file(RAW_TELEMETRY_TOPIC)}").collect()]
+    published = {(m["device_id"], m["gateway_ts"]): m["count"] for m in messages}
+    # the newest reading is 50 s after the first: windows that end 10 s or more before it are published
+    assert published == {(d, 1_700_000_000_000 + 10_000 * k): 1 for d in "ab" for k in range(1, 5)}
+
+
 def test_streaming_jobs_refuse_a_made_up_checkpoint_folder(spark, monkeypatch):
     class Conf:
         def get(self, key, default=None):
