@@ -266,11 +266,13 @@ def _apply_step(rb_keys, rb_exits, e_in: int) -> int:
 
 
 def greedy_thin(laid: DataFrame, key: str, order: list[str], t: str, theta: str, e_init: int = NEG_INF,
-                keep_all: bool = False, flag: str = "_emit") -> DataFrame:
+                keep_all: bool = False, flag: str = "_emit", narrow: DataFrame | None = None) -> DataFrame:
     """Rows of ``laid`` that the fold emits (or all rows with a ``flag`` column).
 
     ``theta`` is a long column; ``ALWAYS`` marks rows that emit whatever the state.
-    ``e_init`` is the state before a key's first row.
+    ``e_init`` is the state before a key's first row. ``narrow``: the same rows with
+    no more columns than the summary takes (``_pid``, ``_pos``, key, t, theta), where
+    ``laid`` computes theta in Python and would send every column there for it.
     """
 
     def arrays(pdf):
@@ -308,16 +310,19 @@ def greedy_thin(laid: DataFrame, key: str, order: list[str], t: str, theta: str,
                             "rb_keys": [rb_keys[keep].tolist()], "rb_exits": [rb_exits[keep].tolist()],
                             "last_exit": [last_exit]})
 
-    summary = laid.select(*dict.fromkeys([PID, POS, key, t, theta])).mapInPandas(summarise, _THIN_SUMMARY)
+    summary = ((laid if narrow is None else narrow).select(*dict.fromkeys([PID, POS, key, t, theta]))
+               .mapInPandas(summarise, _THIN_SUMMARY))
 
     # Per key, walk its partitions in order. Entries: a "tail" where the key
     # starts inside a partition, then "heads" of the following partitions.
-    heads = summary.select(F.col("first_key").alias("k"), PID, F.lit(1).alias("role"), "single",
-                           "rb_keys", "rb_exits", F.lit(None).cast("long").alias("last_exit"))
-    tails = summary.filter(~F.col("single")).select(
-        F.col("last_key").alias("k"), PID, F.lit(0).alias("role"), "single",
-        F.lit(None).cast("array<long>").alias("rb_keys"), F.lit(None).cast("array<long>").alias("rb_exits"),
-        "last_exit")
+    # One pass gives both: a union would run the passes below it twice.
+    none = F.lit(None).cast("array<long>")
+    head = F.struct(F.col("first_key").alias("k"), F.lit(1).alias("role"), "rb_keys", "rb_exits",
+                    F.lit(None).cast("long").alias("last_exit"))
+    tail = F.struct(F.col("last_key").alias("k"), F.lit(0).alias("role"), none.alias("rb_keys"),
+                    none.alias("rb_exits"), "last_exit")
+    entries = F.when(F.col("single"), F.array(head)).otherwise(F.array(head, tail))
+    segments = summary.select(PID, "single", F.inline(entries))
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([PID, "role"], kind="stable")
@@ -335,7 +340,7 @@ def greedy_thin(laid: DataFrame, key: str, order: list[str], t: str, theta: str,
                 e = _apply_step(rb_keys, rb_exits, e)
         return pd.DataFrame({PID: out_pid, "_e_in": out_e})
 
-    entry = heads.unionByName(tails).groupBy("k").applyInPandas(walk, _ENTRY)
+    entry = segments.groupBy("k").applyInPandas(walk, _ENTRY)
 
     out_schema = StructType(laid.schema.fields + ([StructField(flag, BooleanType())] if keep_all else []))
     names = [f.name for f in laid.schema.fields]
