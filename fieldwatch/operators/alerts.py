@@ -248,16 +248,9 @@ def dedup_alerts(alerts: DataFrame, window: int, order: tuple = ("gateway_ts", S
     """
     order = list(order)
     laid = ordered_layout(alerts, "device_id", order, tasks_for(alerts.sparkSession, alerts.count(), num_partitions))
-    theta = F.when(F.col("_prev_state").isNull() | (F.col("_prev_state") != F.col("state")), F.lit(ALWAYS)) \
-        .otherwise(F.lit(window)).cast("long")
-
-    def decided(rows):
-        return keyed_lag(rows, "device_id", order, "state", "_prev_state").withColumn("_theta", theta)
-
-    narrow = laid.select(*dict.fromkeys([PID, POS, "device_id", "gateway_ts", "state"]))
-    out = greedy_thin(decided(laid), "device_id", order, "gateway_ts", "_theta", e_init=NEG_INF,
-                      narrow=decided(narrow))
-    return _materialise(out.drop("_prev_state", "_theta", PID, POS))
+    out = greedy_thin(laid.withColumn("_theta", F.lit(window).cast("long")), "device_id", order, "gateway_ts", "_theta",
+                      e_init=NEG_INF, change="state")
+    return _materialise(out.drop("_theta", PID, POS))
 
 
 # --- W4: state transitions -----------------------------------------------------------------

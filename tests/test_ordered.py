@@ -95,3 +95,47 @@ def test_approx_median(spark):
     df = spark.range(10_001).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
     got = approx_median(df, ["g"], "v").collect()
     assert len(got) == 3 and all(abs(r["median"] - 5000) <= 10 for r in got)
+
+
+@pytest.mark.parametrize("nparts", [1, 5, 32])
+def test_small_batches_carry_the_state(spark, nparts):
+    """Keys that span batches and partitions, with the previous row's value deciding."""
+    pdf = _rows(4)
+    pdf["theta"] = 40
+    pdf["s"] = np.where(np.arange(len(pdf)) % 211 < 190, "x", None)
+    pdf.loc[pdf.index % 97 == 0, "s"] = "y"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        laid = O.ordered_layout(spark.createDataFrame(pdf, "k string, t long, seq long, theta long, s string"), "k",
+                                ["t", "seq"], nparts)
+        got = O.greedy_thin(laid, "k", ["t", "seq"], "t", "theta", change="s").select("k", "seq").toPandas()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rows = pdf.sort_values(["k", "t", "seq"], ignore_index=True)
+    prev = rows.groupby("k")["s"].shift(1)
+    differs = prev.isna() | ((prev != rows["s"]) & rows["s"].notna())
+    rows["theta"] = np.where(differs, O.ALWAYS, rows["theta"])
+    exp = rows[greedy_thin_reference(rows, "k", ["t", "seq"], "t", "theta")]
+    assert set(map(tuple, got.values.tolist())) == set(map(tuple, exp[["k", "seq"]].values.tolist()))
+    assert 0 < len(exp) < len(rows)
+
+
+@pytest.mark.parametrize("run", [
+    lambda laid: O.greedy_thin(laid, "k", ["t", "seq"], "t", "theta"),
+    lambda laid: O.keyed_lag(laid, "k", ["t", "seq"], "s", "prev")])
+def test_a_pass_holds_one_batch(spark, monkeypatch, run):
+    """The rows of a batch leave before the next is asked for, however many a partition has."""
+    laid = O.ordered_layout(spark.createDataFrame(_rows(5)), "k", ["t", "seq"], 1)
+    passes = []
+    for name in ("mapInArrow", "mapInPandas"):
+        def kept(self, fn, *args, real=getattr(type(laid), name), **kw):
+            passes.append((self, fn))
+            return real(self, fn, *args, **kw)
+        monkeypatch.setattr(type(laid), name, kept)
+    run(laid)
+    rows, fn = passes[-1]
+    batches, asked = rows.toArrow().to_batches(max_chunksize=50), []
+    out = fn(asked.append(1) or b for b in batches)
+    next(out)
+    assert len(asked) == 1
+    assert sum(1 for _ in out) and len(asked) == len(batches) > 50
