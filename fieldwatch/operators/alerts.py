@@ -38,12 +38,12 @@ TICK_SEQ = 2 ** 63 - 1  # ticks order after every reading
 
 def offline_alerts(known: DataFrame, dev_gw: DataFrame, params: Params, last_seen: DataFrame | None = None
                    ) -> DataFrame:
-    """W3 in the alert columns, see :func:`_offline_ticks`."""
-    return _offline_ticks(known, dev_gw, params, last_seen).drop(GAP)
+    """W3 in the alert columns, see :func:`_silences`."""
+    return _ticks(*_silences(known, dev_gw, params, last_seen))
 
 
-def _offline_ticks(known: DataFrame, dev_gw: DataFrame, params: Params, last_seen: DataFrame | None = None
-                   ) -> DataFrame:
+def _silences(known: DataFrame, dev_gw: DataFrame, params: Params, last_seen: DataFrame | None = None
+              ) -> tuple[DataFrame, DataFrame]:
     """One OFFLINE alert per (registered device, non-empty fleet window) in
     which the device sent nothing and its last reading is at least
     ``offline_ms`` older than the window's end (never-seen devices: last = 0,
@@ -53,11 +53,12 @@ def _offline_ticks(known: DataFrame, dev_gw: DataFrame, params: Params, last_see
     alert and no fold is needed here. The windows in which the fleet spoke are
     numbered densely, and a silence of a device (between two windows it was seen in)
     is a range of those numbers, cut where it first fires. Ranges are spread out
-    into numbers, each of which is an alert: time in which nobody spoke has no number
-    and costs nothing, however long it is.
+    into numbers (:func:`_ticks`), each of which is an alert: time in which nobody spoke
+    has no number and costs nothing, however long it is.
 
-    Column ``_gap`` holds the number of the window that ends the silence (null if
-    none does).
+    Returns the silences ``(device_id, gateway_id, low, high, _gap)`` that fire, with
+    ``_gap`` the number of the window that ends them (null if none does), and the
+    windows ``(rank, gateway_ts, gateway_ts_iso)``.
     """
     w_ms, off = params.window_ms, params.offline_ms
     window = window_index(F.col("gateway_ts") - 1, w_ms)
@@ -93,13 +94,18 @@ def _offline_ticks(known: DataFrame, dev_gw: DataFrame, params: Params, last_see
     before = registered.join(begins, "value").join(firsts, "device_id", "left").select("device_id", "low", GAP)
     spans = (gaps.unionByName(before).withColumn("high", F.coalesce(F.col(GAP) - 1, last))
              .where(F.col("low") <= F.col("high")))
-    starts, members = rank_rows(F.col("low"), F.col("high"))
-    numbers = spans.withColumn("block", starts).select("device_id", GAP, members.alias("rank"))
-    ticks = numbers.join(spoken, "rank").join(dev_gw, "device_id")
     gts = ((F.col("w") + 1) * F.lit(w_ms)).cast("long")
-    return ticks.select("device_id", "gateway_id", gts.alias("gateway_ts"), iso_of_ms(gts).alias("gateway_ts_iso"),
-                        F.lit(STATE_OFFLINE).alias("state"), F.array().cast("array<string>").alias("details"),
-                        F.lit(None).cast("long").alias(SEQ), GAP)
+    return (spans.join(dev_gw, "device_id").select("device_id", "gateway_id", "low", "high", GAP),
+            spoken.select("rank", gts.alias("gateway_ts"), iso_of_ms(gts).alias("gateway_ts_iso")))
+
+
+def _ticks(silences: DataFrame, windows: DataFrame) -> DataFrame:
+    """The alerts of :func:`_silences`, one for each window of a silence."""
+    starts, members = rank_rows(F.col("low"), F.col("high"))
+    numbers = silences.withColumn("block", starts).select("device_id", "gateway_id", members.alias("rank"))
+    return numbers.join(windows, "rank").select(
+        "device_id", "gateway_id", "gateway_ts", "gateway_ts_iso", F.lit(STATE_OFFLINE).alias("state"),
+        F.array().cast("array<string>").alias("details"), F.lit(None).cast("long").alias(SEQ))
 
 
 def unseen_devices(known: DataFrame, dev_gw: DataFrame, window_ms: int) -> DataFrame:
@@ -142,7 +148,7 @@ def fleet_alerts(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: st
     try:
         # reliable checkpoint: later stages (dedup, notifications) read the fold
         # once, and a lost executor does not send them back through it
-        return _materialise(_stamped(_fleet(known, dev_gw, params, num_partitions)))
+        return _materialise(_fleet(known, dev_gw, params, num_partitions))
     finally:
         known.unpersist()
 
@@ -152,11 +158,6 @@ def _known(readings: DataFrame, dev_gw: DataFrame, seq: str) -> DataFrame:
         "device_id", "gateway_id", "gateway_ts", "state", "details", F.col(seq).cast("long").alias(SEQ))
 
 
-def _stamped(fold: DataFrame) -> DataFrame:
-    return fold.select(*ALERT_COLUMNS[:3], iso_of_ms(F.col("gateway_ts")).alias("gateway_ts_iso"),
-                       "state", "details", SEQ)
-
-
 def _materialise(df: DataFrame) -> DataFrame:
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -179,9 +180,11 @@ def _fleet(known: DataFrame, dev_gw: DataFrame, params: Params, num_partitions:
     Every tick is an alert, so ticks go straight to the output. To the readings that
     follow a silence only its last tick matters (it is the device's last alert), so
     the fold itself holds one tick for each silence that ends, never more rows than
-    readings."""
+    readings. It is taken from the silence's end, and silences are spread out over all
+    tasks and into ticks once, for the output."""
     spark, order = known.sparkSession, ["gateway_ts", SEQ]
-    offline = _offline_ticks(known, dev_gw, params, state)
+    silences, windows = _silences(known, dev_gw, params, state)
+    silences = written(silences, "silences")
     rows = known if state is None else known.unionByName(_seed_rows(state, "last_ts", known))
     n = tasks_for(spark, known.count(), num_partitions)
     with_prev = keyed_lag(ordered_layout(rows, "device_id", order, n), "device_id", order, "state", "prev_state")
@@ -190,8 +193,8 @@ def _fleet(known: DataFrame, dev_gw: DataFrame, params: Params, num_partitions:
     cand = (with_prev.filter(F.col(SEQ) > NEG_INF).withColumn("theta", theta.cast("long"))
             .filter(F.col("theta").isNotNull()).select(*_FLEET_COLS, "theta"))
     always = F.lit(ALWAYS).cast("long").alias("theta")
-    last_ticks = (offline.filter(F.col(GAP).isNotNull()).groupBy("device_id", GAP)
-                  .agg(F.max("gateway_ts").alias("gateway_ts")).withColumn(SEQ, F.lit(TICK_SEQ)))
+    last_ticks = (silences.filter(F.col(GAP).isNotNull()).select("device_id", F.col("high").alias("rank"))
+                  .join(windows.select("rank", "gateway_ts"), "rank").withColumn(SEQ, F.lit(TICK_SEQ)))
     cand = cand.unionByName(last_ticks.select(
         *[(F.col(c) if c in last_ticks.columns else F.lit(None)).cast(cand.schema[c].dataType).alias(c)
           for c in _FLEET_COLS], always))
@@ -199,8 +202,9 @@ def _fleet(known: DataFrame, dev_gw: DataFrame, params: Params, num_partitions:
         cand = cand.unionByName(_seed_rows(state, "last_alert_ts", cand.drop("theta")).select(*_FLEET_COLS, always))
     laid = ordered_layout(cand, "device_id", order, n)
     out = greedy_thin(laid, "device_id", order, "gateway_ts", "theta", e_init=0)
-    return (out.filter((F.col(SEQ) > NEG_INF) & (F.col(SEQ) < TICK_SEQ)).select(*_FLEET_COLS)
-            .unionByName(offline.select(*_FLEET_COLS)))
+    spoke = (out.filter((F.col(SEQ) > NEG_INF) & (F.col(SEQ) < TICK_SEQ))
+             .select(*ALERT_COLUMNS[:3], iso_of_ms(F.col("gateway_ts")).alias("gateway_ts_iso"), "state", "details", SEQ))
+    return spoke.unionByName(_ticks(silences.repartition(n, "device_id", "low"), windows))
 
 
 def fleet_step(readings: DataFrame, dev_gw: DataFrame, params: Params, state: DataFrame | None,
@@ -211,7 +215,7 @@ def fleet_step(readings: DataFrame, dev_gw: DataFrame, params: Params, state: Da
     the new rows of that table for the devices that spoke or alerted."""
     known = _known(readings, dev_gw, seq).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        alerts = _materialise(_stamped(_fleet(known, dev_gw, params, num_partitions, state)))
+        alerts = _materialise(_fleet(known, dev_gw, params, num_partitions, state))
         last_read = _materialise(known.groupBy("device_id").agg(
             F.max(F.struct("gateway_ts", SEQ, "state")).alias("m")))
     finally:

@@ -186,6 +186,24 @@ def test_time_in_which_nobody_speaks_costs_nothing(spark):
     assert made and max(made) <= 2 * 399
 
 
+def test_silences_become_ticks_once(spark, monkeypatch):
+    """The fold's candidates take a silence's last tick from its end; only the output
+    spreads silences out, over as many tasks as the fold has."""
+    laid, layout = [], A.ordered_layout
+    monkeypatch.setattr(A, "ordered_layout", lambda df, *args: laid.append(df) or layout(df, *args))
+    rows = [("d0", 1000 + 10 * k, "OK" if k % 3 else "CRITICAL", [], k) for k in range(60)]
+    rows += [("d1", 1000 + 10 * k, "CRITICAL", [], 60 + k) for k in (0, 20, 45)]
+    dev_gw = spark.createDataFrame([(f"d{k}", "g") for k in range(3)], "device_id string, gateway_id string")
+    known = A._known(spark.createDataFrame(rows, READ_SCHEMA), dev_gw, "event_id").cache()
+    out = A._fleet(known, dev_gw, P, 3)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert len(laid) == 2 and not any("Generate" in plan(df) for df in laid)
+    assert "Generate" in plan(out) and "RepartitionByExpression" in plan(out)
+    pdf = pd.DataFrame([r[:3] + r[4:] for r in rows], columns=["device_id", "gateway_ts", "state", "event_id"])
+    got = sorted((r.device_id, r.gateway_ts, r.state) for r in out.collect())
+    assert got == sorted(x[:3] for x in _simulate(pdf, ["d0", "d1", "d2"], P))
+
+
 def _output_rows(df, node):
     """Rows that the plan's nodes of a kind put out when the plan is run."""
     plan = df._jdf.queryExecution().executedPlan()
