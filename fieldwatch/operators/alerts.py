@@ -26,7 +26,7 @@ from fieldwatch.operators.ordered import (ALWAYS, NEG_INF, PID, POS, greedy_thin
                                          tasks_for)
 from fieldwatch.operators.ranks import count_below, rank_rows
 from fieldwatch.schemas import CLEANED_ALERT
-from fieldwatch.session import checkpoint_dir, written
+from fieldwatch.session import checkpointed, written
 
 ALERT_COLUMNS = ["device_id", "gateway_id", "gateway_ts", "gateway_ts_iso", "state", "details"]
 SEQ = "seq"
@@ -148,7 +148,7 @@ def fleet_alerts(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: st
     try:
         # reliable checkpoint: later stages (dedup, notifications) read the fold
         # once, and a lost executor does not send them back through it
-        return _materialise(_fleet(known, dev_gw, params, num_partitions))
+        return checkpointed(_fleet(known, dev_gw, params, num_partitions))
     finally:
         known.unpersist()
 
@@ -158,11 +158,6 @@ def _known(readings: DataFrame, dev_gw: DataFrame, seq: str) -> DataFrame:
         "device_id", "gateway_id", "gateway_ts", "state", "details", F.col(seq).cast("long").alias(SEQ))
 
 
-def _materialise(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _seed_rows(state: DataFrame, stamp: str, like: DataFrame) -> DataFrame:
     """One row per device in the columns of ``like`` that stands for what earlier
     micro-batches left: ``last_state`` at ``stamp``, before all its readings."""
@@ -200,7 +195,8 @@ def _fleet(known: DataFrame, dev_gw: DataFrame, params: Params, num_partitions:
           for c in _FLEET_COLS], always))
     if state is not None:
         cand = cand.unionByName(_seed_rows(state, "last_alert_ts", cand.drop("theta")).select(*_FLEET_COLS, always))
-    laid = ordered_layout(cand, "device_id", order, n)
+    # a layout reads its rows twice (range bounds, exchange): the lag pass below runs once
+    laid = ordered_layout(checkpointed(cand), "device_id", order, n)
     out = greedy_thin(laid, "device_id", order, "gateway_ts", "theta", e_init=0)
     spoke = (out.filter((F.col(SEQ) > NEG_INF) & (F.col(SEQ) < TICK_SEQ))
              .select(*ALERT_COLUMNS[:3], iso_of_ms(F.col("gateway_ts")).alias("gateway_ts_iso"), "state", "details", SEQ))
@@ -215,8 +211,8 @@ def fleet_step(readings: DataFrame, dev_gw: DataFrame, params: Params, state: Da
     the new rows of that table for the devices that spoke or alerted."""
     known = _known(readings, dev_gw, seq).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        alerts = _materialise(_fleet(known, dev_gw, params, num_partitions, state))
-        last_read = _materialise(known.groupBy("device_id").agg(
+        alerts = checkpointed(_fleet(known, dev_gw, params, num_partitions, state))
+        last_read = checkpointed(known.groupBy("device_id").agg(
             F.max(F.struct("gateway_ts", SEQ, "state")).alias("m")))
     finally:
         known.unpersist()
@@ -254,7 +250,7 @@ def dedup_alerts(alerts: DataFrame, window: int, order: tuple = ("gateway_ts", S
     laid = ordered_layout(alerts, "device_id", order, tasks_for(alerts.sparkSession, alerts.count(), num_partitions))
     out = greedy_thin(laid.withColumn("_theta", F.lit(window).cast("long")), "device_id", order, "gateway_ts", "_theta",
                       e_init=NEG_INF, change="state")
-    return _materialise(out.drop("_theta", PID, POS))
+    return checkpointed(out.drop("_theta", PID, POS))
 
 
 # --- W4: state transitions -----------------------------------------------------------------

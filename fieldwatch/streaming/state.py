@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from fieldwatch.operators.ordered import (ALWAYS, NEG_INF, greedy_thin, keyed_lag, ordered_layout, tasks_for,
                                          thin_mask)
+from fieldwatch.session import checkpointed
 
 
 def dedup_batch(pdf: pd.DataFrame, kept_state, kept_ts, window: int) -> tuple[pd.DataFrame, object, object]:
@@ -82,8 +83,8 @@ def dedup_step(alerts: DataFrame, window: int, state: DataFrame, seq: str = "seq
     always = F.col(_PREV).isNull() | (before != F.col("state")) | (carried - F.col("gateway_ts") >= window)
     theta = F.when(F.coalesce(always, F.lit(False)) | (F.col(_TURN) == 0), F.lit(ALWAYS)).otherwise(F.lit(window))
     out = greedy_thin(lagged.withColumn(_THETA, theta.cast("long")), "device_id", order, "gateway_ts", _THETA,
-                      e_init=NEG_INF)
-    kept = out.where(F.col(_TURN) == 1).select(*columns).checkpoint(eager=True)
+                      e_init=NEG_INF, layout=laid)
+    kept = checkpointed(out.where(F.col(_TURN) == 1).select(*columns))
     # a late row that was kept is followed by the rest of the batch, so the last in order is the last kept
     last = kept.groupBy("device_id").agg(F.max(F.struct("gateway_ts", seq, "state")).alias("m"))
     return kept, last.select("device_id", F.col("m.state").alias("kept_state"), F.col("m.gateway_ts").alias("kept_ts"))

@@ -139,3 +139,53 @@ def test_a_pass_holds_one_batch(spark, monkeypatch, run):
     next(out)
     assert len(asked) == 1
     assert sum(1 for _ in out) and len(asked) == len(batches) > 50
+
+
+@pytest.mark.parametrize("nparts", [1, 5, 32])
+def test_keys_that_share_a_hash(spark, monkeypatch, nparts):
+    """The layout's hash brings keys together that are not equal; the passes tell them apart."""
+    monkeypatch.setattr(O, "_hash", lambda key: F.length(F.col(key)).cast("long"))
+    pdf = _rows(6)
+    laid = O.ordered_layout(spark.createDataFrame(pdf), "k", ["t", "seq"], nparts)
+    got = O.greedy_thin(laid, "k", ["t", "seq"], "t", "theta", e_init=0).select("k", "seq").toPandas()
+    ref = greedy_thin_reference(pdf, "k", ["t", "seq"], "t", "theta", e_init=0)
+    assert set(map(tuple, got.values.tolist())) == set(map(tuple, pdf.loc[ref[ref].index, ["k", "seq"]].values.tolist()))
+    lag = O.keyed_lag(laid, "k", ["t", "seq"], "s", "prev").toPandas().sort_values(["k", "t", "seq"])
+    exp = pdf.sort_values(["k", "t", "seq"]).groupby("k")["s"].shift(1)
+    assert (lag["prev"].fillna("-").values == exp.fillna("-").values).all()
+
+
+def test_summaries_read_only_the_keys_at_the_ends(spark, monkeypatch):
+    """Of 400 devices in 4 partitions the summary pass gets those at the ends of one, in
+    layout order; the lag has no Python pass for its summary."""
+    rows = [(f"device-{i % 400}", i, i, 3) for i in range(4000)]
+    laid = O.ordered_layout(spark.createDataFrame(rows, "k string, t long, seq long, theta long"), "k", ["t", "seq"], 4)
+    read, real = [], type(laid).mapInArrow
+    monkeypatch.setattr(type(laid), "mapInArrow", lambda df, *args: read.append(df) or real(df, *args))
+    out = O.greedy_thin(laid, "k", ["t", "seq"], "t", "theta")
+    assert len(read) == 2 and read[1].count() == len(rows) and out.count() == len(rows)
+    ends = read[0].toPandas()
+    assert ends["k"].nunique() <= 8 and len(ends) == 10 * ends["k"].nunique()
+    assert all(p["_pos"].is_monotonic_increasing for _, p in ends.groupby("_pid"))
+    read.clear()
+    O.keyed_lag(laid.withColumn("s", F.lit("x")), "k", ["t", "seq"], "s", "prev")
+    assert len(read) == 1
+
+
+def test_batches_of_layouts_are_cut_by_rows(spark, monkeypatch):
+    """The limit in bytes, for which Spark measures the batch after every row, is off while a
+    layout or fold is written, unless the session sets one or has no limit in rows."""
+    size, rows = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.execution.arrow.maxRecordsPerBatch"
+    df = spark.createDataFrame([("a", 1)], "k string, t long")
+    seen, real = [], type(df).checkpoint
+    monkeypatch.setattr(type(df), "checkpoint", lambda d, *a, **kw: seen.append(spark.conf.get(size, None)) or real(d, *a, **kw))
+    O.ordered_layout(df, "k", ["t"], 1)
+    assert seen == [str(2 ** 31 - 1)] and spark.conf.get(size, None) is None
+    for key, value in ((size, "1m"), (rows, "0")):
+        spark.conf.set(key, value)
+        try:
+            before = spark.conf.get(size, None)
+            O.ordered_layout(df, "k", ["t"], 1)
+            assert seen.pop() == before == spark.conf.get(size, None)
+        finally:
+            spark.conf.unset(key)
