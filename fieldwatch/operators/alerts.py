@@ -23,7 +23,7 @@ from fieldwatch.functions.scalars import details_from_array, first_truthy, point
 from fieldwatch.functions.timefmt import iso_of_ms, window_index
 from fieldwatch.operators.dimension import gateway_lookup
 from fieldwatch.operators.ordered import (ALWAYS, NEG_INF, PID, POS, greedy_thin, keyed_lag, ordered_layout,
-                                         tasks_for)
+                                         placed, tasks_for)
 from fieldwatch.operators.ranks import count_below, rank_rows
 from fieldwatch.schemas import CLEANED_ALERT
 from fieldwatch.session import checkpointed, written
@@ -32,6 +32,8 @@ ALERT_COLUMNS = ["device_id", "gateway_id", "gateway_ts", "gateway_ts_iso", "sta
 SEQ = "seq"
 GAP = "_gap"
 TICK_SEQ = 2 ** 63 - 1  # ticks order after every reading
+STAMPS = "_stamps"
+STAMPS_A_ROW = 64  # ticks of a silence that lie in a layout as one row
 
 
 # --- W3: offline candidates ------------------------------------------------------------
@@ -140,6 +142,14 @@ def fleet_alerts(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: st
     Both folds run on range-partitioned layouts, so a busy device is split over
     many tasks.
     """
+    return stamped(fleet_layout(readings, dev_gw, params, seq, num_partitions))
+
+
+def fleet_layout(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: str = "event_id",
+                 num_partitions: int | None = None) -> DataFrame:
+    """The alerts of :func:`fleet_alerts`, not yet :func:`stamped`, as a layout by device
+    and (gateway_ts, seq) that the dedup goes on with. It is stored with a silence's ticks
+    in rows of up to ``STAMPS_A_ROW`` stamps, which become alerts whenever it is read."""
     known = _known(readings, dev_gw, seq)
     # read by the offline candidates, the count and the fold: keep the narrow
     # projection for the duration of this (eager) function only; lost blocks are
@@ -148,9 +158,16 @@ def fleet_alerts(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: st
     try:
         # reliable checkpoint: later stages (dedup, notifications) read the fold
         # once, and a lost executor does not send them back through it
-        return checkpointed(_fleet(known, dev_gw, params, num_partitions))
+        folded = checkpointed(_fleet_folded(known, dev_gw, params, num_partitions))
     finally:
         known.unpersist()
+    each = folded.withColumn("gateway_ts", F.explode(F.coalesce(F.col(STAMPS), F.array("gateway_ts"))))
+    return placed(each.select(*_FLEET_COLS))
+
+
+def stamped(alerts: DataFrame) -> DataFrame:
+    """Rows of :func:`fleet_layout` in the alert columns."""
+    return alerts.withColumn("gateway_ts_iso", iso_of_ms(F.col("gateway_ts"))).select(*ALERT_COLUMNS, SEQ)
 
 
 def _known(readings: DataFrame, dev_gw: DataFrame, seq: str) -> DataFrame:
@@ -177,16 +194,10 @@ def _fleet(known: DataFrame, dev_gw: DataFrame, params: Params, num_partitions:
     the fold itself holds one tick for each silence that ends, never more rows than
     readings. It is taken from the silence's end, and silences are spread out over all
     tasks and into ticks once, for the output."""
-    spark, order = known.sparkSession, ["gateway_ts", SEQ]
     silences, windows = _silences(known, dev_gw, params, state)
     silences = written(silences, "silences")
-    rows = known if state is None else known.unionByName(_seed_rows(state, "last_ts", known))
-    n = tasks_for(spark, known.count(), num_partitions)
-    with_prev = keyed_lag(ordered_layout(rows, "device_id", order, n), "device_id", order, "state", "prev_state")
-    theta = (F.when(F.col("state") == STATE_CRITICAL, F.lit(params.cooldown_ms))
-             .when(F.col("prev_state") == STATE_CRITICAL, F.lit(params.recovery_ms)))
-    cand = (with_prev.filter(F.col(SEQ) > NEG_INF).withColumn("theta", theta.cast("long"))
-            .filter(F.col("theta").isNotNull()).select(*_FLEET_COLS, "theta"))
+    n = tasks_for(known.sparkSession, known.count(), num_partitions)
+    cand = _candidates(known, params, n, state)
     always = F.lit(ALWAYS).cast("long").alias("theta")
     last_ticks = (silences.filter(F.col(GAP).isNotNull()).select("device_id", F.col("high").alias("rank"))
                   .join(windows.select("rank", "gateway_ts"), "rank").withColumn(SEQ, F.lit(TICK_SEQ)))
@@ -195,14 +206,64 @@ def _fleet(known: DataFrame, dev_gw: DataFrame, params: Params, num_partitions:
           for c in _FLEET_COLS], always))
     if state is not None:
         cand = cand.unionByName(_seed_rows(state, "last_alert_ts", cand.drop("theta")).select(*_FLEET_COLS, always))
-    # a layout reads its rows twice (range bounds, exchange): the lag pass below runs once
-    laid = ordered_layout(checkpointed(cand), "device_id", order, n)
-    out = greedy_thin(laid, "device_id", order, "gateway_ts", "theta", e_init=0)
+    out = _folded(cand, n)
     spoke = (out.filter((F.col(SEQ) > NEG_INF) & (F.col(SEQ) < TICK_SEQ))
              .select(*ALERT_COLUMNS[:3], iso_of_ms(F.col("gateway_ts")).alias("gateway_ts_iso"), "state", "details", SEQ))
     return spoke.unionByName(_ticks(silences.repartition(n, "device_id", "low"), windows))
 
 
+def _fleet_folded(known: DataFrame, dev_gw: DataFrame, params: Params, num_partitions: int | None = None) -> DataFrame:
+    """The fold of :func:`_fleet` over all that was ever read, with its output left in the
+    fold's layout. All ticks go through it, a row for up to ``STAMPS_A_ROW`` of a silence,
+    in the place of its last: a device speaks before or after a silence, never inside, so
+    what a row is spread out into lies in order too."""
+    silences, windows = _silences(known, dev_gw, params)
+    silences = written(silences, "silences")
+    spark, readings = known.sparkSession, known.count()
+    ticks = silences.select(F.sum(F.col("high") - F.col("low") + 1)).first()[0] or 0
+    n = tasks_for(spark, readings + ticks, num_partitions)
+    cand = _candidates(known, params, tasks_for(spark, readings, num_partitions))
+    blocks = _tick_blocks(silences.repartition(n, "device_id", "low"), windows).select(
+        "device_id", "gateway_id", F.element_at(STAMPS, -1).alias("gateway_ts"), F.lit(STATE_OFFLINE).alias("state"),
+        F.array().cast("array<string>").alias("details"), F.lit(None).cast("long").alias(SEQ),
+        F.lit(ALWAYS).cast("long").alias("theta"), STAMPS)
+    out = _folded(cand.unionByName(blocks, allowMissingColumns=True), n)
+    return out.select(*_FLEET_COLS, STAMPS)
+
+
+def _tick_blocks(silences: DataFrame, windows: DataFrame) -> DataFrame:
+    """The ticks of :func:`_silences` as rows (device_id, gateway_id, stamps in order)."""
+    size = F.lit(STAMPS_A_ROW).cast("long")
+    number = lambda rank: F.floor(F.col(rank) / size).cast("long")
+    stamps = windows.groupBy(number("rank").alias("number")).agg(F.sort_array(F.collect_list("gateway_ts")).alias("all"))
+    starts, members = rank_rows(number("low"), number("high"))
+    cut = (silences.withColumn("block", starts).select("device_id", "gateway_id", "low", "high", members.alias("number"))
+           .join(stamps, "number"))
+    first, least = F.col("number") * size, F.greatest(F.col("low"), F.col("number") * size)
+    most = F.least(F.col("high"), first + size - 1)
+    return cut.select("device_id", "gateway_id", F.slice("all", (least - first + 1).cast("int"),
+                                                         (most - least + 1).cast("int")).alias(STAMPS))
+
+
+def _candidates(known: DataFrame, params: Params, n: int, state: DataFrame | None = None) -> DataFrame:
+    """Readings that alert if their device's last alert is ``theta`` ago or more."""
+    order = ["gateway_ts", SEQ]
+    rows = known if state is None else known.unionByName(_seed_rows(state, "last_ts", known))
+    with_prev = keyed_lag(ordered_layout(rows, "device_id", order, n), "device_id", order, "state", "prev_state")
+    theta = (F.when(F.col("state") == STATE_CRITICAL, F.lit(params.cooldown_ms))
+             .when(F.col("prev_state") == STATE_CRITICAL, F.lit(params.recovery_ms)))
+    return (with_prev.filter(F.col(SEQ) > NEG_INF).withColumn("theta", theta.cast("long"))
+            .filter(F.col("theta").isNotNull()).select(*_FLEET_COLS, "theta"))
+
+
+def _folded(cand: DataFrame, n: int) -> DataFrame:
+    """The candidates that alert, in a layout of ``n`` partitions."""
+    order = ["gateway_ts", SEQ]
+    # a layout reads its rows twice (range bounds, exchange): the lag pass below runs once
+    laid = ordered_layout(checkpointed(cand), "device_id", order, n)
+    return greedy_thin(laid, "device_id", order, "gateway_ts", "theta", e_init=0)
+
+
 def fleet_step(readings: DataFrame, dev_gw: DataFrame, params: Params, state: DataFrame | None,
                seq: str = "event_id", num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """ST7: one micro-batch of the gateway's alert machine. ``state`` is the
@@ -237,18 +298,21 @@ def device_alerts(readings: DataFrame, dev_gw: DataFrame, params: Params, seq: s
 # --- W1: dedup of the alert stream ------------------------------------------------------------
 
 def dedup_alerts(alerts: DataFrame, window: int, order: tuple = ("gateway_ts", SEQ),
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, laid: bool = False) -> DataFrame:
     """W1, last-kept fold per device: drop an alert iff the last *kept* alert
     has the same state and lies less than ``window`` before it.
 
     The last kept alert always has the state of the immediately preceding
     alert (a dropped alert has the kept state), so: a state change always keeps,
     and within a run of equal states the kept rows are a greedy thinning with
-    gap ``window``.
+    gap ``window``. ``laid``: the alerts are a layout by device and ``order`` already
+    (:func:`fleet_layout`), rows of which may be left out.
     """
     order = list(order)
-    laid = ordered_layout(alerts, "device_id", order, tasks_for(alerts.sparkSession, alerts.count(), num_partitions))
-    out = greedy_thin(laid.withColumn("_theta", F.lit(window).cast("long")), "device_id", order, "gateway_ts", "_theta",
+    if not laid:
+        alerts = ordered_layout(alerts, "device_id", order,
+                                tasks_for(alerts.sparkSession, alerts.count(), num_partitions))
+    out = greedy_thin(alerts.withColumn("_theta", F.lit(window).cast("long")), "device_id", order, "gateway_ts", "_theta",
                       e_init=NEG_INF, change="state")
     return checkpointed(out.drop("_theta", PID, POS))
 

@@ -87,9 +87,13 @@ class Pipeline:
         return T.enrich(self.telemetry, self.location_table)
 
     # --- alert path ------------------------------------------------------------------------
+    @cached_property
+    def fleet_layout(self) -> DataFrame:
+        return A.fleet_layout(self.readings, self.gateway_table, self.params, "event_id", self.num_partitions)
+
     @cached_property
     def fleet_alerts(self) -> DataFrame:
-        return A.fleet_alerts(self.readings, self.gateway_table, self.params, "event_id", self.num_partitions)
+        return A.stamped(self.fleet_layout)
 
     @cached_property
     def raw_alert_lines(self) -> DataFrame:
@@ -101,9 +105,8 @@ class Pipeline:
 
     @cached_property
     def deduped_alerts(self) -> DataFrame:
-        """W1 over the alert topic (the fleet alerts)."""
-        return A.dedup_alerts(A.valid_alerts(self.fleet_alerts), self.params.dedup_window,
-                              num_partitions=self.num_partitions)
+        """W1 over the alert topic (the fleet alerts), in the layout they come in."""
+        return A.stamped(A.dedup_alerts(A.valid_alerts(self.fleet_layout), self.params.dedup_window, laid=True))
 
     @cached_property
     def cleaned_alerts(self) -> DataFrame:

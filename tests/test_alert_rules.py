@@ -204,6 +204,28 @@ def test_silences_become_ticks_once(spark, monkeypatch):
     assert got == sorted(x[:3] for x in _simulate(pdf, ["d0", "d1", "d2"], P))
 
 
+def test_dedup_goes_on_in_the_layout_of_the_fleet(spark, monkeypatch):
+    """The fleet's fold and the dedup share one layout, in which a silence's ticks are rows of
+    up to 64 stamps; spread out, they are the alerts, in an order the dedup can rely on."""
+    laid, layout = [], A.ordered_layout
+    monkeypatch.setattr(A, "ordered_layout", lambda df, *args: laid.append(df) or layout(df, *args))
+    rows = [("d0", 1000 + 10 * k, "OK" if k % 3 else "CRITICAL", [], k) for k in range(300)]
+    rows += [("d1", 1000 + 10 * k, "CRITICAL", [], 300 + k) for k in (0, 1, 20, 150, 298)]
+    devices = [f"d{k}" for k in range(12)]
+    dev_gw = spark.createDataFrame([(d, "g") for d in devices], "device_id string, gateway_id string")
+    readings = spark.createDataFrame(rows, READ_SCHEMA)
+    alerts = A.fleet_layout(readings, dev_gw, P, "event_id", 5)
+    kept = A.dedup_alerts(A.valid_alerts(alerts), 30, laid=True)
+    assert len(laid) == 2 and laid[1].count() < alerts.count() / 8
+    pdf = pd.DataFrame([r[:3] + r[4:] for r in rows], columns=["device_id", "gateway_ts", "state", "event_id"])
+    got = sorted((r.device_id, r.gateway_ts, r.state) for r in A.stamped(alerts).collect())
+    assert got == sorted(x[:3] for x in _simulate(pdf, devices, P)) and len(got) > 2000
+    cells = lambda df: sorted(map(str, A.stamped(df).collect()))
+    assert cells(alerts) == cells(A.fleet_alerts(readings, dev_gw, P, "event_id", 1))
+    assert cells(kept) == cells(A.dedup_alerts(A.stamped(alerts).orderBy("gateway_ts"), 30, num_partitions=3))
+    assert 300 < kept.count() < len(got)
+
+
 def _output_rows(df, node):
     """Rows that the plan's nodes of a kind put out when the plan is run."""
     plan = df._jdf.queryExecution().executedPlan()
