@@ -25,6 +25,7 @@ from fieldwatch.operators import notify as N
 from fieldwatch.operators import telemetry as T
 from fieldwatch.plans.pipeline import Pipeline
 from fieldwatch.schemas import ALERT_DOC, LOCATION_COLUMNS, STAT_COLUMNS, TELEMETRY_DOC, TELEMETRY_MSG
+from fieldwatch.session import default_parallelism
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -449,6 +450,9 @@ def q_cleaned_scan(spark, sf_dir):
     """S3 + N3: cleaned alerts as key-less JSON values, read back and decoded."""
     from fieldwatch.schemas import CLEANED_ALERT
     c = _p(spark, sf_dir).cleaned_alerts
+    # JSON is most of the work, and the join's few partitions of even size, some more than
+    # there are cores, would be two rounds of it
+    c = c.repartition(default_parallelism(spark), "device_id", "gateway_ts")
     values = jsonio.rows_to_json(c.select(*[f.name for f in CLEANED_ALERT.fields]))
     back = jsonio.parse_json(values, CLEANED_ALERT)
     return back.select("device_id", "gateway_ts", "state", joined("details").alias("details"), "farm_id",

@@ -3,6 +3,7 @@ randomized comparison with a direct step-by-step simulation of the gateway."""
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from fieldwatch.config import Params
 from fieldwatch.operators import alerts as A
@@ -226,6 +227,24 @@ def test_dedup_goes_on_in_the_layout_of_the_fleet(spark, monkeypatch):
     assert 300 < kept.count() < len(got)
 
 
+def test_json_round_trip_is_spread_over_all_partitions(spark):
+    """Where the locations are not broadcast, the join's partitions are merged (here to one);
+    the JSON step has the session's partitions, each with its share."""
+    from conftest import SF_SMALL
+
+    from fieldwatch.plans.queries import QUERIES
+
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(limit, "-1")
+    try:
+        out = QUERIES["cleaned_alerts_scan"](spark, SF_SMALL)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset(limit)
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
 def _output_rows(df, node):
     """Rows that the plan's nodes of a kind put out when the plan is run."""
     plan = df._jdf.queryExecution().executedPlan()
